@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from salestide import contract as c
 from salestide.functions.frames import encode_frame, frame_body, frame_schema_id, has_frame
-from salestide.sources.registry import join_registry, schemas_by_id
+from salestide.sources.registry import Schemas, join_registry, load_schemas
 
 _CORRUPT = "_corrupt"
 
@@ -60,14 +60,14 @@ def decode_records(
     ``schema`` is the reader's schema. A field named in ``added_fields`` takes its default in records
     whose writer schema is older than the field.
     """
+    schemas = load_schemas(registry, subject)
     framed = check_frames(kafka_columns(records))
-    known = join_registry(framed, registry, subject).withColumnRenamed("version", "writer_version")
-    body = _body_struct(registry, schema, subject)
+    known = join_registry(framed, schemas).withColumnRenamed("version", "writer_version")
     # Generated columns are computed once per record: a filter on them stays above this step instead of
     # being pushed below it together with a second copy of the body parser.
     event = known.select(
         *c.KAFKA_COLUMNS, "value", "frame_ok", "schema_id", "format", "writer_version",
-        F.inline_outer(F.array(body)),
+        F.inline_outer(F.array(_body_struct(schemas, schema))),
     )
     event = event.withColumns(_defaults(added_fields or {}))
     decoded = parse_times(event).withColumn("quarantine_reason", _reason())
@@ -113,14 +113,11 @@ def encode_records(
     )
 
 
-def _body_struct(registry: DataFrame, schema: T.StructType, subject: str | None) -> Column:
+def _body_struct(schemas: Schemas, schema: T.StructType) -> Column:
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     text = F.when(F.col("format") == "JSON", F.col("body").cast("string"))
     parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
-    # A decoder needs its schema as a literal, so the Avro schemas of the contract (metadata: one row per
-    # version) are read here. Without the Avro package, such records are quarantined.
-    avro = schemas_by_id(registry, subject).filter(F.col("format") == "AVRO").select("schema_id", "schema")
-    branches = [_avro_struct(row.schema_id, row.schema, schema) for row in avro.collect()]
+    branches = [_avro_struct(schema_id, written, schema) for schema_id, written in schemas.avro]
     return F.coalesce(*branches, parsed) if branches else parsed
 
 

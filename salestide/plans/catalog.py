@@ -15,7 +15,7 @@ from salestide.operators import backfill, decode, gold, late, ops, quality, silv
 from salestide.plans import scenario
 from salestide.session import use_stream_defaults, use_utc, workspace
 from salestide.sources import files
-from salestide.sources.registry import join_registry
+from salestide.sources.registry import join_registry, load_schemas
 from salestide.streaming import layers, promote
 from salestide.streaming.replay import land_slices, replay_slices
 
@@ -93,7 +93,8 @@ def frame_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def decode_registry_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = decode.kafka_columns(scenario.poisoned_frames(_sales(spark, sf_dir)))
-    joined = join_registry(decode.check_frames(records), scenario.registry(spark), scenario.SUBJECT)
+    schemas = load_schemas(scenario.registry(spark), scenario.SUBJECT)
+    joined = join_registry(decode.check_frames(records), schemas)
     return joined.select(*RECORD, "schema_id", "subject", "version", "format")
 
 
@@ -228,7 +229,9 @@ def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = quality.dq_samples(quality.dq_violations(_silver(spark, sf_dir)))
+    """At most 100 violations of each six days."""
+    violations = quality.dq_violations(_silver(spark, sf_dir))
+    samples = quality.dq_samples(violations.withColumn("batch_id", F.floor(F.col("batch_id") / 2)))
     return samples.select("batch_id", "event_id", "dq_violation_reason")
 
 

@@ -114,7 +114,7 @@ _TYPED_FIELDS = ["account_id", "user_id", "event_type", "plan_tier", "region", "
 
 _BAD_TIME = "num % 241 = 0"
 
-# The replay scenario: slices of six days by arrival. A row is late if its event time is at or below the
+# The replay scenario: slices of ten days by arrival. A row is late if its event time is at or below the
 # watermark after the slice before its own.
 _REPLAY = f"""
 with resent as (
@@ -129,7 +129,7 @@ arrivals as (
     ts + to_seconds(cast(copy * 7200 as int)) as kafka_ingest_ts
   from resent),
 sliced as (
-  select *, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / 518400) as int) as b
+  select *, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / 864000) as int) as b
   from arrivals),
 newest as (select b, max(event_ts) as mx from sliced group by b),
 marks as (
@@ -160,7 +160,7 @@ def _totals(side: str) -> str:
 
 def _decoded_columns() -> str:
     fields = ",\n  ".join(f"case when typed then {name} end as {name}" for name in _TYPED_FIELDS)
-    return f"""account_id as kafka_key, kafka_ingest_ts, kafka_partition, kafka_offset,
+    return f"""account_key as kafka_key, kafka_ingest_ts, kafka_partition, kafka_offset,
   case when typed and num % 239 <> 0 then event_id end as event_id,
   case when typed then case when {_BAD_TIME} then 'not a time' else {_ISO.format('event_ts')} end end as event_time,
   case when typed then {_ISO.format('ingest_ts')} end as ingest_time,
@@ -170,7 +170,9 @@ def _decoded_columns() -> str:
   case when typed then ingest_ts end as ingest_ts"""
 
 
-_DECODED = f"decoded as (select {_decoded_columns().replace('account_id as kafka_key', 'key_ as kafka_key')}, schema_id, reason as quarantine_reason from (select *, account_id as key_ from bronze) t)"
+_DECODED = f"""decoded as (
+  select {_decoded_columns()}, schema_id, reason as quarantine_reason
+  from (select *, account_id as account_key from bronze) t)"""
 
 _V2 = "num % 3 = 0"
 
@@ -236,8 +238,8 @@ select event_id, event_ts, region, plan_tier, currency, amount, {_REASON} as dq_
 from flags where n or d or a or l""",
         "dq_samples": silver_flags + f"""
 select batch_id, event_id, dq_violation_reason from (
-  select batch_id, event_id, {_REASON} as dq_violation_reason,
-    row_number() over (partition by batch_id order by event_id) as rank
+  select batch_id // 2 as batch_id, event_id, {_REASON} as dq_violation_reason,
+    row_number() over (partition by batch_id // 2 order by event_id) as rank
   from flags where n or d or a or l) t where rank <= 100""",
         "latency_breaches": _SALES + f"select * from ({_LATENCY}) t where latency_sla_breaches > 0",
         "latency_by_window": _SALES + _LATENCY,

@@ -17,7 +17,7 @@ EVENTS_DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string,
 TOPIC = "sales.events.v1"
 SUBJECT = f"{TOPIC}-value"
 V1_ID, V2_ID, UNREGISTERED_ID = 1, 2, 999
-SLICE_DAYS = 6
+SLICE_DAYS = 10
 DAY_SECONDS = 86_400
 
 

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salestide.session import fits_broadcast
-
 # A registry holds one row per schema version. A table above this many rows is not broadcast.
 MAX_BROADCAST_SCHEMAS = 10_000
 SALTS = 64
 
 
+@dataclass(frozen=True)
+class Schemas:
+    """The registry as it was when a job started: one row per schema id.
+
+    ``table`` holds the rows themselves if they have been counted to be few (``small``), so that no batch
+    of a stream computes them again. ``avro`` lists (schema id, schema text) of Avro bodies: a decoder
+    needs its schema when the query is built.
+    """
+
+    table: DataFrame
+    small: bool
+    avro: list[tuple[int, str]]
+
+
 def schemas_by_id(registry: DataFrame, subject: str | None = None) -> DataFrame:
     """One row per schema id.
 
@@ -23,25 +37,34 @@ def schemas_by_id(registry: DataFrame, subject: str | None = None) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def join_registry(
-    records: DataFrame,
-    registry: DataFrame,
-    subject: str | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_SCHEMAS,
-    salts: int = SALTS,
-) -> DataFrame:
+def load_schemas(
+    registry: DataFrame, subject: str | None = None, max_broadcast_rows: int = MAX_BROADCAST_SCHEMAS
+) -> Schemas:
+    by_id = schemas_by_id(registry, subject)
+    head = by_id.limit(max_broadcast_rows + 1).toArrow()
+    small = head.num_rows <= max_broadcast_rows
+    if small:
+        table = registry.sparkSession.createDataFrame(head, by_id.schema)
+        avro = [(row["schema_id"], row["schema"]) for row in head.to_pylist() if row["format"] == "AVRO"]
+    else:
+        table = by_id
+        rows = by_id.filter(F.col("format") == "AVRO").select("schema_id", "schema").collect()
+        avro = [(row.schema_id, row.schema) for row in rows]
+    return Schemas(table, small, avro)
+
+
+def join_registry(records: DataFrame, schemas: Schemas, salts: int = SALTS) -> DataFrame:
     """Left-join records to their schema row on ``schema_id``.
 
-    The registry is broadcast if it has been counted to be small. Otherwise both sides are shuffled on
-    (schema_id, salt): nearly all records share a few ids, so the id alone would put them in one task.
+    A small registry is broadcast. Otherwise both sides are shuffled on (schema_id, salt): nearly all
+    records share a few ids, so the id alone would put them in one task.
     """
-    schemas = schemas_by_id(registry, subject)
-    if fits_broadcast(schemas, max_broadcast_rows):
-        return records.join(F.broadcast(schemas), "schema_id", "left")
-    salted_schemas = schemas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if schemas.small:
+        return records.join(F.broadcast(schemas.table), "schema_id", "left")
+    salted = schemas.table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.col("kafka_offset"), F.lit(salts)).cast("int")
     return (
         records.withColumn("_salt", salt)
-        .join(salted_schemas.hint("merge"), ["schema_id", "_salt"], "left")
+        .join(salted.hint("merge"), ["schema_id", "_salt"], "left")
         .drop("_salt")
     )
