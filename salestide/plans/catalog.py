@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from salestide import contract as c
 from salestide.functions.frames import frame_body
-from salestide.functions.rules import net_amount
-from salestide.operators import backfill, decode, gold, late, ops, quality, silver
+from salestide.operators import backfill, decode, gold, ops, quality, silver
 from salestide.plans import scenario
 from salestide.session import use_stream_defaults, use_utc, workspace
 from salestide.sources import files
@@ -136,11 +135,10 @@ def quarantine_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def net_amount_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed amounts of all sales, per event type."""
-    sales = _sales(spark, sf_dir).withColumn("net", net_amount(F.col("event_type"), F.abs("amount")))
-    per_type = sales.groupBy("event_type").agg(
+    per_type = _sales(spark, sf_dir).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.count_if(F.col("net") < 0).alias("negative_count"),
-        F.sum("net").alias("net_amount"),
+        F.count_if(F.col("amount") < 0).alias("negative_count"),
+        F.sum("amount").alias("net_amount"),
     )
     return rounded(per_type, "net_amount")
 
@@ -322,7 +320,8 @@ def backfill_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark, "promote")
     promote.write_version(_double_counted(spark, sf_dir), root, "first")
     promote.point_to(spark, root, "first")
-    promote.promote(spark, root, _replayed(spark, sf_dir), "second")
+    promote.write_version(_replayed(spark, sf_dir), root, "replay")
+    promote.promote(spark, root, "replay", "second")
     return rounded(promote.current_gold(spark, root).select(*GOLD), "revenue")
 
 
@@ -375,7 +374,7 @@ def _run_dq(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str, str]:
     return spark, layout.dq_dir, layout.run_id
 
 
-def _run_layers(spark: SparkSession, sf_dir: str) -> layers.Layout:
+def _run_layers(spark: SparkSession, sf_dir: str, with_gold: bool = False) -> layers.Layout:
     topic, slices, layout = _staged(spark, sf_dir)
     registry = scenario.registry(spark)
     for last in range(len(slices)):
@@ -384,9 +383,18 @@ def _run_layers(spark: SparkSession, sf_dir: str) -> layers.Layout:
             lambda records: layers.start_bronze(records, registry, layout), first=last,
         )
         layers.start_silver(spark, layout).awaitTermination()
+        if with_gold:
+            layers.start_gold_from_silver(spark, layout).awaitTermination()
     return layout
 
 
+@query
+def gold_layers_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from stored layers: a query each for bronze, silver and gold, slice by slice."""
+    layout = _run_layers(spark, sf_dir, with_gold=True)
+    return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
+
+
 @query
 def silver_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event rows that a stored bronze and a streaming silver keep."""
@@ -399,6 +407,5 @@ def silver_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows that the watermark of silver has turned away, copies included."""
     layout = _run_layers(spark, sf_dir)
-    bronze = decode.accepted(spark.read.parquet(layout.table("bronze")))
-    rows = late.late_rows(bronze, spark.read.parquet(layout.table("silver")))
+    rows = layers.late_of_run(spark, layout)
     return rows.select("event_id", *RECORD, "event_ts", "kafka_ingest_ts")

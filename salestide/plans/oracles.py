@@ -179,6 +179,8 @@ _V2 = "num % 3 = 0"
 
 def all_oracles() -> dict[str, str]:
     silver_flags = _SALES + _FLAGS.format(source="silver")
+    stream_gold = _REPLAY + f""", gold as ({_gold('kept')})
+select {_GOLD_OUT} from gold where window_end <= (select max(w) from marks)"""
     return {
         "frame_encode": _SALES + f"""
 select account_id as kafka_key, kafka_partition, kafka_offset,
@@ -286,8 +288,8 @@ from production p full outer join replay r
         "backfill_promote": _SALES + _PRODUCTION_AND_REPLAY + f"""
 select {_GOLD_OUT} from production where window_start not in (select window_start from replay)
 union all select {_GOLD_OUT} from replay""",
-        "gold_stream_replay": _REPLAY + f""", gold as ({_gold('kept')})
-select {_GOLD_OUT} from gold where window_end <= (select max(w) from marks)""",
+        "gold_stream_replay": stream_gold,
+        "gold_layers_replay": stream_gold,
         "dq_stream_replay": _REPLAY + _FLAGS.format(source="kept") + f"""
 select cast(2 * b as bigint) as batch_id, {_COUNTERS} from flags group by b""",
         "dq_history": _REPLAY + _FLAGS.format(source="kept") + """

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _STREAM_DEFAULTS = {
@@ -58,11 +63,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of text.
+
+    Reads no more than one row beyond the bound. ``df`` should be stored or cheap: it is read again later.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.octet_length(name), F.lit(0)).cast("bigint") for name in texts]
+    size = F.sum(reduce(add, lengths, F.lit(0).cast("bigint")))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting; above the bound the join stays a shuffle join."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after counting; above the bounds the join stays a shuffle join."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

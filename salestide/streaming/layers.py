@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from salestide import contract as c
 from salestide.functions.rules import Rules
-from salestide.operators.decode import accepted, decode_records
+from salestide.operators.decode import accepted, decode_records, quarantined
 from salestide.operators.gold import DIMENSIONS, revenue_windows, with_window_date
+from salestide.operators.late import late_rows
 from salestide.operators.silver import dedup_stream
 from salestide.session import use_stream_defaults
 from salestide.sources.files import parquet_stream
@@ -29,16 +32,21 @@ class Layout:
 
     root: str
     run_id: str
+    folders: Mapping[str, str] = field(default_factory=dict)
+    """Folders kept elsewhere than below ``root``: name of the table, ``dq`` or ``checkpoints`` to path."""
+
+    def folder(self, name: str) -> str:
+        return self.folders.get(name, f"{self.root}/{name}")
 
     def table(self, name: str) -> str:
-        return f"{self.root}/{name}/run_id={self.run_id}"
+        return f"{self.folder(name)}/run_id={self.run_id}"
 
     def checkpoint(self, query: str) -> str:
-        return f"{self.root}/checkpoints/{query}/run_id={self.run_id}"
+        return f"{self.folder('checkpoints')}/{query}/run_id={self.run_id}"
 
     @property
     def dq_dir(self) -> str:
-        return f"{self.root}/dq"
+        return self.folder("dq")
 
 
 def start_bronze(
@@ -56,6 +64,18 @@ def start_bronze(
     return _to_parquet(writer, layout, "bronze", trigger)
 
 
+def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Stored bronze as a stream of whole bronze batches."""
+    schema = _plus(c.BRONZE_SCHEMA, "ingest_date date")
+    return parquet_stream(spark, layout.table("bronze"), schema).drop("ingest_date")
+
+
+def start_quarantine(spark: SparkSession, layout: Layout, trigger: str | None = None) -> StreamingQuery:
+    """Store the records of bronze that are no events, with their reason and raw value."""
+    writer = quarantined(bronze_stream(spark, layout)).writeStream
+    return _to_parquet(writer, layout, "quarantine", trigger)
+
+
 def start_silver(
     spark: SparkSession,
     layout: Layout,
@@ -64,8 +84,7 @@ def start_silver(
     salts: int = 0,
 ) -> StreamingQuery:
     """Deduplicate the accepted rows of whole bronze batches."""
-    bronze = parquet_stream(spark, layout.table("bronze"), _plus(c.BRONZE_SCHEMA, "ingest_date date"))
-    events = accepted(bronze).drop("ingest_date")
+    events = accepted(bronze_stream(spark, layout))
     deduped = dedup_stream(events, watermark, salts=salts).withColumn("event_date", F.to_date("event_ts"))
     writer = deduped.writeStream.partitionBy("event_date")
     return _to_parquet(writer, layout, "silver", trigger)
@@ -121,6 +140,18 @@ def start_dq(
     return _start(writer, trigger)
 
 
+def late_of_run(spark: SparkSession, layout: Layout, arrived_before: datetime | None = None) -> DataFrame:
+    """Accepted bronze rows that silver has turned away.
+
+    Silver must have processed all of bronze, or at least everything that arrived before the given time.
+    """
+    bronze = accepted(spark.read.schema(c.BRONZE_SCHEMA).parquet(layout.table("bronze")))
+    if arrived_before is not None:
+        bronze = bronze.filter(F.col("kafka_ingest_ts") < F.lit(arrived_before))
+    silver = spark.read.schema(c.SILVER_SCHEMA).parquet(layout.table("silver"))
+    return late_rows(bronze, silver)
+
+
 def chain(
     records: DataFrame,
     registry: DataFrame,
@@ -139,6 +170,7 @@ def run_layers_once(
     start_bronze(records, registry, layout).awaitTermination()
     start_silver(spark, layout).awaitTermination()
     queries = [
+        start_quarantine(spark, layout),
         start_gold_from_silver(spark, layout),
         start_dq(silver_stream(spark, layout), layout, rules=rules, persist=False),
     ]
@@ -159,6 +191,7 @@ def run_layers(
     use_stream_defaults(spark)
     queries = [
         start_bronze(records, registry, layout, trigger),
+        start_quarantine(spark, layout, trigger),
         start_silver(spark, layout, trigger, watermark),
         start_gold_from_silver(spark, layout, trigger, watermark),
         start_dq(silver_stream(spark, layout), layout, trigger, rules, persist=False),

@@ -68,3 +68,13 @@ def progress_row(progress) -> tuple:
         sum(operator.numRowsDroppedByWatermark for operator in state),
         progress.eventTime.get("watermark") if progress.eventTime else None,
     )
+
+
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful operators of a checkpoint: name, partitions, first and last batch."""
+    return spark.read.format("state-metadata").load(checkpoint)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The keys and values that a stateful operator holds after the last committed batch."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)

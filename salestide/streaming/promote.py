@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestide.operators.backfill import merge_windows
+from salestide.operators.backfill import gold_diff, merge_windows
 from salestide.operators.gold import with_window_date
 from salestide.sources.files import read_gold
 
@@ -31,14 +31,32 @@ def current_version(spark: SparkSession, root: str) -> str:
     return pointers.agg(F.max_by("version", "promoted_at")).first()[0]
 
 
+def read_version(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    path = f"{root}/versions/run_id={run_id}"
+    return read_gold(spark, path, view=None).drop("window_date")
+
+
 def current_gold(spark: SparkSession, root: str) -> DataFrame:
     """The gold table that the pointer names."""
-    return read_gold(spark, f"{root}/versions/run_id={current_version(spark, root)}", view=None)
+    return read_version(spark, root, current_version(spark, root))
+
+
+def replay_report(spark: SparkSession, root: str, replay_run: str) -> DataFrame:
+    """What promoting a stored replay would change: gold rows and event counts by kind of difference."""
+    diff = gold_diff(current_gold(spark, root), read_version(spark, root, replay_run))
+    return diff.groupBy("status").agg(
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.sum("events_production").alias("events_production"),
+        F.sum("events_replay").alias("events_replay"),
+    )
+
 
+def promote(spark: SparkSession, root: str, replay_run: str, run_id: str) -> str:
+    """Merge a stored replay over the current version into a new version and point readers to it.
 
-def promote(spark: SparkSession, root: str, replay: DataFrame, run_id: str) -> str:
-    """Merge replayed windows over the current version into a new one and point readers to it."""
-    merged = merge_windows(current_gold(spark, root).drop("window_date"), replay)
-    path = write_version(merged, root, run_id)
+    The replay is read from its isolated output, so its events are not computed again for the merge.
+    """
+    replay = read_version(spark, root, replay_run)
+    path = write_version(merge_windows(current_gold(spark, root), replay), root, run_id)
     point_to(spark, root, run_id)
     return path
