@@ -4,74 +4,72 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def table(columns: str) -> T.StructType:
+    """A schema from ``name type, ...``; unlike Spark's own DDL parser it needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+def extend(schema: T.StructType, columns: str) -> T.StructType:
+    return T.StructType(schema.fields + table(columns).fields)
+
+
 # What a Kafka source row looks like in Spark.
-KAFKA_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.BinaryType()),
-        T.StructField("value", T.BinaryType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("timestampType", T.IntegerType()),
-    ]
+KAFKA_SCHEMA = table(
+    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
+    "timestampType int"
 )
 
 # The fields of version 1 of the event contract.
-EVENT_V1 = T.StructType.fromDDL(
+EVENT_V1 = table(
     "event_id string, event_time string, ingest_time string, account_id string, user_id string, "
     "event_type string, plan_tier string, region string, currency string, amount double, "
     "source string, trace_id string, schema_version int"
 )
 
 # Version 2 adds optional fields. A reader of both versions uses this superset.
-EVENT_V2 = T.StructType(
-    EVENT_V1.fields + [T.StructField("discount", T.DoubleType()), T.StructField("channel", T.StringType())]
-)
+EVENT_V2 = extend(EVENT_V1, "discount double, channel string")
 
 # Fields that later contract versions introduced: name -> (first version, reader default).
 ADDED_FIELDS = {"discount": (2, 0.0), "channel": (2, None)}
 
-REGISTRY_SCHEMA = T.StructType.fromDDL(
+REGISTRY_SCHEMA = table(
     "schema_id bigint, subject string, version int, format string, schema string"
 )
 
 KAFKA_COLUMNS = ["kafka_key", "kafka_ingest_ts", "kafka_partition", "kafka_offset"]
 
 SILVER_SCHEMA = T.StructType(
-    [
-        T.StructField("kafka_key", T.StringType()),
-        T.StructField("kafka_ingest_ts", T.TimestampType()),
-        T.StructField("kafka_partition", T.IntegerType()),
-        T.StructField("kafka_offset", T.LongType()),
-    ]
+    table("kafka_key string, kafka_ingest_ts timestamp, kafka_partition int, kafka_offset bigint").fields
     + EVENT_V1.fields
-    + [T.StructField("event_ts", T.TimestampType()), T.StructField("ingest_ts", T.TimestampType())]
+    + table("event_ts timestamp, ingest_ts timestamp").fields
 )
 
-BRONZE_SCHEMA = T.StructType(
-    SILVER_SCHEMA.fields
-    + [
-        T.StructField("value", T.BinaryType()),
-        T.StructField("schema_id", T.LongType()),
-        T.StructField("quarantine_reason", T.StringType()),
-    ]
-)
+BRONZE_SCHEMA = extend(SILVER_SCHEMA, "value binary, schema_id bigint, quarantine_reason string")
 
-GOLD_SCHEMA = T.StructType.fromDDL(
+GOLD_SCHEMA = table(
     "window_start timestamp, window_end timestamp, region string, plan_tier string, "
     "revenue double, event_count bigint"
 )
 
-DQ_METRICS_SCHEMA = T.StructType.fromDDL(
+DQ_METRICS_SCHEMA = table(
     "dq_run_ts timestamp, batch_id bigint, total_records bigint, valid_records_estimate bigint, "
     "null_required_fields bigint, invalid_domain_values bigint, bad_amounts bigint, "
     "latency_sla_breaches bigint"
 )
 
-DQ_SAMPLE_SCHEMA = T.StructType(
-    SILVER_SCHEMA.fields + [T.StructField("dq_violation_reason", T.StringType())]
-)
+DQ_SAMPLE_SCHEMA = extend(SILVER_SCHEMA, "dq_violation_reason string")
 
 QUARANTINE_COLUMNS = [
     "reason", "error", "value", "kafka_key", "kafka_partition", "kafka_offset", "kafka_ingest_ts",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -66,7 +67,7 @@ def start_bronze(
 
 def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """Stored bronze as a stream of whole bronze batches."""
-    schema = _plus(c.BRONZE_SCHEMA, "ingest_date date")
+    schema = c.extend(c.BRONZE_SCHEMA, "ingest_date date")
     return parquet_stream(spark, layout.table("bronze"), schema).drop("ingest_date")
 
 
@@ -92,7 +93,7 @@ def start_silver(
 
 def silver_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """Stored silver as a stream of whole silver batches."""
-    schema = _plus(c.SILVER_SCHEMA, "event_date date")
+    schema = c.extend(c.SILVER_SCHEMA, "event_date date")
     return parquet_stream(spark, layout.table("silver"), schema).drop("event_date")
 
 
@@ -187,22 +188,36 @@ def run_layers(
     watermark: str = c.WATERMARK_DELAY,
     rules: Rules = Rules(),
 ) -> None:
-    """Run all queries until one of them stops."""
+    """Run all queries until one of them stops, then stop the others."""
     use_stream_defaults(spark)
-    queries = [
-        start_bronze(records, registry, layout, trigger),
-        start_quarantine(spark, layout, trigger),
-        start_silver(spark, layout, trigger, watermark),
-        start_gold_from_silver(spark, layout, trigger, watermark),
-        start_dq(silver_stream(spark, layout), layout, trigger, rules, persist=False),
-    ]
+    queries: list[StreamingQuery] = []
     try:
+        queries.append(start_bronze(records, registry, layout, trigger))
+        wait_for_first_batch(queries[-1])
+        queries.append(start_quarantine(spark, layout, trigger))
+        queries.append(start_silver(spark, layout, trigger, watermark))
+        wait_for_first_batch(queries[-1])
+        queries.append(start_gold_from_silver(spark, layout, trigger, watermark))
+        queries.append(start_dq(silver_stream(spark, layout), layout, trigger, rules, persist=False))
         spark.streams.awaitAnyTermination()
     finally:
         for query in queries:
             query.stop()
 
 
+def wait_for_first_batch(query: StreamingQuery, poll_seconds: float = 0.5) -> None:
+    """Wait until a query has written a batch, in this run or an earlier one.
+
+    A reader that starts on a table without a commit log lists files by itself from then on; it could
+    then see half of a batch, or files of an attempt that failed.
+    """
+    while query.isActive:
+        progress = query.lastProgress
+        if progress is not None and (progress.batchId > 0 or progress.numInputRows > 0):
+            return
+        time.sleep(poll_seconds)
+
+
 def _to_parquet(writer: DataStreamWriter, layout: Layout, name: str, trigger: str | None) -> StreamingQuery:
     return _start(
         writer.format("parquet")
@@ -218,7 +233,3 @@ def _start(writer: DataStreamWriter, trigger: str | None) -> StreamingQuery:
     """Without a trigger interval: take what is available now and stop."""
     timed = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
     return timed.start()
-
-
-def _plus(schema: T.StructType, ddl: str) -> T.StructType:
-    return T.StructType(schema.fields + T.StructType.fromDDL(ddl).fields)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-PROGRESS_SCHEMA = T.StructType.fromDDL(
+from salestide import contract as c
+
+PROGRESS_SCHEMA = c.table(
     "query string, query_id string, query_run_id string, batch_id bigint, started string, "
     "input_rows bigint, batch_ms bigint, state_rows bigint, state_bytes bigint, "
     "rows_dropped_by_watermark bigint, watermark string"
