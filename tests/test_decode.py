@@ -1,0 +1,135 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import at, body, frame, kafka_table, registry
+from salestide import contract as c
+from salestide.functions.frames import encode_frame, frame_body, frame_schema_id, has_frame
+from salestide.operators import decode
+from salestide.sources.registry import join_registry, load_schemas, schemas_by_id
+
+
+def reasons(spark, values):
+    bronze = decode.decode_records(kafka_table(spark, values), registry(spark))
+    return [row[0] for row in bronze.orderBy("kafka_offset").select("quarantine_reason").collect()]
+
+
+def test_frame_check(spark):
+    values = [b"\x00\x00\x00\x01\x02abc", b"\x00\x00", b"\x01\x00\x00\x01\x02abc", b"\x00\xff\xff\xff\xff", None]
+    checked = decode.check_frames(kafka_table(spark, values)).orderBy("offset")
+    got = [(r.frame_ok, r.schema_id, None if r.body is None else bytes(r.body)) for r in checked.collect()]
+    assert got == [
+        (True, 258, b"abc"), (False, None, None), (False, None, None), (True, 4294967295, b""), (None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("schema_id", [0, 1, 255, 256, 2**31, 2**32 - 1])
+def test_frame_round_trip(spark, schema_id):
+    value = encode_frame(F.lit(schema_id), F.lit(b"xyz"))
+    row = spark.range(1).select(
+        value.alias("v"), has_frame(value).alias("ok"), frame_schema_id(value).alias("id"), frame_body(value).alias("b")
+    ).first()
+    assert bytes(row.v) == frame(b"xyz", schema_id)
+    assert (row.ok, row.id, bytes(row.b)) == (True, schema_id, b"xyz")
+
+
+def test_reason_of_every_kind_of_broken_record(spark):
+    values = [
+        frame(body()), None, b"\x00\x00", b"\x01" + frame(body())[1:], frame(body(), 77), frame(b"garbage"),
+        frame(b""), frame(body(event_id=None)), frame(body(event_time="2026-13-01T00:00:00Z")),
+        frame(body(event_time=None)), frame(body(event_time="")), frame(body(ingest_time="garbage")),
+    ]
+    assert reasons(spark, values) == [
+        None, "NULL_VALUE", "BAD_FRAME", "BAD_FRAME", "UNKNOWN_SCHEMA", "BAD_PAYLOAD",
+        "BAD_PAYLOAD", "NO_EVENT_ID", "BAD_EVENT_TIME",
+        "BAD_EVENT_TIME", "BAD_EVENT_TIME", None,
+    ]
+
+
+def test_accepted_and_quarantined_split_everything(spark):
+    values = [frame(body("a")), None, b"\x01", frame(body("b")), frame(b"{")]
+    bronze = decode.decode_records(kafka_table(spark, values), registry(spark))
+    events, rejected = decode.accepted(bronze), decode.quarantined(bronze)
+    assert sorted(r.event_id for r in events.collect()) == ["a", "b"]
+    assert events.columns == c.SILVER_SCHEMA.names
+    assert rejected.columns == c.QUARANTINE_COLUMNS
+    got = {r.kafka_offset: (r.reason, r.error, r.value and bytes(r.value)) for r in rejected.collect()}
+    assert got == {
+        1: ("NULL_VALUE", "record has no value", None),
+        2: ("BAD_FRAME", "invalid_confluent_wire_format", b"\x01"),
+        4: ("BAD_PAYLOAD", "body does not decode with its schema", frame(b"{")),
+    }
+
+
+def test_field_values_of_odd_bodies(spark):
+    def amount(text):
+        return frame(b'{"event_id":"a","event_time":"2026-01-01T00:00:00Z","amount":%s,"more":1}' % text)
+
+    values = [amount(b"NaN"), amount(b"Infinity"), amount(b'"abc"'), amount(b'"12"'), amount(b"2.5")]
+    values.append(frame(b'{"event_id":5,"event_time":"2026-01-01T00:00:00Z","schema_version":2.7}'))
+    bronze = decode.decode_records(kafka_table(spark, values), registry(spark)).orderBy("kafka_offset")
+    rows = decode.accepted(bronze).orderBy("kafka_offset").collect()
+    assert [r.event_id for r in rows] == ["a"] * 5 + ["5"]
+    assert math.isnan(rows[0].amount) and rows[1].amount == math.inf
+    assert [r.amount for r in rows[2:5]] == [None, None, 2.5]
+    assert rows[5].schema_version is None
+
+
+def test_times(spark):
+    texts = ["2026-01-01T00:00:07Z", "2026-01-01T00:00:07", "2026-01-01T02:00:07+02:00", "garbage", "", None]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, event_time string, ingest_time string")
+    got = [r.s for r in decode.parse_times(df).orderBy("i").select(F.col("event_ts").cast("long").alias("s")).collect()]
+    second = int(at(7).timestamp())
+    assert got == [second, second, second, None, None, None]
+
+
+def test_body_is_parsed_once(spark):
+    bronze = decode.decode_records(kafka_table(spark, [frame(body())]), registry(spark))
+    plan = decode.accepted(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_registry_ids_shared_by_subjects_do_not_multiply_records(spark):
+    table = registry(spark, [(1, "b", 1, "JSON", "x"), (1, "a", 3, "JSON", "y"), (2, "b", 2, "JSON", "z")])
+    assert schemas_by_id(table).filter("schema_id = 1").select("subject", "version").collect() == [("a", 3)]
+    records = decode.check_frames(decode.kafka_columns(kafka_table(spark, [frame(body())] * 3)))
+    assert join_registry(records, load_schemas(table)).count() == 3
+
+
+def test_large_registry_is_joined_by_salted_shuffle(spark):
+    table = registry(spark, [(i, "s", i, "JSON", "v") for i in range(1, 40)])
+    values = [frame(body(str(i)), 1 if i % 3 else i + 1) for i in range(300)] + [None]
+    records = decode.check_frames(decode.kafka_columns(kafka_table(spark, values)))
+    small, large = load_schemas(table), load_schemas(table, max_broadcast_rows=10)
+    assert small.small and not large.small
+    by_shuffle = join_registry(records, large, salts=8)
+    plan = by_shuffle._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [schema_id" in plan and "_salt" in plan
+    columns = ["kafka_offset", "schema_id", "subject", "version", "format"]
+    by_broadcast = join_registry(records, small).select(columns)
+    assert sorted(map(tuple, by_shuffle.select(columns).collect())) == sorted(map(tuple, by_broadcast.collect()))
+
+
+def test_fields_of_later_versions_take_reader_defaults(spark):
+    values = [
+        frame(body("old")), frame(body("new", discount=0.25, channel="partner", schema_version=2), 2),
+        frame(body("bare", schema_version=2), 2), frame(body("odd", discount=9.0), 1),
+    ]
+    bronze = decode.decode_records(
+        kafka_table(spark, values), registry(spark), c.EVENT_V2, added_fields=c.ADDED_FIELDS
+    )
+    got = {r.event_id: (r.discount, r.channel) for r in decode.accepted(bronze).collect()}
+    assert got == {"old": (0.0, None), "new": (0.25, "partner"), "bare": (None, None), "odd": (0.0, None)}
+
+
+def test_avro_bodies_need_the_avro_package(spark):
+    schema = '{"type":"record","name":"e","fields":[{"name":"event_id","type":"string"}]}'
+    table = registry(spark, [(1, "s", 1, "AVRO", schema)])
+    try:
+        bronze = decode.decode_records(kafka_table(spark, [frame(b"\x02a")]), table)
+        assert bronze.first().event_id == "a"
+    except Exception as error:
+        if "AVRO" not in str(error).upper():
+            raise
+        pytest.skip("Spark's Avro package is not on this session")

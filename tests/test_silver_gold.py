@@ -1,0 +1,130 @@
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rows import at, event, hms, silver_table
+from salestide.operators import gold, late, silver
+
+EVENTS = st.lists(
+    st.tuples(
+        st.integers(0, 12), st.integers(0, 1800), st.sampled_from(["NA", "EU", None]),
+        st.sampled_from([-49.0, 29.0, 99.0, None]),
+    ),
+    max_size=25,
+)
+QUICK = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def table(spark, rows):
+    """Events by id; a repeated id is an exact copy of its first row that arrives later."""
+    first, out = {}, []
+    for offset, (number, ev, region, amount) in enumerate(rows):
+        ev, region, amount = first.setdefault(number, (ev, region, amount))
+        out.append(event(str(number), float(ev), ing=2000.0 + offset, offset=offset, region=region, amount=amount))
+    return silver_table(spark, out), first
+
+
+def gold_rows(df):
+    rows = gold.revenue_windows(df).collect()
+    return sorted((r.window_start, repr(r.region), r.plan_tier, r.revenue, r.event_count) for r in rows)
+
+
+@QUICK
+@given(rows=EVENTS)
+def test_first_arrival_is_idempotent_and_keeps_the_first_row(spark, rows):
+    events, first = table(spark, rows)
+    once = silver.first_arrival(events)
+    got = sorted((r.event_id, r.kafka_offset) for r in once.collect())
+    numbers = [n for n, *_ in rows]
+    assert got == sorted((str(n), numbers.index(n)) for n in first)
+    assert sorted(map(tuple, silver.first_arrival(once).collect()), key=repr) == sorted(map(tuple, once.collect()), key=repr)
+
+
+@QUICK
+@given(rows=EVENTS)
+def test_resending_changes_no_revenue(spark, rows):
+    events, first = table(spark, rows)
+    without_copies, _ = table(spark, [(n, *values) for n, values in first.items()])
+    assert gold_rows(silver.first_arrival(events)) == gold_rows(without_copies)
+
+
+def test_an_id_that_holds_most_rows(spark):
+    events = spark.range(20_000).select(
+        F.when(F.col("id") % 3 != 0, "hot").otherwise(F.col("id").cast("string")).alias("event_id"),
+        F.lit(at(0)).alias("kafka_ingest_ts"), F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"),
+    )
+    kept = silver.first_arrival(events.repartition(8))
+    assert kept.count() == 1 + 6667
+    assert kept.filter("event_id = 'hot'").first().kafka_offset == 1
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("row_number(), 1, Final") < plan.index("Exchange") < plan.index("row_number(), 1, Partial")
+
+
+def test_duplicate_report(spark):
+    events, _ = table(spark, [(1, 0, "NA", 1.0), (2, 0, "NA", 1.0), (1, 0, "NA", 1.0), (1, 0, "NA", 1.0)])
+    rows = silver.duplicate_report(events).collect()
+    assert [(r.event_id, r.copies, r.extra_copies) for r in rows] == [("1", 3, 2)]
+    assert (rows[0].last_arrival_ts - rows[0].first_arrival_ts).seconds == 3
+
+
+def test_windows_are_half_open_and_nulls_form_groups(spark):
+    events = silver_table(spark, [
+        event("a", 0.0), event("b", 299.999), event("c", 300.0, amount=None), event("d", 300.0, region=None),
+        event("e", 301.0, region=None, amount=2.0),
+    ])
+    got = {
+        ((r.window_start - at(0).replace(tzinfo=None)).seconds, r.region): (r.revenue, r.event_count)
+        for r in gold.revenue_windows(events).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()
+    }
+    assert got == {(0, "NA"): (2.0, 2), (300, "NA"): (None, 1), (300, None): (3.0, 2)}
+
+
+def test_nan_amount_makes_revenue_nan(spark):
+    rows = gold.revenue_windows(silver_table(spark, [event("a"), event("b", amount=float("nan"))])).collect()
+    assert math.isnan(rows[0].revenue)
+
+
+def test_other_dimensions_and_lengths(spark):
+    events = silver_table(spark, [event("a"), event("b", currency="EUR"), event("c", 400.0)])
+    rows = gold.revenue_windows(events, "10 minutes", ("currency",)).collect()
+    assert sorted((r.currency, r.revenue) for r in rows) == [("EUR", 1.0), ("USD", 2.0)]
+
+
+def test_closed_windows(spark):
+    events = silver_table(spark, [event("a", 10.0), event("b", 600.0), event("c", 899.9), event("d", 910.0)])
+    closed = gold.closed_windows(gold.revenue_windows(events), events)
+    assert closed.count() == 1
+    exactly = silver_table(spark, [event("a", 10.0), event("b", 900.0)])
+    assert gold.closed_windows(gold.revenue_windows(exactly), exactly).count() == 1
+    before = silver_table(spark, [event("a", 10.0), event("b", 899.999)])
+    assert gold.closed_windows(gold.revenue_windows(before), before).count() == 0
+
+
+def test_latest_breaks_ties_by_dimension(spark):
+    events = silver_table(spark, [
+        event(f"{r}{p}{s}", s, region=r, plan_tier=p)
+        for r in ["NA", "EU", None] for p in ["pro", "free"] for s in (0.0, 400.0)
+    ])
+    rows = gold.latest(gold.revenue_windows(events), 7).collect()
+    assert [(r.region, r.plan_tier) for r in rows] == [
+        ("EU", "free"), ("EU", "pro"), ("NA", "free"), ("NA", "pro"), (None, "free"), (None, "pro"), ("EU", "free"),
+    ]
+
+
+def test_late_rows_by_broadcast_and_by_shuffle(spark):
+    bronze, _ = table(spark, [(n % 9, 0, "NA", 1.0) for n in range(60)])
+    kept = silver.first_arrival(bronze).filter("event_id not in ('3', '5')")
+    expected = sorted(r.kafka_offset for r in bronze.filter("event_id in ('3', '5')").collect())
+    for bound in (1_000, 1):
+        rows = late.late_rows(bronze, kept, max_broadcast_ids=bound)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan) == (bound > 1)
+        assert sorted(r.kafka_offset for r in rows.collect()) == expected
+    by_partition = late.late_summary(late.late_rows(bronze, kept), by="kafka_partition").collect()
+    assert [(r.late_rows, r.late_ids) for r in by_partition] == [(len(expected), 2)]
+
+
+def test_hms_helper():
+    assert hms("00:05:00") == at(300)
