@@ -190,6 +190,7 @@ def run_layers(
 ) -> None:
     """Run all queries until one of them stops, then stop the others."""
     use_stream_defaults(spark)
+    spark.streams.resetTerminated()  # queries that this session ran before do not count
     queries: list[StreamingQuery] = []
     try:
         queries.append(start_bronze(records, registry, layout, trigger))
