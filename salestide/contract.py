@@ -50,13 +50,20 @@ REGISTRY_SCHEMA = table(
 
 KAFKA_COLUMNS = ["kafka_key", "kafka_ingest_ts", "kafka_partition", "kafka_offset"]
 
-SILVER_SCHEMA = T.StructType(
-    table("kafka_key string, kafka_ingest_ts timestamp, kafka_partition int, kafka_offset bigint").fields
-    + EVENT_V1.fields
-    + table("event_ts timestamp, ingest_ts timestamp").fields
-)
 
-BRONZE_SCHEMA = extend(SILVER_SCHEMA, "value binary, schema_id bigint, quarantine_reason string")
+def silver_schema(event: T.StructType) -> T.StructType:
+    """The event table for a version of the contract."""
+    kafka = table("kafka_key string, kafka_ingest_ts timestamp, kafka_partition int, kafka_offset bigint")
+    return extend(T.StructType(kafka.fields + event.fields), "event_ts timestamp, ingest_ts timestamp")
+
+
+def bronze_schema(event: T.StructType) -> T.StructType:
+    """All records: event columns where they decode, the raw value, and why a record is no event."""
+    return extend(silver_schema(event), "value binary, schema_id bigint, quarantine_reason string")
+
+
+SILVER_SCHEMA = silver_schema(EVENT_V1)
+BRONZE_SCHEMA = bronze_schema(EVENT_V1)
 
 GOLD_SCHEMA = table(
     "window_start timestamp, window_end timestamp, region string, plan_tier string, "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +53,7 @@ def decode_records(
     registry: DataFrame,
     schema: T.StructType = c.EVENT_V1,
     subject: str | None = None,
-    added_fields: dict[str, tuple[int, object]] | None = None,
+    added_fields: Mapping[str, tuple[int, object]] | None = None,
 ) -> DataFrame:
     """Decode Kafka rows to bronze: every record, typed where possible, with ``quarantine_reason``.
 
@@ -83,6 +83,12 @@ def accepted(bronze: DataFrame) -> DataFrame:
     )
 
 
+def decoded(bronze: DataFrame) -> DataFrame:
+    """The records of bronze whose body was read, whether or not they are usable as events."""
+    reason = F.col("quarantine_reason")
+    return bronze.filter(reason.isNull() | reason.isin("NO_EVENT_ID", "BAD_EVENT_TIME"))
+
+
 def quarantined(bronze: DataFrame) -> DataFrame:
     """The records of bronze that are no events, with the reason and the raw value."""
     error = F.coalesce(*[
@@ -138,7 +144,7 @@ def _avro_fields(writer_schema: str) -> list[str]:
     return [field["name"] for field in json.loads(writer_schema)["fields"]]
 
 
-def _defaults(added_fields: dict[str, tuple[int, object]]) -> dict[str, Column]:
+def _defaults(added_fields: Mapping[str, tuple[int, object]]) -> dict[str, Column]:
     return {
         name: F.when(F.col("writer_version") < since, F.lit(default)).otherwise(F.col(name))
         for name, (since, default) in added_fields.items()

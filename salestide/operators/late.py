@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import broadcast_if_small, materialize
+from salestide.operators.skew import salted_join
+from salestide.session import fits_broadcast, materialize
 
-MAX_BROADCAST_IDS = 1_000_000
+MAX_BROADCAST_IDS = 500_000
+SALTS = 64
 
 
 def late_ids(bronze: DataFrame, silver: DataFrame, key: str = "event_id") -> DataFrame:
@@ -24,11 +26,12 @@ def late_rows(
     """All bronze rows whose key silver does not have; both must end at the same committed batch.
 
     The late keys are written out and counted first. As long as they are few, the wide bronze rows are
-    filtered in place by a broadcast; beyond the bound they are shuffled on the key, where Spark splits
-    a key that holds very many rows.
+    filtered in place by a broadcast; beyond the bounds they are shuffled on the key and a salt.
     """
     ids = materialize(late_ids(bronze, silver, key), "late-ids")
-    return bronze.join(broadcast_if_small(ids, max_broadcast_ids), key, "left_semi")
+    if fits_broadcast(ids, max_broadcast_ids):
+        return bronze.join(F.broadcast(ids), key, "left_semi")
+    return salted_join(bronze, ids, key, "left_semi", SALTS)
 
 
 def late_summary(late: DataFrame, by: str = "batch_id") -> DataFrame:

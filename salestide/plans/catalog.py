@@ -213,6 +213,12 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_metrics(_silver(spark, sf_dir))
 
 
+@query
+def dq_metrics_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules on all decoded records: events without id or time, which silver never sees, included."""
+    return quality.dq_metrics(decode.decoded(_bronze(spark, sf_dir)))
+
+
 @query
 def dq_metrics_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_metrics(_silver(spark, sf_dir), by=["batch_id"])
@@ -406,6 +412,5 @@ def silver_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows that the watermark of silver has turned away, copies included."""
-    layout = _run_layers(spark, sf_dir)
-    rows = layers.late_of_run(spark, layout)
+    rows = layers.late_of_run(spark, _run_layers(spark, sf_dir))
     return rows.select("event_id", *RECORD, "event_ts", "kafka_ingest_ts")

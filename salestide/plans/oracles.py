@@ -234,6 +234,8 @@ order by window_start desc, region asc nulls last, plan_tier asc nulls last limi
 select event_id, n as f_null_required, d as f_invalid_domain, a as f_bad_amount, l as f_latency_breach,
   (n or d or a) as f_invalid_any from flags""",
         "dq_metrics": silver_flags + f"select {_COUNTERS} from flags",
+        "dq_metrics_bronze": _SALES + _POISON + f""",
+{_DECODED}""" + _FLAGS.format(source="decoded where event_time is not null") + f"select {_COUNTERS} from flags",
         "dq_metrics_by_batch": silver_flags + f"select batch_id, {_COUNTERS} from flags group by batch_id",
         "dq_violations": silver_flags + f"""
 select event_id, event_ts, region, plan_tier, currency, amount, {_REASON} as dq_violation_reason

@@ -73,8 +73,3 @@ def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_
     size = F.sum(reduce(add, lengths, F.lit(0).cast("bigint")))
     found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
     return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after counting; above the bounds the join stays a shuffle join."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

@@ -95,13 +95,14 @@ def publish_events(events: DataFrame, schema_id: int, servers: str, topic: str)
     _save(records, servers, topic)
 
 
+def dead_letters(quarantine: DataFrame) -> DataFrame:
+    """Quarantined records as JSON ``{error, event}``, keyed as before; the event is the raw value in base64."""
+    letter = F.to_json(F.struct("error", F.base64("value").alias("event")))
+    return quarantine.select(F.col("kafka_key").cast("binary").alias("key"), letter.cast("binary").alias("value"))
+
+
 def publish_dead_letters(quarantine: DataFrame, servers: str, topic: str) -> None:
-    """Write quarantined records as JSON ``{error, event}``; the event is the raw value in base64."""
-    records = quarantine.select(
-        F.col("kafka_key").cast("binary").alias("key"),
-        F.to_json(F.struct("error", F.base64("value").alias("event"))).cast("binary").alias("value"),
-    )
-    _save(records, servers, topic)
+    _save(dead_letters(quarantine), servers, topic)
 
 
 def _offsets(topic: str, offsets: Mapping[int, int] | str) -> str:

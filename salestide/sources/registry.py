@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salestide.operators.skew import salted_join
+
 # A registry holds one row per schema version. A table above this many rows is not broadcast.
 MAX_BROADCAST_SCHEMAS = 10_000
 SALTS = 64
@@ -61,10 +63,4 @@ def join_registry(records: DataFrame, schemas: Schemas, salts: int = SALTS) -> D
     """
     if schemas.small:
         return records.join(F.broadcast(schemas.table), "schema_id", "left")
-    salted = schemas.table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.col("kafka_offset"), F.lit(salts)).cast("int")
-    return (
-        records.withColumn("_salt", salt)
-        .join(salted.hint("merge"), ["schema_id", "_salt"], "left")
-        .drop("_salt")
-    )
+    return salted_join(records, schemas.table, "schema_id", "left", salts)

@@ -17,9 +17,10 @@ from salestide.functions.rules import Rules
 from salestide.operators.decode import accepted, decode_records, quarantined
 from salestide.operators.gold import DIMENSIONS, revenue_windows, with_window_date
 from salestide.operators.late import late_rows
-from salestide.operators.silver import dedup_stream
+from salestide.operators.silver import STREAM_SALTS, dedup_stream
 from salestide.session import use_stream_defaults
 from salestide.sources.files import parquet_stream
+from salestide.sources.kafka import dead_letters
 from salestide.streaming.dq_sink import dq_writer
 
 
@@ -55,19 +56,18 @@ def start_bronze(
     registry: DataFrame,
     layout: Layout,
     trigger: str | None = None,
-    schema: T.StructType = c.EVENT_V1,
+    event: T.StructType = c.EVENT_V1,
+    added_fields: Mapping[str, tuple[int, object]] | None = None,
 ) -> StreamingQuery:
     """Decode records once and store all of them, quarantined ones included, by arrival date."""
-    bronze = decode_records(records, registry, schema).withColumn(
-        "ingest_date", F.to_date("kafka_ingest_ts")
-    )
-    writer = bronze.writeStream.partitionBy("ingest_date")
+    bronze = decode_records(records, registry, event, added_fields=added_fields)
+    writer = bronze.withColumn("ingest_date", F.to_date("kafka_ingest_ts")).writeStream.partitionBy("ingest_date")
     return _to_parquet(writer, layout, "bronze", trigger)
 
 
-def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+def bronze_stream(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Stored bronze as a stream of whole bronze batches."""
-    schema = c.extend(c.BRONZE_SCHEMA, "ingest_date date")
+    schema = c.extend(c.bronze_schema(event), "ingest_date date")
     return parquet_stream(spark, layout.table("bronze"), schema).drop("ingest_date")
 
 
@@ -77,23 +77,39 @@ def start_quarantine(spark: SparkSession, layout: Layout, trigger: str | None =
     return _to_parquet(writer, layout, "quarantine", trigger)
 
 
+def start_dead_letters(
+    spark: SparkSession, layout: Layout, servers: str, topic: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Publish the quarantined records of bronze to a dead-letter topic."""
+    letters = dead_letters(quarantined(bronze_stream(spark, layout)))
+    writer = (
+        letters.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .queryName(f"dead-letters-{layout.run_id}")
+        .option("checkpointLocation", layout.checkpoint("dead-letters"))
+    )
+    return _start(writer, trigger)
+
+
 def start_silver(
     spark: SparkSession,
     layout: Layout,
     trigger: str | None = None,
     watermark: str = c.WATERMARK_DELAY,
-    salts: int = 0,
+    salts: int = STREAM_SALTS,
+    event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
     """Deduplicate the accepted rows of whole bronze batches."""
-    events = accepted(bronze_stream(spark, layout))
+    events = accepted(bronze_stream(spark, layout, event))
     deduped = dedup_stream(events, watermark, salts=salts).withColumn("event_date", F.to_date("event_ts"))
     writer = deduped.writeStream.partitionBy("event_date")
     return _to_parquet(writer, layout, "silver", trigger)
 
 
-def silver_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+def silver_stream(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Stored silver as a stream of whole silver batches."""
-    schema = c.extend(c.SILVER_SCHEMA, "event_date date")
+    schema = c.extend(c.silver_schema(event), "event_date date")
     return parquet_stream(spark, layout.table("silver"), schema).drop("event_date")
 
 
@@ -157,7 +173,7 @@ def chain(
     records: DataFrame,
     registry: DataFrame,
     watermark: str = c.WATERMARK_DELAY,
-    salts: int = 0,
+    salts: int = STREAM_SALTS,
 ) -> DataFrame:
     """Records to deduplicated events within one query, nothing stored in between."""
     return dedup_stream(accepted(decode_records(records, registry)), watermark, salts=salts)

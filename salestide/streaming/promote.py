@@ -11,9 +11,12 @@ from salestide.sources.files import read_gold
 
 
 def write_version(gold: DataFrame, root: str, run_id: str) -> str:
-    """Write a gold table to a folder of its own; fails if that run has already written one."""
+    """Write a gold table to a folder of its own; fails if that run has already written one.
+
+    Rows are brought together by date; Spark merges small dates into one task and splits large ones.
+    """
     path = f"{root}/versions/run_id={run_id}"
-    by_date = with_window_date(gold).repartition("window_date", "region")
+    by_date = with_window_date(gold).hint("rebalance", "window_date")
     by_date.write.mode("errorifexists").partitionBy("window_date").parquet(path)
     return path
 
@@ -60,3 +63,13 @@ def promote(spark: SparkSession, root: str, replay_run: str, run_id: str) -> str
     path = write_version(merge_windows(current_gold(spark, root), replay), root, run_id)
     point_to(spark, root, run_id)
     return path
+
+
+def publish(spark: SparkSession, gold_path: str, root: str, run_id: str) -> str:
+    """Make what a stream has written to ``gold_path`` so far the current version, in few files.
+
+    Only files that the stream has committed are read.
+    """
+    path = write_version(read_gold(spark, gold_path, view=None).drop("window_date"), root, run_id)
+    point_to(spark, root, run_id)
+    return path

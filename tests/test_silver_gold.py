@@ -119,8 +119,9 @@ def test_late_rows_by_broadcast_and_by_shuffle(spark):
     expected = sorted(r.kafka_offset for r in bronze.filter("event_id in ('3', '5')").collect())
     for bound in (1_000, 1):
         rows = late.late_rows(bronze, kept, max_broadcast_ids=bound)
-        plan = rows._jdf.queryExecution().optimizedPlan().toString()
-        assert ("broadcast" in plan) == (bound > 1)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (bound > 1)
+        assert ("SortMergeJoin [event_id" in plan and "_salt" in plan) == (bound == 1)
         assert sorted(r.kafka_offset for r in rows.collect()) == expected
     by_partition = late.late_summary(late.late_rows(bronze, kept), by="kafka_partition").collect()
     assert [(r.late_rows, r.late_ids) for r in by_partition] == [(len(expected), 2)]

@@ -116,3 +116,30 @@ def test_publish_layout_round_trips_through_decode(spark):
     assert sorted(map(tuple, back.select(columns).collect()), key=repr) == sorted(
         map(tuple, events.select(columns).collect()), key=repr
     )
+
+
+def test_dead_letters(spark):
+    from rows import frame, kafka_table, registry
+
+    bronze = decode.decode_records(kafka_table(spark, [None, b"\x01", frame(b"{")]), registry(spark))
+    letters = kafka.dead_letters(decode.quarantined(bronze))
+    got = sorted((bytes(r.key).decode(), bytes(r.value).decode()) for r in letters.collect())
+    assert got == [
+        ("acct_0001", '{"error":"body does not decode with its schema","event":"AAAAAAF7"}'),
+        ("acct_0001", '{"error":"invalid_confluent_wire_format","event":"AQ=="}'),
+        ("acct_0001", '{"error":"record has no value"}'),
+    ]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from salestide.operators.skew import salted_join
+
+    rows = spark.range(500).select(
+        F.when(F.col("id") % 3 != 0, 1).otherwise(F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 50 != 0, F.col("id")).alias("kafka_offset"),
+    )
+    lookup = spark.createDataFrame([(0, "a"), (1, "b"), (5, "c")], "k bigint, v string")
+    for how in ("left", "left_semi", "left_anti", "inner"):
+        salted = salted_join(rows, lookup, "k", how, 8)
+        plain = rows.join(lookup, "k", how)
+        assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

@@ -15,7 +15,7 @@ from salestide.operators import gold, silver
 from salestide.plans import scenario
 from salestide.session import use_stream_defaults, workspace
 from salestide.sources.files import parquet_stream, read_dq_metrics, read_gold
-from salestide.streaming import layers
+from salestide.streaming import layers, promote
 from salestide.streaming.progress import ProgressLog, state_operators, state_rows
 from salestide.streaming.replay import land_slices, replay_slices
 
@@ -180,8 +180,9 @@ def test_dedup_state_is_dropped_behind_the_watermark(spark):
         lambda records: layers.start_dq(layers.chain(records, schemas), layout),
     )
     operators = state_operators(spark, layout.checkpoint("dq")).collect()
-    assert [r.operatorName for r in operators] == ["dedupeWithinWatermark"]
-    assert state_rows(spark, layout.checkpoint("dq")).count() < 20
+    assert [r.operatorName for r in operators] == ["dedupeWithinWatermark"] * 2
+    for operator in (0, 1):
+        assert state_rows(spark, layout.checkpoint("dq"), operator).count() < 20
 
 
 def test_broken_records_do_not_stop_the_stream(spark, folder):
@@ -215,6 +216,30 @@ def test_layers_drop_nothing_after_silver(spark):
         assert set(dropped(query)) <= {0}
 
 
+def test_versions_of_the_contract_through_all_layers(spark, folder):
+    values = [frame(body("a", 0.0)), frame(body("b", 1.0, discount=0.5, channel="partner", schema_version=2), 2)]
+    kafka_table(spark, values).write.parquet(f"{folder}/topic")
+    layout = layers.Layout(folder, "r")
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    layers.start_bronze(source, registry(spark), layout, event=c.EVENT_V2, added_fields=c.ADDED_FIELDS).awaitTermination()
+    layers.start_silver(spark, layout, event=c.EVENT_V2).awaitTermination()
+    stored = spark.read.schema(c.silver_schema(c.EVENT_V2)).parquet(layout.table("silver"))
+    got = {r.event_id: (r.discount, r.channel, r.schema_version) for r in stored.collect()}
+    assert got == {"a": (0.0, None, 1), "b": (0.5, "partner", 2)}
+
+
+def test_stream_gold_is_published_in_few_files(spark, folder):
+    topic, numbers, root = staged(spark)
+    layout = layers.Layout(root, "r")
+    source = parquet_stream(spark, f"{topic}/slice=*", c.KAFKA_SCHEMA)
+    layers.start_gold(layers.chain(source, registry(spark)), layout).awaitTermination()
+    promote.publish(spark, layout.table("gold"), folder, "v1")
+    published = promote.current_gold(spark, folder)
+    stream = read_gold(spark, layout.table("gold"), view=None)
+    assert published.count() == stream.count() > 0
+    assert len(published.inputFiles()) <= len(stream.inputFiles())
+
+
 def test_sibling_checkpoints_and_chosen_folders():
     layout = layers.Layout("/data", "r", {"gold": "/elsewhere/gold"})
     assert layout.table("gold") == "/elsewhere/gold/run_id=r"
