@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestide import contract as c
+from salestide.operators.skew import salt
 
 # Tasks that share the copies of one id on a stream.
 STREAM_SALTS = 16
@@ -35,8 +36,8 @@ def dedup_stream(
     """
     marked = events.withWatermark("event_ts", watermark)
     if salts > 0:
-        salt = F.pmod(F.col("kafka_offset"), F.lit(salts))
-        marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+        salted = marked.withColumn("_salt", salt("kafka_offset", salts))
+        marked = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark([key])
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def salt(column: str, salts: int) -> Column:
+    """A bucket in ``[0, salts)`` that depends on the row alone, so a repeated task gives the same one."""
+    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
+
+
 def salted_join(
     rows: DataFrame, lookup: DataFrame, key: str, how: str, salts: int, spread_by: str = "kafka_offset"
 ) -> DataFrame:
@@ -14,7 +19,6 @@ def salted_join(
     Rows of one key go to ``salts`` tasks, by the value of ``spread_by``; each lookup row is repeated
     once per salt. ``how`` must be a join that keeps or drops single left rows.
     """
-    salt = F.coalesce(F.pmod(F.col(spread_by), F.lit(salts)).cast("int"), F.lit(0))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = rows.withColumn("_salt", salt).join(repeated.hint("merge"), [key, "_salt"], how)
+    joined = rows.withColumn("_salt", salt(spread_by, salts)).join(repeated.hint("merge"), [key, "_salt"], how)
     return joined.drop("_salt")

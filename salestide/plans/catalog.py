@@ -297,7 +297,8 @@ def backfill_revenue_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replay_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranges = {0: (500, 5_000), 1: (0, 20_001), 2: (1_999, 1_000_000)}
+    day = scenario.OFFSETS_PER_DAY
+    ranges = {0: (5 * day, 10 * day), 1: (0, 20 * day), 2: (12 * day, 100 * day)}
     replayed = backfill.replay_by_offset(_sales(spark, sf_dir), ranges)
     return replayed.select("event_id", *RECORD, "region", "amount")
 

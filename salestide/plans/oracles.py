@@ -23,21 +23,23 @@ _SALES_COLUMNS = """
   case when event_id % 5 <> 0 then 'trace_' || cast(event_id as varchar) end as trace_id,
   ts as ingest_ts,
   cast(user_id % 3 as int) as kafka_partition,
-  event_id * 2 + copy as kafka_offset,
   copy"""
 
+_OFFSET = "(epoch_us(kafka_ingest_ts) - epoch_us(timestamp '2024-01-01')) * 2 + copy as kafka_offset"
+
 _SALES = f"""
 with resent as (
   select *, 0 as copy from events
   union all
   select *, 1 as copy from events where event_id % 50 = 0),
-sales as (
+rows_sent as (
   select {_SALES_COLUMNS},
     case when event_id % 20 = 0 then ts - to_seconds(cast(5 + (event_id * 7919) % 596 as int)) else ts end
       as event_ts,
     ts as kafka_ingest_ts,
     cast(floor(date_diff('second', timestamp '2024-01-01', ts) / 259200) as bigint) as batch_id
   from resent),
+sales as (select *, {_OFFSET} from rows_sent),
 silver as (
   select * from (
     select *, row_number() over (partition by event_id order by kafka_ingest_ts, kafka_offset) as rn from sales
@@ -129,7 +131,7 @@ arrivals as (
     ts + to_seconds(cast(copy * 7200 as int)) as kafka_ingest_ts
   from resent),
 sliced as (
-  select *, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / 864000) as int) as b
+  select *, {_OFFSET}, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / 864000) as int) as b
   from arrivals),
 newest as (select b, max(event_ts) as mx from sliced group by b),
 marks as (
@@ -267,9 +269,9 @@ events_again as (
 gold as ({_gold('events_again')}) select {_GOLD_OUT} from gold""",
         "replay_by_offset": _SALES + """
 select event_id, kafka_partition, kafka_offset, region, amount from sales
-where (kafka_partition = 0 and kafka_offset >= 500 and kafka_offset < 5000)
-  or (kafka_partition = 1 and kafka_offset < 20001)
-  or (kafka_partition = 2 and kafka_offset >= 1999 and kafka_offset < 1000000)""",
+where (kafka_partition = 0 and kafka_offset >= 5 * 172800000000 and kafka_offset < 10 * 172800000000)
+  or (kafka_partition = 1 and kafka_offset < 20 * 172800000000)
+  or (kafka_partition = 2 and kafka_offset >= 12 * 172800000000 and kafka_offset < 100 * 172800000000)""",
         "replay_by_time": _SALES + """
 select event_id, kafka_partition, kafka_offset, kafka_ingest_ts, region, amount from sales
 where kafka_ingest_ts >= timestamp '2024-01-10' and kafka_ingest_ts < timestamp '2024-01-20 12:00:00'""",

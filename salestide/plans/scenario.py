@@ -19,6 +19,7 @@ SUBJECT = f"{TOPIC}-value"
 V1_ID, V2_ID, UNREGISTERED_ID = 1, 2, 999
 SLICE_DAYS = 10
 DAY_SECONDS = 86_400
+OFFSETS_PER_DAY = 2 * DAY_SECONDS * 1_000_000
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +160,8 @@ def _sales(events: DataFrame, resent: Column, event_ts: Column, arrival_gap_seco
             account.alias("kafka_key"),
             arrival.alias("kafka_ingest_ts"),
             (user_id % 3).cast("int").alias("kafka_partition"),
-            # Offsets ascend within a partition; like those of a compacted topic they have gaps.
-            (event_id * 2 + F.col("copy")).alias("kafka_offset"),
+            # Offsets ascend with arrival; like those of a compacted topic they have gaps.
+            ((F.unix_micros(arrival) - F.unix_micros(_start())) * 2 + F.col("copy")).alias("kafka_offset"),
             _days(arrival, 3).alias("batch_id"),
         )
     )
@@ -180,5 +181,8 @@ def _iso(name: str) -> Column:
 
 def _days(ts: Column, length: int) -> Column:
     """The number of whole periods of ``length`` days since 2024-01-01."""
-    start = F.lit("2024-01-01").cast("timestamp").cast("long")
-    return F.floor((ts.cast("long") - start) / (length * DAY_SECONDS))
+    return F.floor((ts.cast("long") - _start().cast("long")) / (length * DAY_SECONDS))
+
+
+def _start() -> Column:
+    return F.lit("2024-01-01").cast("timestamp")
