@@ -125,7 +125,7 @@ def start_gold(
     The few rows a batch emits are brought together by date and first dimension, so that a batch writes
     a handful of files and not one per state partition.
     """
-    gold = with_window_date(revenue_windows(silver, length, dims)).repartition("window_date", dims[0])
+    gold = with_window_date(revenue_windows(silver, length, dims)).repartition("window_date", *dims[:1])
     writer = gold.writeStream.partitionBy("window_date")
     return _to_parquet(writer, layout, "gold", trigger)
 
