@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from salestide import contract as c
 from salestide.functions.rules import Rules
@@ -73,7 +74,8 @@ def main(settings: Settings) -> None:
         settings.max_offsets_per_trigger,
         settings.min_partitions,
     )
-    registry = spark.read.schema(c.REGISTRY_SCHEMA).parquet(settings.registry_table)
+    schemas = spark.read.schema(c.REGISTRY_SCHEMA).parquet(settings.registry_table)
+    registry = schemas.filter(F.col("subject") == f"{settings.topic}-value")
     rules = Rules(latency_sla_seconds=settings.latency_sla_seconds)
     run_layers(spark, records, registry, settings.layout(), settings.trigger, settings.watermark, rules)
 

@@ -61,9 +61,9 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.first_arrival(_sales(spark, sf_dir))
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bronze(spark: SparkSession, sf_dir: str, schema: T.StructType = c.EVENT_V1) -> DataFrame:
     records = scenario.poisoned_frames(_sales(spark, sf_dir))
-    return decode.decode_records(records, scenario.registry(spark))
+    return decode.decode_records(records, scenario.registry(spark), schema)
 
 
 # --- decode -----------------------------------------------------------------------------------------
@@ -123,13 +123,13 @@ def decode_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decode.quarantined(_bronze(spark, sf_dir))
+    rows = decode.quarantined(_bronze(spark, sf_dir, c.narrow()))
     return rows.select("reason", "error", "kafka_key", *RECORD, "kafka_ingest_ts")
 
 
 @query
 def quarantine_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.quarantine_rate(_bronze(spark, sf_dir)).withColumn("rate", F.round("rate", 6))
+    return ops.quarantine_rate(_bronze(spark, sf_dir, c.narrow())).withColumn("rate", F.round("rate", 6))
 
 
 @query
@@ -216,7 +216,8 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_metrics_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules on all decoded records: events without id or time, which silver never sees, included."""
-    return quality.dq_metrics(decode.decoded(_bronze(spark, sf_dir)))
+    bronze = _bronze(spark, sf_dir, c.narrow("plan_tier", "region", "currency", "amount"))
+    return quality.dq_metrics(decode.decoded(bronze))
 
 
 @query
@@ -289,7 +290,7 @@ def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def backfill_revenue_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of bronze through decode, silver and gold again, into the isolated output of a new run."""
-    events = decode.accepted(_bronze(spark, sf_dir))
+    events = decode.accepted(_bronze(spark, sf_dir, c.narrow("region", "plan_tier", "amount")))
     root = workspace(spark, "backfill")
     path = promote.write_version(gold.revenue_windows(silver.first_arrival(events)), root, "full-replay")
     return rounded(files.read_gold(spark, path, view=None).select(*GOLD), "revenue")

@@ -133,3 +133,13 @@ def test_avro_bodies_need_the_avro_package(spark):
         if "AVRO" not in str(error).upper():
             raise
         pytest.skip("Spark's Avro package is not on this session")
+
+
+def test_a_narrow_schema_changes_no_reason(spark):
+    values = [frame(body("a")), None, frame(b"{"), frame(body(None)), frame(body(event_time="x")), frame(body(), 9)]
+    records = kafka_table(spark, values)
+    columns = ["kafka_offset", "event_id", "event_ts", "amount", "quarantine_reason"]
+    full = decode.decode_records(records, registry(spark)).select(columns)
+    few = decode.decode_records(records, registry(spark), c.narrow("amount"))
+    assert "currency" not in few.columns
+    assert sorted(map(tuple, few.select(columns).collect())) == sorted(map(tuple, full.collect()))
