@@ -352,7 +352,7 @@ def gold_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = scenario.registry(spark)
 
     def start(records: DataFrame):
-        return layers.start_gold(layers.chain(records, registry), layout)
+        return layers.start_gold(layers.chain(records, registry, fields=layers.GOLD_FIELDS), layout)
 
     replay_slices(spark, topic, "slice", slices, start)
     return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")

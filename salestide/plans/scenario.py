@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from salestide import contract as c
 from salestide.functions.rules import net_amount
 from salestide.operators.decode import encode_records
+from salestide.session import local_table
 
 EVENTS_DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
 TOPIC = "sales.events.v1"
@@ -32,7 +33,7 @@ def registry(spark: SparkSession) -> DataFrame:
         (V1_ID, SUBJECT, 1, "JSON", c.EVENT_V1.simpleString()),
         (V2_ID, SUBJECT, 2, "JSON", c.EVENT_V2.simpleString()),
     ]
-    return spark.createDataFrame(rows, c.REGISTRY_SCHEMA)
+    return local_table(spark, rows, c.REGISTRY_SCHEMA)
 
 
 def sales(events: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import reduce
 from operator import add
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -63,6 +66,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a table inside the plan; unlike a list of rows it starts no Python workers."""
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of text.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from salestide import contract as c
+from salestide.session import local_table
 
 PROGRESS_SCHEMA = c.table(
     "query string, query_id string, query_run_id string, batch_id bigint, started string, "
@@ -47,7 +48,7 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             rows, self._rows = self._rows, []
         if rows:
-            table = self._spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1)
+            table = local_table(self._spark, rows, PROGRESS_SCHEMA).coalesce(1)
             table.write.mode("append").parquet(self._path)
 
     def read(self) -> DataFrame:
