@@ -100,9 +100,9 @@ def test_top_of_gold_is_not_a_full_sort(spark, folder):
     assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
 
 
-def test_revenue_reads_only_the_columns_it_needs(spark):
+def test_reports_read_only_the_columns_they_need(spark):
     plan = entry.queries()["partition_distribution"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp,user_id:bigint>" in plan
 
 
 def test_publish_layout_round_trips_through_decode(spark):
