@@ -10,6 +10,8 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salestide import contract as c
+
 GOLD_KEYS = ("window_start", "region", "plan_tier")
 
 
@@ -30,6 +32,20 @@ def replay_by_time(bronze: DataFrame, start: datetime | str, end: datetime | str
     )
 
 
+def complete_windows(
+    gold: DataFrame, start: datetime | str, end: datetime | str, delay: str = c.WATERMARK_DELAY
+) -> DataFrame:
+    """The windows that a replay of arrivals in ``[start, end)`` has seen in full.
+
+    Events of a window arrive from its start until the watermark delay after its end. Windows at the
+    edges of the range lack some of theirs, and must not replace complete ones.
+    """
+    last_end = F.lit(end).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+    return gold.filter(
+        (F.col("window_start") >= F.lit(start).cast("timestamp")) & (F.col("window_end") <= last_end)
+    )
+
+
 def gold_diff(
     production: DataFrame, replay: DataFrame, keys: Sequence[str] = GOLD_KEYS, tolerance: float = 0.005
 ) -> DataFrame:
@@ -84,7 +100,8 @@ def gold_totals(production: DataFrame, replay: DataFrame) -> DataFrame:
 def merge_windows(production: DataFrame, replay: DataFrame) -> DataFrame:
     """Production with every window that the replay has recomputed taken from the replay.
 
-    A window is replaced as a whole, so a group that the replay no longer has disappears with it.
+    A window is replaced as a whole, so a group that the replay no longer has disappears with it. Pass a
+    partial replay through :func:`complete_windows` first.
     """
     replayed = replay.select("window_start").distinct()
     return production.join(replayed, "window_start", "left_anti").unionByName(replay)

@@ -57,8 +57,8 @@ def decode_records(
 ) -> DataFrame:
     """Decode Kafka rows to bronze: every record, typed where possible, with ``quarantine_reason``.
 
-    ``schema`` is the reader's schema; a job that needs few fields passes ``contract.narrow``. A field named in ``added_fields`` takes its default in records
-    whose writer schema is older than the field.
+    ``schema`` is the reader's schema; a job that needs few fields passes ``contract.narrow``. A field
+    named in ``added_fields`` takes its default in records whose writer schema is older than the field.
     """
     schemas = load_schemas(registry, subject)
     framed = check_frames(kafka_columns(records))

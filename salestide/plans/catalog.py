@@ -282,17 +282,18 @@ def _double_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold of a corrected replay of ten days."""
-    records = backfill.replay_by_time(_sales(spark, sf_dir), "2024-01-10", "2024-01-20")
-    return gold.revenue_windows(silver.first_arrival(records))
+    """Gold of a corrected replay of ten days, without the windows that it saw only in part."""
+    start, end = "2024-01-10", "2024-01-20"
+    records = backfill.replay_by_time(_sales(spark, sf_dir), start, end)
+    return backfill.complete_windows(gold.revenue_windows(silver.first_arrival(records)), start, end)
 
 
 @query
 def backfill_revenue_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of bronze through decode, silver and gold again, into the isolated output of a new run."""
-    events = decode.accepted(_bronze(spark, sf_dir, c.narrow("region", "plan_tier", "amount")))
+    """All records through decode, silver and gold again, into the isolated output of a new run."""
+    records = scenario.poisoned_frames(_sales(spark, sf_dir))
     root = workspace(spark, "backfill")
-    path = promote.write_version(gold.revenue_windows(silver.first_arrival(events)), root, "full-replay")
+    path = promote.backfill_gold(records, scenario.registry(spark), root, "full-replay")
     return rounded(files.read_gold(spark, path, view=None).select(*GOLD), "revenue")
 
 

@@ -151,7 +151,9 @@ replayed_silver as (
     select *, row_number() over (partition by event_id order by kafka_ingest_ts, kafka_offset) as rn2
     from sales where kafka_ingest_ts >= timestamp '2024-01-10' and kafka_ingest_ts < timestamp '2024-01-20'
   ) t where rn2 = 1),
-replay as ({_gold('replayed_silver')})"""
+replay as (
+  select * from ({_gold('replayed_silver')}) t
+  where window_start >= timestamp '2024-01-10' and window_end <= timestamp '2024-01-20' - interval 10 minute)"""
 
 
 def _totals(side: str) -> str:
@@ -212,7 +214,8 @@ select reason, count(*) as records, (select count(*) from frames) as total_recor
   round(count(*) / (select count(*) from frames), 6) as rate
 from frames where reason is not null group by reason""",
         "net_amount_sign": _SALES + """
-select event_type, count(*) as event_count, cast(sum(cast(coalesce(amount < 0, false) as int)) as bigint) as negative_count,
+select event_type, count(*) as event_count,
+  cast(sum(cast(coalesce(amount < 0, false) as int)) as bigint) as negative_count,
   round(sum(amount), 2) + 0.0 as net_amount from sales group by event_type""",
         "silver_dedup": _SALES + """
 select event_id, event_ts, ingest_ts, account_id, region, plan_tier, currency, amount, kafka_partition,

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestide import contract as c
 from salestide.operators.backfill import gold_diff, merge_windows
-from salestide.operators.gold import with_window_date
+from salestide.operators.decode import accepted, decode_records
+from salestide.operators.gold import revenue_windows, with_window_date
+from salestide.operators.silver import first_arrival
 from salestide.sources.files import read_gold
 
 
@@ -21,6 +24,13 @@ def write_version(gold: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
+def backfill_gold(records: DataFrame, registry: DataFrame, root: str, run_id: str) -> str:
+    """Decode, deduplicate and aggregate Kafka rows (a full or bounded replay) into an isolated version."""
+    schema = c.narrow("region", "plan_tier", "amount")
+    events = accepted(decode_records(records, registry, schema))
+    return write_version(revenue_windows(first_arrival(events)), root, run_id)
+
+
 def point_to(spark: SparkSession, root: str, run_id: str) -> None:
     """Make a version the current one. Earlier versions stay, so a promotion can be taken back."""
     pointer = spark.range(0, 1, 1, 1).select(

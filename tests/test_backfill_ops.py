@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rows import at, event, silver_table
-from salestide.operators import backfill, gold, ops
+from rows import at, body, event, frame, kafka_table, registry, silver_table
+from salestide.operators import backfill, gold, ops, silver
 from salestide.streaming import promote
 
 
@@ -109,3 +109,30 @@ def test_latency_report(spark):
     rows = silver_table(spark, [event("a", ing=10.0), event("b", ing=400.0), event("c", 300.0, ing=300.0)])
     got = sorted((r.event_count, r.avg_latency_seconds, r.max_latency_seconds, r.latency_sla_breaches) for r in ops.latency_by_window(rows).collect())
     assert got == [(1, 0.0, 0, 0), (2, 205.0, 400, 1)]
+
+
+def test_a_partial_replay_replaces_only_windows_it_has_seen_in_full(spark):
+    """Events every 20 s, each up to ten minutes late; the replay covers arrivals of one hour."""
+    rows = [
+        event(str(i), 20.0 * i, ing=20.0 * i + (i * 37) % 601, offset=i, region=["NA", "EU"][i % 2])
+        for i in range(600)
+    ]
+    full = sold(spark, rows)
+    start, end = at(3600), at(7200)
+    records = backfill.replay_by_time(silver_table(spark, rows), start, end)
+    partial = gold.revenue_windows(silver.first_arrival(records))
+    assert backfill.gold_diff(full, partial).filter("status = 'changed'").count() > 0
+    complete = backfill.complete_windows(partial, start, end)
+    assert complete.count() == 2 * 10
+    statuses = {r.status for r in backfill.gold_diff(full, complete).select("status").distinct().collect()}
+    assert statuses == {"same", "only_production"}
+    merged = backfill.merge_windows(full, complete)
+    assert {r.status for r in backfill.gold_diff(full, merged).select("status").distinct().collect()} == {"same"}
+
+
+def test_backfill_of_records(spark, folder):
+    values = [frame(body("a", 0.0)), frame(body("a", 0.0)), b"bad", frame(body("b", 400.0, amount=-2.0))]
+    path = promote.backfill_gold(kafka_table(spark, values), registry(spark), folder, "r")
+    stored = promote.read_version(spark, folder, "r").orderBy("window_start").collect()
+    assert path.endswith("run_id=r")
+    assert [(r.revenue, r.event_count) for r in stored] == [(1.0, 1), (-2.0, 1)]
