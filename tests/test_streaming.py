@@ -240,6 +240,22 @@ def test_stream_gold_is_published_in_few_files(spark, folder):
     assert len(published.inputFiles()) <= len(stream.inputFiles())
 
 
+def test_gold_from_bronze_equals_gold_from_silver_in_scheduled_runs(spark):
+    topic, numbers, root = staged(spark)
+    one, two = layers.Layout(root, "r"), layers.Layout(root, "r", {"gold": f"{root}/g2", "checkpoints": f"{root}/c2"})
+    schemas = registry(spark)
+    for last in range(len(numbers)):
+        replay_slices(
+            spark, topic, "slice", numbers[: last + 1],
+            lambda records: layers.start_bronze(records, schemas, one), first=last,
+        )
+        layers.start_silver(spark, one).awaitTermination()
+        layers.start_gold_from_silver(spark, one).awaitTermination()
+        query = layers.start_gold_from_bronze(spark, two)
+        query.awaitTermination()
+    assert gold_set(spark, one) == gold_set(spark, two) != []
+
+
 def test_sibling_checkpoints_and_chosen_folders():
     layout = layers.Layout("/data", "r", {"gold": "/elsewhere/gold"})
     assert layout.table("gold") == "/elsewhere/gold/run_id=r"
