@@ -137,6 +137,7 @@ def start_gold_from_silver(
     layout: Layout,
     trigger: str | None = None,
     watermark: str = c.WATERMARK_DELAY,
+    dims: tuple[str, ...] = DIMENSIONS,
 ) -> StreamingQuery:
     """Gold from stored silver, under the watermark that silver was made with.
 
@@ -144,8 +145,8 @@ def start_gold_from_silver(
     queries find the same rows late. In back-to-back batches silver's limit is one batch behind its
     watermark, and gold could drop rows that silver still took; use :func:`start_gold_from_bronze`.
     """
-    needed = silver_stream(spark, layout).select("event_ts", *GOLD_FIELDS)
-    return start_gold(needed.withWatermark("event_ts", watermark), layout, trigger)
+    needed = silver_stream(spark, layout).select("event_ts", *dims, "amount")
+    return start_gold(needed.withWatermark("event_ts", watermark), layout, trigger, dims=dims)
 
 
 def start_gold_from_bronze(
@@ -154,11 +155,13 @@ def start_gold_from_bronze(
     trigger: str | None = None,
     watermark: str = c.WATERMARK_DELAY,
     salts: int = STREAM_SALTS,
+    dims: tuple[str, ...] = DIMENSIONS,
 ) -> StreamingQuery:
     """Gold from stored bronze, deduplicated in the same query: what passes deduplication is never late
     for its window, however batches fall."""
-    events = accepted(bronze_stream(spark, layout)).select("event_id", "event_ts", "kafka_offset", *GOLD_FIELDS)
-    return start_gold(dedup_stream(events, watermark, salts=salts), layout, trigger)
+    bronze = accepted(bronze_stream(spark, layout))
+    events = bronze.select("event_id", "event_ts", "kafka_offset", *dims, "amount")
+    return start_gold(dedup_stream(events, watermark, salts=salts), layout, trigger, dims=dims)
 
 
 def start_dq(

@@ -256,6 +256,20 @@ def test_gold_from_bronze_equals_gold_from_silver_in_scheduled_runs(spark):
     assert gold_set(spark, one) == gold_set(spark, two) != []
 
 
+def test_streams_take_other_dimensions(spark, folder):
+    values = [frame(body("a", 0.0)), frame(body("b", 1.0, currency="EUR")), frame(body("z", 7200.0))]
+    kafka_table(spark, values).write.parquet(f"{folder}/topic")
+    one, two = layers.Layout(folder, "r"), layers.Layout(folder, "r", {"gold": f"{folder}/g2", "checkpoints": f"{folder}/c2"})
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    layers.start_bronze(source, registry(spark), one).awaitTermination()
+    layers.start_silver(spark, one).awaitTermination()
+    layers.start_gold_from_silver(spark, one, dims=("currency",)).awaitTermination()
+    layers.start_gold_from_bronze(spark, two, dims=("currency",)).awaitTermination()
+    for layout in (one, two):
+        rows = spark.read.parquet(layout.table("gold")).collect()
+        assert sorted((r.currency, r.revenue, r.event_count) for r in rows) == [("EUR", 1.0, 1), ("USD", 1.0, 1)]
+
+
 def test_sibling_checkpoints_and_chosen_folders():
     layout = layers.Layout("/data", "r", {"gold": "/elsewhere/gold"})
     assert layout.table("gold") == "/elsewhere/gold/run_id=r"
