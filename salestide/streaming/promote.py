@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +26,37 @@ def write_version(gold: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
-def backfill_gold(records: DataFrame, registry: DataFrame, root: str, run_id: str) -> str:
-    """Decode, deduplicate and aggregate Kafka rows (a full or bounded replay) into an isolated version."""
+def backfill_gold(
+    records: DataFrame,
+    registry: DataFrame,
+    root: str,
+    run_id: str,
+    parameters: Mapping[str, str] | None = None,
+) -> str:
+    """Decode, deduplicate and aggregate Kafka rows (a full or bounded replay) into an isolated version.
+
+    ``parameters`` says how the rows were chosen (offsets, times, reason) and is kept with the run.
+    """
     schema = c.narrow("region", "plan_tier", "amount")
     events = accepted(decode_records(records, registry, schema))
-    return write_version(revenue_windows(first_arrival(events)), root, run_id)
+    path = write_version(revenue_windows(first_arrival(events)), root, run_id)
+    record_run(records.sparkSession, root, run_id, parameters or {})
+    return path
+
+
+def record_run(spark: SparkSession, root: str, run_id: str, parameters: Mapping[str, str]) -> None:
+    """Note the parameters of a run, so that it can be repeated."""
+    pairs = [F.lit(str(text)) for pair in parameters.items() for text in pair]
+    noted = F.create_map(*pairs).cast("map<string,string>") if pairs else F.lit(None).cast("map<string,string>")
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(run_id).alias("run_id"), noted.alias("parameters"), F.current_timestamp().alias("written_at")
+    )
+    row.write.mode("append").parquet(f"{root}/runs")
+
+
+def runs(spark: SparkSession, root: str) -> DataFrame:
+    schema = "run_id string, parameters map<string,string>, written_at timestamp"
+    return spark.read.schema(schema).parquet(f"{root}/runs")
 
 
 def point_to(spark: SparkSession, root: str, run_id: str) -> None:

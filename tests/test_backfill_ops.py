@@ -132,7 +132,10 @@ def test_a_partial_replay_replaces_only_windows_it_has_seen_in_full(spark):
 
 def test_backfill_of_records(spark, folder):
     values = [frame(body("a", 0.0)), frame(body("a", 0.0)), b"bad", frame(body("b", 400.0, amount=-2.0))]
-    path = promote.backfill_gold(kafka_table(spark, values), registry(spark), folder, "r")
+    path = promote.backfill_gold(kafka_table(spark, values), registry(spark), folder, "r", {"from": "0", "to": "4"})
+    promote.backfill_gold(kafka_table(spark, values[:1]), registry(spark), folder, "s")
+    noted = {r.run_id: r.parameters for r in promote.runs(spark, folder).collect()}
+    assert noted == {"r": {"from": "0", "to": "4"}, "s": None}
     stored = promote.read_version(spark, folder, "r").orderBy("window_start").collect()
     assert path.endswith("run_id=r")
     assert [(r.revenue, r.event_count) for r in stored] == [(1.0, 1), (-2.0, 1)]
