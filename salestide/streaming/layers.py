@@ -15,8 +15,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from salestide import contract as c
 from salestide.functions.rules import Rules
 from salestide.operators.decode import accepted, decode_records, quarantined
-from salestide.operators.gold import DIMENSIONS, revenue_windows, with_window_date
+from salestide.operators.gold import DIMENSIONS, revenue_windows, split_by_rules, with_window_date
 from salestide.operators.late import late_rows
+from salestide.operators.quality import dq_violations
 from salestide.operators.silver import STREAM_SALTS, dedup_stream
 from salestide.session import use_stream_defaults
 from salestide.sources.files import parquet_stream
@@ -138,15 +139,28 @@ def start_gold_from_silver(
     trigger: str | None = None,
     watermark: str = c.WATERMARK_DELAY,
     dims: tuple[str, ...] = DIMENSIONS,
+    gate: Rules | None = None,
 ) -> StreamingQuery:
     """Gold from stored silver, under the watermark that silver was made with.
 
     For scheduled runs only, silver first: there every silver batch is followed by an empty one, so both
     queries find the same rows late. In back-to-back batches silver's limit is one batch behind its
     watermark, and gold could drop rows that silver still took; use :func:`start_gold_from_bronze`.
+
+    With ``gate``, rows that break a rule are no revenue; :func:`start_violations` keeps them.
     """
-    needed = silver_stream(spark, layout).select("event_ts", *dims, "amount")
-    return start_gold(needed.withWatermark("event_ts", watermark), layout, trigger, dims=dims)
+    events = silver_stream(spark, layout).withWatermark("event_ts", watermark)
+    if gate is not None:
+        events, _ = split_by_rules(events, gate)
+    return start_gold(events.select("event_ts", *dims, "amount"), layout, trigger, dims=dims)
+
+
+def start_violations(
+    spark: SparkSession, layout: Layout, rules: Rules = Rules(), trigger: str | None = None
+) -> StreamingQuery:
+    """Store every silver row that a gate with these rules turns away, with the names of the broken rules."""
+    _, invalid = split_by_rules(silver_stream(spark, layout), rules)
+    return _to_parquet(dq_violations(invalid, rules).writeStream, layout, "violations", trigger)
 
 
 def start_gold_from_bronze(

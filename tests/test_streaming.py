@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rows import body, event, frame, hms, kafka_table, registry, silver_table
 from salestide import contract as c
+from salestide.functions.rules import Rules
 from salestide.operators import gold, silver
 from salestide.plans import scenario
 from salestide.session import use_stream_defaults, workspace
@@ -270,6 +271,26 @@ def test_streams_take_other_dimensions(spark, folder):
         assert sorted((r.currency, r.revenue, r.event_count) for r in rows) == [("EUR", 1.0, 1), ("USD", 1.0, 1)]
 
 
+def test_a_gate_keeps_violations_out_of_revenue_and_stores_them(spark, folder):
+    values = [
+        frame(body("a", 0.0)), frame(body("b", 1.0, region="XX")), frame(body("c", 2.0, amount=0.0)),
+        frame(body("d", 3.0, plan_tier=None)), frame(body("e", 4.0, ingest_time="2026-01-01T01:00:00Z")),
+        frame(body("z", 7200.0)),
+    ]
+    kafka_table(spark, values).write.parquet(f"{folder}/topic")
+    layout = layers.Layout(folder, "r")
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    layers.start_bronze(source, registry(spark), layout).awaitTermination()
+    layers.start_silver(spark, layout).awaitTermination()
+    layers.start_gold_from_silver(spark, layout, gate=Rules()).awaitTermination()
+    layers.start_violations(spark, layout).awaitTermination()
+    assert gold_of(spark, layout.table("gold")) == {0: (2.0, 2)}
+    rejected = spark.read.parquet(layout.table("violations")).collect()
+    assert {r.event_id: r.dq_violation_reason for r in rejected} == {
+        "b": "INVALID_DOMAIN", "c": "BAD_AMOUNT", "d": "NULL_REQUIRED",
+    }
+
+
 def test_sibling_checkpoints_and_chosen_folders():
     layout = layers.Layout("/data", "r", {"gold": "/elsewhere/gold"})
     assert layout.table("gold") == "/elsewhere/gold/run_id=r"
