@@ -1,0 +1,60 @@
+import hashlib
+import zlib
+
+import pytest
+
+from salestide.llm import sharding
+
+
+def jump_by_hand(key: str, shards: int) -> int:
+    bucket, to, step = -1, 0, 0
+    while to < shards:
+        bucket = to
+        draw = int(hashlib.md5(f"{key}:{step}".encode()).hexdigest()[:8], 16) >> 1
+        to = int((bucket + 1) * (float(1 << 31) / (draw + 1)))
+        step += 1
+    return bucket
+
+
+@pytest.mark.parametrize("shards", [1, 2, 16, 17, 120, 300])
+def test_shards_equal_the_loop(spark, shards):
+    rows = sharding.assign(spark.range(400).toDF("doc_id"), shards=shards).collect()
+    assert {r.doc_id: r.shard for r in rows} == {i: jump_by_hand(str(i), shards) for i in range(400)}
+
+
+def test_a_new_shard_only_takes_rows_into_itself(spark):
+    keys = spark.range(5000).toDF("doc_id")
+    old = {r.doc_id: r.shard for r in sharding.assign(keys, shards=16).collect()}
+    new = {r.doc_id: r.shard for r in sharding.assign(keys, shards=17).collect()}
+    moved = [i for i in old if old[i] != new[i]]
+    assert all(new[i] == 16 for i in moved)
+    assert 0.03 < len(moved) / 5000 < 0.09
+
+
+def test_table_is_gapless_and_handles_odd_rows(spark):
+    rows = [(i, "text %d" % i) for i in range(200)] + [(7, "same key")] * 300 + [(None, None), (None, ""), (500, "é" * 9)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, slot string, shard long").repartition(5)
+    got = sharding.shard_table(docs, shards=16).collect()
+    assert len(got) == len(rows)
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    for r in got:
+        key = "" if r.doc_id is None else str(r.doc_id)
+        assert (r.shard, r.grown_shard) == (jump_by_hand(key, 16), jump_by_hand(key, 17))
+    assert sorted((r.size, r.text_crc32) for r in got) == sorted(
+        (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t in rows
+    )
+    assert {r.size for r in got if r.doc_id is None} == {1}
+    assert sharding.shard_table(docs.limit(0)).count() == 0
+
+
+def test_writes_a_folder_for_each_shard(spark, folder):
+    docs = spark.range(300).selectExpr("id doc_id", "string(id) text")
+    sharding.write_shards(docs, f"{folder}/shards", shards=4)
+    back = {r.doc_id: r.shard for r in spark.read.parquet(f"{folder}/shards").collect()}
+    assert back == {i: jump_by_hand(str(i), 4) for i in range(300)}
+
+
+def test_no_python_in_the_plan(spark):
+    plan = sharding.assign(spark.range(10).toDF("doc_id"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
