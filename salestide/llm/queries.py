@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import exact_dedup, sharding
+from salestide.llm import exact_dedup, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back, with digests of what was read."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op3_warc"] = """
+    with p as (
+        select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+            max(page_id) over (partition by coalesce(html, '')) as keep
+        from pages
+    )
+    select page_id, payload_bytes, payload_digest,
+        case when payload_bytes >= 1000 and page_id <> keep then 'revisit' else 'response' end as record_type,
+        case when payload_bytes >= 1000 and page_id <> keep then keep end as refers_to, true as intact
+    from p
+"""
+
+
 @_query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of each group of equal texts."""
