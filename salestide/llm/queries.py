@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import exact_dedup, sharding, warc
+from salestide.llm import exact_dedup, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records and read back, with digests of what was read."""
