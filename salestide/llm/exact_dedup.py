@@ -77,17 +77,18 @@ def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     layout = f"_row bigint, _key {kind}, sha string, ids array<binary>, parts array<binary>"
     stored = materialize(numbered.mapInArrow(_chunk, layout), "recipes")
     chunk = stored.select(F.explode(F.arrays_zip("ids", "parts")).alias("c")).select("c.ids", "c.parts")
-    clashing = chunk.groupBy("ids").agg(F.min("parts").alias("lo"), F.max("parts").alias("hi")).filter("lo <> hi")
-    # Normally empty: identifiers that different chunks share. Their documents list bytes in place of identifiers.
-    unsafe = (
-        stored.select("_row", F.explode("ids").alias("ids")).join(clashing.select("ids"), "ids", "left_semi")
-        .select("_row").distinct()
-    )
-    listed = stored.select("_row", F.col("_key").alias(key), F.col("sha").alias("text_sha256"), F.col("ids").alias("recipe"))
-    safe = listed.join(unsafe, "_row", "left_anti")
-    spelled = stored.join(unsafe, "_row", "left_semi").select(
-        "_row", F.col("_key").alias(key), F.col("sha").alias("text_sha256"), F.col("parts").alias("recipe")
+    # Each input task sends one copy of a chunk; the least and the greatest bytes of an identifier show a clash.
+    clashing = materialize(
+        chunk.groupBy("ids").agg(F.min("parts").alias("lo"), F.max("parts").alias("hi")).filter("lo <> hi").select("ids"),
+        "clashing",
     )
+    named = ["_row", F.col("_key").alias(key), F.col("sha").alias("text_sha256")]
+    if clashing.isEmpty():
+        return stored.select(*named, F.col("ids").alias("recipe"))
+    # Documents with identifiers that different chunks share list bytes in place of identifiers.
+    unsafe = stored.select("_row", F.explode("ids").alias("ids")).join(clashing, "ids", "left_semi").select("_row").distinct()
+    safe = stored.join(unsafe, "_row", "left_anti").select(*named, F.col("ids").alias("recipe"))
+    spelled = stored.join(unsafe, "_row", "left_semi").select(*named, F.col("parts").alias("recipe"))
     return safe.unionByName(spelled)
 
 
