@@ -3,24 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import exact_dedup, packing, sharding, warc
+from salestide.llm import exact_dedup, packing, quality, sharding, url_rules, warc
+from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = shipped
+    return shipped
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from labels that are not held out."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 1024 tokens."""
@@ -64,6 +77,12 @@ ORACLES["op6_exact_dedup"] = r"""
 """
 
 
+@_query
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all urls: by the stated rules, else by rules mined from the urls those decide."""
+    return url_rules.judge(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents dealt to 16 shards by jump consistent hashing of doc_id."""
