@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import exact_dedup, packing, quality, sharding, url_rules, warc
+from salestide.llm import exact_dedup, packing, pii, quality, sharding, url_rules, warc
 from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents dealt to 16 shards by jump consistent hashing of doc_id."""
     return sharding.shard_table(_table(spark, sf_dir, "documents"), shards=16)
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
