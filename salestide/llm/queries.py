@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import exact_dedup, packing, pii, quality, sharding, url_rules, warc
+from salestide.llm import decontaminate, exact_dedup, packing, pii, quality, sharding, url_rules, warc
 from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,12 @@ ORACLES["op3_warc"] = """
 """
 
 
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with the passages."""
+    return decontaminate.passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of each group of equal texts."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def text_or_empty(column: str | Column = "text") -> Column:
@@ -99,5 +99,6 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     width = len(hashes) - size + 1
     out = np.full(width, size, np.uint64)
     for k in range(size):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + width])
-    return out
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[k : k + width]
+    return mix64(out)
