@@ -20,6 +20,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salestide.llm import sums
 from salestide.llm.text import crc_remainder, slices, text_or_empty
 from salestide.session import materialize
 
@@ -115,22 +116,10 @@ def _normal_equations(labelled: DataFrame, model: QualityModel) -> tuple[np.ndar
             features = model.fourier(_stats_of(batch))
             left += features.T @ features
             right += features.T @ np.array(batch.column("label").to_pylist(), np.float64)
-        rows = [row.tobytes() for row in np.hstack([left, right[:, None]])]
-        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(rows, pa.binary())], ["i", "row"])
+        yield sums.partial_rows(np.hstack([left, right[:, None]]))
 
-    def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, row in zip(batch.column("i").to_pylist(), batch.column("row").to_pylist()):
-                sums[i] = sums.get(i, 0) + np.frombuffer(row)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["i", "row"]
-        )
-
-    ddl = "i int, row binary"
     # One row per feature and partition is shuffled; the driver gets one row per feature.
-    rows = labelled.select("stats", "label").mapInArrow(partial, ddl).repartition("i").mapInArrow(total, ddl).collect()
-    both = np.array([np.frombuffer(r.row) for r in sorted(rows, key=lambda r: r.i)])
+    both = np.array(sums.total(labelled.select("stats", "label").mapInArrow(partial, sums.DDL)))
     return both[:, :size], both[:, size]
 
 

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import decontaminate, exact_dedup, packing, pii, quality, sharding, url_rules, warc
+from salestide.llm import decontaminate, exact_dedup, language_model, packing, pii, quality, sharding, url_rules, warc
 from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under a hidden Markov model trained on those not held out."""
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of each group of equal texts."""
