@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestide.llm.text import free_name, slices, text_or_empty
+from salestide.llm.text import keep_one, slices, text_or_empty
 from salestide.session import materialize
 
 # A cut on average every 2 KiB beyond the least size; long runs without a cut are cut at the greatest size.
@@ -111,17 +111,4 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text equals that of a kept row; all columns stay as they are."""
-    found = materialize(duplicates(docs, key, text), "duplicates")
-    named = [F.col(key).alias("_k"), F.col("text_sha256").alias("_sha")]
-    gone, kept = found.filter("not kept").select(*named).distinct(), found.filter("kept").select(*named)
-    same = gone["_k"].eqNullSafe(kept["_k"]) & (gone["_sha"] == kept["_sha"])
-    # Rows that repeat both the key and the text of the kept row cannot be told apart by key; one of them stays.
-    tied = materialize(gone.join(kept, same, "left_semi"), "tied")
-    sha = F.sha2(normalised(text), 256)
-    whole = docs.join(gone, docs[key].eqNullSafe(gone["_k"]) & (sha == gone["_sha"]), "left_anti")
-    if tied.isEmpty():
-        return whole
-    column = free_name(docs, "_sha_of_text")
-    again = docs.withColumn(column, sha)
-    again = again.join(tied, again[key].eqNullSafe(tied["_k"]) & (again[column] == tied["_sha"]), "left_semi")
-    return whole.unionByName(again.dropDuplicates([key, column]).drop(column))
+    return keep_one(docs, duplicates(docs, key, text), key, "text_sha256", F.sha2(normalised(text), 256))

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import decontaminate, exact_dedup, language_model, packing, pii, quality, sharding, url_rules, warc
+from salestide.llm import decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, sharding, url_rules, warc
 from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,12 @@ ORACLES["op6_exact_dedup"] = r"""
 """
 
 
+@_query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents by three-word shingles."""
+    return ngram_join.join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @_query
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all urls: by the stated rules, else by rules mined from the urls those decide."""

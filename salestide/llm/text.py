@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salestide.session import materialize
+
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
 SLICE_BYTES = 8 << 20
@@ -29,6 +31,25 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+def keep_one(docs: DataFrame, decided: DataFrame, key: str, mark: str, of_row: Column) -> DataFrame:
+    """``docs`` without the rows that ``decided`` (key, mark, ``kept``) drops; all columns stay as they are.
+
+    ``of_row`` computes a row's mark. Rows that repeat both the key and the mark of a kept row cannot be told
+    apart from it; one of them stays.
+    """
+    stored = materialize(decided.select(F.col(key).alias("_k"), F.col(mark).alias("_m"), "kept"), "decided")
+    gone = stored.filter("not kept").select("_k", "_m").distinct()
+    kept = stored.filter("kept").select("_k", "_m").distinct()
+    tied = materialize(gone.join(kept, gone["_k"].eqNullSafe(kept["_k"]) & (gone["_m"] == kept["_m"]), "left_semi"), "tied")
+    whole = docs.join(gone, docs[key].eqNullSafe(gone["_k"]) & (of_row == gone["_m"]), "left_anti")
+    if tied.isEmpty():
+        return whole
+    column = free_name(docs, "_mark_of_text")
+    again = docs.withColumn(column, of_row)
+    again = again.join(tied, again[key].eqNullSafe(tied["_k"]) & (again[column] == tied["_m"]), "left_semi")
+    return whole.unionByName(again.dropDuplicates([key, column]).drop(column))
+
+
 def crc_remainder(key: str, modulus: int) -> Column:
     """crc32 of a key written as text, modulo ``modulus``; a null key counts as the empty text."""
     written = F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")
