@@ -1,4 +1,4 @@
-"""Near duplicates: documents whose sets of word n-grams have a Jaccard similarity of 0.9 or more.
+"""Near duplicates: documents whose sets of word n-grams have a Jaccard similarity of ``share`` percent or more.
 
 N-grams get one global order, rare first: by how often their hash bucket occurs in the corpus, then by hash.
 A set's first tokens in that order (its prefix) meet the prefix of every set it links to. Sets that share a
@@ -36,8 +36,6 @@ CHUNK_TOKENS = 400_000
 _LOW = np.uint64((1 << (64 - ORDER_BITS)) - 1)
 _SHIFT = np.uint64(64 - ORDER_BITS)
 _SUM_ROWS = 256
-# Sizes of linked sets differ by at most this factor; a little more, against rounding.
-_CLASS_WIDTH = float(np.log(trie.PER / trie.SHARE) * 1.0001)
 
 
 def _shingles(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -72,7 +70,7 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _rows(docs: DataFrame, rank: Broadcast, key: str, text: str, size: int) -> DataFrame:
+def _rows(docs: DataFrame, rank: Broadcast, key: str, text: str, size: int, share: int) -> DataFrame:
     """A row per document: ``_row`` (unique), ``_key``, ``mark`` (of the text), ``n``, ``digest`` and ``prefix`` of its set."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), _mark(text).alias("mark"),
@@ -83,7 +81,7 @@ def _rows(docs: DataFrame, rank: Broadcast, key: str, text: str, size: int) -> D
         order = rank.value
         for batch in slices(batches):
             sets = [ordered_set(s, order) for s in _shingles(batch, size)]
-            prefix = [s[: trie.prefix_length(len(s))].view(np.int64) for s in sets]
+            prefix = [s[: trie.prefix_length(len(s), share)].view(np.int64) for s in sets]
             columns = [batch.column(c) for c in ("_row", "_key", "mark")] + [
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.array(prefix, pa.list_(pa.int64())),
@@ -137,7 +135,7 @@ def _pairs_table(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, share: int = trie.SHARE) -> DataFrame:
     """Linked pairs (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
 
     A large company is dealt to chunks of bounded size, each with the lead; every pair of ``pairs`` is decided,
@@ -153,18 +151,19 @@ def links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, ("lead", "part")):
             tokens = [np.frombuffer(t, np.uint64) for _, t in rows]
-            found = trie.pairs(tokens, [len(t) for t in tokens])
+            found = trie.pairs(tokens, [len(t) for t in tokens], share)
             if found:
                 yield _pairs_table([(rows[i][0], rows[j][0]) for i, j in found])
 
     return members.repartition("lead", "part").sortWithinPartitions("lead", "part").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
-def _class_of(n: Column) -> Column:
-    return F.floor(F.log(n.cast("double")) / _CLASS_WIDTH)
+def _band(n: Column, share: int) -> Column:
+    """Sizes of linked sets differ by a factor of at most ``PER / share``, the width of a band; a little more, against rounding."""
+    return F.floor(F.log(n.cast("double")) / float(np.log(trie.PER / share) * 1.0001))
 
 
-def groups(prefixes: DataFrame) -> DataFrame:
+def groups(prefixes: DataFrame, share: int = trie.SHARE) -> DataFrame:
     """Rows (``token``, ``band``, ``cls``, ``n``) of prefix tokens that sets of like size share.
 
     A set belongs to the band of its own size and the next; linked sets have a band in common. Groups of the
@@ -173,7 +172,7 @@ def groups(prefixes: DataFrame) -> DataFrame:
     token = prefixes.select("cls", "n", F.explode("prefix").alias("token"))
     shared = token.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token")
     banded = materialize(
-        token.join(shared, "token").withColumn("own", _class_of(F.col("n")))
+        token.join(shared, "token").withColumn("own", _band(F.col("n"), share))
         .select("token", "cls", "n", F.explode(F.array("own", F.col("own") + 1)).alias("band")),
         "prefix-groups",
     )
@@ -185,20 +184,18 @@ def groups(prefixes: DataFrame) -> DataFrame:
     return materialize(banded.join(one, ["token", "band"]), "groups")
 
 
-def _alike(a: Column, b: Column) -> Column:
-    return trie.PER * F.least(a, b) >= trie.SHARE * F.greatest(a, b)
-
-
-def _leads(member: DataFrame) -> DataFrame:
+def _leads(member: DataFrame, share: int) -> DataFrame:
     """Pairs (``lead``, ``cls``) of each set and the least member of its groups."""
     lead = member.groupBy("token", "band").agg(F.min(F.struct("cls", "n")).alias("first"))
+    n, other = F.col("n"), F.col("first.n")
+    alike = trie.PER * F.least(n, other) >= share * F.greatest(n, other)
     return (
-        member.join(lead, ["token", "band"]).filter((F.col("cls") != F.col("first.cls")) & _alike(F.col("n"), F.col("first.n")))
+        member.join(lead, ["token", "band"]).filter((F.col("cls") != F.col("first.cls")) & alike)
         .select(F.col("first.cls").alias("lead"), "cls").distinct()
     )
 
 
-def _candidates(member: DataFrame, prefixes: DataFrame) -> DataFrame:
+def _candidates(member: DataFrame, prefixes: DataFrame, share: int) -> DataFrame:
     """Pairs (``lead``, ``cls``) of different components that may link, from the groups of several components.
 
     ``member`` has ``token``, ``band``, ``cls`` and ``comp``. A group is dealt to parts of bounded size, whole
@@ -233,7 +230,7 @@ def _candidates(member: DataFrame, prefixes: DataFrame) -> DataFrame:
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, members in _grouped(batches, ("token", "band", "of", "k", "of2", "k2")):
             tokens = [np.array(p, np.int64).view(np.uint64) for *_, p in members]
-            found = trie.pairs(tokens, [n for _, _, n, _ in members])
+            found = trie.pairs(tokens, [n for _, _, n, _ in members], share)
             apart = [(members[i][0], members[j][0]) for i, j in found if members[i][1] != members[j][1]]
             if apart:
                 yield _pairs_table([(min(p), max(p)) for p in apart])
@@ -247,10 +244,10 @@ def _candidates(member: DataFrame, prefixes: DataFrame) -> DataFrame:
     return found.select(F.col("a").alias("lead"), F.col("b").alias("cls")).distinct()
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE) -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id``, ``kept``, and ``mark`` (a hash of its text).
 
-    Words are runs between ASCII white space with A-Z lower-cased; a set holds the distinct runs of ``size``
+    Two sets link from ``share`` percent on. Words are runs between ASCII white space with A-Z lower-cased; a set holds the distinct runs of ``size``
     words, or the whole sequence of a shorter text. Null texts and texts without words have empty sets, link
     to nothing, and are their own component. ``component_id`` is the smallest key that is reachable by links
     (null keys aside); ``kept`` is true for one row of each component, one with that key. Rows that repeat a
@@ -260,25 +257,25 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     context = docs.sparkSession.sparkContext
     whole = docs.select(F.col(key), F.col(text))
     rank = context.broadcast(order_table(whole.select(F.col(text).alias("text")), size))
-    rows = materialize(_rows(whole, rank, key, text, size), "ngram-rows")
+    rows = materialize(_rows(whole, rank, key, text, size, share), "ngram-rows")
     # Equal sets are one class, named by one of its rows.
     least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
     classes = materialize(rows.filter("n > 0").groupBy("digest").agg(least.alias("least")), "ngram-classes")
     named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
     heads = rows.join(named.select("cls"), rows["_row"] == F.col("cls"), "left_semi")
     prefixes = materialize(heads.select(F.col("_row").alias("cls"), "n", "prefix"), "ngram-prefixes")
-    member = groups(prefixes)
+    member = groups(prefixes, share)
     wanted = member.select("cls").distinct()
     sets = materialize(
         _sets(whole, heads.join(wanted, heads["_row"] == wanted["cls"]).select("cls", "_key", "mark", "digest"), rank, key, text, size),
         "ngram-sets",
     )
-    near = materialize(links(_leads(member), sets, prefixes), "links-near")
+    near = materialize(links(_leads(member, share), sets, prefixes, share), "links-near")
     first = materialize(connected(near), "components-near")
     labelled = member.join(first, member["cls"] == first["node"], "left").select(
         "token", "band", "cls", F.coalesce("component", "cls").alias("comp")
     )
-    far = links(_candidates(labelled, prefixes), sets, prefixes)
+    far = links(_candidates(labelled, prefixes, share), sets, prefixes, share)
     final = connected(near.union(far))
     return _result(rows, named, final, key)
 
@@ -301,6 +298,8 @@ def _result(rows: DataFrame, named: DataFrame, final: DataFrame, key: str) -> Da
     return some.unionByName(none)
 
 
-def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE
+) -> DataFrame:
     """``docs`` with one row of each component of near duplicates; all columns stay as they are."""
-    return keep_one(docs, join(docs, key, text, size), key, "mark", _mark(text))
+    return keep_one(docs, join(docs, key, text, size, share), key, "mark", _mark(text))

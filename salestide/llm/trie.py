@@ -4,18 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Two sets link when PER * intersection >= SHARE * union.
+#: Two sets link when PER * intersection >= share * union.
 SHARE, PER = 90, 100
 
 
-def needed(size: int) -> int:
-    """The least intersection that a set of this size has with any set it links to."""
-    return -(-SHARE * size // PER)
+def prefix_length(size: int, share: int = SHARE) -> int:
+    """So many of the first tokens of a set in global order meet those of every set it links to.
 
-
-def prefix_length(size: int) -> int:
-    """So many of the first tokens of a set in global order meet those of every set it links to."""
-    return size - needed(size) + 1 if size else 0
+    Linked sets have at least ``share`` of ``PER`` of a set's tokens in common.
+    """
+    return size - -(-share * size // PER) + 1 if size else 0
 
 
 class _Trie:
@@ -61,7 +59,7 @@ class _Trie:
         return np.searchsorted(self.keys, active * self.vocabulary + token, side="right") - self.starts[active]
 
 
-def pairs(sequences: list[np.ndarray], sizes: list[int]) -> list[tuple[int, int]]:
+def pairs(sequences: list[np.ndarray], sizes: list[int], share: int = SHARE) -> list[tuple[int, int]]:
     """Pairs (i, j), i < j, of distinct sets that may link, given their first tokens in global order.
 
     ``sizes`` are those of the whole sets. If the sequences are whole, exactly the linked pairs are returned. If
@@ -93,7 +91,7 @@ def pairs(sequences: list[np.ndarray], sizes: list[int]) -> list[tuple[int, int]
             other = np.where(last <= trie.last[active], size - end, rest)
             most = overlap[active] + np.minimum(rest, other)
             size = np.where(last <= trie.last[active], size, np.minimum(size, trie.sizes[i:j].min()))
-            active = active[(PER + SHARE) * most >= SHARE * (trie.sizes[active] + size)]
+            active = active[(PER + share) * most >= share * (trie.sizes[active] + size)]
         if not len(active):
             continue
         if trie.lengths[i] == end:  # sets that end here come first
@@ -104,7 +102,7 @@ def pairs(sequences: list[np.ndarray], sizes: list[int]) -> list[tuple[int, int]
                 rest = trie.sizes[active] - trie.consumed(active, int(trie.last[y]))
                 other = np.where(trie.last[y] <= trie.last[active], trie.sizes[y] - end, rest)
                 most = overlap[active] + np.minimum(rest, other)
-                fits = (PER + SHARE) * most >= SHARE * (trie.sizes[active] + trie.sizes[y])
+                fits = (PER + share) * most >= share * (trie.sizes[active] + trie.sizes[y])
                 found += [(x, y) for x in active[fits].tolist() if x != y]
             i = stop
         begin = i

@@ -17,12 +17,12 @@ def shingles(text, size=3):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
 
 
-def link(a, b):
-    return bool(a) and 100 * len(a & b) >= 90 * len(a | b)
+def link(a, b, share=90):
+    return bool(a) and 100 * len(a & b) >= share * len(a | b)
 
 
-def components_by_hand(rows):
-    sets = [shingles(t) for _, t in rows]
+def components_by_hand(rows, size=3, share=90):
+    sets = [shingles(t, size) for _, t in rows]
     top = list(range(len(rows)))
 
     def find(i):
@@ -32,7 +32,7 @@ def components_by_hand(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if link(sets[i], sets[j]):
+            if link(sets[i], sets[j], share):
                 top[find(i)] = find(j)
     out = []
     for i, (key, _) in enumerate(rows):
@@ -41,16 +41,16 @@ def components_by_hand(rows):
     return sorted(out, key=repr)
 
 
-def compare(got, rows):
-    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=repr) == components_by_hand(rows)
+def compare(got, rows, size=3, share=90):
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=repr) == components_by_hand(rows, size, share)
 
 
 sets_of_tokens = st.lists(st.sets(st.integers(0, 40), min_size=0, max_size=30), max_size=14)
 
 
 @settings(max_examples=300, deadline=None)
-@given(sets_of_tokens, st.integers(0, 1000))
-def test_trie_finds_the_linked_pairs(sets, seed):
+@given(sets_of_tokens, st.integers(0, 1000), st.sampled_from([90, 80, 50]))
+def test_trie_finds_the_linked_pairs(sets, seed, share):
     rnd = random.Random(seed)
     for s in list(sets):  # near copies
         s = set(s)
@@ -61,10 +61,10 @@ def test_trie_finds_the_linked_pairs(sets, seed):
             sets.append(s)
     distinct = [set(x) for x in {frozenset(s) for s in sets}]
     arrays = [np.array(sorted(s), np.uint64) for s in distinct]
-    want = {(i, j) for j in range(len(distinct)) for i in range(j) if link(distinct[i], distinct[j])}
-    assert set(trie.pairs(arrays, [len(a) for a in arrays])) == want
-    prefixes = [a[: trie.prefix_length(len(a))] for a in arrays]
-    assert want <= set(trie.pairs(prefixes, [len(a) for a in arrays]))
+    want = {(i, j) for j in range(len(distinct)) for i in range(j) if link(distinct[i], distinct[j], share)}
+    assert set(trie.pairs(arrays, [len(a) for a in arrays], share)) == want
+    prefixes = [a[: trie.prefix_length(len(a), share)] for a in arrays]
+    assert want <= set(trie.pairs(prefixes, [len(a) for a in arrays], share))
 
 
 def test_trie_prunes_prefixes():
@@ -140,10 +140,15 @@ def test_components_equal_brute_force(spark, monkeypatch, chunk):
         assert sum(r.kept for r in members) == 1 and next(r for r in members if r.kept).doc_id == component
 
 
+def test_other_sizes_and_shares(spark):
+    rows = sample()
+    compare(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), size=5, share=80).collect(), rows, 5, 80)
+
+
 def test_second_round_finds_links_that_leads_miss(spark, monkeypatch):
     rows = sample()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(ngram_join, "_leads", lambda member: member.select(member["cls"].alias("lead"), "cls").limit(0))
+    monkeypatch.setattr(ngram_join, "_leads", lambda member, share: member.select(member["cls"].alias("lead"), "cls").limit(0))
     compare(ngram_join.join(docs).collect(), rows)
 
 
