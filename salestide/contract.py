@@ -4,38 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES: dict[str, T.DataType] = {
-    "string": T.StringType(),
-    "binary": T.BinaryType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
+STRING, BINARY, INT, LONG, DOUBLE = T.StringType(), T.BinaryType(), T.IntegerType(), T.LongType(), T.DoubleType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
 
 
-def table(columns: str) -> T.StructType:
-    """A schema from ``name type, ...``; unlike Spark's own DDL parser it needs no session."""
-    pairs = [column.split() for column in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+def table(**columns: T.DataType) -> T.StructType:
+    """A schema of nullable columns; needs no session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-def extend(schema: T.StructType, columns: str) -> T.StructType:
-    return T.StructType(schema.fields + table(columns).fields)
+def extend(schema: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType(schema.fields + table(**columns).fields)
 
 
 # What a Kafka source row looks like in Spark.
 KAFKA_SCHEMA = table(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
-    "timestampType int"
+    key=BINARY, value=BINARY, topic=STRING, partition=INT, offset=LONG, timestamp=TIMESTAMP,
+    timestampType=INT,
 )
 
 # The fields of version 1 of the event contract.
 EVENT_V1 = table(
-    "event_id string, event_time string, ingest_time string, account_id string, user_id string, "
-    "event_type string, plan_tier string, region string, currency string, amount double, "
-    "source string, trace_id string, schema_version int"
+    event_id=STRING, event_time=STRING, ingest_time=STRING, account_id=STRING, user_id=STRING,
+    event_type=STRING, plan_tier=STRING, region=STRING, currency=STRING, amount=DOUBLE, source=STRING,
+    trace_id=STRING, schema_version=INT,
 )
 
 # What decoding itself looks at; any reader schema has to hold these.
@@ -48,44 +40,41 @@ def narrow(*names: str) -> T.StructType:
 
 
 # Version 2 adds optional fields. A reader of both versions uses this superset.
-EVENT_V2 = extend(EVENT_V1, "discount double, channel string")
+EVENT_V2 = extend(EVENT_V1, discount=DOUBLE, channel=STRING)
 
 # Fields that later contract versions introduced: name -> (first version, reader default).
 ADDED_FIELDS = {"discount": (2, 0.0), "channel": (2, None)}
 
-REGISTRY_SCHEMA = table(
-    "schema_id bigint, subject string, version int, format string, schema string"
-)
+REGISTRY_SCHEMA = table(schema_id=LONG, subject=STRING, version=INT, format=STRING, schema=STRING)
 
 KAFKA_COLUMNS = ["kafka_key", "kafka_ingest_ts", "kafka_partition", "kafka_offset"]
 
 
 def silver_schema(event: T.StructType) -> T.StructType:
     """The event table for a version of the contract."""
-    kafka = table("kafka_key string, kafka_ingest_ts timestamp, kafka_partition int, kafka_offset bigint")
-    return extend(T.StructType(kafka.fields + event.fields), "event_ts timestamp, ingest_ts timestamp")
+    kafka = table(kafka_key=STRING, kafka_ingest_ts=TIMESTAMP, kafka_partition=INT, kafka_offset=LONG)
+    return extend(T.StructType(kafka.fields + event.fields), event_ts=TIMESTAMP, ingest_ts=TIMESTAMP)
 
 
 def bronze_schema(event: T.StructType) -> T.StructType:
     """All records: event columns where they decode, the raw value, and why a record is no event."""
-    return extend(silver_schema(event), "value binary, schema_id bigint, quarantine_reason string")
+    return extend(silver_schema(event), value=BINARY, schema_id=LONG, quarantine_reason=STRING)
 
 
 SILVER_SCHEMA = silver_schema(EVENT_V1)
 BRONZE_SCHEMA = bronze_schema(EVENT_V1)
 
 GOLD_SCHEMA = table(
-    "window_start timestamp, window_end timestamp, region string, plan_tier string, "
-    "revenue double, event_count bigint"
+    window_start=TIMESTAMP, window_end=TIMESTAMP, region=STRING, plan_tier=STRING, revenue=DOUBLE,
+    event_count=LONG,
 )
 
 DQ_METRICS_SCHEMA = table(
-    "dq_run_ts timestamp, batch_id bigint, total_records bigint, valid_records_estimate bigint, "
-    "null_required_fields bigint, invalid_domain_values bigint, bad_amounts bigint, "
-    "latency_sla_breaches bigint"
+    dq_run_ts=TIMESTAMP, batch_id=LONG, total_records=LONG, valid_records_estimate=LONG,
+    null_required_fields=LONG, invalid_domain_values=LONG, bad_amounts=LONG, latency_sla_breaches=LONG,
 )
 
-DQ_SAMPLE_SCHEMA = extend(SILVER_SCHEMA, "dq_violation_reason string")
+DQ_SAMPLE_SCHEMA = extend(SILVER_SCHEMA, dq_violation_reason=STRING)
 
 QUARANTINE_COLUMNS = [
     "reason", "error", "value", "kafka_key", "kafka_partition", "kafka_offset", "kafka_ingest_ts",

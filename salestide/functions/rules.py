@@ -1,7 +1,7 @@
 """Data-quality rules as boolean columns.
 
 NULL follows SQL: a NULL domain value makes that rule NULL (not counted) unless another domain column is
-wrong, and a NULL ingest time makes the latency rule NULL. ``invalid_any`` is never NULL, because a NULL
+wrong, and a NULL ingest time makes the latency rule NULL. ``Rules.invalid`` is never NULL, because a NULL
 in any of its inputs already breaks the required-field rule.
 """
 
@@ -17,6 +17,18 @@ from pyspark.sql import functions as F
 from salestide import contract as c
 
 
+@dataclass(frozen=True)
+class Rule:
+    """One rule: its code in violation reasons, its counter, its flag column, and when a row breaks it."""
+
+    code: str
+    counter: str
+    flag: str
+    broken: Column
+    blocking: bool = True
+    """Whether a row that breaks it is invalid; other rules only observe."""
+
+
 @dataclass(frozen=True)
 class Rules:
     """The parameters of the rules; the defaults are the contract's."""
@@ -25,30 +37,31 @@ class Rules:
     domains: dict[str, list[str]] = field(default_factory=lambda: dict(c.DOMAINS))
     latency_sla_seconds: int = c.LATENCY_SLA_SECONDS
 
-    def null_required(self) -> Column:
-        return reduce(or_, [F.col(name).isNull() for name in self.required])
-
-    def invalid_domain(self) -> Column:
-        return reduce(or_, [~F.col(name).isin(values) for name, values in self.domains.items()])
-
-    def bad_amount(self) -> Column:
-        """Missing, zero or NaN; negative amounts are refunds and pass."""
+    def listed(self) -> list[Rule]:
+        """All rules, in the order in which reasons name them."""
         amount = F.col("amount")
-        return amount.isNull() | (amount == 0) | F.isnan(amount)
-
-    def latency_breach(self) -> Column:
-        return latency_seconds() > self.latency_sla_seconds
+        missing = [F.col(name).isNull() for name in self.required]
+        foreign = [~F.col(name).isin(values) for name, values in self.domains.items()]
+        return [
+            Rule("NULL_REQUIRED", "null_required_fields", "f_null_required", reduce(or_, missing)),
+            Rule("INVALID_DOMAIN", "invalid_domain_values", "f_invalid_domain", reduce(or_, foreign)),
+            # Missing, zero or NaN; negative amounts are refunds and pass.
+            Rule("BAD_AMOUNT", "bad_amounts", "f_bad_amount", amount.isNull() | (amount == 0) | F.isnan(amount)),
+            Rule(
+                "LATENCY_SLA_BREACH", "latency_sla_breaches", "f_latency_breach",
+                latency_seconds() > self.latency_sla_seconds, blocking=False,
+            ),
+        ]
+
+    def invalid(self) -> Column:
+        return reduce(or_, [rule.broken for rule in self.listed() if rule.blocking])
 
     def flags(self) -> dict[str, Column]:
-        null_required, invalid_domain = self.null_required(), self.invalid_domain()
-        bad_amount = self.bad_amount()
-        return {
-            "f_null_required": null_required,
-            "f_invalid_domain": invalid_domain,
-            "f_bad_amount": bad_amount,
-            "f_latency_breach": self.latency_breach(),
-            "f_invalid_any": null_required | invalid_domain | bad_amount,
-        }
+        return {rule.flag: rule.broken for rule in self.listed()} | {"f_invalid_any": self.invalid()}
+
+    def reason(self) -> Column:
+        """The codes of the broken rules joined by ``|``; empty if none."""
+        return F.concat_ws("|", *[F.when(rule.broken, F.lit(rule.code)) for rule in self.listed()])
 
 
 def latency_seconds() -> Column:
@@ -56,17 +69,6 @@ def latency_seconds() -> Column:
     return F.col("ingest_ts").cast("long") - F.col("event_ts").cast("long")
 
 
-def violation_reason(flags: dict[str, Column]) -> Column:
-    """The broken rules joined by ``|`` in a fixed order; empty if none."""
-    return F.concat_ws(
-        "|",
-        F.when(flags["f_null_required"], F.lit("NULL_REQUIRED")),
-        F.when(flags["f_invalid_domain"], F.lit("INVALID_DOMAIN")),
-        F.when(flags["f_bad_amount"], F.lit("BAD_AMOUNT")),
-        F.when(flags["f_latency_breach"], F.lit("LATENCY_SLA_BREACH")),
-    )
-
-
 def net_amount(event_type: Column, gross: Column, refund_types: list[str] = c.REFUND_TYPES) -> Column:
     """A gross amount with the sign of its event type: money paid back counts against revenue."""
     return F.when(event_type.isin(refund_types), -gross).otherwise(gross)

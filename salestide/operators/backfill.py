@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestide import contract as c
@@ -25,25 +25,33 @@ def replay_by_offset(bronze: DataFrame, ranges: Mapping[int, tuple[int, int]]) -
 
 
 def replay_by_time(bronze: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
-    """Bronze rows with a broker timestamp in ``[start, end)``."""
-    arrived = F.col("kafka_ingest_ts")
-    return bronze.filter(
-        (arrived >= F.lit(start).cast("timestamp")) & (arrived < F.lit(end).cast("timestamp"))
-    )
+    """Bronze rows with a broker timestamp in ``[start, end)``; of stored bronze only those days are opened."""
+    arrived, first, last = F.col("kafka_ingest_ts"), _moment(start), _moment(end)
+    wanted = (arrived >= first) & (arrived < last)
+    if "ingest_date" in bronze.columns:
+        wanted &= F.col("ingest_date").between(F.to_date(first), F.to_date(last))
+    return bronze.filter(wanted)
 
 
-def complete_windows(
-    gold: DataFrame, start: datetime | str, end: datetime | str, delay: str = c.WATERMARK_DELAY
-) -> DataFrame:
-    """The windows that a replay of arrivals in ``[start, end)`` has seen in full.
+def _moment(time: datetime | str) -> Column:
+    return F.lit(time).cast("timestamp")
+
+
+def seen_in_full(start: datetime | str, end: datetime | str, delay: str = c.WATERMARK_DELAY) -> Column:
+    """Whether a replay of arrivals in ``[start, end)`` has seen all of a window.
 
     Events of a window arrive from its start until the watermark delay after its end. Windows at the
     edges of the range lack some of theirs, and must not replace complete ones.
     """
-    last_end = F.lit(end).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-    return gold.filter(
-        (F.col("window_start") >= F.lit(start).cast("timestamp")) & (F.col("window_end") <= last_end)
-    )
+    last_end = _moment(end) - F.expr(f"INTERVAL {delay}")
+    return (F.col("window_start") >= _moment(start)) & (F.col("window_end") <= last_end)
+
+
+def complete_windows(
+    gold: DataFrame, start: datetime | str, end: datetime | str, delay: str = c.WATERMARK_DELAY
+) -> DataFrame:
+    """The windows that a replay of arrivals in ``[start, end)`` has seen in full."""
+    return gold.filter(seen_in_full(start, end, delay))
 
 
 def gold_diff(
@@ -97,11 +105,13 @@ def gold_totals(production: DataFrame, replay: DataFrame) -> DataFrame:
     return totals(production, "production").unionByName(totals(replay, "replay"))
 
 
-def merge_windows(production: DataFrame, replay: DataFrame) -> DataFrame:
-    """Production with every window that the replay has recomputed taken from the replay.
+def merge_windows(
+    production: DataFrame, replay: DataFrame, start: datetime | str, end: datetime | str, delay: str = c.WATERMARK_DELAY
+) -> DataFrame:
+    """Production with everything in the replayed range taken from a replay of arrivals in ``[start, end)``.
 
-    A window is replaced as a whole, so a group that the replay no longer has disappears with it. Pass a
-    partial replay through :func:`complete_windows` first.
+    All windows that the replay has seen in full are replaced, also those of which it has nothing left: what
+    a correction empties disappears. Windows at the edges of the range stay as they are.
     """
-    replayed = replay.select("window_start").distinct()
-    return production.join(replayed, "window_start", "left_anti").unionByName(replay)
+    inside = seen_in_full(start, end, delay)
+    return production.filter(~inside).unionByName(replay.filter(inside))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from salestide import contract as c
 from salestide.functions.frames import encode_frame, frame_body, frame_schema_id, has_frame
-from salestide.sources.registry import Schemas, join_registry, load_schemas
+from salestide.sources.registry import Registry, Schemas, join_registry, load_schemas
 
 _CORRUPT = "_corrupt"
 
@@ -50,7 +50,7 @@ def parse_times(events: DataFrame) -> DataFrame:
 
 def decode_records(
     records: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     schema: T.StructType = c.EVENT_V1,
     subject: str | None = None,
     added_fields: Mapping[str, tuple[int, object]] | None = None,
@@ -76,6 +76,26 @@ def decode_records(
     )
 
 
+def decode_again(
+    bronze: DataFrame,
+    registry: Registry,
+    schema: T.StructType = c.EVENT_V1,
+    subject: str | None = None,
+    added_fields: Mapping[str, tuple[int, object]] | None = None,
+) -> DataFrame:
+    """Records of bronze whose schema id was unknown when they came, and is registered now: bronze rows again.
+
+    They may carry another reason than before; those whose id is still unknown are left out.
+    """
+    unknown = bronze.filter(F.col("quarantine_reason") == "UNKNOWN_SCHEMA")
+    records = unknown.select(
+        F.col("kafka_key").cast("binary").alias("key"), "value", F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"), F.col("kafka_ingest_ts").alias("timestamp"),
+    )
+    again = decode_records(records, registry, schema, subject, added_fields)
+    return again.filter(~F.col("quarantine_reason").eqNullSafe("UNKNOWN_SCHEMA"))
+
+
 def accepted(bronze: DataFrame) -> DataFrame:
     """The event rows of bronze, without the raw value."""
     return bronze.filter(F.col("quarantine_reason").isNull()).drop(

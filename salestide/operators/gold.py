@@ -36,7 +36,7 @@ def revenue_windows(
 
 def split_by_rules(silver: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:
     """(rows that pass the rules, rows that break one), for jobs that gate revenue on data quality."""
-    invalid = rules.flags()["f_invalid_any"]
+    invalid = rules.invalid()
     return silver.filter(~invalid), silver.filter(invalid)
 
 

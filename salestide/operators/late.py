@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.operators.skew import salted_join
 from salestide.session import fits_broadcast, materialize
 
 MAX_BROADCAST_IDS = 500_000
-SALTS = 64
 
 
 def late_ids(bronze: DataFrame, silver: DataFrame, key: str = "event_id") -> DataFrame:
@@ -26,12 +24,12 @@ def late_rows(
     """All bronze rows whose key silver does not have; both must end at the same committed batch.
 
     The late keys are written out and counted first. As long as they are few, the wide bronze rows are
-    filtered in place by a broadcast; beyond the bounds they are shuffled on the key and a salt.
+    filtered in place by a broadcast; beyond the bounds both sides are shuffled on the key, and Spark splits
+    a key that holds very many rows at run time.
     """
     ids = materialize(late_ids(bronze, silver, key), "late-ids")
-    if fits_broadcast(ids, max_broadcast_ids):
-        return bronze.join(F.broadcast(ids), key, "left_semi")
-    return salted_join(bronze, ids, key, "left_semi", SALTS)
+    few = F.broadcast(ids) if fits_broadcast(ids, max_broadcast_ids) else ids
+    return bronze.join(few, key, "left_semi")
 
 
 def late_summary(late: DataFrame, by: str = "batch_id") -> DataFrame:

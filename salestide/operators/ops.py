@@ -18,12 +18,19 @@ def partition_distribution(bronze: DataFrame) -> DataFrame:
     )
 
 
-def offset_lag(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Per partition, how far the last silver offset is behind the last bronze offset."""
-    newest = bronze.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("latest_offset"))
-    done = silver.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("processed_offset"))
-    behind = F.col("latest_offset") - F.coalesce("processed_offset", F.lit(-1))
-    return newest.join(done, "kafka_partition", "left").withColumn("lag", behind)
+def offset_lag(bronze: DataFrame, processed: DataFrame) -> DataFrame:
+    """Per partition, how far the last processed offset is behind the last bronze offset.
+
+    ``processed`` holds all records that the next layer has taken, whatever became of them: copies, broken and
+    late records as well, or a partition that ends in one would lag for ever. A partition of which nothing
+    has been taken lags from its first record on.
+    """
+    kept = bronze.groupBy("kafka_partition").agg(
+        F.max("kafka_offset").alias("latest_offset"), F.min("kafka_offset").alias("first_offset")
+    )
+    done = processed.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("processed_offset"))
+    behind = F.col("latest_offset") - F.coalesce("processed_offset", F.col("first_offset") - 1)
+    return kept.join(done, "kafka_partition", "left").withColumn("lag", behind).drop("first_offset")
 
 
 def quarantine_rate(bronze: DataFrame) -> DataFrame:

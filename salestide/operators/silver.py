@@ -1,4 +1,4 @@
-"""One row per event id: bounded deduplication on streams, first arrival on batches."""
+"""One row per event id: within a watermark on streams, the first arrival on batches."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from salestide import contract as c
 from salestide.operators.skew import salt
 
-# Tasks that share the copies of one id on a stream.
-STREAM_SALTS = 16
+# Tasks that share the copies of one id on a stream; 0 for one task and one state store per id.
+STREAM_SALTS = 0
 ARRIVAL_ORDER = ("kafka_ingest_ts", "kafka_partition", "kafka_offset")
 
 
@@ -28,11 +28,13 @@ def first_arrival(
 def dedup_stream(
     events: DataFrame, watermark: str = c.WATERMARK_DELAY, key: str = "event_id", salts: int = STREAM_SALTS
 ) -> DataFrame:
-    """Keep the first row of each key on a stream; state of a key is dropped once the watermark passes it.
+    """Keep one row of each key on a stream; state of a key is dropped once the watermark passes it.
 
-    Copies are first removed within (key, salt), which spreads a key that makes up much of a batch over
-    ``salts`` tasks; the second step then sees at most that many rows of it per watermark interval. A
-    source that is known to repeat no id often can do with one step: ``salts=0``.
+    Of copies in one micro-batch any may be kept (they differ in arrival only); of copies in several, the
+    one in the first. :func:`first_arrival` always keeps the earliest.
+
+    If single ids make up much of a batch, set ``salts``: copies are then first removed within (key, salt) by
+    that many tasks, at the price of a second state store and one more shuffle.
     """
     marked = events.withWatermark("event_ts", watermark)
     if salts > 0:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from salestide import contract as c
 from salestide.functions.frames import frame_body
@@ -15,7 +16,8 @@ from salestide.plans import scenario
 from salestide.session import use_stream_defaults, use_utc, workspace
 from salestide.sources import files
 from salestide.sources.registry import join_registry, load_schemas
-from salestide.streaming import layers, promote
+from salestide.streaming import layers, progress, promote
+from salestide.streaming.dq_sink import write_dq_batch
 from salestide.streaming.replay import land_slices, replay_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,14 +265,17 @@ def partition_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def offset_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze has taken the newest records in; silver has yet to process the last three days of them."""
+    """Two partitions of which the last three days are still to be processed, and one that has not been read at all."""
     bronze = _sales(spark, sf_dir)
-    return ops.offset_lag(bronze, silver.first_arrival(bronze.filter("batch_id < 9")))
+    return ops.offset_lag(bronze, bronze.filter("batch_id < 9 AND kafka_partition <> 2"))
 
 
 @query
 def account_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.account_partitions(_sales(spark, sf_dir))
+    """Some accounts have a share of their events in a second partition."""
+    strayed = (F.col("event_id").cast("bigint") % 7 == 0) & F.col("account_id").endswith("7")
+    partition = F.when(strayed, (F.col("kafka_partition") + 1) % 3).otherwise(F.col("kafka_partition"))
+    return ops.account_partitions(_sales(spark, sf_dir).withColumn("kafka_partition", partition))
 
 
 # --- backfill ---------------------------------------------------------------------------------------
@@ -297,17 +302,26 @@ def backfill_revenue_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(files.read_gold(spark, path, view=None).select(*GOLD), "revenue")
 
 
+def _stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales as bronze keeps them: decoded records, by arrival date."""
+    path = f"{workspace(spark, 'bronze')}/bronze"
+    records = scenario.frames(_sales(spark, sf_dir))
+    bronze = decode.decode_records(records, scenario.registry(spark))
+    bronze.withColumn("ingest_date", F.to_date("kafka_ingest_ts")).write.partitionBy("ingest_date").parquet(path)
+    return spark.read.schema(c.extend(c.BRONZE_SCHEMA, ingest_date=c.DATE)).parquet(path)
+
+
 @query
 def replay_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = scenario.OFFSETS_PER_DAY
     ranges = {0: (5 * day, 10 * day), 1: (0, 20 * day), 2: (12 * day, 100 * day)}
-    replayed = backfill.replay_by_offset(_sales(spark, sf_dir), ranges)
+    replayed = backfill.replay_by_offset(_stored_bronze(spark, sf_dir), ranges)
     return replayed.select("event_id", *RECORD, "region", "amount")
 
 
 @query
 def replay_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replayed = backfill.replay_by_time(_sales(spark, sf_dir), "2024-01-10", "2024-01-20 12:00:00")
+    replayed = backfill.replay_by_time(_stored_bronze(spark, sf_dir), "2024-01-10", "2024-01-20 12:00:00")
     return replayed.select("event_id", *RECORD, "kafka_ingest_ts", "region", "amount")
 
 
@@ -325,12 +339,15 @@ def backfill_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promote the replay over production and read what the pointer then names."""
+    """Promote a replay that no longer counts invalid events, which empties windows, and read what the pointer names."""
+    start, end = "2024-01-10", "2024-01-20"
+    records = backfill.replay_by_time(_sales(spark, sf_dir), start, end)
+    valid, _ = gold.split_by_rules(silver.first_arrival(records))
     root = workspace(spark, "promote")
     promote.write_version(_double_counted(spark, sf_dir), root, "first")
     promote.point_to(spark, root, "first")
-    promote.write_version(_replayed(spark, sf_dir), root, "replay")
-    promote.promote(spark, root, "replay", "second")
+    promote.write_version(gold.revenue_windows(valid), root, "replay")
+    promote.promote(spark, root, "replay", "second", start, end)
     return rounded(promote.current_gold(spark, root).select(*GOLD), "revenue")
 
 
@@ -359,6 +376,86 @@ def gold_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
 
 
+@query
+def restart_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same query, started again after every slice without new records, and killed and resumed in between."""
+    topic, slices, layout = _staged(spark, sf_dir)
+    registry = scenario.registry(spark)
+
+    def start(records: DataFrame):
+        return layers.start_gold(layers.chain(records, registry, fields=layers.GOLD_FIELDS), layout)
+
+    for last in range(len(slices)):
+        for _ in range(2):
+            replay_slices(spark, topic, "slice", slices[: last + 1], start, first=last)
+    return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch, the rows a query has read and those it has turned away as late."""
+    topic, slices, layout = _staged(spark, sf_dir)
+    registry = scenario.registry(spark)
+    runs: list = []
+
+    def start(records: DataFrame):
+        runs.append(layers.start_gold(layers.chain(records, registry, fields=layers.GOLD_FIELDS), layout))
+        return runs[-1]
+
+    replay_slices(spark, topic, "slice", slices, start)
+    for run in runs:
+        progress.store_progress(spark, run, f"{layout.root}/progress")
+    return progress.read_progress(spark, f"{layout.root}/progress").select(
+        "batch_id", "input_rows", "rows_dropped_by_watermark"
+    )
+
+
+@query
+def dq_retry_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a stream whose every batch is written twice, as after a failure between output and commit."""
+    topic, slices, layout = _staged(spark, sf_dir)
+    registry = scenario.registry(spark)
+
+    def write_twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            write_dq_batch(batch, batch_id, layout.dq_dir, layout.run_id)
+
+    def start(records: DataFrame):
+        writer = layers.chain(records, registry).writeStream.foreachBatch(write_twice)
+        return writer.option("checkpointLocation", layout.checkpoint("dq")).trigger(availableNow=True).start()
+
+    replay_slices(spark, topic, "slice", slices, start)
+    return files.read_dq_metrics(spark, layout.dq_dir, layout.run_id).select("batch_id", *quality.METRICS)
+
+
+@query
+def registry_rollout_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 2 is registered after the first slice: its records of that slice are recovered, later ones just decode."""
+    use_stream_defaults(spark)
+    root = workspace(spark, "rollout")
+    rows = scenario.replay_sales(scenario.read_events(spark, sf_dir))
+    slices = land_slices(scenario.mixed_frames(rows, ("slice",)), "slice", f"{root}/topic")
+    layout = layers.Layout(root, "rollout")
+
+    def registry() -> DataFrame:
+        return spark.read.schema(c.REGISTRY_SCHEMA).parquet(f"{root}/registry")
+
+    def start(records: DataFrame):
+        return layers.start_bronze(records, registry, layout, event=c.EVENT_V2, added_fields=c.ADDED_FIELDS)
+
+    for last in range(len(slices)):
+        if last < 2:
+            scenario.registry(spark, (last + 1,)).write.mode("append").parquet(f"{root}/registry")
+        replay_slices(spark, f"{root}/topic", "slice", slices[: last + 1], start, first=last)
+    layers.recover(spark, registry, layout, c.EVENT_V2, c.ADDED_FIELDS)
+    again = layers.recovered(spark, layout, c.EVENT_V2).select(*RECORD, F.lit(True).alias("again"))
+    stored = layers.stored_bronze(spark, layout, c.EVENT_V2).join(again, RECORD, "left")
+    return stored.select(
+        *RECORD, "event_id", "schema_id", "discount", "channel", "quarantine_reason",
+        F.coalesce("again", F.lit(False)).alias("recovered"),
+    )
+
+
 @query
 def dq_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data-quality metrics of every micro-batch of a stream; every other batch only moves the watermark."""
@@ -383,7 +480,13 @@ def _run_dq(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str, str]:
     return spark, layout.dq_dir, layout.run_id
 
 
-def _run_layers(spark: SparkSession, sf_dir: str, with_gold: bool = False) -> layers.Layout:
+def _run_layers(
+    spark: SparkSession,
+    sf_dir: str,
+    after_silver: Callable[[layers.Layout], StreamingQuery] | None = None,
+    silver_behind: int = 0,
+) -> layers.Layout:
+    """Bronze, silver and what follows it, slice by slice; of the last ``silver_behind`` slices only bronze."""
     topic, slices, layout = _staged(spark, sf_dir)
     registry = scenario.registry(spark)
     for last in range(len(slices)):
@@ -391,16 +494,17 @@ def _run_layers(spark: SparkSession, sf_dir: str, with_gold: bool = False) -> la
             spark, topic, "slice", slices[: last + 1],
             lambda records: layers.start_bronze(records, registry, layout), first=last,
         )
-        layers.start_silver(spark, layout).awaitTermination()
-        if with_gold:
-            layers.start_gold_from_silver(spark, layout).awaitTermination()
+        if last < len(slices) - silver_behind:
+            layers.start_silver(spark, layout).awaitTermination()
+            if after_silver is not None:
+                after_silver(layout).awaitTermination()
     return layout
 
 
 @query
 def gold_layers_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold from stored layers: a query each for bronze, silver and gold, slice by slice."""
-    layout = _run_layers(spark, sf_dir, with_gold=True)
+    layout = _run_layers(spark, sf_dir, lambda layout: layers.start_gold_from_silver(spark, layout))
     return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
 
 
@@ -412,8 +516,15 @@ def silver_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("event_id", "event_ts", "ingest_ts", "region", "plan_tier", "amount")
 
 
+@query
+def dq_violations_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule violation of a streaming silver, latency included, from its table."""
+    layout = _run_layers(spark, sf_dir, lambda layout: layers.start_violations(spark, layout))
+    return spark.read.parquet(layout.table("violations")).select("event_id", "event_ts", "dq_violation_reason")
+
+
 @query
 def late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows that the watermark of silver has turned away, copies included."""
-    rows = layers.late_of_run(spark, _run_layers(spark, sf_dir))
+    """Bronze rows that the watermark of silver has turned away, copies included, while silver has yet to read a slice."""
+    rows = layers.late_of_run(spark, _run_layers(spark, sf_dir, silver_behind=1))
     return rows.select("event_id", *RECORD, "event_ts", "kafka_ingest_ts")

@@ -144,6 +144,9 @@ kept as (
     select *, row_number() over (partition by event_id order by kafka_ingest_ts) as rn from on_time
   ) t where rn = 1)"""
 
+_REPLAYED_RANGE = """window_start >= timestamp '2024-01-10'
+  and window_end <= timestamp '2024-01-20' - interval 10 minute"""
+
 _PRODUCTION_AND_REPLAY = f""",
 production as ({_gold('sales')}),
 replayed_silver as (
@@ -152,8 +155,7 @@ replayed_silver as (
     from sales where kafka_ingest_ts >= timestamp '2024-01-10' and kafka_ingest_ts < timestamp '2024-01-20'
   ) t where rn2 = 1),
 replay as (
-  select * from ({_gold('replayed_silver')}) t
-  where window_start >= timestamp '2024-01-10' and window_end <= timestamp '2024-01-20' - interval 10 minute)"""
+  select * from ({_gold('replayed_silver')}) t where {_REPLAYED_RANGE})"""
 
 
 def _totals(side: str) -> str:
@@ -185,6 +187,8 @@ def all_oracles() -> dict[str, str]:
     silver_flags = _SALES + _FLAGS.format(source="silver")
     stream_gold = _REPLAY + f""", gold as ({_gold('kept')})
 select {_GOLD_OUT} from gold where window_end <= (select max(w) from marks)"""
+    dq_stream = _REPLAY + _FLAGS.format(source="kept") + f"""
+select cast(2 * b as bigint) as batch_id, {_COUNTERS} from flags group by b"""
     return {
         "frame_encode": _SALES + f"""
 select account_id as kafka_key, kafka_partition, kafka_offset,
@@ -256,13 +260,16 @@ select batch_id, event_id, dq_violation_reason from (
 select kafka_partition, count(*) as records, min(kafka_offset) as first_offset, max(kafka_offset) as last_offset
 from sales group by kafka_partition""",
         "offset_lag": _SALES + """
-select kafka_partition, latest_offset, processed_offset, latest_offset - coalesce(processed_offset, -1) as lag from (
-  select kafka_partition, max(kafka_offset) as latest_offset from sales group by kafka_partition) a
+select kafka_partition, latest_offset, processed_offset,
+  latest_offset - coalesce(processed_offset, first_offset - 1) as lag from (
+  select kafka_partition, max(kafka_offset) as latest_offset, min(kafka_offset) as first_offset
+  from sales group by kafka_partition) a
 left join (
-  select kafka_partition, max(kafka_offset) as processed_offset from silver where batch_id < 9
-  group by kafka_partition) b using (kafka_partition)""",
+  select kafka_partition, max(kafka_offset) as processed_offset from sales
+  where batch_id < 9 and kafka_partition <> 2 group by kafka_partition) b using (kafka_partition)""",
         "account_partition_check": _SALES + """
-select account_id, count(distinct kafka_partition) as partitions, count(*) as records
+select account_id, count(distinct case when num % 7 = 0 and account_id like '%7' then (kafka_partition + 1) % 3
+  else kafka_partition end) as partitions, count(*) as records
 from sales group by account_id""",
         "backfill_revenue_5m": _SALES + _POISON + f""",
 events_again as (
@@ -292,13 +299,13 @@ from production p full outer join replay r
   and p.plan_tier is not distinct from r.plan_tier""",
         "backfill_totals": _SALES + _PRODUCTION_AND_REPLAY + f"""
 {_totals('production')} union all {_totals('replay')}""",
-        "backfill_promote": _SALES + _PRODUCTION_AND_REPLAY + f"""
-select {_GOLD_OUT} from production where window_start not in (select window_start from replay)
-union all select {_GOLD_OUT} from replay""",
+        "backfill_promote": _SALES + _PRODUCTION_AND_REPLAY + _FLAGS.format(source="replayed_silver") + f""",
+corrected as ({_gold('flags', where='where not (n or d or a)')})
+select {_GOLD_OUT} from production where not ({_REPLAYED_RANGE})
+union all select {_GOLD_OUT} from corrected where {_REPLAYED_RANGE}""",
         "gold_stream_replay": stream_gold,
         "gold_layers_replay": stream_gold,
-        "dq_stream_replay": _REPLAY + _FLAGS.format(source="kept") + f"""
-select cast(2 * b as bigint) as batch_id, {_COUNTERS} from flags group by b""",
+        "dq_stream_replay": dq_stream,
         "dq_history": _REPLAY + _FLAGS.format(source="kept") + """
 select cast(2 * b as bigint) as batch_id, count(*) as total_records,
   cast(greatest(count(*) - sum(cast((n or d or a) as int)), 0) as bigint) as valid_records_estimate,
@@ -306,7 +313,23 @@ select cast(2 * b as bigint) as batch_id, count(*) as total_records,
 from flags group by b""",
         "silver_stream_replay": _REPLAY + """
 select event_id, event_ts, ingest_ts, region, plan_tier, amount from kept""",
+        "dq_violations_stored": _REPLAY + _FLAGS.format(source="kept") + f"""
+select event_id, event_ts, {_REASON} as dq_violation_reason from flags where n or d or a or l""",
         "late_quarantine": _REPLAY + """
 select event_id, kafka_partition, kafka_offset, event_ts, kafka_ingest_ts from sliced
-where event_id not in (select event_id from kept)""",
+where b < (select max(b) from sliced)
+  and event_id not in (select event_id from kept where b < (select max(b) from sliced))""",
+        "restart_replay": stream_gold,
+        "stream_progress": _REPLAY + """
+select cast(2 * s.b as bigint) as batch_id, s.n as input_rows, s.n - coalesce(o.n, 0) as rows_dropped_by_watermark
+from (select b, count(*) as n from sliced group by b) s left join (select b, count(*) as n from on_time group by b) o using (b)
+union all
+select cast(2 * b + 1 as bigint), cast(0 as bigint), cast(0 as bigint) from (select distinct b from sliced) t""",
+        "dq_retry_replay": dq_stream,
+        "registry_rollout_replay": _REPLAY + f"""
+select kafka_partition, kafka_offset, event_id, cast(case when {_V2} then 2 else 1 end as bigint) as schema_id,
+  case when {_V2} then (num % 10) / 10.0 else cast(0 as double) end as discount,
+  case when {_V2} and num % 2 = 0 then 'partner' end as channel, cast(null as varchar) as quarantine_reason,
+  ({_V2} and b = (select min(b) from sliced)) as recovered
+from sliced""",
     }

@@ -1,7 +1,8 @@
 """Sales events, framed records and arrival slices derived from the whole ``events`` table.
 
 The table has no copies, lateness, regions, plans or broken records. They are added by arithmetic on
-its ids, in one pass without a shuffle, so that the oracle SQL can add the same ones.
+its ids, in one pass without a shuffle, so that the oracle SQL can add the same ones. The shares (copies, late
+events, regions, plans, currencies, sources) are roughly those of the event source, as fixed remainders.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
-def registry(spark: SparkSession) -> DataFrame:
+def registry(spark: SparkSession, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     rows = [
         (V1_ID, SUBJECT, 1, "JSON", c.EVENT_V1.simpleString()),
         (V2_ID, SUBJECT, 2, "JSON", c.EVENT_V2.simpleString()),
     ]
-    return local_table(spark, rows, c.REGISTRY_SCHEMA)
+    return local_table(spark, [row for row in rows if row[2] in versions], c.REGISTRY_SCHEMA)
 
 
 def sales(events: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def frames(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return encode_records(rows, F.lit(V1_ID), c.EVENT_V1.names, TOPIC, keep)
 
 
-def mixed_frames(rows: DataFrame) -> DataFrame:
+def mixed_frames(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Sales rows as Kafka rows, a third of them written with version 2 of the contract."""
     event_id = F.col("event_id").cast("bigint")
     v2 = event_id % 3 == 0
@@ -72,7 +73,7 @@ def mixed_frames(rows: DataFrame) -> DataFrame:
             "channel": F.when(v2 & (event_id % 2 == 0), "partner"),
         }
     )
-    return encode_records(versioned, F.when(v2, V2_ID).otherwise(V1_ID), c.EVENT_V2.names, TOPIC)
+    return encode_records(versioned, F.when(v2, V2_ID).otherwise(V1_ID), c.EVENT_V2.names, TOPIC, keep)
 
 
 def poisoned_frames(rows: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def parquet_stream(
 
 def read_gold(spark: SparkSession, path: str, view: str | None = "revenue_5m") -> DataFrame:
     """The gold table, through the sink's commit log, and as a temp view for ad-hoc SQL."""
-    gold = spark.read.schema(c.extend(c.GOLD_SCHEMA, "window_date date")).parquet(path)
+    gold = spark.read.schema(c.extend(c.GOLD_SCHEMA, window_date=c.DATE)).parquet(path)
     if view is not None:
         gold.createOrReplaceTempView(view)
     return gold
@@ -39,7 +39,7 @@ def read_gold(spark: SparkSession, path: str, view: str | None = "revenue_5m") -
 
 def read_dq_metrics(spark: SparkSession, dq_dir: str, run_id: str) -> DataFrame:
     """Metrics of all batches of a run, one row per batch."""
-    schema = c.extend(c.DQ_METRICS_SCHEMA, "run_id string")
+    schema = c.extend(c.DQ_METRICS_SCHEMA, run_id=c.STRING)
     path = f"{dq_dir}/metrics/run_id={run_id}"
     return spark.read.schema(schema).option("basePath", f"{dq_dir}/metrics").json(path)
 
@@ -53,7 +53,7 @@ def read_dq_samples(
     """
     path = f"{dq_dir}/samples/run_id={run_id}"
     return (
-        spark.read.schema(c.extend(schema, "run_id string, batch_id bigint"))
+        spark.read.schema(c.extend(schema, run_id=c.STRING, batch_id=c.LONG))
         .option("basePath", f"{dq_dir}/samples")
         .json(path)
     )

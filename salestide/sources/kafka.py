@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestide import contract as c
 from salestide.functions.frames import encode_frame
 
+# How much wider a range of times is read than asked for.
+TIME_SLACK_MS = 3_600_000
+
 
 class KafkaPackageMissing(RuntimeError):
     """The session was started without Spark's Kafka package."""
@@ -70,29 +74,46 @@ def kafka_time_range(
     start_ms: int,
     end_ms: int,
     min_partitions: int | None = None,
+    slack_ms: int = TIME_SLACK_MS,
 ) -> DataFrame:
-    """The records with a broker timestamp in ``[start_ms, end_ms)``, as a bounded table."""
+    """The records with a timestamp in ``[start_ms, end_ms)``, as a bounded table.
+
+    Kafka finds offsets by time, but where producers set the timestamps, records of the range can lie before
+    or after those offsets: the range is read ``slack_ms`` wider on both sides and then filtered.
+    """
     reader = (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("startingTimestamp", str(start_ms))
-        .option("endingTimestamp", str(end_ms))
+        .option("startingTimestamp", str(max(start_ms - slack_ms, 0)))
+        .option("endingTimestamp", str(end_ms + slack_ms))
         .option("startingOffsetsByTimestampStrategy", "latest")
     )
     if min_partitions is not None:
         reader = reader.option("minPartitions", min_partitions)
-    return _load(reader)
+    return in_time_range(_load(reader), start_ms, end_ms)
 
 
-def publish_events(events: DataFrame, schema_id: int, servers: str, topic: str) -> None:
-    """Write typed events as framed JSON records, keyed by account so one account stays in order."""
-    body = F.to_json(F.struct(*events.columns)).cast("binary")
-    records = events.select(
+def in_time_range(records: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """Kafka rows with a timestamp in ``[start_ms, end_ms)``."""
+    at = F.col("timestamp")
+    return records.filter((at >= F.timestamp_millis(F.lit(start_ms))) & (at < F.timestamp_millis(F.lit(end_ms))))
+
+
+def framed_events(events: DataFrame, schema_id: int, fields: Sequence[str] = c.EVENT_V1.names) -> DataFrame:
+    """Typed events as framed JSON records of the contract's ``fields``, keyed by account."""
+    body = F.to_json(F.struct(*fields)).cast("binary")
+    return events.select(
         F.col("account_id").cast("binary").alias("key"),
         encode_frame(F.lit(schema_id), body).alias("value"),
     )
-    _save(records, servers, topic)
+
+
+def publish_events(
+    events: DataFrame, schema_id: int, servers: str, topic: str, fields: Sequence[str] = c.EVENT_V1.names
+) -> None:
+    """Write typed events as framed JSON records, keyed by account so one account stays in order."""
+    _save(framed_events(events, schema_id, fields), servers, topic)
 
 
 def dead_letters(quarantine: DataFrame) -> DataFrame:

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestide.operators.skew import salted_join
+from salestide.session import fits_broadcast
 
 # A registry holds one row per schema version. A table above this many rows is not broadcast.
 MAX_BROADCAST_SCHEMAS = 10_000
+# A decoder of Avro bodies needs every schema when the query is built: one branch each, so few.
+MAX_AVRO_SCHEMAS = 200
 SALTS = 64
 
+#: A registry, or how to read it again.
+Registry = DataFrame | Callable[[], DataFrame]
+
 
 @dataclass(frozen=True)
 class Schemas:
-    """The registry as it was when a job started: one row per schema id.
+    """The registry for one query: a row per schema id, without the texts of schemas.
 
-    ``table`` holds the rows themselves if they have been counted to be few (``small``), so that no batch
-    of a stream computes them again. ``avro`` lists (schema id, schema text) of Avro bodies: a decoder
-    needs its schema when the query is built.
+    ``small`` says that the rows have been counted to be few. ``avro`` lists (schema id, schema text) of Avro
+    bodies.
     """
 
     table: DataFrame
@@ -28,6 +34,11 @@ class Schemas:
     avro: list[tuple[int, str]]
 
 
+def current(registry: Registry) -> DataFrame:
+    """The registry as it is now; a file table lists its files when it is opened, so open it again for each run."""
+    return registry() if callable(registry) else registry
+
+
 def schemas_by_id(registry: DataFrame, subject: str | None = None) -> DataFrame:
     """One row per schema id.
 
@@ -40,19 +51,22 @@ def schemas_by_id(registry: DataFrame, subject: str | None = None) -> DataFrame:
 
 
 def load_schemas(
-    registry: DataFrame, subject: str | None = None, max_broadcast_rows: int = MAX_BROADCAST_SCHEMAS
+    registry: Registry,
+    subject: str | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_SCHEMAS,
+    max_avro: int = MAX_AVRO_SCHEMAS,
 ) -> Schemas:
-    by_id = schemas_by_id(registry, subject)
-    head = by_id.limit(max_broadcast_rows + 1).toArrow()
-    small = head.num_rows <= max_broadcast_rows
-    if small:
-        table = registry.sparkSession.createDataFrame(head, by_id.schema)
-        avro = [(row["schema_id"], row["schema"]) for row in head.to_pylist() if row["format"] == "AVRO"]
-    else:
-        table = by_id
-        rows = by_id.filter(F.col("format") == "AVRO").select("schema_id", "schema").collect()
-        avro = [(row.schema_id, row.schema) for row in rows]
-    return Schemas(table, small, avro)
+    """What decoding needs of the registry; the same table is joined however many rows it has.
+
+    The driver gets only the texts of Avro schemas, and refuses more than ``max_avro``: decode such topics by
+    subject.
+    """
+    by_id = schemas_by_id(current(registry), subject)
+    texts = by_id.filter(F.col("format") == "AVRO").select("schema_id", "schema").limit(max_avro + 1).collect()
+    if len(texts) > max_avro:
+        raise ValueError(f"more than {max_avro} Avro schemas; pass a subject")
+    table = by_id.drop("schema")
+    return Schemas(table, fits_broadcast(table, max_broadcast_rows), [(row.schema_id, row.schema) for row in texts])
 
 
 def join_registry(records: DataFrame, schemas: Schemas, salts: int = SALTS) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,17 +15,22 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from salestide import contract as c
 from salestide.functions.rules import Rules
-from salestide.operators.decode import accepted, decode_records, quarantined
+from salestide.operators.decode import accepted, decode_again, decode_records, quarantined
 from salestide.operators.gold import DIMENSIONS, revenue_windows, split_by_rules, with_window_date
 from salestide.operators.late import late_rows
+from salestide.operators.ops import offset_lag
 from salestide.operators.quality import dq_violations
 from salestide.operators.silver import STREAM_SALTS, dedup_stream
-from salestide.session import use_stream_defaults
+from salestide.session import fits_broadcast, materialize, use_stream_defaults
 from salestide.sources.files import parquet_stream
 from salestide.sources.kafka import dead_letters
+from salestide.sources.registry import Registry, current
 from salestide.streaming.dq_sink import dq_writer
+from salestide.streaming.progress import dropped_as_late, plain_path, processed_files
 
 GOLD_FIELDS = (*DIMENSIONS, "amount")
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+MAX_BROADCAST_FILES = 200_000
 
 
 @dataclass(frozen=True)
@@ -56,13 +62,17 @@ class Layout:
 
 def start_bronze(
     records: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     layout: Layout,
     trigger: str | None = None,
     event: T.StructType = c.EVENT_V1,
     added_fields: Mapping[str, tuple[int, object]] | None = None,
 ) -> StreamingQuery:
-    """Decode records once and store all of them, quarantined ones included, by arrival date."""
+    """Decode records once and store all of them, quarantined ones included, by arrival date.
+
+    A query knows the schema ids that are registered when it starts. Start it for what is there (no trigger),
+    and again for the next records, with a ``registry`` that is read anew each time.
+    """
     bronze = decode_records(records, registry, event, added_fields=added_fields)
     writer = bronze.withColumn("ingest_date", F.to_date("kafka_ingest_ts")).writeStream.partitionBy("ingest_date")
     return _to_parquet(writer, layout, "bronze", trigger)
@@ -70,21 +80,84 @@ def start_bronze(
 
 def bronze_stream(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Stored bronze as a stream of whole bronze batches."""
-    schema = c.extend(c.bronze_schema(event), "ingest_date date")
-    return parquet_stream(spark, layout.table("bronze"), schema).drop("ingest_date")
+    return parquet_stream(spark, layout.table("bronze"), _bronze_schema(event)).drop("ingest_date")
+
+
+def _bronze_schema(event: T.StructType) -> T.StructType:
+    return c.extend(c.bronze_schema(event), ingest_date=c.DATE)
+
+
+def recover(
+    spark: SparkSession,
+    registry: Registry,
+    layout: Layout,
+    event: T.StructType = c.EVENT_V1,
+    added_fields: Mapping[str, tuple[int, object]] | None = None,
+) -> str:
+    """Decode the records again that came before their schema was registered, and store them as a bronze batch.
+
+    They are written to the table ``recovered``, a file for each call, and silver takes them from there unless they
+    are behind its watermark by now. Records that an earlier call has recovered are left out. Backfill reads
+    them with bronze (:func:`stored_bronze`).
+    """
+    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    again = decode_again(bronze, registry, event, added_fields=added_fields)
+    earlier = recovered(spark, layout, event)
+    if earlier is not None:
+        again = again.join(earlier.select("kafka_partition", "kafka_offset"), ["kafka_partition", "kafka_offset"], "left_anti")
+    path = f"{layout.table('recovered')}/call={time.time_ns()}"
+    again.select(*c.bronze_schema(event).names).coalesce(1).write.parquet(path)  # appears at once, as one file
+    return path
 
 
-def start_quarantine(spark: SparkSession, layout: Layout, trigger: str | None = None) -> StreamingQuery:
+def _recovered_stream(spark: SparkSession, layout: Layout, event: T.StructType) -> DataFrame:
+    """What :func:`recover` stores, as a stream."""
+    schema = c.bronze_schema(event)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{layout.table('recovered')}/call=0")
+    return parquet_stream(spark, layout.table("recovered"), schema).select(*schema.names)
+
+
+def recovered(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame | None:
+    """All rows that :func:`recover` has stored; None before its first call."""
+    try:
+        return spark.read.schema(c.bronze_schema(event)).parquet(f"{layout.table('recovered')}/call=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def stored_bronze(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
+    """All records of a run, each once: as recovered where it was, else as it came, with ``ingest_date``."""
+    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    again = recovered(spark, layout, event)
+    if again is None:
+        return bronze
+    place = ["kafka_partition", "kafka_offset"]
+    unknown = F.col("quarantine_reason").eqNullSafe("UNKNOWN_SCHEMA")
+    still = bronze.filter(unknown).join(again.select(*place), place, "left_anti").select(*bronze.columns)
+    whole = again.withColumn("ingest_date", F.to_date("kafka_ingest_ts"))
+    return bronze.filter(~unknown).unionByName(still).unionByName(whole)
+
+
+def start_quarantine(
+    spark: SparkSession, layout: Layout, trigger: str | None = None, event: T.StructType = c.EVENT_V1
+) -> StreamingQuery:
     """Store the records of bronze that are no events, with their reason and raw value."""
-    writer = quarantined(bronze_stream(spark, layout)).writeStream
+    writer = quarantined(bronze_stream(spark, layout, event)).writeStream
     return _to_parquet(writer, layout, "quarantine", trigger)
 
 
 def start_dead_letters(
-    spark: SparkSession, layout: Layout, servers: str, topic: str, trigger: str | None = None
+    spark: SparkSession,
+    layout: Layout,
+    servers: str,
+    topic: str,
+    trigger: str | None = None,
+    event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
     """Publish the quarantined records of bronze to a dead-letter topic."""
-    letters = dead_letters(quarantined(bronze_stream(spark, layout)))
+    letters = dead_letters(quarantined(bronze_stream(spark, layout, event)))
     writer = (
         letters.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -103,8 +176,8 @@ def start_silver(
     salts: int = STREAM_SALTS,
     event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
-    """Deduplicate the accepted rows of whole bronze batches."""
-    events = accepted(bronze_stream(spark, layout, event))
+    """Deduplicate the accepted rows of whole bronze batches, and of records that have been recovered."""
+    events = accepted(bronze_stream(spark, layout, event).unionByName(_recovered_stream(spark, layout, event)))
     deduped = dedup_stream(events, watermark, salts=salts).withColumn("event_date", F.to_date("event_ts"))
     writer = deduped.writeStream.partitionBy("event_date")
     return _to_parquet(writer, layout, "silver", trigger)
@@ -112,7 +185,7 @@ def start_silver(
 
 def silver_stream(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Stored silver as a stream of whole silver batches."""
-    schema = c.extend(c.silver_schema(event), "event_date date")
+    schema = c.extend(c.silver_schema(event), event_date=c.DATE)
     return parquet_stream(spark, layout.table("silver"), schema).drop("event_date")
 
 
@@ -140,42 +213,38 @@ def start_gold_from_silver(
     watermark: str = c.WATERMARK_DELAY,
     dims: tuple[str, ...] = DIMENSIONS,
     gate: Rules | None = None,
+    event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
-    """Gold from stored silver, under the watermark that silver was made with.
+    """Gold from stored silver, under the watermark that silver was made with: one deduplication for all.
 
-    For scheduled runs only, silver first: there every silver batch is followed by an empty one, so both
-    queries find the same rows late. In back-to-back batches silver's limit is one batch behind its
-    watermark, and gold could drop rows that silver still took; use :func:`start_gold_from_bronze`.
+    Gold must not find rows late that silver has taken. In scheduled runs every silver batch is followed by
+    an empty one, so both queries have the same limit. Live, both limits trail the newest batch, but an empty
+    batch of gold between two of silver would put gold's ahead: with a trigger, gold runs no empty batches, and
+    a closed window is written with the next silver rows.
 
     With ``gate``, rows that break a rule are no revenue; :func:`start_violations` keeps them.
     """
-    events = silver_stream(spark, layout).withWatermark("event_ts", watermark)
+    events = silver_stream(spark, layout, event).withWatermark("event_ts", watermark)
     if gate is not None:
         events, _ = split_by_rules(events, gate)
-    return start_gold(events.select("event_ts", *dims, "amount"), layout, trigger, dims=dims)
+    before = spark.conf.get(_EMPTY_BATCHES)
+    spark.conf.set(_EMPTY_BATCHES, "true" if trigger is None else "false")  # a query keeps what it started with
+    try:
+        return start_gold(events.select("event_ts", *dims, "amount"), layout, trigger, dims=dims)
+    finally:
+        spark.conf.set(_EMPTY_BATCHES, before)
 
 
 def start_violations(
-    spark: SparkSession, layout: Layout, rules: Rules = Rules(), trigger: str | None = None
-) -> StreamingQuery:
-    """Store every silver row that a gate with these rules turns away, with the names of the broken rules."""
-    _, invalid = split_by_rules(silver_stream(spark, layout), rules)
-    return _to_parquet(dq_violations(invalid, rules).writeStream, layout, "violations", trigger)
-
-
-def start_gold_from_bronze(
     spark: SparkSession,
     layout: Layout,
+    rules: Rules = Rules(),
     trigger: str | None = None,
-    watermark: str = c.WATERMARK_DELAY,
-    salts: int = STREAM_SALTS,
-    dims: tuple[str, ...] = DIMENSIONS,
+    event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
-    """Gold from stored bronze, deduplicated in the same query: what passes deduplication is never late
-    for its window, however batches fall."""
-    bronze = accepted(bronze_stream(spark, layout))
-    events = bronze.select("event_id", "event_ts", "kafka_offset", *dims, "amount")
-    return start_gold(dedup_stream(events, watermark, salts=salts), layout, trigger, dims=dims)
+    """Store every silver row that breaks a rule, latency included, with the names of the broken rules."""
+    broken = dq_violations(silver_stream(spark, layout, event), rules)
+    return _to_parquet(broken.writeStream, layout, "violations", trigger)
 
 
 def start_dq(
@@ -195,21 +264,57 @@ def start_dq(
     return _start(writer, trigger)
 
 
-def late_of_run(spark: SparkSession, layout: Layout, arrived_before: datetime | None = None) -> DataFrame:
-    """Accepted bronze rows that silver has turned away.
+def processed_by_silver(
+    spark: SparkSession,
+    layout: Layout,
+    since: date | None = None,
+    until: date | None = None,
+    event: T.StructType = c.EVENT_V1,
+) -> DataFrame:
+    """The bronze rows of the batches that silver has committed, whatever became of them.
+
+    ``since`` and ``until`` (both included) bound the arrival dates, and so the files that are opened.
+    """
+    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    if since is not None:
+        bronze = bronze.filter(F.col("ingest_date") >= F.lit(since))
+    if until is not None:
+        bronze = bronze.filter(F.col("ingest_date") <= F.lit(until))
+    files = materialize(processed_files(spark, layout.checkpoint("silver")), "processed-files")
+    few = F.broadcast(files) if fits_broadcast(files, MAX_BROADCAST_FILES) else files
+    of_file = bronze.withColumn("_path", plain_path(F.col("_metadata.file_path")))
+    return of_file.join(few, of_file["_path"] == few["path"], "left_semi").drop("_path")
+
+
+def late_of_run(
+    spark: SparkSession,
+    layout: Layout,
+    since: date | None = None,
+    until: date | None = None,
+    event: T.StructType = c.EVENT_V1,
+) -> DataFrame:
+    """Accepted bronze rows that silver has turned away, of the batches that silver has committed.
 
-    Silver must have processed all of bronze, or at least everything that arrived before the given time.
+    Rows that silver has yet to read are not late, however far it is behind. With ``since`` or ``until``, only
+    those arrival dates of bronze are opened, and of silver the event dates that their rows have.
     """
-    bronze = accepted(spark.read.schema(c.BRONZE_SCHEMA).parquet(layout.table("bronze")))
-    if arrived_before is not None:
-        bronze = bronze.filter(F.col("kafka_ingest_ts") < F.lit(arrived_before))
-    silver = spark.read.schema(c.SILVER_SCHEMA).parquet(layout.table("silver"))
+    bronze = accepted(processed_by_silver(spark, layout, since, until, event)).drop("ingest_date")
+    silver = spark.read.schema(c.extend(c.silver_schema(event), event_date=c.DATE)).parquet(layout.table("silver"))
+    if since is not None or until is not None:
+        span = bronze.agg(F.to_date(F.min("event_ts")).alias("first_"), F.to_date(F.max("event_ts")).alias("last_")).first()
+        silver = silver.filter(F.col("event_date").between(F.lit(span.first_), F.lit(span.last_)))
     return late_rows(bronze, silver)
 
 
+def lag_of_run(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
+    """Per partition, how far silver is behind bronze; 0 everywhere once it has read all of it."""
+    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    return offset_lag(bronze, processed_by_silver(spark, layout, event=event))
+
+
 def chain(
     records: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     watermark: str = c.WATERMARK_DELAY,
     salts: int = STREAM_SALTS,
     fields: Sequence[str] | None = None,
@@ -227,57 +332,139 @@ def chain(
     return dedup_stream(events, watermark, salts=salts)
 
 
+@dataclass(frozen=True)
+class Options:
+    """What the runners' queries have in common."""
+
+    watermark: str = c.WATERMARK_DELAY
+    rules: Rules = Rules()
+    salts: int = STREAM_SALTS
+    gated: bool = False
+    """Whether rows that break a rule are kept out of revenue."""
+    event: T.StructType = c.EVENT_V1
+    added_fields: Mapping[str, tuple[int, object]] | None = None
+    dead_letters: tuple[str, str] | None = None
+    """Servers and topic that quarantined records are published to."""
+
+
+def _after_bronze(spark: SparkSession, layout: Layout, trigger: str | None, options: Options) -> list[StreamingQuery]:
+    """The queries that read bronze and store what is no event."""
+    queries = [start_quarantine(spark, layout, trigger, options.event)]
+    if options.dead_letters is not None:
+        queries.append(start_dead_letters(spark, layout, *options.dead_letters, trigger, options.event))
+    return queries
+
+
+def _after_silver(spark: SparkSession, layout: Layout, trigger: str | None, options: Options) -> list[StreamingQuery]:
+    """The queries that read silver; gold comes first."""
+    gate = options.rules if options.gated else None
+    silver = silver_stream(spark, layout, options.event)
+    return [
+        start_gold_from_silver(spark, layout, trigger, options.watermark, gate=gate, event=options.event),
+        start_dq(silver, layout, trigger, options.rules, persist=False),
+        start_violations(spark, layout, options.rules, trigger, options.event),
+    ]
+
+
+def check_gold(gold: StreamingQuery) -> None:
+    """Raise if gold has dropped rows: silver has taken them, so its revenue would be short."""
+    dropped = dropped_as_late(gold)
+    if dropped:
+        raise RuntimeError(f"{gold.name} dropped {dropped} rows of silver as late")
+
+
 def run_layers_once(
-    spark: SparkSession, records: DataFrame, registry: DataFrame, layout: Layout, rules: Rules = Rules()
+    spark: SparkSession, records: DataFrame, registry: Registry, layout: Layout, options: Options = Options()
 ) -> None:
     """Take everything that is there through bronze, silver, gold and data quality, then stop.
 
-    A later run continues where this one ended. Do not mix it with :func:`run_layers` on one layout:
-    their gold queries keep different state.
+    A later run continues where this one ended, and reads the registry again if it is given as a function. A
+    layer takes all it finds as one batch; for a long history, backfill is the way.
     """
     use_stream_defaults(spark)
-    start_bronze(records, registry, layout).awaitTermination()
-    start_silver(spark, layout).awaitTermination()
-    queries = [
-        start_quarantine(spark, layout),
-        start_gold_from_silver(spark, layout),
-        start_dq(silver_stream(spark, layout), layout, rules=rules, persist=False),
-    ]
+    _bronze_run(records, registry, layout, options)
+    if _has_rows(spark, layout.table("bronze")):
+        recover(spark, registry, layout, options.event, options.added_fields)
+    start_silver(spark, layout, None, options.watermark, options.salts, options.event).awaitTermination()
+    queries = [*_after_silver(spark, layout, None, options), *_after_bronze(spark, layout, None, options)]
     for query in queries:
         query.awaitTermination()
+    check_gold(queries[0])
+
+
+def _bronze_run(records: DataFrame, registry: Registry, layout: Layout, options: Options) -> None:
+    start_bronze(
+        records, registry, layout, event=options.event, added_fields=options.added_fields
+    ).awaitTermination()
 
 
 def run_layers(
     spark: SparkSession,
     records: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     layout: Layout,
     trigger: str = c.TRIGGER_INTERVAL,
-    watermark: str = c.WATERMARK_DELAY,
-    rules: Rules = Rules(),
+    options: Options = Options(),
 ) -> None:
-    """Run all queries until one of them stops, then stop the others.
+    """Run all layers until one of their queries stops, then stop the others.
 
-    Gold and silver deduplicate on their own. Their batches differ, so an event at the edge of the
-    watermark can be late for one and not for the other.
+    Bronze takes what is there, run after run at the trigger's interval, and each run opens the registry
+    again, so a record that comes after its schema has been registered finds it. When the registry has
+    changed, records that came too early (also those that came while a run was starting) are recovered. The
+    other queries run throughout. Silver deduplicates; gold and data quality read silver, and gold must find
+    none of it late.
     """
     use_stream_defaults(spark)
-    spark.streams.resetTerminated()  # queries that this session ran before do not count
+    pause = _seconds(spark, trigger)
     queries: list[StreamingQuery] = []
+    seen = None
     try:
-        queries.append(start_bronze(records, registry, layout, trigger))
-        wait_for_first_batch(queries[-1])
-        queries.append(start_quarantine(spark, layout, trigger))
-        queries.append(start_gold_from_bronze(spark, layout, trigger, watermark))
-        queries.append(start_silver(spark, layout, trigger, watermark))
-        wait_for_first_batch(queries[-1])
-        queries.append(start_dq(silver_stream(spark, layout), layout, trigger, rules, persist=False))
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            began = time.monotonic()
+            _bronze_run(records, registry, layout, options)
+            registered = _registered(registry)
+            if registered != seen and _has_rows(spark, layout.table("bronze")):
+                recover(spark, registry, layout, options.event, options.added_fields)
+                seen = registered
+            if not queries and _has_rows(spark, layout.table("bronze")):
+                queries += _after_bronze(spark, layout, trigger, options)
+                queries.append(start_silver(spark, layout, trigger, options.watermark, options.salts, options.event))
+                wait_for_first_batch(queries[-1])
+                gold, *others = _after_silver(spark, layout, trigger, options)
+                queries += [gold, *others]
+            if queries:
+                check_gold(gold)
+            time.sleep(max(0.0, pause - (time.monotonic() - began)))
+        for query in queries:
+            if query.exception() is not None:
+                raise query.exception()
     finally:
         for query in queries:
             query.stop()
 
 
+def _registered(registry: Registry) -> tuple:
+    """Changes when the registry does; one row, whatever its size."""
+    ids = F.xxhash64("schema_id", "subject", "version")
+    return tuple(current(registry).agg(F.count(F.lit(1)), F.bit_xor(ids)).first())
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a query has committed rows to a table; its readers must find the table's commit log."""
+    try:
+        return not spark.read.schema(c.table(kafka_offset=c.LONG)).parquet(path).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def _seconds(spark: SparkSession, interval: str) -> float:
+    zero = F.lit(0).cast("timestamp")
+    length = F.unix_micros(zero + F.expr(f"INTERVAL {interval}")) - F.unix_micros(zero)
+    return spark.range(1).select(length).first()[0] / 1e6
+
+
 def wait_for_first_batch(query: StreamingQuery, poll_seconds: float = 0.5) -> None:
     """Wait until a query has written a batch, in this run or an earlier one.
 

@@ -1,9 +1,15 @@
-"""Backfill output in isolated versions, and a pointer table that names the one readers use."""
+"""Backfill output in isolated versions, and a pointer table that names the one readers use.
+
+A version is a list of window dates and, for each, the run whose files hold it. So a promotion writes only the
+dates it touches and refers to the rest; earlier versions stay whole and can be pointed to again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,22 +19,35 @@ from salestide.operators.decode import accepted, decode_records
 from salestide.operators.gold import revenue_windows, with_window_date
 from salestide.operators.silver import first_arrival
 from salestide.sources.files import read_gold
+from salestide.sources.registry import Registry
+
+_MANIFEST = c.table(window_date=c.DATE, run_id=c.STRING)
+_POINTER = c.table(version=c.STRING, seq=c.LONG, promoted_at=c.TIMESTAMP)
+
+
+class StalePointer(RuntimeError):
+    """Another version has been promoted since this promotion read its production."""
 
 
-def write_version(gold: DataFrame, root: str, run_id: str) -> str:
+def write_version(gold: DataFrame, root: str, run_id: str, kept: DataFrame | None = None) -> str:
     """Write a gold table to a folder of its own; fails if that run has already written one.
 
-    Rows are brought together by date; Spark merges small dates into one task and splits large ones.
+    Rows are brought together by date; Spark merges small dates into one task and splits large ones. ``kept``
+    lists dates (and their runs) that the version takes over as they are.
     """
     path = f"{root}/versions/run_id={run_id}"
     by_date = with_window_date(gold).hint("rebalance", "window_date")
     by_date.write.mode("errorifexists").partitionBy("window_date").parquet(path)
+    written = gold.sparkSession.read.schema(c.extend(c.GOLD_SCHEMA, window_date=c.DATE)).parquet(path)
+    dates = written.select("window_date").distinct().withColumn("run_id", F.lit(run_id))
+    listed = dates if kept is None else dates.unionByName(kept)
+    listed.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/run_id={run_id}")
     return path
 
 
 def backfill_gold(
     records: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     root: str,
     run_id: str,
     parameters: Mapping[str, str] | None = None,
@@ -59,32 +78,67 @@ def runs(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/runs")
 
 
-def point_to(spark: SparkSession, root: str, run_id: str) -> None:
-    """Make a version the current one. Earlier versions stay, so a promotion can be taken back."""
-    pointer = spark.range(0, 1, 1, 1).select(
-        F.lit(run_id).alias("version"), F.current_timestamp().alias("promoted_at")
-    )
-    pointer.write.mode("append").parquet(f"{root}/pointer")
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_POINTER).parquet(f"{root}/pointer")
+
 
+def pointer(spark: SparkSession, root: str) -> tuple[str | None, int]:
+    """The current version and the number of its promotion; (None, 0) before the first."""
+    try:
+        newest = _pointers(spark, root).agg(F.max_by("version", "seq").alias("version"), F.max("seq").alias("seq")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, 0
+    return newest.version, newest.seq
 
-def current_version(spark: SparkSession, root: str) -> str:
-    pointers = spark.read.schema("version string, promoted_at timestamp").parquet(f"{root}/pointer")
-    return pointers.agg(F.max_by("version", "promoted_at")).first()[0]
+
+def point_to(spark: SparkSession, root: str, run_id: str, after: int | None = None) -> None:
+    """Make a version the current one. Earlier versions stay, so a promotion can be taken back.
+
+    ``after`` is the promotion that the caller has seen last; if there has been another one, nothing changes and
+    :class:`StalePointer` is raised. Promotions are numbered, and a number is written once.
+    """
+    seen = pointer(spark, root)[1] if after is None else after
+    row = spark.range(0, 1, 1, 1).select(F.lit(run_id).alias("version"), F.current_timestamp().alias("promoted_at"))
+    try:
+        row.write.mode("errorifexists").parquet(f"{root}/pointer/seq={seen + 1}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise StalePointer(f"promotion {seen + 1} has been taken; read production again") from error
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    return pointer(spark, root)[0]
+
+
+def manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """The dates of a version and the runs that hold them."""
+    return spark.read.schema(_MANIFEST).parquet(f"{root}/manifests/run_id={run_id}")
 
 
 def read_version(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    path = f"{root}/versions/run_id={run_id}"
-    return read_gold(spark, path, view=None).drop("window_date")
+    """The gold table of a version; the driver lists its dates, a few hundred for each year."""
+    folders = [
+        f"{root}/versions/run_id={row.run_id}/window_date={row.window_date}"
+        for row in manifest(spark, root, run_id).orderBy("window_date").collect()
+    ]
+    schema = c.extend(c.GOLD_SCHEMA, run_id=c.STRING, window_date=c.DATE)
+    if not folders:
+        return spark.createDataFrame([], c.GOLD_SCHEMA)
+    stored = spark.read.schema(schema).option("basePath", f"{root}/versions").parquet(*folders)
+    return stored.select(*c.GOLD_SCHEMA.names, "window_date")
 
 
 def current_gold(spark: SparkSession, root: str) -> DataFrame:
     """The gold table that the pointer names."""
-    return read_version(spark, root, current_version(spark, root))
+    return read_version(spark, root, current_version(spark, root)).drop("window_date")
 
 
 def replay_report(spark: SparkSession, root: str, replay_run: str) -> DataFrame:
     """What promoting a stored replay would change: gold rows and event counts by kind of difference."""
-    diff = gold_diff(current_gold(spark, root), read_version(spark, root, replay_run))
+    diff = gold_diff(current_gold(spark, root), read_version(spark, root, replay_run).drop("window_date"))
     return diff.groupBy("status").agg(
         F.count(F.lit(1)).alias("gold_rows"),
         F.sum("events_production").alias("events_production"),
@@ -92,14 +146,23 @@ def replay_report(spark: SparkSession, root: str, replay_run: str) -> DataFrame:
     )
 
 
-def promote(spark: SparkSession, root: str, replay_run: str, run_id: str) -> str:
-    """Merge a stored replay over the current version into a new version and point readers to it.
+def promote(
+    spark: SparkSession, root: str, replay_run: str, run_id: str, start: datetime | str, end: datetime | str
+) -> str:
+    """Replace the range of a stored replay of arrivals in ``[start, end)`` in production and point readers to it.
 
-    The replay is read from its isolated output, so its events are not computed again for the merge.
+    The replay is read from its isolated output, so its events are not computed again. Only dates that the
+    range touches are written; of all others the new version keeps production's files. If another promotion
+    comes in between, this one is refused.
     """
-    replay = read_version(spark, root, replay_run)
-    path = write_version(merge_windows(current_gold(spark, root), replay), root, run_id)
-    point_to(spark, root, run_id)
+    version, seq = pointer(spark, root)
+    dates = manifest(spark, root, version)
+    first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    touched = F.col("window_date").between(F.to_date(first), F.to_date(last))
+    production = read_version(spark, root, version).filter(touched).drop("window_date")
+    replay = read_version(spark, root, replay_run).filter(touched).drop("window_date")
+    path = write_version(merge_windows(production, replay, start, end), root, run_id, dates.filter(~touched))
+    point_to(spark, root, run_id, after=seq)
     return path
 
 
@@ -108,6 +171,7 @@ def publish(spark: SparkSession, gold_path: str, root: str, run_id: str) -> str:
 
     Only files that the stream has committed are read.
     """
+    _, seq = pointer(spark, root)
     path = write_version(read_gold(spark, gold_path, view=None).drop("window_date"), root, run_id)
-    point_to(spark, root, run_id)
+    point_to(spark, root, run_id, after=seq)
     return path

@@ -47,24 +47,57 @@ def test_totals(spark):
     assert (rows["replay"].gold_rows, rows["replay"].event_count, rows["replay"].revenue) == (5, 5, 4.0)
 
 
-def test_merge_replaces_whole_windows(spark):
-    merged = backfill.merge_windows(sold(spark, PRODUCTION), sold(spark, REPLAY))
+SPAN = at(0), at(900 + 600)  # three windows and the watermark delay
+
+
+def test_merge_replaces_the_replayed_range(spark):
+    """The window at ten minutes, of which the replay has nothing left, goes; the one beyond the range stays."""
+    beyond = event("far", 5000.0)
+    merged = backfill.merge_windows(sold(spark, [*PRODUCTION, beyond]), sold(spark, REPLAY), *SPAN)
     got = sorted((int(r.window_start.timestamp()) - int(at(0).timestamp()), r.region or "", r.event_count) for r in merged.collect())
-    assert got == [(0, "", 1), (0, "APAC", 1), (0, "NA", 1), (300, "EU", 1), (300, "NA", 1), (600, "NA", 1)]
+    assert got == [(0, "", 1), (0, "APAC", 1), (0, "NA", 1), (300, "EU", 1), (300, "NA", 1), (4800, "NA", 1)]
 
 
 def test_promotion_leaves_old_versions_and_can_be_taken_back(spark, folder):
+    assert promote.pointer(spark, folder) == (None, 0)
     promote.write_version(sold(spark, PRODUCTION), folder, "v1")
     promote.point_to(spark, folder, "v1")
     promote.write_version(sold(spark, REPLAY), folder, "replay")
     assert promote.current_gold(spark, folder).count() == 5
     report = {r.status: r.gold_rows for r in promote.replay_report(spark, folder, "replay").collect()}
     assert report == {"changed": 1, "same": 3, "only_replay": 1, "only_production": 1}
-    promote.promote(spark, folder, "replay", "v2")
+    promote.promote(spark, folder, "replay", "v2", *SPAN)
     assert promote.current_version(spark, folder) == "v2"
-    assert promote.current_gold(spark, folder).count() == 6
-    promote.point_to(spark, folder, "v1")
     assert promote.current_gold(spark, folder).count() == 5
+    assert promote.current_gold(spark, folder).filter("region = 'APAC'").count() == 1
+    promote.point_to(spark, folder, "v1")
+    assert promote.current_gold(spark, folder).filter("region = 'APAC'").count() == 0
+
+
+def test_promotion_writes_only_the_dates_it_touches(spark, folder):
+    day = 86_400.0
+    promote.write_version(sold(spark, [event(str(d), d * day) for d in range(5)]), folder, "v1")
+    promote.point_to(spark, folder, "v1")
+    promote.write_version(sold(spark, [event("again", 2 * day, amount=7.0)]), folder, "replay")
+    promote.promote(spark, folder, "replay", "v2", at(2 * day), at(3 * day))
+    runs = {r.window_date.day: r.run_id for r in promote.manifest(spark, folder, "v2").collect()}
+    assert runs == {1: "v1", 2: "v1", 3: "v2", 4: "v2", 5: "v1"}
+    rows = promote.current_gold(spark, folder).orderBy("window_start").collect()
+    assert [r.revenue for r in rows] == [1.0, 1.0, 7.0, 1.0, 1.0]
+    promote.write_version(sold(spark, []), folder, "empty")
+    promote.promote(spark, folder, "empty", "v3", at(0), at(6 * day))
+    assert promote.current_gold(spark, folder).count() == 0
+
+
+def test_a_promotion_that_another_has_overtaken_is_refused(spark, folder):
+    promote.write_version(sold(spark, PRODUCTION), folder, "v1")
+    promote.point_to(spark, folder, "v1")
+    _, seen = promote.pointer(spark, folder)
+    promote.write_version(sold(spark, REPLAY), folder, "other")
+    promote.point_to(spark, folder, "other")
+    with pytest.raises(promote.StalePointer):
+        promote.point_to(spark, folder, "v1", after=seen)
+    assert promote.current_version(spark, folder) == "other"
 
 
 def test_a_run_never_overwrites_a_version(spark, folder):
@@ -83,6 +116,11 @@ def test_replay_ranges_reach_the_scan(spark, folder):
     by_time = backfill.replay_by_time(stored, at(10), at(12))
     assert sorted(r.kafka_offset for r in by_time.collect()) == [10, 11]
     assert "GreaterThanOrEqual(kafka_ingest_ts" in by_time._jdf.queryExecution().executedPlan().toString()
+    dated = silver_table(spark, [event(str(d), 86_400.0 * d, offset=d) for d in range(20)])
+    dated.withColumn("ingest_date", F.to_date("kafka_ingest_ts")).write.partitionBy("ingest_date").parquet(f"{folder}/dated")
+    few = backfill.replay_by_time(spark.read.parquet(f"{folder}/dated"), at(86_400 * 3), at(86_400 * 5))
+    assert sorted(r.kafka_offset for r in few.collect()) == [3, 4]
+    assert "PartitionFilters: [isnotnull(ingest_date" in few._jdf.queryExecution().executedPlan().toString()
     assert backfill.replay_by_offset(stored, {}).count() == 0
 
 
@@ -92,7 +130,7 @@ def test_partition_reports(spark):
     spread = {r.kafka_partition: (r.records, r.first_offset, r.last_offset) for r in ops.partition_distribution(bronze).collect()}
     assert spread == {0: (1, 0, 0), 1: (1, 1, 1), 2: (8, 2, 9)}
     lag = {r.kafka_partition: r.lag for r in ops.offset_lag(bronze, bronze.filter("kafka_offset in (0, 5)")).collect()}
-    assert lag == {0: 0, 1: 2, 2: 4}
+    assert lag == {0: 0, 1: 0, 2: 4}
     accounts = {r.account_id: r.partitions for r in ops.account_partitions(bronze).collect()}
     assert accounts == {"a0": 2, "a1": 2}
 
@@ -126,7 +164,7 @@ def test_a_partial_replay_replaces_only_windows_it_has_seen_in_full(spark):
     assert complete.count() == 2 * 10
     statuses = {r.status for r in backfill.gold_diff(full, complete).select("status").distinct().collect()}
     assert statuses == {"same", "only_production"}
-    merged = backfill.merge_windows(full, complete)
+    merged = backfill.merge_windows(full, partial, start, end)
     assert {r.status for r in backfill.gold_diff(full, merged).select("status").distinct().collect()} == {"same"}
 
 

@@ -111,6 +111,24 @@ def test_large_registry_is_joined_by_salted_shuffle(spark):
     assert sorted(map(tuple, by_shuffle.select(columns).collect())) == sorted(map(tuple, by_broadcast.collect()))
 
 
+def test_unknown_schemas_are_decoded_again_once_registered(spark):
+    values = [frame(body("a")), frame(body("b"), 7), frame(b"{", 7), frame(body("c"), 8), None]
+    bronze = decode.decode_records(kafka_table(spark, values), registry(spark))
+    later = registry(spark, [(1, "s", 1, "JSON", "x"), (7, "s", 3, "JSON", "y")])
+    again = decode.decode_again(bronze, later).orderBy("kafka_offset")
+    assert again.columns == bronze.columns
+    assert [(r.kafka_offset, r.event_id, r.quarantine_reason) for r in again.collect()] == [
+        (1, "b", None), (2, None, "BAD_PAYLOAD"),
+    ]
+
+
+def test_avro_schemas_are_bounded(spark):
+    table = registry(spark, [(i, "s", i, "AVRO", "{}") for i in range(4)])
+    assert len(load_schemas(table, max_avro=4).avro) == 4
+    with pytest.raises(ValueError, match="Avro"):
+        load_schemas(table, max_avro=3)
+
+
 def test_fields_of_later_versions_take_reader_defaults(spark):
     values = [
         frame(body("old")), frame(body("new", discount=0.25, channel="partner", schema_version=2), 2),

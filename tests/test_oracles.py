@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from salestide.plans import catalog, oracles
 
 SF = "/root/testdata/sf0.01"
 SPARK_TYPES = {
@@ -18,17 +19,19 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.all_queries()) == set(oracles.all_oracles())
+    assert catalog.all_queries().keys() <= entry.queries().keys()
+    assert oracles.all_oracles().items() <= entry.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_query_equals_oracle(spark, duck, name):
-    sql = entry.oracle_sql()[name]
-    result = entry.queries()[name](spark, SF)
+    sql = oracles.all_oracles()[name]
+    result = catalog.all_queries()[name](spark, SF)
     columns, expected = oracle.oracle_rows(duck, sql)
     assert sorted(result.columns) == columns
     types = {field.name: field.dataType.simpleString() for field in result.schema.fields}

@@ -1,5 +1,6 @@
 """Streams against batch results: lateness, restart, retry, layers, progress."""
 
+import datetime
 import os
 import threading
 import time
@@ -181,9 +182,8 @@ def test_dedup_state_is_dropped_behind_the_watermark(spark):
         lambda records: layers.start_dq(layers.chain(records, schemas), layout),
     )
     operators = state_operators(spark, layout.checkpoint("dq")).collect()
-    assert [r.operatorName for r in operators] == ["dedupeWithinWatermark"] * 2
-    for operator in (0, 1):
-        assert state_rows(spark, layout.checkpoint("dq"), operator).count() < 20
+    assert [r.operatorName for r in operators] == ["dedupeWithinWatermark"]
+    assert state_rows(spark, layout.checkpoint("dq")).count() < 20
 
 
 def test_broken_records_do_not_stop_the_stream(spark, folder):
@@ -241,34 +241,73 @@ def test_stream_gold_is_published_in_few_files(spark, folder):
     assert len(published.inputFiles()) <= len(stream.inputFiles())
 
 
-def test_gold_from_bronze_equals_gold_from_silver_in_scheduled_runs(spark):
-    topic, numbers, root = staged(spark)
-    one, two = layers.Layout(root, "r"), layers.Layout(root, "r", {"gold": f"{root}/g2", "checkpoints": f"{root}/c2"})
-    schemas = registry(spark)
-    for last in range(len(numbers)):
-        replay_slices(
-            spark, topic, "slice", numbers[: last + 1],
-            lambda records: layers.start_bronze(records, schemas, one), first=last,
-        )
-        layers.start_silver(spark, one).awaitTermination()
-        layers.start_gold_from_silver(spark, one).awaitTermination()
-        query = layers.start_gold_from_bronze(spark, two)
-        query.awaitTermination()
-    assert gold_set(spark, one) == gold_set(spark, two) != []
-
-
 def test_streams_take_other_dimensions(spark, folder):
     values = [frame(body("a", 0.0)), frame(body("b", 1.0, currency="EUR")), frame(body("z", 7200.0))]
     kafka_table(spark, values).write.parquet(f"{folder}/topic")
-    one, two = layers.Layout(folder, "r"), layers.Layout(folder, "r", {"gold": f"{folder}/g2", "checkpoints": f"{folder}/c2"})
+    layout = layers.Layout(folder, "r")
     source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
-    layers.start_bronze(source, registry(spark), one).awaitTermination()
-    layers.start_silver(spark, one).awaitTermination()
-    layers.start_gold_from_silver(spark, one, dims=("currency",)).awaitTermination()
-    layers.start_gold_from_bronze(spark, two, dims=("currency",)).awaitTermination()
-    for layout in (one, two):
-        rows = spark.read.parquet(layout.table("gold")).collect()
-        assert sorted((r.currency, r.revenue, r.event_count) for r in rows) == [("EUR", 1.0, 1), ("USD", 1.0, 1)]
+    layers.start_bronze(source, registry(spark), layout).awaitTermination()
+    layers.start_silver(spark, layout).awaitTermination()
+    layers.start_gold_from_silver(spark, layout, dims=("currency",)).awaitTermination()
+    rows = spark.read.parquet(layout.table("gold")).collect()
+    assert sorted((r.currency, r.revenue, r.event_count) for r in rows) == [("EUR", 1.0, 1), ("USD", 1.0, 1)]
+
+
+def land(spark, folder, values, first=0):
+    table = kafka_table(spark, [None] * first + values).filter(F.col("offset") >= first)
+    table.coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+
+
+def test_rows_that_silver_has_not_read_are_not_late_but_lag(spark, folder):
+    layout = layers.Layout(folder, "r")
+    values = [frame(body("a", 0.0)), frame(body("b", 7200.0)), frame(body("b", 7200.0))]
+    land(spark, folder, values)
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    layers.start_bronze(source, registry(spark), layout).awaitTermination()
+    layers.start_silver(spark, layout).awaitTermination()
+    land(spark, folder, [frame(body("late", 1.0)), frame(body("new", 9000.0)), b"poison"], first=3)
+    layers.start_bronze(source, registry(spark), layout).awaitTermination()
+    assert layers.late_of_run(spark, layout).count() == 0
+    assert [r.lag for r in layers.lag_of_run(spark, layout).collect()] == [3]
+    layers.start_silver(spark, layout).awaitTermination()
+    assert [r.event_id for r in layers.late_of_run(spark, layout).collect()] == ["late"]
+    assert [r.lag for r in layers.lag_of_run(spark, layout).collect()] == [0]
+    day = datetime.date(2026, 1, 1)
+    bounded = layers.late_of_run(spark, layout, since=day, until=day)
+    assert [r.event_id for r in bounded.collect()] == ["late"]
+    plan = layers.processed_by_silver(spark, layout, since=day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert layers.late_of_run(spark, layout, since=datetime.date(2026, 1, 2)).count() == 0
+
+
+def test_records_that_came_before_their_schema_are_recovered_once(spark, folder):
+    layout = layers.Layout(folder, "r")
+    land(spark, folder, [frame(body("a", 0.0)), frame(body("b", 1.0), 2), frame(body("c", 2.0), 3), b"x"])
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    one, two = [(1, "s", 1, "JSON", "v1")], [(1, "s", 1, "JSON", "v1"), (2, "s", 2, "JSON", "v2")]
+    layers.start_bronze(source, lambda: registry(spark, one), layout).awaitTermination()
+    assert layers.recovered(spark, layout) is None
+    land(spark, folder, [frame(body("d", 3.0), 2)], first=4)
+    layers.start_bronze(source, lambda: registry(spark, two), layout).awaitTermination()
+    for _ in range(2):
+        layers.recover(spark, lambda: registry(spark, two), layout)
+    assert [r.event_id for r in layers.recovered(spark, layout).collect()] == ["b"]
+    rows = layers.stored_bronze(spark, layout).orderBy("kafka_offset").collect()
+    assert [(r.event_id, r.quarantine_reason) for r in rows] == [
+        ("a", None), ("b", None), (None, "UNKNOWN_SCHEMA"), (None, "BAD_FRAME"), ("d", None),
+    ]
+    assert all(str(r.ingest_date) == "2026-01-01" for r in rows)
+
+
+def test_gold_that_drops_rows_of_silver_is_an_error(spark, folder):
+    for number, batch in enumerate(BOUNDARY):
+        boundary_events(spark, batch).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        time.sleep(0.01)
+    source = parquet_stream(spark, f"{folder}/in", c.SILVER_SCHEMA, max_files_per_trigger=1)
+    query = layers.start_gold(source.withWatermark("event_ts", c.WATERMARK_DELAY), layers.Layout(folder, "r"))
+    query.awaitTermination()
+    with pytest.raises(RuntimeError, match="dropped"):
+        layers.check_gold(query)
 
 
 def test_a_gate_keeps_violations_out_of_revenue_and_stores_them(spark, folder):
@@ -287,7 +326,7 @@ def test_a_gate_keeps_violations_out_of_revenue_and_stores_them(spark, folder):
     assert gold_of(spark, layout.table("gold")) == {0: (2.0, 2)}
     rejected = spark.read.parquet(layout.table("violations")).collect()
     assert {r.event_id: r.dq_violation_reason for r in rejected} == {
-        "b": "INVALID_DOMAIN", "c": "BAD_AMOUNT", "d": "NULL_REQUIRED",
+        "b": "INVALID_DOMAIN", "c": "BAD_AMOUNT", "d": "NULL_REQUIRED", "e": "LATENCY_SLA_BREACH",
     }
 
 
@@ -299,26 +338,40 @@ def test_sibling_checkpoints_and_chosen_folders():
 
 
 def test_live_queries_run_together_and_stop_together(spark, folder):
-    """Starts on an empty topic folder; records arrive in two steps while all queries run."""
+    """Starts on an empty topic folder; records arrive in steps, and a schema is registered, while all queries run."""
     os.makedirs(f"{folder}/topic")
     layout = layers.Layout(folder, "live")
     source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    registry(spark, [(1, "s", 1, "JSON", "v1")]).write.parquet(f"{folder}/registry")
     failures = []
 
+    def schemas():
+        return spark.read.schema(c.REGISTRY_SCHEMA).parquet(f"{folder}/registry")
+
     def run():
         try:
-            layers.run_layers(spark, source, registry(spark), layout, trigger="200 milliseconds")
+            options = layers.Options(event=c.EVENT_V2, added_fields=c.ADDED_FIELDS, gated=True)
+            layers.run_layers(spark, source, schemas, layout, "200 milliseconds", options)
         except Exception as error:
             failures.append(error)
 
+    def count(name):
+        return spark.read.parquet(layout.table(name)).count()
+
     thread = threading.Thread(target=run)
     thread.start()
-    kafka_table(spark, [frame(body("a", 0.0)), b"bad", frame(body("b", 1.0))]).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    wait_for(lambda: len(spark.streams.active) == 5, failures)
-    kafka_table(spark, [frame(body("z", 7200.0))]).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    wait_for(lambda: os.path.isdir(layout.table("gold")) and gold_of(spark, layout.table("gold")) == {0: (2.0, 2)}, failures)
-    wait_for(lambda: sum(m.total_records for m in read_dq_metrics(spark, layout.dq_dir, "live").collect()) == 3, failures)
-    wait_for(lambda: spark.read.parquet(layout.table("quarantine")).count() == 1, failures)
+    land(spark, folder, [frame(body("a", 0.0)), b"bad", frame(body("b", 1.0)), frame(body("v", 2.0, region="XX"))])
+    names = {f"{name}-live" for name in ("quarantine", "silver", "gold", "dq", "violations")}
+    wait_for(lambda: names <= {q.name for q in spark.streams.active}, failures)
+    registry(spark, [(2, "s", 2, "JSON", "v2")]).write.mode("append").parquet(f"{folder}/registry")
+    land(spark, folder, [frame(body("n", 3.0, discount=0.5), 2)], first=4)
+    wait_for(lambda: spark.read.parquet(layout.table("silver")).filter("event_id = 'n' and discount = 0.5").count() == 1, failures)
+    for step, late in enumerate((7200.0, 7201.0, 7202.0)):
+        land(spark, folder, [frame(body(f"z{step}", late))], first=5 + step)
+        wait_for(lambda: count("silver") == 5 + step, failures)
+    wait_for(lambda: os.path.isdir(layout.table("gold")) and gold_of(spark, layout.table("gold")) == {0: (3.0, 3)}, failures)
+    wait_for(lambda: sum(m.total_records for m in read_dq_metrics(spark, layout.dq_dir, "live").collect()) == 7, failures)
+    wait_for(lambda: count("quarantine") == 1 and count("violations") == 1, failures)
     next(q for q in spark.streams.active if q.name == "dq-live").stop()
     thread.join(60)
     assert not thread.is_alive() and spark.streams.active == [] and failures == []
