@@ -4,11 +4,11 @@ N-grams get one global order, rare first: by how often their hash bucket occurs
 A set's first tokens in that order (its prefix) meet the prefix of every set it links to. Sets that share a
 prefix token and are of like size form a group; groups of the same members are joined once.
 
-Within bounded chunks, sets are stored in a trie and joined by walking it (see :mod:`salestide.llm.trie`).
-First every set is joined with the least member of each of its groups, in chunks of that member's company;
-this settles groups of near copies in linear time. Groups whose members are not in one component then are
-joined on their prefixes, chunk by chunk, which leaves few candidate pairs to be joined whole. Links inside
-one component change nothing and are not looked for.
+Sets are joined by storing them in a trie and walking it (see :mod:`salestide.llm.trie`), in chunks of
+bounded size, and always first by their prefixes: only pairs whose prefixes leave them a chance are joined
+whole, so that most documents are never moved. First every set is joined with the least member of each of
+its groups, which settles groups of near copies in linear time. Groups whose members are not in one
+component then are joined part by part. Links inside one component change nothing and are not looked for.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from salestide.llm import sums, trie
 from salestide.llm.components import connected
 from salestide.llm.text import keep_one, shingle_hashes, slices, text_or_empty, word_hashes, words
-from salestide.session import materialize
+from salestide.session import fits_broadcast, materialize
 
 SHINGLE = 3
 # Buckets by whose counts n-grams are ordered, in bits: a fixed table of 2**20 numbers.
@@ -33,6 +33,8 @@ ORDER_BITS = 20
 # Sets, and tokens in them, that are joined in one trie.
 CHUNK_SETS = 200
 CHUNK_TOKENS = 400_000
+# Documents whose whole sets are compared are looked up by a broadcast up to this many, by a shuffle beyond.
+MAX_BROADCAST_WANTED = 500_000
 _LOW = np.uint64((1 << (64 - ORDER_BITS)) - 1)
 _SHIFT = np.uint64(64 - ORDER_BITS)
 _SUM_ROWS = 256
@@ -97,28 +99,39 @@ def _mark(text: str) -> Column:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, rank: Broadcast, key: str, text: str, size: int) -> DataFrame:
-    """``cls`` and whole set (``tokens``) of the wanted classes (``cls``, ``_key``, ``mark``, ``digest``)."""
-    named = wanted.select(F.col("_key").alias("_k"), F.col("mark").alias("_m"))
+    """``cls``, ``n`` and whole set (``tokens``) of the wanted classes (``cls``, ``_key``, ``mark``), from their texts."""
+    named = materialize(wanted.select("cls", F.col("_key").alias("_k"), F.col("mark").alias("_m")), "ngram-wanted")
     rows = docs.select(F.col(key).alias("_key"), _mark(text).alias("mark"), text_or_empty(text).alias("text"))
-    some = rows.join(named, rows["_key"].eqNullSafe(named["_k"]) & (rows["mark"] == named["_m"]), "left_semi").select("text")
+    # Few documents are wanted as a rule: then all others stay where they are. Beyond the bound they are shuffled.
+    few = F.broadcast(named) if fits_broadcast(named, MAX_BROADCAST_WANTED) else named
+    some = (
+        rows.join(few, rows["_key"].eqNullSafe(few["_k"]) & (rows["mark"] == few["_m"])).select("cls", "text")
+        .dropDuplicates(["cls"])
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = rank.value
         for batch in slices(batches):
-            sets = [ordered_set(s, order) for s in _shingles(batch, size)]
-            columns = [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "tokens"])
+            sets = [ordered_set(s, order).view(np.int64) for s in _shingles(batch, size)]
+            columns = [batch.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "n", "tokens"])
+
+    return some.mapInArrow(run, "cls bigint, n bigint, tokens array<bigint>")
+
 
-    found = some.mapInArrow(run, "digest binary, tokens binary").dropDuplicates(["digest"])
-    return wanted.select("cls", "digest").join(found, "digest").select("cls", "tokens")
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as arrays of unsigned integers."""
+    flat, offsets = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 def _grouped(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Rows of equal leading columns, which come next to each other: (key, rest of the rows)."""
+    """Rows of equal ``names``, which come next to each other: (their values, the other columns of the rows)."""
     key, rows = None, []
     for batch in batches:
         columns = [batch.column(n).to_pylist() for n in names]
-        rest = [batch.column(n).to_pylist() for n in batch.schema.names if n not in names]
+        others = [c for n, c in zip(batch.schema.names, batch.columns) if n not in names]
+        rest = [_arrays(c) if pa.types.is_list(c.type) else c.to_pylist() for c in others]
         for now, row in zip(zip(*columns), zip(*rest)):
             if now != key:
                 if rows:
@@ -129,31 +142,58 @@ def _grouped(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Itera
         yield key, rows
 
 
+def _forest(found: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """Of some links, enough to connect what they connect."""
+    top = list(range(size))
+
+    def find(i: int) -> int:
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        return i
+
+    kept = []
+    for i, j in found:
+        a, b = find(i), find(j)
+        if a != b:
+            top[b] = a
+            kept.append((i, j))
+    return kept
+
+
 def _pairs_table(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"]
     )
 
 
-def links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, share: int = trie.SHARE) -> DataFrame:
-    """Linked pairs (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
+def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool) -> DataFrame:
+    """Pairs (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
 
-    A large company is dealt to chunks of bounded size, each with the lead; every pair of ``pairs`` is decided,
-    and so is what else meets in a chunk.
+    ``table`` has the first or all ``tokens`` of the sets, and their sizes ``n``. A large company is dealt to chunks
+    of bounded size, each with the lead. From whole sets come links: of what meets in a chunk, enough to
+    connect all that is linked, and so every pair of ``pairs`` is decided. From prefixes come those of ``pairs``
+    that may link.
     """
-    sized = pairs.join(sizes.select("cls", "n"), "cls")
-    company = sized.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens"))
-    parts = company.select("lead", F.ceil(F.greatest(F.col("m") / CHUNK_SETS, F.col("tokens") / CHUNK_TOKENS)).alias("parts"))
+    sized = pairs.join(table.select("cls", F.size("tokens").alias("t")), "cls")
+    company = sized.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.sum("t").alias("tokens"))
+    parts = materialize(
+        company.select("lead", F.ceil(F.greatest(F.col("m") / CHUNK_SETS, F.col("tokens") / CHUNK_TOKENS, F.lit(1.0))).alias("parts")),
+        "company",
+    )
     dealt = pairs.join(parts, "lead").select("lead", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"), "cls")
     leads = parts.select("lead", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("lead").alias("cls"))
-    members = dealt.union(leads).join(sets, "cls").select("lead", "part", "cls", "tokens")
+    members = dealt.union(leads).join(table, "cls").select("lead", "part", "cls", "n", "tokens")
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, ("lead", "part")):
-            tokens = [np.frombuffer(t, np.uint64) for _, t in rows]
-            found = trie.pairs(tokens, [len(t) for t in tokens], share)
-            if found:
-                yield _pairs_table([(rows[i][0], rows[j][0]) for i, j in found])
+        for (lead, _), rows in _grouped(batches, ("lead", "part")):
+            found = trie.pairs([t for *_, t in rows], [n for _, n, _ in rows], share)
+            if whole:
+                found = _forest(found, len(rows))
+            named = [(rows[i][0], rows[j][0]) for i, j in found]
+            if not whole:
+                named = [p for p in named if lead in p]
+            if named:
+                yield _pairs_table(named)
 
     return members.repartition("lead", "part").sortWithinPartitions("lead", "part").mapInArrow(join, "a bigint, b bigint").distinct()
 
@@ -163,13 +203,13 @@ def _band(n: Column, share: int) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(trie.PER / share) * 1.0001))
 
 
-def groups(prefixes: DataFrame, share: int = trie.SHARE) -> DataFrame:
+def _groups(prefixes: DataFrame, share: int) -> DataFrame:
     """Rows (``token``, ``band``, ``cls``, ``n``) of prefix tokens that sets of like size share.
 
     A set belongs to the band of its own size and the next; linked sets have a band in common. Groups of the
     same members are represented by one.
     """
-    token = prefixes.select("cls", "n", F.explode("prefix").alias("token"))
+    token = prefixes.select("cls", "n", F.explode("tokens").alias("token"))
     shared = token.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token")
     banded = materialize(
         token.join(shared, "token").withColumn("own", _band(F.col("n"), share))
@@ -196,13 +236,14 @@ def _leads(member: DataFrame, share: int) -> DataFrame:
 
 
 def _candidates(member: DataFrame, prefixes: DataFrame, share: int) -> DataFrame:
-    """Pairs (``lead``, ``cls``) of different components that may link, from the groups of several components.
+    """Pairs (``a``, ``b``) of different components that may link, from the groups of several components.
 
     ``member`` has ``token``, ``band``, ``cls`` and ``comp``. A group is dealt to parts of bounded size, whole
     large components to parts of their own; parts are joined two by two on the prefixes of their sets.
     """
     by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = by_comp.groupBy("token", "band").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size")).filter("comps > 1")
+    mixed = by_comp.groupBy("token", "band").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"))
+    mixed = mixed.filter("comps > 1 AND size > 2")  # of two, one is the other's lead, so the pair is decided
     big = F.col("m") > CHUNK_SETS
     part = F.when(
         big, F.struct(F.col("comp").alias("of"), F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / CHUNK_SETS)).alias("k"))
@@ -221,62 +262,72 @@ def _candidates(member: DataFrame, prefixes: DataFrame, share: int) -> DataFrame
         (F.col("part") <= F.col("part2")) & ~((F.col("part.of") >= 0) & (F.col("part.of") == F.col("part2.of")))
     )
     ends = couples.select("token", "band", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
+    group = F.xxhash64("token", "band").alias("group")
+    of_set = member.select("cls", group).groupBy("cls").agg(F.collect_list("group").alias("groups"))
     rows = (
         ends.join(dealt.select("token", "band", F.col("part").alias("end"), "cls", "comp"), ["token", "band", "end"])
-        .join(prefixes.select("cls", "n", "prefix"), "cls")
-        .select("token", "band", "part", "part2", "cls", "comp", "n", "prefix")
+        .join(prefixes.join(of_set, "cls"), "cls")
+        .select(
+            group, F.col("part.of").alias("of"), F.col("part.k").alias("k"), F.col("part2.of").alias("of2"),
+            F.col("part2.k").alias("k2"), "cls", "comp", "n", (F.col("end") == F.col("part")).alias("one"), "tokens", "groups",
+        )
     )
+    place = ["group", "of", "k", "of2", "k2"]
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, members in _grouped(batches, ("token", "band", "of", "k", "of2", "k2")):
-            tokens = [np.array(p, np.int64).view(np.uint64) for *_, p in members]
-            found = trie.pairs(tokens, [n for _, _, n, _ in members], share)
-            apart = [(members[i][0], members[j][0]) for i, j in found if members[i][1] != members[j][1]]
+        for (name, of, k, of2, k2), members in _grouped(batches, tuple(place)):
+            own = np.int64(name).view(np.uint64)
+            found = trie.pairs([tokens for *_, tokens, _ in members], [n for _, _, n, *_ in members], share)
+            apart = []
+            for i, j in found:
+                a, b = members[i], members[j]
+                # Sets of two parts meet here; those of one part do where it is alone. A pair that shares several
+                # groups belongs to the first of them.
+                if a[1] != b[1] and (a[3] != b[3] or (of, k) == (of2, k2)) and np.intersect1d(a[-1], b[-1])[0] == own:
+                    apart.append((min(a[0], b[0]), max(a[0], b[0])))
             if apart:
-                yield _pairs_table([(min(p), max(p)) for p in apart])
+                yield _pairs_table(apart)
 
-    flat = rows.select(
-        "token", "band", F.col("part.of").alias("of"), F.col("part.k").alias("k"), F.col("part2.of").alias("of2"),
-        F.col("part2.k").alias("k2"), "cls", "comp", "n", "prefix",
-    )
-    place = ["token", "band", "of", "k", "of2", "k2"]
-    found = flat.repartition(*place).sortWithinPartitions(*place).mapInArrow(join, "a bigint, b bigint")
-    return found.select(F.col("a").alias("lead"), F.col("b").alias("cls")).distinct()
+    found = rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(join, "a bigint, b bigint")
+    return found.distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE) -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id``, ``kept``, and ``mark`` (a hash of its text).
 
-    Two sets link from ``share`` percent on. Words are runs between ASCII white space with A-Z lower-cased; a set holds the distinct runs of ``size``
-    words, or the whole sequence of a shorter text. Null texts and texts without words have empty sets, link
+    Two sets link from ``share`` percent on. Words are runs between ASCII white space with A-Z lower-cased; a
+    set holds the distinct runs of ``size`` words, or the whole sequence of a shorter text. Null texts and texts without words have empty sets, link
     to nothing, and are their own component. ``component_id`` is the smallest key that is reachable by links
     (null keys aside); ``kept`` is true for one row of each component, one with that key. Rows that repeat a
     key or a text are rows like others; no rows give no rows; other columns are not read. Sets are compared
     by 64-bit hashes of their n-grams.
     """
-    context = docs.sparkSession.sparkContext
     whole = docs.select(F.col(key), F.col(text))
-    rank = context.broadcast(order_table(whole.select(F.col(text).alias("text")), size))
+    rank = docs.sparkSession.sparkContext.broadcast(order_table(whole.select(F.col(text).alias("text")), size))
     rows = materialize(_rows(whole, rank, key, text, size, share), "ngram-rows")
     # Equal sets are one class, named by one of its rows.
     least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
     classes = materialize(rows.filter("n > 0").groupBy("digest").agg(least.alias("least")), "ngram-classes")
     named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
     heads = rows.join(named.select("cls"), rows["_row"] == F.col("cls"), "left_semi")
-    prefixes = materialize(heads.select(F.col("_row").alias("cls"), "n", "prefix"), "ngram-prefixes")
-    member = groups(prefixes, share)
-    wanted = member.select("cls").distinct()
-    sets = materialize(
-        _sets(whole, heads.join(wanted, heads["_row"] == wanted["cls"]).select("cls", "_key", "mark", "digest"), rank, key, text, size),
-        "ngram-sets",
-    )
-    near = materialize(links(_leads(member, share), sets, prefixes, share), "links-near")
-    first = materialize(connected(near), "components-near")
+    heads = materialize(heads.select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens")), "ngram-heads")
+    prefixes = heads.select("cls", "n", "tokens")
+    member = _groups(prefixes, share)
+
+    def whole_sets(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        return materialize(_sets(whole, heads.join(wanted, "cls", "left_semi").select("cls", "_key", "mark"), rank, key, text, size), "ngram-sets")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return materialize(_company(pairs.select(F.col("a").alias("lead"), F.col("b").alias("cls")), whole_sets(pairs), share, True), "links")
+
+    near = links(materialize(_company(_leads(member, share), prefixes, share, False), "near"))
+    first = connected(near)
     labelled = member.join(first, member["cls"] == first["node"], "left").select(
         "token", "band", "cls", F.coalesce("component", "cls").alias("comp")
     )
-    far = links(_candidates(labelled, prefixes, share), sets, prefixes, share)
-    final = connected(near.union(far))
+    far = materialize(_candidates(labelled, prefixes, share), "far")
+    final = first if far.isEmpty() else connected(near.union(links(far)))
     return _result(rows, named, final, key)
 
 

@@ -99,8 +99,9 @@ def pairs(sequences: list[np.ndarray], sizes: list[int], share: int = SHARE) ->
             while stop < j and trie.lengths[stop] == end:
                 stop += 1
             for y in range(i, stop):
+                # Each side's tokens up to the other's last one are settled; what may add are the rests of both.
                 rest = trie.sizes[active] - trie.consumed(active, int(trie.last[y]))
-                other = np.where(trie.last[y] <= trie.last[active], trie.sizes[y] - end, rest)
+                other = trie.sizes[y] - np.searchsorted(trie.rows[y], trie.last[active], side="right")
                 most = overlap[active] + np.minimum(rest, other)
                 fits = (PER + share) * most >= share * (trie.sizes[active] + trie.sizes[y])
                 found += [(x, y) for x in active[fits].tolist() if x != y]

@@ -145,11 +145,15 @@ def test_other_sizes_and_shares(spark):
     compare(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), size=5, share=80).collect(), rows, 5, 80)
 
 
-def test_second_round_finds_links_that_leads_miss(spark, monkeypatch):
-    rows = sample()
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(ngram_join, "_leads", lambda member, share: member.select(member["cls"].alias("lead"), "cls").limit(0))
-    compare(ngram_join.join(docs).collect(), rows)
+def test_second_round_finds_links_that_leads_miss(spark):
+    """The least member of the group links to nothing; two others link to each other."""
+    rnd = random.Random(2)
+    vocab = [f"w{i}" for i in range(5000)]
+    shared = " ".join(rnd.choices(vocab, k=30))
+    first = shared + " " + " ".join(rnd.choices(vocab, k=90))
+    second = shared + " " + " ".join(rnd.choices(vocab, k=90))
+    rows = [(1, first), (2, second), (3, edited(rnd, second, 1)), (4, edited(rnd, second, 1)), (5, " ".join(rnd.choices(vocab, k=120)))]
+    compare(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
 
 
 def test_documents_of_the_tables(spark):
