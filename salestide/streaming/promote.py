@@ -124,9 +124,9 @@ def read_version(spark: SparkSession, root: str, run_id: str) -> DataFrame:
         f"{root}/versions/run_id={row.run_id}/window_date={row.window_date}"
         for row in manifest(spark, root, run_id).orderBy("window_date").collect()
     ]
-    schema = c.extend(c.GOLD_SCHEMA, run_id=c.STRING, window_date=c.DATE)
     if not folders:
-        return spark.createDataFrame([], c.GOLD_SCHEMA)
+        return spark.createDataFrame([], c.extend(c.GOLD_SCHEMA, window_date=c.DATE))
+    schema = c.extend(c.GOLD_SCHEMA, run_id=c.STRING, window_date=c.DATE)
     stored = spark.read.schema(schema).option("basePath", f"{root}/versions").parquet(*folders)
     return stored.select(*c.GOLD_SCHEMA.names, "window_date")
 
