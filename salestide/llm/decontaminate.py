@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -189,9 +190,9 @@ def passages(
     rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("text"))
     key_kind, item_kind = rows.schema["_key"].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     item_type = to_arrow_type(benchmark.schema[item].dataType)
-    names = ["_key", "_item", "start_word", "words", "similarity"]
-    ddl = f"_key {key_kind}, _item {item_kind}, start_word bigint, words bigint, similarity double"
-    found = docs.sparkSession.createDataFrame([], ddl)
+    kinds = {"_key": key_kind, "_item": item_kind, "start_word": "bigint", "words": "bigint", "similarity": "double"}
+    ddl = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    found = []
     for index in blocks(benchmark, item, text="text", block_items=block_items):
 
         def run(batches: Iterable[pa.RecordBatch], index: Broadcast = index) -> Iterator[pa.RecordBatch]:
@@ -204,10 +205,12 @@ def passages(
                     pa.array([h[3] for h in hits], pa.int64()), pa.array([h[4] for h in hits], pa.int64()),
                     pa.array([h[2] for h in hits], pa.float64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, list(kinds))
 
-        found = found.unionByName(rows.mapInArrow(run, ddl))
-    return found.withColumnsRenamed({"_key": key, "_item": item})
+        found.append(rows.mapInArrow(run, ddl))
+    if not found:  # a benchmark without words
+        found = [docs.sparkSession.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()])]
+    return reduce(DataFrame.unionByName, found).withColumnsRenamed({"_key": key, "_item": item})
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", block_items: int = BLOCK_ITEMS) -> DataFrame:

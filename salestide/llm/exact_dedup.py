@@ -22,6 +22,8 @@ from salestide.session import materialize
 
 # A cut on average every 2 KiB beyond the least size; long runs without a cut are cut at the greatest size.
 LEAST, MASK_BITS, MOST = 256, 11, 16384
+# Tasks that share the documents of one recipe.
+SALTS = 16
 SPACE_RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 _LIST = pa.list_(pa.binary())
 _GEAR = np.random.default_rng(20240601).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -101,11 +103,15 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     listed = materialize(recipes(docs, key, text), "recipe-lists")
     first = F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.col("_row").alias("row")))
-    groups = listed.groupBy("recipe").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-    # A recipe with very many copies is a skewed key of this join, which Spark splits at run time.
-    return listed.join(groups, "recipe").select(
-        key, F.col("first.key").alias("keep_id"), "group_size",
-        (F.col("_row") == F.col("first.row")).alias("kept"), "text_sha256",
+    groups = listed.groupBy("recipe").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
+    # A recipe with very many copies is met by its documents in several tasks.
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = listed.withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int"))
+    single = F.col("group_size").isNull()
+    return salted.join(spread, ["recipe", "_salt"], "left").select(
+        key, F.when(single, F.col(key)).otherwise(F.col("first.key")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"), (single | (F.col("_row") == F.col("first.row"))).alias("kept"),
+        "text_sha256",
     )
 
 

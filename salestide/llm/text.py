@@ -11,11 +11,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import materialize
+from salestide.session import fits_broadcast, materialize
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
 SLICE_BYTES = 8 << 20
+# Rows to be dropped are looked up by a broadcast up to this many.
+MAX_BROADCAST_GONE = 500_000
 
 
 def text_or_empty(column: str | Column = "text") -> Column:
@@ -38,10 +40,12 @@ def keep_one(docs: DataFrame, decided: DataFrame, key: str, mark: str, of_row: C
     apart from it; one of them stays.
     """
     stored = materialize(decided.select(F.col(key).alias("_k"), F.col(mark).alias("_m"), "kept"), "decided")
-    gone = stored.filter("not kept").select("_k", "_m").distinct()
+    gone = materialize(stored.filter("not kept").select("_k", "_m").distinct(), "gone")
     kept = stored.filter("kept").select("_k", "_m").distinct()
     tied = materialize(gone.join(kept, gone["_k"].eqNullSafe(kept["_k"]) & (gone["_m"] == kept["_m"]), "left_semi"), "tied")
-    whole = docs.join(gone, docs[key].eqNullSafe(gone["_k"]) & (of_row == gone["_m"]), "left_anti")
+    # Few rows go as a rule: then the others stay where they are. Beyond the bound both sides are shuffled.
+    few = F.broadcast(gone) if fits_broadcast(gone, MAX_BROADCAST_GONE) else gone
+    whole = docs.join(few, docs[key].eqNullSafe(few["_k"]) & (of_row == few["_m"]), "left_anti")
     if tied.isEmpty():
         return whole
     column = free_name(docs, "_mark_of_text")
