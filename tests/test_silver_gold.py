@@ -117,12 +117,18 @@ def test_late_rows_by_broadcast_and_by_shuffle(spark):
     bronze, _ = table(spark, [(n % 9, 0, "NA", 1.0) for n in range(60)])
     kept = silver.first_arrival(bronze).filter("event_id not in ('3', '5')")
     expected = sorted(r.kafka_offset for r in bronze.filter("event_id in ('3', '5')").collect())
-    for bound in (1_000, 1):
-        rows = late.late_rows(bronze, kept, max_broadcast_ids=bound)
-        plan = rows._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (bound > 1)
-        assert ("SortMergeJoin [event_id" in plan and "_salt" in plan) == (bound == 1)
-        assert sorted(r.kafka_offset for r in rows.collect()) == expected
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        for bound in (1_000, 1):
+            rows = late.late_rows(bronze, kept, max_broadcast_ids=bound)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == (bound > 1)
+            assert ("SortMergeJoin [event_id" in plan) == (bound == 1)
+            assert sorted(r.kafka_offset for r in rows.collect()) == expected
+    finally:
+        spark.conf.set(threshold, before)
     by_partition = late.late_summary(late.late_rows(bronze, kept), by="kafka_partition").collect()
     assert [(r.late_rows, r.late_ids) for r in by_partition] == [(len(expected), 2)]
 
