@@ -280,12 +280,32 @@ def processed_by_silver(
         bronze = bronze.filter(F.col("ingest_date") >= F.lit(since))
     if until is not None:
         bronze = bronze.filter(F.col("ingest_date") <= F.lit(until))
-    files = materialize(processed_files(spark, layout.checkpoint("silver")), "processed-files")
+    return _of_files(bronze, processed_files(spark, layout.checkpoint("silver")))
+
+
+def _of_files(rows: DataFrame, processed: DataFrame) -> DataFrame:
+    """The rows of a stored table that lie in the processed files."""
+    files = materialize(processed, "processed-files")
     few = F.broadcast(files) if fits_broadcast(files, MAX_BROADCAST_FILES) else files
-    of_file = bronze.withColumn("_path", plain_path(F.col("_metadata.file_path")))
+    of_file = rows.withColumn("_path", plain_path(F.col("_metadata.file_path")))
     return of_file.join(few, of_file["_path"] == few["path"], "left_semi").drop("_path")
 
 
+def _recovered_by_silver(
+    spark: SparkSession, layout: Layout, since: date | None, until: date | None, event: T.StructType
+) -> DataFrame | None:
+    """The recovered rows of the batches that silver has committed, by arrival date; None before the first call of :func:`recover`."""
+    again = recovered(spark, layout, event)
+    if again is None:
+        return None
+    arrived = F.to_date("kafka_ingest_ts")
+    if since is not None:
+        again = again.filter(arrived >= F.lit(since))
+    if until is not None:
+        again = again.filter(arrived <= F.lit(until))
+    return _of_files(again, processed_files(spark, layout.checkpoint("silver"), source=1))
+
+
 def late_of_run(
     spark: SparkSession,
     layout: Layout,
@@ -295,10 +315,14 @@ def late_of_run(
 ) -> DataFrame:
     """Accepted bronze rows that silver has turned away, of the batches that silver has committed.
 
-    Rows that silver has yet to read are not late, however far it is behind. With ``since`` or ``until``, only
-    those arrival dates of bronze are opened, and of silver the event dates that their rows have.
+    Recovered rows are among them: they have their schema late, and may be behind the watermark by then. Rows that
+    silver has yet to read are not late, however far it is behind. With ``since`` or ``until``, only those arrival
+    dates of bronze are opened, and of silver the event dates that their rows have.
     """
     bronze = accepted(processed_by_silver(spark, layout, since, until, event)).drop("ingest_date")
+    again = _recovered_by_silver(spark, layout, since, until, event)
+    if again is not None:
+        bronze = bronze.unionByName(accepted(again))
     silver = spark.read.schema(c.extend(c.silver_schema(event), event_date=c.DATE)).parquet(layout.table("silver"))
     if since is not None or until is not None:
         span = bronze.agg(F.to_date(F.min("event_ts")).alias("first_"), F.to_date(F.max("event_ts")).alias("last_")).first()

@@ -100,7 +100,10 @@ def processed_files(spark: SparkSession, checkpoint: str, source: int = 0) -> Da
     if last is None:
         return spark.range(0).select(F.lit("").alias("path"))
     lines = spark.read.text(f"{checkpoint}/offsets/{last}", wholetext=True).first()[0].rstrip("\n").split("\n")
-    reached = json.loads(lines[2 + source])["logOffset"]
+    offset = lines[2 + source] if len(lines) > 2 + source else "-"
+    if offset == "-":  # the source has had nothing yet, or came to the query after its last commit
+        return spark.range(0).select(F.lit("").alias("path"))
+    reached = json.loads(offset)["logOffset"]
     entry = F.from_json("value", "path string, batchId bigint")
     log = spark.read.text(f"{checkpoint}/sources/{source}").filter(F.col("value").startswith("{")).select(entry.alias("e"))
     return log.filter(F.col("e.batchId") <= reached).select(plain_path(F.col("e.path")).alias("path")).distinct()

@@ -299,6 +299,26 @@ def test_records_that_came_before_their_schema_are_recovered_once(spark, folder)
     assert all(str(r.ingest_date) == "2026-01-01" for r in rows)
 
 
+def test_recovered_rows_behind_the_watermark_are_late(spark, folder):
+    layout = layers.Layout(folder, "r")
+    one, two = [(1, "s", 1, "JSON", "v1")], [(1, "s", 1, "JSON", "v1"), (2, "s", 2, "JSON", "v2")]
+
+    def late(**dates):
+        return sorted(r.event_id for r in layers.late_of_run(spark, layout, **dates).collect())
+
+    land(spark, folder, [frame(body("a", 0.0)), frame(body("old", 1.0), 2), frame(body("new", 7199.0), 2), frame(body("z", 7200.0))])
+    source = parquet_stream(spark, f"{folder}/topic", c.KAFKA_SCHEMA)
+    layers.start_bronze(source, lambda: registry(spark, one), layout).awaitTermination()
+    layers.start_silver(spark, layout).awaitTermination()
+    layers.recover(spark, lambda: registry(spark, two), layout)
+    assert late() == []  # silver has yet to read them
+    layers.start_silver(spark, layout).awaitTermination()
+    day, next_day = datetime.date(2026, 1, 1), datetime.date(2026, 1, 2)
+    assert sorted(r.event_id for r in spark.read.parquet(layout.table("silver")).collect()) == ["a", "new", "z"]
+    assert late() == late(since=day, until=day) == ["old"]
+    assert late(since=next_day) == []
+
+
 def test_gold_that_drops_rows_of_silver_is_an_error(spark, folder):
     for number, batch in enumerate(BOUNDARY):
         boundary_events(spark, batch).coalesce(1).write.mode("append").parquet(f"{folder}/in")
