@@ -178,8 +178,10 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFra
 
     ``seen`` has a row per occurrence. In each round a pattern's confidence for a kind is the score of the
     instances it holds, over all its occurrences and ``PRIOR``; a candidate's score is the probability that
-    at least one of its reliable patterns is right. Seeds keep their score of 1. Occurrences are summed by
-    pattern and instance before they are joined.
+    at least one of its reliable patterns is right. Seeds keep their score of 1. A pattern that falls short is
+    judged again without the candidates that no pattern has scored yet and whose form suits the kind: they may
+    be what it should find, and are no evidence against it. Other kinds and other forms are. Occurrences are
+    summed by pattern and instance before they are joined.
     """
     edges = materialize(
         seen.select("value", "form", "kind", F.explode("patterns").alias("pattern"))
@@ -196,10 +198,16 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFra
         spoken = held.groupBy("pattern", "kind").agg(
             F.sum(F.col("n") * F.col("score")).alias("mass"), F.countDistinct("value").alias("instances")
         )
-        confidence = F.col("mass") / (F.col("total") + PRIOR)
+        unscored = new.join(scores.select("value", "form").distinct(), ["value", "form"], "left_anti")
+        unknown = (
+            unscored.withColumn("kind", F.explode(F.array(*map(F.lit, KINDS)))).filter(_has_form())
+            .groupBy("pattern", "kind").agg(F.sum("n").alias("unknown"))
+        )
+        whole = F.col("mass") / (F.col("total") + PRIOR)
+        known = F.col("mass") / (F.col("total") - F.coalesce("unknown", F.lit(0)) + PRIOR)
         reliable = materialize(
-            spoken.filter(F.col("instances") >= MIN_INSTANCES).join(totals, "pattern")
-            .withColumn("confidence", confidence).filter(F.col("confidence") >= MIN_CONFIDENCE)
+            spoken.filter(F.col("instances") >= MIN_INSTANCES).join(totals, "pattern").join(unknown, ["pattern", "kind"], "left")
+            .withColumn("confidence", F.when(whole >= MIN_CONFIDENCE, whole).otherwise(known)).filter(F.col("confidence") >= MIN_CONFIDENCE)
             .select("pattern", "kind", "confidence"),
             f"pii-patterns-{turn}",
         )

@@ -131,6 +131,16 @@ def test_bootstrap_equals_brute_force_and_finds_unseen_identifiers(spark):
     assert masked[60] == "please call me at <phone> thanks carol" and "@" not in masked[100]
 
 
+def test_a_context_whose_majority_is_unseen(spark):
+    rows = [f"phone: +1 (206) 555-{1000 + i}" for i in range(20)] + [f"phone: (0)30 / {200_000 + i}" for i in range(60)]
+    rows += [f"ref +1 (206) 555-{2000 + i} end" for i in range(5)] + [f"ref u{i}@mail.example.com end" for i in range(20)]
+    rows += [f"ref {30_000_000 + i} end" for i in range(20)] + [f"part {40_000_000 + i} end" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {r.doc_id: [(s.kind, rows[r.doc_id][s.start : s.end]) for s in r.added] for r in pii.find(docs).collect()}
+    for i, text in enumerate(rows):  # of "ref", most that is known are no phones
+        assert added[i] == ([("phone", text.removeprefix("phone: "))] if 20 <= i < 80 else [])
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "a@b.c"), (4, "a@b.c"), (4, "a@b.c"), (5, "é😀 1.2.3.4")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
