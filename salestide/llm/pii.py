@@ -29,6 +29,8 @@ MIN_CONFIDENCE = 0.6
 ACCEPT = 0.8
 # Occurrences that a pattern is charged with beyond those seen.
 PRIOR = 1.0
+# Digits of a number that may be an identifier.
+_LEAST_DIGITS, _MOST_DIGITS = 7, 19
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -37,10 +39,11 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORTH = re.compile(r"[0-9@]")
 _NUMBER = re.compile(r"\(?[0-9][0-9()\x20./-]*[0-9]")
-_SPELLED = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{1,63}){1,8}", re.I
-)
-_DOTS = (" dot ", "(dot)", "[dot]")
+_AT = re.compile(r"\(at\)|\[at\]|\x20at\x20", re.I)
+# What follows a spelled "at": labels joined by spelled or real dots.
+_AFTER_AT = re.compile(r" ?[A-Za-z0-9-]{1,63}(?:(?: ?(?:\(dot\)|\[dot\]| dot ) ?|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I)
+_LONGEST_LOCAL = 64
+_TOKEN = re.compile(r"[^\x20]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _OCCURRENCE = pa.struct([
     ("value", pa.string()), ("kind", pa.string()), ("form", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
@@ -111,15 +114,64 @@ def written(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Mail addresses with a spelled "at", each text position looked at a bounded number of times."""
+    taken, at = 0, _AT.search(text)
+    while at:
+        domain = _AFTER_AT.match(text, at.end())
+        end = at.start() - (text[at.start() - 1 : at.start()] == " ")
+        least = max(taken, end - _LONGEST_LOCAL)
+        start = least + len(text[least:end].rstrip(_LOCAL)) if end > least else end
+        if domain and start < end:
+            yield start, domain.end()
+            taken = domain.end()
+        at = _AT.search(text, max(taken, at.start() + 1))
+
+
+def _grouped(tokens: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Tokens (start, end, digits) of an over-long run in groups: as their sizes repeat, else as many as a number may have."""
+    sizes = [n for *_, n in tokens]
+    for period in range(1, min(len(tokens) // 2, _MOST_DIGITS) + 1):
+        if _LEAST_DIGITS <= sum(sizes[:period]) <= _MOST_DIGITS and len(sizes) % period == 0 and sizes == sizes[:period] * (len(sizes) // period):
+            yield from (tokens[k : k + period] for k in range(0, len(tokens), period))
+            return
+    group: list[tuple[int, int, int]] = []
+    for token in tokens:
+        alone = token[2] >= _LEAST_DIGITS or group and group[-1][2] >= _LEAST_DIGITS
+        if group and (alone or sum(n for *_, n in group) + token[2] > _MOST_DIGITS):
+            yield group
+            group = []
+        group.append(token)
+    if group:
+        yield group
+
+
+def _numbers(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of digits in number form; runs with too many digits are split at spaces, first where a parenthesis opens."""
+    for match in _NUMBER.finditer(text):
+        digits = len(_NOT_DIGIT.sub("", match.group()))
+        if _LEAST_DIGITS <= digits <= _MOST_DIGITS:
+            yield match.span()
+        if digits <= _MOST_DIGITS:
+            continue
+        parts: list[list[tuple[int, int, int]]] = [[]]
+        for token in _TOKEN.finditer(text, *match.span()):
+            if token.group().startswith("("):
+                parts.append([])
+            parts[-1].append((*token.span(), len(_NOT_DIGIT.sub("", token.group()))))
+        for part in parts:
+            whole = sum(n for *_, n in part) <= _MOST_DIGITS
+            for group in [part] if whole else _grouped(part):
+                found = _NUMBER.search(text, group[0][0], group[-1][1]) if group else None
+                if found and _LEAST_DIGITS <= len(_NOT_DIGIT.sub("", found.group())) <= _MOST_DIGITS:
+                    yield found.span()
+
+
 def _candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
     """(form, start, end) of identifier-like strings that no base span touches."""
+    found = [("number", *span) for span in _numbers(text)] if _WORTH.search(text) else []
+    found += [("spelled", *span) for span in _spelled(text)]
     busy = [(a, b) for _, a, b in base]
-    found = []
-    if _WORTH.search(text):
-        found += [("number", a, b) for a, b, _ in _sized(_NUMBER, text, 7, 19)]
-    lower = text.lower() if "dot" in text or "DOT" in text or "Dot" in text else ""
-    if any(dot in lower for dot in _DOTS):
-        found += [("spelled", m.start(), m.end()) for m in _SPELLED.finditer(text)]
     for form, a, b in found:
         if not any(x < b and a < y for x, y in busy):
             busy.append((a, b))

@@ -131,6 +131,30 @@ def test_bootstrap_equals_brute_force_and_finds_unseen_identifiers(spark):
     assert masked[60] == "please call me at <phone> thanks carol" and "@" not in masked[100]
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("to jane (at) mail.example.com.", ["jane (at) mail.example.com"]),
+    ("to jane AT mail dot example.com now", ["jane AT mail dot example.com"]),
+    ("j@x a[at]b [dot] c at d.e", ["a[at]b [dot] c"]),
+    ("look at this", []),
+    ("at 206 555 1000 206 555 1001 or", ["206 555 1000", "206 555 1001"]),
+    ("at 2065551000 2065551001, 030 2001 or", ["2065551000", "2065551001", "030 2001"]),
+    ("at (206) 555-1000 (206) 555-1001 or", ["(206) 555-1000", "(206) 555-1001"]),
+    ("at 2065551000 206 555 1001 or", ["2065551000", "206 555 1001"]),
+    ("12345678901234567890", []),
+])
+def test_candidates(text, want):
+    assert [text[a:b] for _, a, b in pii._candidates(text, pii.base_spans(text))] == want
+
+
+def test_wider_forms_are_found_by_their_context(spark):
+    rows = [f"you may write to u{i}@mail.example.com about it" for i in range(25)] + ["you may write to jane (at) mail.example.com about it"]
+    rows += [f"call me at +1 206 555 {1000 + i} or at +1 206 555 {2000 + i} today" for i in range(25)]
+    rows += ["call me at 206 555 3000 206 555 3001 today"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {rows[r.doc_id][s.start : s.end] for r in pii.find(docs).collect() for s in r.added}
+    assert {"jane (at) mail.example.com", "206 555 3000"} <= added
+
+
 def test_a_context_whose_majority_is_unseen(spark):
     rows = [f"phone: +1 (206) 555-{1000 + i}" for i in range(20)] + [f"phone: (0)30 / {200_000 + i}" for i in range(60)]
     rows += [f"ref +1 (206) 555-{2000 + i} end" for i in range(5)] + [f"ref u{i}@mail.example.com end" for i in range(20)]
