@@ -20,6 +20,7 @@ from salestide.session import fits_broadcast, materialize
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
+# Longer rules are kept only where no shorter one says the same.
 MAX_TOKENS = 4
 MAX_BROADCAST_RULES = 100_000
 # Label tokens cannot clash with those of URLs, which all have a kind and a colon.
@@ -106,9 +107,10 @@ def mine(
 ) -> DataFrame:
     """Association rules of labelled URLs: ``tokens`` (array), ``verdict``, ``confidence``, ``support``, ``index``.
 
-    ``labelled`` has ``tokens`` and ``verdict`` ("block" or "allow"). Kept are rules of up to ``max_tokens``
-    tokens that, of all labelled URLs, at least ``min_support`` fit together with the verdict, and of which at
-    least ``min_confidence`` bear it. ``index`` is the rule's rarest token among the labelled URLs.
+    ``labelled`` has ``tokens`` and ``verdict`` ("block" or "allow"). Kept are rules that, of
+    all labelled URLs, at least ``min_support`` fit together with the verdict, and of which at least
+    ``min_confidence`` bear it; of more than ``max_tokens`` tokens, those that no rule of fewer tokens covers with the
+    same verdict and at least their confidence. ``index`` is the rule's rarest token among the labelled URLs.
     """
     spark = labelled.sparkSession
     layout = "tokens array<string>, verdict string, confidence double, support double, index string"
@@ -118,7 +120,7 @@ def mine(
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     found = model.associationRules.filter(
-        F.element_at("consequent", 1).isin(*_LABELS) & (F.size("antecedent") <= max_tokens)
+        F.element_at("consequent", 1).isin(*_LABELS)
         & ~F.arrays_overlap("antecedent", F.array(*map(F.lit, _LABELS)))
     ).select(
         F.array_sort("antecedent").alias("tokens"), F.element_at("consequent", 1).alias("verdict"), "confidence", "support"
@@ -128,7 +130,18 @@ def mine(
         found.select("tokens", "verdict", F.explode("tokens").alias("token")).join(single, "token")
         .groupBy("tokens", "verdict").agg(F.min(F.struct("freq", "token"))["token"].alias("index"))
     )
-    return materialize(found.join(rarest, ["tokens", "verdict"]), "url-rule-index")
+    indexed = materialize(found.join(rarest, ["tokens", "verdict"]), "url-rule-index")
+    long = indexed.filter(F.size("tokens") > max_tokens)
+    if long.isEmpty():
+        return indexed
+    shorter = indexed.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("sure"), "index")
+    covered = (
+        long.select("tokens", "verdict", "confidence", F.explode("tokens").alias("index")).join(shorter, ["index", "verdict"])
+        .filter((F.size("part") < F.size("tokens")) & (F.col("sure") >= F.col("confidence")))
+        .filter(F.size(F.array_except("part", "tokens")) == 0).select("tokens", "verdict").distinct()
+    )
+    kept = long.join(covered, ["tokens", "verdict"], "left_anti").select(*indexed.columns)
+    return materialize(indexed.filter(F.size("tokens") <= max_tokens).unionByName(kept), "url-rules-kept")
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:

@@ -89,6 +89,18 @@ def test_given_labels_teach_combinations(spark):
     assert sorted((r.page_id, r.verdict) for r in got.collect()) == [(1, "block"), (2, "allow"), (3, "allow"), (3, "allow")]
 
 
+def test_a_verdict_that_needs_five_tokens(spark):
+    def url(parts):
+        return "http://s.example.com/" + "/".join(parts) + "/"
+
+    words = ["aa", "bb", "cc", "dd", "ee"]
+    part = [url(words[:i] + [f"no{n}"] + words[i + 1 :]) for i in range(5) for n in range(4)]
+    labelled = spark.createDataFrame([(url(words), "block")] * 20 + [(u, "allow") for u in part], "url string, verdict string")
+    pages = spark.createDataFrame([(1, url([*words, "new"])), (2, url([*words[:4], "new"]))], "page_id long, url string")
+    got = {r.page_id: r for r in url_rules.judge(pages, rules=(), labelled=labelled, min_support=0.1).collect()}
+    assert got[1].verdict == "block" and len(got[1].mined.split()) == 5 and got[2].verdict == "allow"
+
+
 def test_empty_tables_and_no_labels(spark, monkeypatch):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge(none).count() == 0
