@@ -7,7 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, sharding, url_rules, warc
+from salestide.llm import (
+    conversation_repair, decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, repair_sql, sharding, url_rules,
+    warc,
+)
 from salestide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +114,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all conversations after a stated damage, and their cheapest repair."""
+    damaged = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit(conversation_repair.repair(damaged))
+
+
+ORACLES["op13_conversation_repair"] = repair_sql.ORACLE
