@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    conversation_repair, decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, repair_sql, sharding, url_rules,
-    warc,
+    conversation_repair, decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, repair_sql, sharding, spelling,
+    url_rules, warc,
 )
 from salestide.llm.ship import ship
 
@@ -116,6 +116,53 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
 
 
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that differ by one letter, and the form each is a variant of."""
+    return spelling.variants_of(_table(spark, sf_dir, "documents"))
+
+
+_CRC_OF_HEX = """xor(4294967295, list_reduce(list_transform(range(strlen(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::bigint),
+    lambda c, b: list_reduce(range(8), lambda v, j: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295::bigint))"""
+
+ORACLES["op11_spelling_variants"] = f"""
+    with recursive found as (
+        select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as run from documents
+    ), lowered as (
+        select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+        from found where length(run) >= 7 group by all
+    ), drawn as (
+        select run, n, {_CRC_OF_HEX} as c
+        from (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as h from lowered)
+    ), cut as (
+        select case when c % 31 = 0 then run[1 : c % length(run)] || run[c % length(run) + 2 :] else run end as word, n from drawn
+    ), words as (
+        select word, sum(n)::bigint as n from cut where length(word) >= 7 group by word having sum(n) >= 2
+    ), shorter as (
+        select word, i, word[1 : i] || word[i + 2 :] as left_over
+        from (select word, unnest(range(length(word))) as i from words)
+    ), pairs as (
+        select a.word, b.word as other from shorter a join shorter b on a.i = b.i and a.left_over = b.left_over and a.word <> b.word
+        union select word, left_over from shorter where left_over in (select word from words)
+        union select left_over, word from shorter where left_over in (select word from words)
+    ), ranked as (
+        select p.word, other, o.n as other_n, count(*) over (partition by p.word) as n_near,
+            row_number() over (partition by p.word order by o.n desc, other) as place
+        from pairs p join words o on o.word = other
+    ), judged as (
+        select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+            case when other_n >= 10 * w.n then other end as form, case when other_n >= 10 * w.n then other_n end as form_n
+        from words w left join ranked r on r.word = w.word and place = 1
+    ), ways as (
+        select word, word as root from judged
+        union all select ways.word, form from ways join judged on judged.word = ways.root where form is not null
+    ), roots as (
+        select ways.word, root from ways join judged on judged.word = root where form is null
+    )
+    select word, form, root, n, n_near, form_n from judged join roots using (word)
+"""
+
+
 @_query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of all conversations after a stated damage, and their cheapest repair."""

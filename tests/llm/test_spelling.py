@@ -1,0 +1,118 @@
+"""Near words against all pairs, trie numbers against prefixes, misspellings and odd rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salestide.llm import spelling, trie_nodes
+
+
+def are_near(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def by_hand(counts: dict[str, int], share: int = 10) -> set[tuple]:
+    form, rows = {}, []
+    near = {w: [v for v in counts if are_near(v, w)] for w in counts}
+    for word in counts:
+        best = min(near[word], key=lambda v: (-counts[v], v), default=None)
+        form[word] = best if best is not None and counts[best] >= share * counts[word] else None
+    for word, n in counts.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        rows.append((word, form[word], root, n, len(near[word]), form[word] and counts[form[word]]))
+    return set(rows)
+
+
+def some_words(rng: random.Random, n: int) -> dict[str, int]:
+    words = {"".join(rng.choice("aabé") for _ in range(rng.randint(1, 6))) for _ in range(n)}
+    return {w: rng.choice([2, 3, 20, 30, 300, 4000]) for w in words}
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 37])
+def test_variants_equal_all_pairs(spark, partitions):
+    """Few letters, so that all words are near, ties are many, and runs of one letter are long."""
+    counts = some_words(random.Random(partitions), 260)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {tuple(r) for r in spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == by_hand(counts)
+
+
+def test_groups_are_cut_between_batches(spark):
+    """All 52 letters in one position: the largest group there is, over Arrow batches of five rows."""
+    letters = [chr(c) for c in range(0xC0, 0x100)]
+    counts = {f"wor{x}d": 2 for x in letters} | {"word": 50}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        got = {tuple(r) for r in spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == by_hand(counts)
+
+
+def test_a_number_for_each_prefix(spark):
+    keys = sorted({"".join(random.Random(i).choices("ab", k=i % 9)) for i in range(400)} | {"abababab" * 4})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, carry long").repartition(3)
+    numbered, sewn = trie_nodes.number(df, "test")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = numbered.collect()
+    assert [r.key for r in sorted(rows, key=lambda r: r.place)] == keys
+    of: dict = {}
+    for r in rows:
+        nodes = sewn(np.array(r.nodes)).tolist()
+        assert len(nodes) == len(r.key) + 1
+        for depth, node in enumerate(nodes):
+            of.setdefault(r.key[:depth], set()).add(node)
+    assert all(len(nodes) == 1 for nodes in of.values())
+    assert len({n for nodes in of.values() for n in nodes}) == len(of)
+
+
+def test_counts_and_known_misspellings(spark):
+    texts = [(i, "Straßen Àbcdefgh, x" + "y" * 7 + "Δomega naïveté×÷abc ABCDEFGH don't\n") for i in range(200)]
+    texts += [(None, "nullkey nullkey"), (7, None), (8, ""), (3, texts[3][1])]
+    expected: dict[str, int] = {}
+    for key, text in texts:
+        run = ""
+        for c in (text or "") + " ":
+            if "a" <= c <= "z" or "À" <= c <= "ÿ":
+                run += c
+            elif "A" <= c <= "Z":
+                run += c.lower()
+            elif run:
+                h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+                word = run if h % 31 else run[: h % len(run)] + run[h % len(run) + 1 :]
+                if len(word) >= 7:
+                    expected[word] = expected.get(word, 0) + 1
+                run = ""
+    df = spark.createDataFrame([(*t, 1, "x") for t in texts], "doc_id long, text string, n long, word string").repartition(5)
+    assert {r.word: r.n for r in spelling.count_words(df).collect()} == expected
+    assert any(len(w) == 8 for w in expected) and any(n < 200 for n in expected.values())
+    assert {r.word for r in spelling.count_words(df, drop_every=None).collect()} >= {"Àbcdefgh", "naïveté×÷abc", "straßen"}
+
+
+def test_long_runs_and_empty_tables(spark):
+    long = "ab" * 60_000
+    counts = {long: 40, long[:-1]: 3, "b" + long: 400, long.replace("b", "c", 1): 2, "abcdefg": 5}
+    got = {tuple(r) for r in spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long")).collect()}
+    assert {(len(r[0]), r[1] and len(r[1]), len(r[2]), *r[3:]) for r in got} == {
+        (120_000, 120_001, 120_001, 40, 3, 400), (119_999, 120_000, 120_001, 3, 1, 40), (120_001, None, 120_001, 400, 1, None),
+        (120_000, 120_000, 120_001, 2, 1, 40), (7, None, 7, 5, 0, None),
+    }
+    empty = spark.createDataFrame([(1, None), (2, "a b")], "doc_id long, text string")
+    assert spelling.variants_of(empty).collect() == []
+    assert spelling.variants_of(empty.filter(F.lit(False))).collect() == []
