@@ -138,7 +138,7 @@ class _Block:
         return found | {"matrix": edit_path.cross(codes)}
 
 
-def _blocks(schema: pa.Schema):
+def _blocks(schema: pa.Schema, block_turns: int, block_bytes: int):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         open_block, alone, repeated = None, False, False
@@ -160,7 +160,7 @@ def _blocks(schema: pa.Schema):
                     # The first conversation of a partition may have begun in the one before.
                     alone = open_block is not None
                     open_block = _Block(conversation, number)
-                elif len(open_block.codes) >= BLOCK_TURNS or open_block.bytes >= BLOCK_BYTES:
+                elif len(open_block.codes) >= block_turns or open_block.bytes >= block_bytes:
                     alone = False
                     close(False)
                     number += 1
@@ -270,7 +270,7 @@ def _applied(rows: Iterable[dict]) -> Iterator[dict]:
         yield row
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, block_turns: int = BLOCK_TURNS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The cheapest repair of each conversation of ``rows`` (conv_id, turn, role, text, dropped), in blocks.
 
     Blocks of a conversation are ordered by (part, number). ``lines`` are a block's repaired turns and ``edits`` its
@@ -282,7 +282,7 @@ def repair(rows: DataFrame) -> DataFrame:
     stats = _STATS.format(turn=types["turn"])
     ddl = f"{conv}, whole boolean, codes binary, lines {_LINES}, {stats}, matrix array<double>, edits string, cost bigint"
     wanted = T.StructType.fromDDL(ddl)
-    blocks = materialize(_in_order(rows).mapInArrow(_blocks(to_arrow_schema(wanted)), wanted), "blocks")
+    blocks = materialize(_in_order(rows).mapInArrow(_blocks(to_arrow_schema(wanted), block_turns, block_bytes), wanted), "blocks")
     sums = ["turns", "first_turn", "last_turn", "blank", "duplicate", "truncated", "illegal", "cost"]
     shown = ["conv_id", "part", "number", "whole", "last", "edits", "lines", *sums]
     whole = blocks.filter("whole").withColumn("last", F.lit(True)).select(*shown)

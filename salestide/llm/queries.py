@@ -6,9 +6,10 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salestide.llm import (
-    conversation_repair, decontaminate, exact_dedup, language_model, ngram_join, packing, pii, quality, repair_sql, sharding, spelling,
+    conversation_repair, decontaminate, exact_dedup, language_model, ngram_join, nearest, packing, pii, quality, repair_sql, sharding, spelling,
     url_rules, warc,
 )
 from salestide.llm.ship import ship
@@ -163,6 +164,12 @@ ORACLES["op11_spelling_variants"] = f"""
 """
 
 
+@_query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("key") % 20 == 0, k=20)
+
+
 @_query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of all conversations after a stated damage, and their cheapest repair."""

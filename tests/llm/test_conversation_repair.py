@@ -96,17 +96,16 @@ def undamaged(df):
     return df.selectExpr("conv_id", "turn", "coalesce(role, ' ') role", "coalesce(text, ' ') text", "false dropped")
 
 
-@pytest.mark.parametrize("block", [3, 1 << 14])
-def test_conversations_across_blocks_and_partitions(spark, monkeypatch, block):
+@pytest.mark.parametrize("block", [{"block_turns": 3}, {"block_bytes": 200}, {}])
+def test_conversations_across_blocks_and_partitions(spark, block):
     """One conversation holds a third of the rows, and one identical row is a tenth of all."""
-    monkeypatch.setattr(conversation_repair, "BLOCK_TURNS", block)
     rng = random.Random(5)
     rows = [(1, t, rng.choice(["user", "assistant", "system", "tool", ""]), rng.choice(["a.", "b", "  ", f"c{t}!", f"d{t}"])) for t in range(300)]
     rows += [(2, 7, "user", "same.")] * 90
     rows += [(c, rng.choice([None, 0, 1, 2, 3, 9]), rng.choice(["user", "assistant", "system"]), rng.choice(["x.", "", "y"])) for c in range(3, 120) for _ in range(4)]
     rows += [(None, 1, "user", "q."), (None, None, "assistant", "r.")]
     rng.shuffle(rows)
-    repaired = conversation_repair.repair(undamaged(frame(spark, rows).repartition(7)))
+    repaired = conversation_repair.repair(undamaged(frame(spark, rows).repartition(7)), **block)
     got = {r[0]: tuple(r[1:]) for r in conversation_repair.audit(repaired).collect()}
     assert got == {c: by_hand([r[1:] for r in rows if r[0] == c]) for c in {r[0] for r in rows}}
     lines: dict = {}
