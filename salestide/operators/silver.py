@@ -14,9 +14,9 @@ ARRIVAL_ORDER = ("kafka_ingest_ts", "kafka_partition", "kafka_offset")
 
 
 def first_arrival(
-    events: DataFrame, key: str = "event_id", order: tuple[str, ...] = ARRIVAL_ORDER
+    events: DataFrame, key: str | list[str] = "event_id", order: tuple[str, ...] = ARRIVAL_ORDER
 ) -> DataFrame:
-    """Keep the first row of each key in arrival order.
+    """Keep the first row of each key (a column or several) in arrival order.
 
     ``row_number() = 1`` lets Spark keep one row per key within each input partition before the shuffle,
     so a key with very many copies reaches its task as one row per input partition.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salestide import contract as c
 from salestide.functions.frames import frame_body
-from salestide.operators import backfill, decode, gold, ops, quality, silver
+from salestide.operators import backfill, decode, gold, id_index, ops, quality, silver
 from salestide.plans import scenario
-from salestide.session import use_stream_defaults, use_utc, workspace
+from salestide.session import materialize, use_stream_defaults, use_utc, workspace
 from salestide.sources import files
 from salestide.sources.registry import join_registry, load_schemas
-from salestide.streaming import layers, progress, promote
+from salestide.streaming import exact, layers, progress, promote
 from salestide.streaming.dq_sink import write_dq_batch
 from salestide.streaming.replay import land_slices, replay_slices
 
@@ -354,11 +355,13 @@ def backfill_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------------
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, list[int], layers.Layout]:
+def _staged(
+    spark: SparkSession, sf_dir: str, slice_days: float = scenario.SLICE_DAYS
+) -> tuple[str, list[int], layers.Layout]:
     """Framed records of the replay scenario in arrival slices, and the folders of a fresh run."""
     use_stream_defaults(spark)
     root = workspace(spark, "replay")
-    rows = scenario.replay_sales(scenario.read_events(spark, sf_dir))
+    rows = scenario.replay_sales(scenario.read_events(spark, sf_dir), slice_days)
     slices = land_slices(scenario.frames(rows, ("slice",)), "slice", f"{root}/topic")
     return f"{root}/topic", slices, layers.Layout(root, "replay")
 
@@ -378,7 +381,7 @@ def gold_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def restart_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same query, started again after every slice without new records, and killed and resumed in between."""
+    """The same query, started anew for every slice, and once more after it without new records."""
     topic, slices, layout = _staged(spark, sf_dir)
     registry = scenario.registry(spark)
 
@@ -508,12 +511,62 @@ def gold_layers_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
 
 
+def _run_exact(
+    spark: SparkSession, sf_dir: str, silver_behind: int = 0, slice_days: float = scenario.SLICE_DAYS
+) -> layers.Layout:
+    """Bronze and exact silver, slice by slice; of the last ``silver_behind`` slices only bronze, noted as units."""
+    topic, slices, layout = _staged(spark, sf_dir, slice_days)
+    registry = scenario.registry(spark)
+    for last in range(len(slices)):
+        replay_slices(
+            spark, topic, "slice", slices[: last + 1],
+            lambda records: layers.start_bronze(records, registry, layout), first=last,
+        )
+        if last < len(slices) - silver_behind:
+            exact.take_backlog(spark, layout)
+        else:
+            exact.start_units(spark, layout).awaitTermination()
+    return layout
+
+
 @query
 def silver_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event rows that a stored bronze and a streaming silver keep."""
-    layout = _run_layers(spark, sf_dir)
-    stored = spark.read.parquet(layout.table("silver"))
-    return stored.select("event_id", "event_ts", "ingest_ts", "region", "plan_tier", "amount")
+    """The event rows that a stored bronze and an exact silver keep: of each id the first arrival."""
+    stored = exact.stored_silver(spark, _run_exact(spark, sf_dir))
+    return stored.select("event_id", "event_ts", "ingest_ts", "region", "plan_tier", "amount", *RECORD, "kafka_ingest_ts")
+
+
+@query
+def gold_backlog_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a run whose silver stood still for all of its twenty slices, and then took them in several bounded batches."""
+    layout = _run_exact(spark, sf_dir, silver_behind=1_000, slice_days=1.5)
+    waiting = spark.read.schema("bytes bigint").parquet(f"{layout.table('units')}/unit=*")
+    exact.take_backlog(spark, layout, max_bytes=waiting.agg(F.sum("bytes")).first()[0] // 5)
+    query = exact.start_gold(spark, layout)
+    query.awaitTermination()
+    layers.check_gold(query)
+    return rounded(files.read_gold(spark, layout.table("gold"), view=None).select(*GOLD), "revenue")
+
+
+@query
+def late_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that silver has turned away, as known after each of its batches, from what each batch has kept."""
+    layout = _run_exact(spark, sf_dir)
+    batches = range(exact.stored_silver(spark, layout).agg(F.max("batch_id")).first()[0] + 1)
+    parts = [exact.late_rows(spark, layout, until=n).withColumn("as_of", F.lit(n).cast("bigint")) for n in batches]
+    return reduce(DataFrame.unionByName, parts).select("as_of", "event_id", *RECORD, "event_ts")
+
+
+@query
+def reused_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the second half of a month that stored silver has from the first half, under another event time."""
+    rows = silver.first_arrival(scenario.reused_sales(scenario.read_events(spark, sf_dir)), key="kafka_offset")
+    dated = rows.select("event_id", "event_ts", F.to_date("event_ts").alias("event_date"))
+    middle, root = F.lit("2024-01-16").cast("timestamp"), workspace(spark, "reused")
+    dated.filter(F.col("event_ts") < middle).write.partitionBy("event_date").parquet(f"{root}/silver")
+    stored = spark.read.schema("event_id string, event_ts timestamp, event_date date").parquet(f"{root}/silver")
+    index = materialize(id_index.bitmaps(stored, ["event_date"]), "id-bitmaps")
+    return id_index.reused_ids(dated.filter(F.col("event_ts") >= middle), stored, index)
 
 
 @query
@@ -526,5 +579,5 @@ def dq_violations_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows that the watermark of silver has turned away, copies included, while silver has yet to read a slice."""
-    rows = layers.late_of_run(spark, _run_layers(spark, sf_dir, silver_behind=1))
+    rows = exact.late_rows(spark, _run_exact(spark, sf_dir, silver_behind=1))
     return rows.select("event_id", *RECORD, "event_ts", "kafka_ingest_ts")

@@ -116,9 +116,10 @@ _TYPED_FIELDS = ["account_id", "user_id", "event_type", "plan_tier", "region", "
 
 _BAD_TIME = "num % 241 = 0"
 
-# The replay scenario: slices of ten days by arrival. A row is late if its event time is at or below the
+# The replay scenario: slices by arrival, of ten days. A row is late if its event time is at or below the
 # watermark after the slice before its own.
-_REPLAY = f"""
+def _replay(slice_seconds: int = 864000) -> str:
+    return f"""
 with resent as (
   select *, 0 as copy from events
   union all
@@ -131,7 +132,7 @@ arrivals as (
     ts + to_seconds(cast(copy * 7200 as int)) as kafka_ingest_ts
   from resent),
 sliced as (
-  select *, {_OFFSET}, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / 864000) as int) as b
+  select *, {_OFFSET}, cast(floor(date_diff('second', timestamp '2024-01-01', kafka_ingest_ts) / {slice_seconds}) as int) as b
   from arrivals),
 newest as (select b, max(event_ts) as mx from sliced group by b),
 marks as (
@@ -144,6 +145,9 @@ kept as (
     select *, row_number() over (partition by event_id order by kafka_ingest_ts) as rn from on_time
   ) t where rn = 1)"""
 
+
+_REPLAY = _replay()
+
 _REPLAYED_RANGE = """window_start >= timestamp '2024-01-10'
   and window_end <= timestamp '2024-01-20' - interval 10 minute"""
 
@@ -312,7 +316,20 @@ select cast(2 * b as bigint) as batch_id, count(*) as total_records,
   least(100, cast(sum(cast(coalesce(n or d or a or l, n or a) as int)) as bigint)) as sample_rows
 from flags group by b""",
         "silver_stream_replay": _REPLAY + """
-select event_id, event_ts, ingest_ts, region, plan_tier, amount from kept""",
+select event_id, event_ts, ingest_ts, region, plan_tier, amount, kafka_partition, kafka_offset, kafka_ingest_ts from kept""",
+        "gold_backlog_replay": _replay(129600) + f""", gold as ({_gold('kept')})
+select {_GOLD_OUT} from gold where window_end <= (select max(w) from marks)""",
+        "late_incremental": _REPLAY + """,
+batches as (select b, row_number() over (order by b) - 1 as as_of from (select distinct b from sliced))
+select as_of, event_id, kafka_partition, kafka_offset, event_ts
+from sliced join batches on sliced.b <= batches.b
+where not exists (select 1 from kept where kept.event_id = sliced.event_id and kept.b <= batches.b)""",
+        "reused_ids": _SALES + """,
+renamed as (select case when num % 211 = 5 then cast(num // 2 as varchar) else event_id end as event_id, event_ts from sales),
+early as (select event_id, min(event_ts) as first_event_ts, max(event_ts) as last_event_ts
+  from renamed where event_ts < timestamp '2024-01-16' group by 1),
+later as (select event_id, min(event_ts) as reused_event_ts from renamed where event_ts >= timestamp '2024-01-16' group by 1)
+select event_id, first_event_ts, reused_event_ts from early join later using (event_id)""",
         "dq_violations_stored": _REPLAY + _FLAGS.format(source="kept") + f"""
 select event_id, event_ts, {_REASON} as dq_violation_reason from flags where n or d or a or l""",
         "late_quarantine": _REPLAY + """

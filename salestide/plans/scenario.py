@@ -44,7 +44,7 @@ def sales(events: DataFrame) -> DataFrame:
     return _sales(events, event_id % 50 == 0, late, arrival_gap_seconds=0)
 
 
-def replay_sales(events: DataFrame) -> DataFrame:
+def replay_sales(events: DataFrame, slice_days: float = SLICE_DAYS) -> DataFrame:
     """Copies that arrive two hours later, and events that are eight days late, in arrival slices."""
     event_id = F.col("event_id")
     very_late = event_id % 40 == 7
@@ -54,7 +54,14 @@ def replay_sales(events: DataFrame) -> DataFrame:
         .otherwise(F.col("ts"))
     )
     rows = _sales(events, (event_id % 50 == 0) | very_late, late, arrival_gap_seconds=7200)
-    return rows.withColumn("slice", _days(F.col("kafka_ingest_ts"), SLICE_DAYS).cast("int"))
+    return rows.withColumn("slice", _days(F.col("kafka_ingest_ts"), slice_days).cast("int"))
+
+
+def reused_sales(events: DataFrame) -> DataFrame:
+    """Sales of which some bear the id of another one, with half the number."""
+    number = F.col("event_id").cast("bigint")
+    reused = F.when(number % 211 == 5, F.floor(number / 2).cast("string")).otherwise(F.col("event_id"))
+    return sales(events).withColumn("event_id", reused)
 
 
 def frames(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -181,7 +188,7 @@ def _iso(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def _days(ts: Column, length: int) -> Column:
+def _days(ts: Column, length: float) -> Column:
     """The number of whole periods of ``length`` days since 2024-01-01."""
     return F.floor((ts.cast("long") - _start().cast("long")) / (length * DAY_SECONDS))
 

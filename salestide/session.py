@@ -82,3 +82,36 @@ def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_
     size = F.sum(reduce(add, lengths, F.lit(0).cast("bigint")))
     found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
     return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The file system of ``path`` and the path, as the JVM has them."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, location = _hadoop(spark, path)
+    return files.exists(location)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that match a pattern (``*`` for any name), in order of their paths; a call to the file system, no job."""
+    files, location = _hadoop(spark, pattern)
+    found = files.globStatus(location) or []
+    return sorted(status.getPath().toString() for status in found if status.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all it holds; one that is not there is no error."""
+    files, location = _hadoop(spark, path)
+    files.delete(location, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder; on file systems with atomic renames all its files appear at once."""
+    files, location = _hadoop(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(location, target):
+        raise OSError(f"{path} could not be moved to {to}")

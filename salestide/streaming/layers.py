@@ -80,10 +80,11 @@ def start_bronze(
 
 def bronze_stream(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Stored bronze as a stream of whole bronze batches."""
-    return parquet_stream(spark, layout.table("bronze"), _bronze_schema(event)).drop("ingest_date")
+    return parquet_stream(spark, layout.table("bronze"), stored_schema(event)).drop("ingest_date")
 
 
-def _bronze_schema(event: T.StructType) -> T.StructType:
+def stored_schema(event: T.StructType) -> T.StructType:
+    """The columns of stored bronze."""
     return c.extend(c.bronze_schema(event), ingest_date=c.DATE)
 
 
@@ -100,7 +101,7 @@ def recover(
     are behind its watermark by now. Records that an earlier call has recovered are left out. Backfill reads
     them with bronze (:func:`stored_bronze`).
     """
-    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    bronze = spark.read.schema(stored_schema(event)).parquet(layout.table("bronze"))
     again = decode_again(bronze, registry, event, added_fields=added_fields)
     earlier = recovered(spark, layout, event)
     if earlier is not None:
@@ -110,7 +111,7 @@ def recover(
     return path
 
 
-def _recovered_stream(spark: SparkSession, layout: Layout, event: T.StructType) -> DataFrame:
+def recovered_stream(spark: SparkSession, layout: Layout, event: T.StructType) -> DataFrame:
     """What :func:`recover` stores, as a stream."""
     schema = c.bronze_schema(event)
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{layout.table('recovered')}/call=0")
@@ -129,7 +130,7 @@ def recovered(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT
 
 def stored_bronze(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """All records of a run, each once: as recovered where it was, else as it came, with ``ingest_date``."""
-    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    bronze = spark.read.schema(stored_schema(event)).parquet(layout.table("bronze"))
     again = recovered(spark, layout, event)
     if again is None:
         return bronze
@@ -177,7 +178,7 @@ def start_silver(
     event: T.StructType = c.EVENT_V1,
 ) -> StreamingQuery:
     """Deduplicate the accepted rows of whole bronze batches, and of records that have been recovered."""
-    events = accepted(bronze_stream(spark, layout, event).unionByName(_recovered_stream(spark, layout, event)))
+    events = accepted(bronze_stream(spark, layout, event).unionByName(recovered_stream(spark, layout, event)))
     deduped = dedup_stream(events, watermark, salts=salts).withColumn("event_date", F.to_date("event_ts"))
     writer = deduped.writeStream.partitionBy("event_date")
     return _to_parquet(writer, layout, "silver", trigger)
@@ -241,9 +242,10 @@ def start_violations(
     rules: Rules = Rules(),
     trigger: str | None = None,
     event: T.StructType = c.EVENT_V1,
+    silver: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Store every silver row that breaks a rule, latency included, with the names of the broken rules."""
-    broken = dq_violations(silver_stream(spark, layout, event), rules)
+    """Store every row of silver (stored, or the given stream) that breaks a rule, latency included, with the broken rules' names."""
+    broken = dq_violations(silver_stream(spark, layout, event) if silver is None else silver, rules)
     return _to_parquet(broken.writeStream, layout, "violations", trigger)
 
 
@@ -275,7 +277,7 @@ def processed_by_silver(
 
     ``since`` and ``until`` (both included) bound the arrival dates, and so the files that are opened.
     """
-    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    bronze = spark.read.schema(stored_schema(event)).parquet(layout.table("bronze"))
     if since is not None:
         bronze = bronze.filter(F.col("ingest_date") >= F.lit(since))
     if until is not None:
@@ -332,7 +334,7 @@ def late_of_run(
 
 def lag_of_run(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame:
     """Per partition, how far silver is behind bronze; 0 everywhere once it has read all of it."""
-    bronze = spark.read.schema(_bronze_schema(event)).parquet(layout.table("bronze"))
+    bronze = spark.read.schema(stored_schema(event)).parquet(layout.table("bronze"))
     return offset_lag(bronze, processed_by_silver(spark, layout, event=event))
 
 
@@ -371,7 +373,7 @@ class Options:
     """Servers and topic that quarantined records are published to."""
 
 
-def _after_bronze(spark: SparkSession, layout: Layout, trigger: str | None, options: Options) -> list[StreamingQuery]:
+def after_bronze(spark: SparkSession, layout: Layout, trigger: str | None, options: Options) -> list[StreamingQuery]:
     """The queries that read bronze and store what is no event."""
     queries = [start_quarantine(spark, layout, trigger, options.event)]
     if options.dead_letters is not None:
@@ -407,10 +409,10 @@ def run_layers_once(
     """
     use_stream_defaults(spark)
     _bronze_run(records, registry, layout, options)
-    if _has_rows(spark, layout.table("bronze")):
+    if has_rows(spark, layout.table("bronze")):
         recover(spark, registry, layout, options.event, options.added_fields)
     start_silver(spark, layout, None, options.watermark, options.salts, options.event).awaitTermination()
-    queries = [*_after_silver(spark, layout, None, options), *_after_bronze(spark, layout, None, options)]
+    queries = [*_after_silver(spark, layout, None, options), *after_bronze(spark, layout, None, options)]
     for query in queries:
         query.awaitTermination()
     check_gold(queries[0])
@@ -439,7 +441,7 @@ def run_layers(
     none of it late.
     """
     use_stream_defaults(spark)
-    pause = _seconds(spark, trigger)
+    pause = seconds(spark, trigger)
     queries: list[StreamingQuery] = []
     seen = None
     try:
@@ -447,11 +449,11 @@ def run_layers(
             began = time.monotonic()
             _bronze_run(records, registry, layout, options)
             registered = _registered(registry)
-            if registered != seen and _has_rows(spark, layout.table("bronze")):
+            if registered != seen and has_rows(spark, layout.table("bronze")):
                 recover(spark, registry, layout, options.event, options.added_fields)
                 seen = registered
-            if not queries and _has_rows(spark, layout.table("bronze")):
-                queries += _after_bronze(spark, layout, trigger, options)
+            if not queries and has_rows(spark, layout.table("bronze")):
+                queries += after_bronze(spark, layout, trigger, options)
                 queries.append(start_silver(spark, layout, trigger, options.watermark, options.salts, options.event))
                 wait_for_first_batch(queries[-1])
                 gold, *others = _after_silver(spark, layout, trigger, options)
@@ -473,7 +475,7 @@ def _registered(registry: Registry) -> tuple:
     return tuple(current(registry).agg(F.count(F.lit(1)), F.bit_xor(ids)).first())
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
+def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether a query has committed rows to a table; its readers must find the table's commit log."""
     try:
         return not spark.read.schema(c.table(kafka_offset=c.LONG)).parquet(path).isEmpty()
@@ -483,7 +485,8 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _seconds(spark: SparkSession, interval: str) -> float:
+def seconds(spark: SparkSession, interval: str) -> float:
+    """The length of an interval such as ``10 minutes``."""
     zero = F.lit(0).cast("timestamp")
     length = F.unix_micros(zero + F.expr(f"INTERVAL {interval}")) - F.unix_micros(zero)
     return spark.range(1).select(length).first()[0] / 1e6
