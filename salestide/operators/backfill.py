@@ -15,13 +15,31 @@ from salestide import contract as c
 GOLD_KEYS = ("window_start", "region", "plan_tier")
 
 
-def replay_by_offset(bronze: DataFrame, ranges: Mapping[int, tuple[int, int]]) -> DataFrame:
-    """Bronze rows in ``{partition: (start, end)}`` offset ranges, end exclusive."""
-    offset, partition = F.col("kafka_offset"), F.col("kafka_partition")
-    wanted = [
-        (partition == part) & (offset >= start) & (offset < end) for part, (start, end) in ranges.items()
-    ]
-    return bronze.filter(reduce(or_, wanted, F.lit(False)))
+def offset_ranges(bronze: DataFrame) -> DataFrame:
+    """The offsets that each arrival date of stored bronze holds, by partition: a row for each date and partition."""
+    return bronze.groupBy("ingest_date", "kafka_partition").agg(
+        F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
+    )
+
+
+def replay_by_offset(
+    bronze: DataFrame, ranges: Mapping[int, tuple[int, int]], days: DataFrame | None = None
+) -> DataFrame:
+    """Bronze rows in ``{partition: (start, end)}`` offset ranges, end exclusive.
+
+    With ``days`` (:func:`offset_ranges` of that bronze, stored), only the arrival dates that can hold such rows are opened.
+    """
+    def within(first: Column, last: Column) -> Column:
+        wanted = [
+            (F.col("kafka_partition") == part) & (last >= start) & (first < end) for part, (start, end) in ranges.items()
+        ]
+        return reduce(or_, wanted, F.lit(False))
+
+    chosen = bronze.filter(within(F.col("kafka_offset"), F.col("kafka_offset")))
+    if days is None:
+        return chosen
+    held = days.filter(within(F.col("first_offset"), F.col("last_offset"))).select("ingest_date").distinct().collect()
+    return chosen.filter(F.col("ingest_date").isin([row[0] for row in held]) if held else F.lit(False))
 
 
 def replay_by_time(bronze: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestide import contract as c
 from salestide.functions.rules import latency_seconds
+from salestide.session import materialize
 
 
 def partition_distribution(bronze: DataFrame) -> DataFrame:
@@ -78,3 +79,31 @@ def account_partitions(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("account_id").agg(
         F.countDistinct("kafka_partition").alias("partitions"), F.count(F.lit(1)).alias("records")
     )
+
+
+def account_order(bronze: DataFrame) -> DataFrame:
+    """Per account, how many events are older than an earlier one of their partition, and by how much at most.
+
+    Rows are spread by range over (account, partition, offset), so an account of any size is as many tasks as its share
+    of the rows. Each range knows the newest event time before a row within itself; what came in earlier ranges is
+    carried over from their maxima, of which there is one for each account that a range begins with.
+    """
+    place = ["account_id", "kafka_partition"]
+    rows = bronze.select(*place, "kafka_offset", "event_ts").filter(F.col("event_ts").isNotNull())
+    ranges = materialize(
+        rows.repartitionByRange(*place, "kafka_offset").withColumn("range", F.spark_partition_id()), "account-ranges"
+    )
+    within = Window.partitionBy("range", *place).orderBy("kafka_offset").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*place).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    newest = ranges.groupBy("range", *place).agg(F.max("event_ts").alias("newest"))
+    carried = newest.select("range", *place, F.max("newest").over(before).alias("carried")).filter("carried is not null")
+    carried = carried.toDF("_range", "_account", "_partition", "carried")
+    placed = ranges.withColumn("earlier", F.max("event_ts").over(within))
+    same = [F.col("range") == F.col("_range"), F.col("account_id").eqNullSafe(F.col("_account"))]
+    joined = placed.join(F.broadcast(carried), [*same, F.col("kafka_partition").eqNullSafe(F.col("_partition"))], "left")
+    behind = F.unix_micros(F.greatest("earlier", "carried")) - F.unix_micros("event_ts")
+    return joined.groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(behind > 0).alias("inversions"),
+        F.greatest(F.max(behind), F.lit(0)).alias("worst_micros"),
+    )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salestide import contract as c
 from salestide.functions.frames import frame_body
-from salestide.operators import backfill, decode, gold, id_index, ops, quality, silver
+from salestide.operators import backfill, decode, gold, id_index, latency, ops, quality, silver
 from salestide.plans import scenario
 from salestide.session import materialize, use_stream_defaults, use_utc, workspace
 from salestide.sources import files
@@ -256,6 +256,17 @@ def latency_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("avg_latency_seconds", F.round("avg_latency_seconds", 4))
 
 
+@query
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of each day, from the sketches that are stored for five-minute windows."""
+    path = f"{workspace(spark, 'latency')}/sketches"
+    latency.latency_sketches(_silver(spark, sf_dir)).write.parquet(path)
+    stored = spark.read.schema(
+        "window_start timestamp, window_end timestamp, events bigint, buckets array<struct<bucket:int,count:bigint>>"
+    ).parquet(path)
+    return latency.percentiles(stored, [F.date_trunc("day", "window_start").alias("day")])
+
+
 # --- operations -------------------------------------------------------------------------------------
 
 
@@ -279,6 +290,12 @@ def account_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.account_partitions(_sales(spark, sf_dir).withColumn("kafka_partition", partition))
 
 
+@query
+def account_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each account that are older than an earlier one of their partition."""
+    return ops.account_order(_sales(spark, sf_dir))
+
+
 # --- backfill ---------------------------------------------------------------------------------------
 
 
@@ -316,7 +333,9 @@ def _stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = scenario.OFFSETS_PER_DAY
     ranges = {0: (5 * day, 10 * day), 1: (0, 20 * day), 2: (12 * day, 100 * day)}
-    replayed = backfill.replay_by_offset(_stored_bronze(spark, sf_dir), ranges)
+    bronze = _stored_bronze(spark, sf_dir)
+    days = materialize(backfill.offset_ranges(bronze), "offset-ranges")
+    replayed = backfill.replay_by_offset(bronze, ranges, days)
     return replayed.select("event_id", *RECORD, "region", "amount")
 
 
@@ -332,6 +351,16 @@ def backfill_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(diff, "revenue_production", "revenue_replay")
 
 
+@query
+def backfill_diff_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The differences alone, found by digests of stored versions from dates down to windows."""
+    root = workspace(spark, "digests")
+    promote.write_version(_double_counted(spark, sf_dir), root, "production")
+    promote.write_version(_replayed(spark, sf_dir), root, "replay")
+    diff = promote.diff_versions(spark, root, "production", "replay")
+    return rounded(diff, "revenue_production", "revenue_replay")
+
+
 @query
 def backfill_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = backfill.gold_totals(_double_counted(spark, sf_dir), _replayed(spark, sf_dir))

@@ -162,6 +162,24 @@ replay as (
   select * from ({_gold('replayed_silver')}) t where {_REPLAYED_RANGE})"""
 
 
+_DIFF = """
+select coalesce(p.window_start, r.window_start) as window_start,
+  case when p.event_count is not null then p.region else r.region end as region,
+  case when p.event_count is not null then p.plan_tier else r.plan_tier end as plan_tier,
+  round(p.revenue, 2) + 0.0 as revenue_production, round(r.revenue, 2) + 0.0 as revenue_replay,
+  p.event_count as events_production, r.event_count as events_replay,
+  case when r.event_count is null then 'only_production' when p.event_count is null then 'only_replay'
+       when p.event_count <> r.event_count or (p.revenue is null) <> (r.revenue is null)
+         or abs(p.revenue - r.revenue) > 0.005 then 'changed' else 'same' end as status
+from production p full outer join replay r
+  on p.window_start = r.window_start and p.region is not distinct from r.region
+  and p.plan_tier is not distinct from r.plan_tier"""
+
+# The middle of the latency bucket of a rank: one bucket a second below 64, then 32 for each power of two.
+_MIDDLE = """case when abs(s) < 64 then s else cast(sign(s) * (
+  (abs(s) >> (length(bin(abs(s))) - 6) << (length(bin(abs(s))) - 6)) + (1 << (length(bin(abs(s))) - 6)) // 2) as bigint) end"""
+
+
 def _totals(side: str) -> str:
     return f"""select '{side}' as side, count(*) as gold_rows,
   cast(coalesce(sum(event_count), 0) as bigint) as event_count, round(sum(revenue), 2) + 0.0 as revenue,
@@ -260,6 +278,23 @@ select batch_id, event_id, dq_violation_reason from (
   from flags where n or d or a or l) t where rank <= 100""",
         "latency_breaches": _SALES + f"select * from ({_LATENCY}) t where latency_sla_breaches > 0",
         "latency_by_window": _SALES + _LATENCY,
+        "latency_percentiles": _SALES + f""",
+ranked as (
+  select day, s, row_number() over (partition by day order by s) as rank, count(*) over (partition by day) as events
+  from (select date_trunc('day', time_bucket(interval 5 minute, event_ts))::timestamp as day,
+    cast(epoch(date_trunc('second', ingest_ts)) - epoch(date_trunc('second', event_ts)) as bigint) as s from silver) t
+  where s is not null),
+listed as (select day, rank, events, {_MIDDLE} as middle from ranked)
+select day, events, max(middle) filter (rank = ceil(events * 0.5)) as p50,
+  max(middle) filter (rank = ceil(events * 0.95)) as p95, max(middle) filter (rank = ceil(events * 0.99)) as p99
+from listed group by day, events""",
+        "account_order_check": _SALES + """,
+placed as (
+  select *, max(event_ts) over (partition by account_id, kafka_partition order by kafka_offset
+    rows between unbounded preceding and 1 preceding) as earlier from sales)
+select account_id, count(*) as records, count(*) filter (event_ts < earlier) as inversions,
+  cast(greatest(coalesce(max(epoch_us(earlier) - epoch_us(event_ts)), 0), 0) as bigint) as worst_micros
+from placed group by account_id""",
         "partition_distribution": _SALES + """
 select kafka_partition, count(*) as records, min(kafka_offset) as first_offset, max(kafka_offset) as last_offset
 from sales group by kafka_partition""",
@@ -289,18 +324,8 @@ where (kafka_partition = 0 and kafka_offset >= 5 * 172800000000 and kafka_offset
         "replay_by_time": _SALES + """
 select event_id, kafka_partition, kafka_offset, kafka_ingest_ts, region, amount from sales
 where kafka_ingest_ts >= timestamp '2024-01-10' and kafka_ingest_ts < timestamp '2024-01-20 12:00:00'""",
-        "backfill_diff": _SALES + _PRODUCTION_AND_REPLAY + """
-select coalesce(p.window_start, r.window_start) as window_start,
-  case when p.event_count is not null then p.region else r.region end as region,
-  case when p.event_count is not null then p.plan_tier else r.plan_tier end as plan_tier,
-  round(p.revenue, 2) + 0.0 as revenue_production, round(r.revenue, 2) + 0.0 as revenue_replay,
-  p.event_count as events_production, r.event_count as events_replay,
-  case when r.event_count is null then 'only_production' when p.event_count is null then 'only_replay'
-       when p.event_count <> r.event_count or (p.revenue is null) <> (r.revenue is null)
-         or abs(p.revenue - r.revenue) > 0.005 then 'changed' else 'same' end as status
-from production p full outer join replay r
-  on p.window_start = r.window_start and p.region is not distinct from r.region
-  and p.plan_tier is not distinct from r.plan_tier""",
+        "backfill_diff": _SALES + _PRODUCTION_AND_REPLAY + _DIFF,
+        "backfill_diff_pruned": _SALES + _PRODUCTION_AND_REPLAY + f"select * from ({_DIFF}) t where status <> 'same'",
         "backfill_totals": _SALES + _PRODUCTION_AND_REPLAY + f"""
 {_totals('production')} union all {_totals('replay')}""",
         "backfill_promote": _SALES + _PRODUCTION_AND_REPLAY + _FLAGS.format(source="replayed_silver") + f""",

@@ -21,7 +21,7 @@ from salestide.operators.late import late_rows
 from salestide.operators.ops import offset_lag
 from salestide.operators.quality import dq_violations
 from salestide.operators.silver import STREAM_SALTS, dedup_stream
-from salestide.session import fits_broadcast, materialize, use_stream_defaults
+from salestide.session import fits_broadcast, materialize, remove, rename, use_stream_defaults
 from salestide.sources.files import parquet_stream
 from salestide.sources.kafka import dead_letters
 from salestide.sources.registry import Registry, current
@@ -94,20 +94,29 @@ def recover(
     layout: Layout,
     event: T.StructType = c.EVENT_V1,
     added_fields: Mapping[str, tuple[int, object]] | None = None,
-) -> str:
+    since: date | None = None,
+) -> str | None:
     """Decode the records again that came before their schema was registered, and store them as a bronze batch.
 
-    They are written to the table ``recovered``, a file for each call, and silver takes them from there unless they
-    are behind its watermark by now. Records that an earlier call has recovered are left out. Backfill reads
-    them with bronze (:func:`stored_bronze`).
+    They are written to the table ``recovered``, a folder for each call that finds any, and silver takes them from there
+    unless they are behind its watermark by now. Records that an earlier call has recovered are left out. Backfill
+    reads them with bronze (:func:`stored_bronze`). ``since`` bounds the arrival dates of bronze that are opened.
+    The folder is written by as many tasks as there are, next to the table, and moved there when it is complete.
     """
     bronze = spark.read.schema(stored_schema(event)).parquet(layout.table("bronze"))
+    if since is not None:
+        bronze = bronze.filter(F.col("ingest_date") >= F.lit(since))
     again = decode_again(bronze, registry, event, added_fields=added_fields)
     earlier = recovered(spark, layout, event)
     if earlier is not None:
         again = again.join(earlier.select("kafka_partition", "kafka_offset"), ["kafka_partition", "kafka_offset"], "left_anti")
-    path = f"{layout.table('recovered')}/call={time.time_ns()}"
-    again.select(*c.bronze_schema(event).names).coalesce(1).write.parquet(path)  # appears at once, as one file
+    call = f"call={time.time_ns()}"
+    staged, path = f"{layout.table('recovered-staging')}/{call}", f"{layout.table('recovered')}/{call}"
+    again.select(*c.bronze_schema(event).names).write.parquet(staged)
+    if spark.read.schema(c.bronze_schema(event)).parquet(staged).isEmpty():
+        remove(spark, staged)
+        return None
+    rename(spark, staged, path)
     return path
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestide import contract as c
@@ -18,10 +18,15 @@ from salestide.operators.backfill import gold_diff, merge_windows
 from salestide.operators.decode import accepted, decode_records
 from salestide.operators.gold import revenue_windows, with_window_date
 from salestide.operators.silver import first_arrival
+from salestide.session import fits_broadcast, materialize
 from salestide.sources.files import read_gold
 from salestide.sources.registry import Registry
 
-_MANIFEST = c.table(window_date=c.DATE, run_id=c.STRING)
+_MANIFEST = c.table(window_date=c.DATE, run_id=c.STRING, rows=c.LONG, a=c.LONG, b=c.LONG)
+_DIGESTS = c.table(hour=c.TIMESTAMP, window_start=c.TIMESTAMP, rows=c.LONG, a=c.LONG, b=c.LONG)
+# Revenues that agree to so many decimals have one digest; sums in another order differ in the last bits.
+DIGEST_DECIMALS = 6
+MAX_BROADCAST_WINDOWS = 100_000
 _POINTER = c.table(version=c.STRING, seq=c.LONG, promoted_at=c.TIMESTAMP)
 
 
@@ -39,12 +44,83 @@ def write_version(gold: DataFrame, root: str, run_id: str, kept: DataFrame | Non
     by_date = with_window_date(gold).hint("rebalance", "window_date")
     by_date.write.mode("errorifexists").partitionBy("window_date").parquet(path)
     written = gold.sparkSession.read.schema(c.extend(c.GOLD_SCHEMA, window_date=c.DATE)).parquet(path)
-    dates = written.select("window_date").distinct().withColumn("run_id", F.lit(run_id))
+    dates = _write_digests(written, root, run_id).withColumn("run_id", F.lit(run_id))
     listed = dates if kept is None else dates.unionByName(kept)
     listed.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/run_id={run_id}")
     return path
 
 
+def row_digest(rows: DataFrame) -> list[Column]:
+    """Two numbers of a gold row that hardly any other row has; a missing value counts as one."""
+    fields = [F.col(name) for name in ("window_start", "region", "plan_tier", "event_count")]
+    fields.append(F.round("revenue", DIGEST_DECIMALS) + F.lit(0.0))
+    told = [part for field in fields for part in (field.isNull(), field)]
+    return [F.xxhash64(*told), F.xxhash64(F.lit(1), *told)]
+
+
+def _joined_digest(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows, digest`` of each group, whatever the order of its rows."""
+    return rows.groupBy(*by).agg(F.sum("rows").alias("rows"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+
+
+def _write_digests(gold: DataFrame, root: str, run_id: str) -> DataFrame:
+    """Store digests of stored gold by window and by hour, in folders by date, and return those by date.
+
+    Each level is joined from the one below; gold itself is read once.
+    """
+    spark = gold.sparkSession
+    a, b = row_digest(gold)
+    each = gold.select("window_date", F.date_trunc("hour", "window_start").alias("hour"), "window_start", a.alias("a"), b.alias("b"))
+    windows = _joined_digest(each.withColumn("rows", F.lit(1).cast("bigint")), ["window_date", "hour", "window_start"])
+    base = f"{root}/digests/run_id={run_id}"
+    windows.hint("rebalance", "window_date").write.mode("overwrite").partitionBy("window_date").parquet(f"{base}/windows")
+    stored = spark.read.schema(c.extend(_DIGESTS, window_date=c.DATE)).parquet(f"{base}/windows")
+    hours = _joined_digest(stored, ["window_date", "hour"])
+    hours.hint("rebalance", "window_date").write.mode("overwrite").partitionBy("window_date").parquet(f"{base}/hours")
+    return _joined_digest(stored, ["window_date"])
+
+
+def _digests(spark: SparkSession, root: str, dates: list, level: str) -> DataFrame:
+    """Digests by hour or window of the given (date, run) pairs; no other date is opened."""
+    parts = [f"{root}/digests/run_id={row.run_id}/{level}/window_date={row.window_date}" for row in dates]
+    empty = spark.createDataFrame([], _DIGESTS)
+    return spark.read.schema(_DIGESTS).parquet(*parts) if parts else empty
+
+
+def _unequal(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The keys that one side lacks, or whose digests differ."""
+    told = F.struct("rows", "a", "b")
+    sides = [side.select(key, told.alias(name)) for side, name in ((left, "l"), (right, "r"))]
+    joined = sides[0].join(sides[1], key, "full_outer")
+    return joined.filter(~F.col("l").eqNullSafe(F.col("r"))).select(key)
+
+
+def diff_versions(spark: SparkSession, root: str, production: str, replay: str) -> DataFrame:
+    """:func:`gold_diff` of two versions without the rows that are the same.
+
+    Digests are compared from the top: by date in the manifests, then by hour and by window of the dates that differ.
+    Gold is read for the differing windows' dates only; dates that both versions take from one run are equal at once.
+    """
+    sides = {name: manifest(spark, root, name) for name in (production, replay)}
+    left, right = sides[production].alias("l"), sides[replay].alias("r")
+    told = [F.struct(f"{side}.rows", f"{side}.a", f"{side}.b") for side in "lr"]
+    same_run = F.coalesce(F.col("l.run_id") == F.col("r.run_id"), F.lit(False))
+    differ = left.join(right, F.col("l.window_date") == F.col("r.window_date"), "full_outer").filter(~same_run & ~told[0].eqNullSafe(told[1]))
+    dates = {row[0] for row in differ.select(F.coalesce("l.window_date", "r.window_date")).collect()}
+    held = {name: [row for row in listed.collect() if row.window_date in dates] for name, listed in sides.items()}
+
+    def descend(level: str, key: str, within: DataFrame | None) -> DataFrame:
+        found = [_digests(spark, root, held[name], level) for name in (production, replay)]
+        if within is not None:
+            found = [side.join(within, "hour", "left_semi") for side in found]
+        return materialize(_unequal(*found, key), f"unequal-{level}")
+
+    windows = descend("windows", "window_start", descend("hours", "hour", None))
+    few = F.broadcast(windows) if fits_broadcast(windows, MAX_BROADCAST_WINDOWS) else windows
+    gold = [_read_dates(spark, root, held[name]).join(few, "window_start", "left_semi") for name in (production, replay)]
+    return gold_diff(*gold).filter("status <> 'same'")
+
+
 def backfill_gold(
     records: DataFrame,
     registry: Registry,
@@ -120,10 +196,12 @@ def manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 
 def read_version(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     """The gold table of a version; the driver lists its dates, a few hundred for each year."""
-    folders = [
-        f"{root}/versions/run_id={row.run_id}/window_date={row.window_date}"
-        for row in manifest(spark, root, run_id).orderBy("window_date").collect()
-    ]
+    return _read_dates(spark, root, manifest(spark, root, run_id).orderBy("window_date").collect())
+
+
+def _read_dates(spark: SparkSession, root: str, dates: list) -> DataFrame:
+    """The gold of (date, run) pairs."""
+    folders = [f"{root}/versions/run_id={row.run_id}/window_date={row.window_date}" for row in dates]
     if not folders:
         return spark.createDataFrame([], c.extend(c.GOLD_SCHEMA, window_date=c.DATE))
     schema = c.extend(c.GOLD_SCHEMA, run_id=c.STRING, window_date=c.DATE)
@@ -153,9 +231,15 @@ def promote(
 
     The replay is read from its isolated output, so its events are not computed again. Only dates that the
     range touches are written; of all others the new version keeps production's files. If another promotion
-    comes in between, this one is refused.
+    comes in between, this one is refused. Before the first promotion, production is empty.
     """
     version, seq = pointer(spark, root)
+    if version is None:
+        empty = spark.createDataFrame([], c.GOLD_SCHEMA)
+        replay = read_version(spark, root, replay_run).drop("window_date")
+        path = write_version(merge_windows(empty, replay, start, end), root, run_id)
+        point_to(spark, root, run_id, after=seq)
+        return path
     dates = manifest(spark, root, version)
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     touched = F.col("window_date").between(F.to_date(first), F.to_date(last))
