@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from salestide.functions.frames import frame_body
 from salestide.operators import backfill, decode, gold, id_index, latency, ops, quality, silver
 from salestide.plans import scenario
 from salestide.session import materialize, use_stream_defaults, use_utc, workspace
-from salestide.sources import files
+from salestide.sources import files, resolution
 from salestide.sources.registry import join_registry, load_schemas
-from salestide.streaming import exact, layers, progress, promote
+from salestide.streaming import exact, layers, progress, promote, retention
 from salestide.streaming.dq_sink import write_dq_batch
 from salestide.streaming.replay import land_slices, replay_slices
 
@@ -124,6 +125,16 @@ def decode_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def decode_resolved_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions read together by what the registry says of them."""
+    records = scenario.versioned_frames(_sales(spark, sf_dir))
+    bronze = resolution.decode_resolved(records, scenario.versioned_registry(spark), scenario.SUBJECT)
+    return decode.accepted(bronze).select(
+        *RECORD, "event_id", "schema_version", "amount", "discount", "channel", "quantity", "trace_id"
+    )
+
+
 @query
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decode.quarantined(_bronze(spark, sf_dir, c.narrow()))
@@ -381,6 +392,22 @@ def backfill_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(promote.current_gold(spark, root).select(*GOLD), "revenue")
 
 
+@query
+def version_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of all runs after a promotion and a sweep that keeps the current version alone."""
+    start, end = "2024-01-10", "2024-01-20"
+    root = workspace(spark, "retention")
+    promote.write_version(_double_counted(spark, sf_dir), root, "first")
+    promote.point_to(spark, root, "first")
+    promote.write_version(_replayed(spark, sf_dir), root, "replay")
+    promote.promote(spark, root, "replay", "second", start, end)
+    before = materialize(retention.stored_parts(spark, root), "parts")
+    retention.sweep(spark, root, grace=timedelta(0))
+    left = retention.stored_parts(spark, root).select("run_id", "window_date", F.lit(True).alias("left"))
+    listed = before.join(left, ["run_id", "window_date"], "left")
+    return listed.select("run_id", "window_date", F.coalesce("left", F.lit(False)).alias("kept"))
+
+
 # --- streams ----------------------------------------------------------------------------------------
 
 

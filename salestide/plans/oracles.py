@@ -232,6 +232,12 @@ select * exclude (schema_id, quarantine_reason) from decoded where quarantine_re
 select kafka_partition, kafka_offset, event_id, case when {_V2} then 2 else 1 end as schema_version, region, amount,
   case when {_V2} then (num % 10) / 10.0 else cast(0 as double) end as discount,
   case when {_V2} and num % 2 = 0 then 'partner' end as channel from sales""",
+        "decode_resolved_versions": _SALES + """
+select kafka_partition, kafka_offset, event_id, cast(num % 3 + 1 as bigint) as schema_version, amount,
+  case when num % 3 >= 1 then (num % 10) / 10.0 else cast(0 as double) end as discount,
+  case when num % 3 >= 1 and num % 2 = 0 then 'partner' end as channel,
+  cast(case when num % 3 = 2 then num % 5 + 3000000000 else 1 end as bigint) as quantity,
+  case when num % 3 < 2 then trace_id end as trace_id from sales""",
         "quarantine_rows": _SALES + _POISON + f"""
 select reason, {_ERRORS} as error, account_id as kafka_key, kafka_partition, kafka_offset, kafka_ingest_ts
 from frames where reason is not null""",
@@ -332,6 +338,14 @@ where kafka_ingest_ts >= timestamp '2024-01-10' and kafka_ingest_ts < timestamp
 corrected as ({_gold('flags', where='where not (n or d or a)')})
 select {_GOLD_OUT} from production where not ({_REPLAYED_RANGE})
 union all select {_GOLD_OUT} from corrected where {_REPLAYED_RANGE}""",
+        "version_retention": _SALES + _PRODUCTION_AND_REPLAY + """,
+dates as (
+  select 'first' as run_id, cast(window_start as date) as d from production
+  union select 'replay', cast(window_start as date) from replay
+  union select 'second', cast(window_start as date) from production
+    where window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-21')
+select run_id, cast(d as varchar) as window_date, case run_id when 'first' then d < date '2024-01-10' or d > date '2024-01-20'
+  when 'second' then true else false end as kept from dates""",
         "gold_stream_replay": stream_gold,
         "gold_layers_replay": stream_gold,
         "dq_stream_replay": dq_stream,

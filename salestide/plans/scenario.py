@@ -7,6 +7,8 @@ events, regions, plans, currencies, sources) are roughly those of the event sour
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,40 @@ def mixed_frames(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return encode_records(versioned, F.when(v2, V2_ID).otherwise(V1_ID), c.EVENT_V2.names, TOPIC, keep)
 
 
+def versioned_registry(spark: SparkSession) -> DataFrame:
+    """Three versions as records: the second adds two fields, the third one more, widens one and drops one."""
+    kinds = {"string": "string", "double": "double", "int": "int"}
+    first = [{"name": f.name, "type": ["null", kinds[f.dataType.simpleString()]]} for f in c.EVENT_V1.fields]
+    second = [
+        *first, {"name": "discount", "type": "double", "default": 0.0}, {"name": "channel", "type": ["null", "string"], "default": None},
+    ]
+    third = [
+        {"name": "schema_version", "type": "long"} if field["name"] == "schema_version" else field
+        for field in second if field["name"] != "trace_id"
+    ]
+    third.append({"name": "quantity", "type": "long", "default": 1})
+    texts = [json.dumps({"type": "record", "name": "sale", "fields": fields}) for fields in (first, second, third)]
+    return local_table(
+        spark, [(10 + n, SUBJECT, n, "JSON", text) for n, text in enumerate(texts, 1)], c.REGISTRY_SCHEMA
+    )
+
+
+def versioned_frames(rows: DataFrame) -> DataFrame:
+    """Sales rows as Kafka rows, a third of them written with each of three versions."""
+    event_id = F.col("event_id").cast("bigint")
+    version = event_id % 3 + 1
+    versioned = rows.withColumns(
+        {
+            "schema_version": version,
+            "discount": F.when(version >= 2, event_id % 10 / 10.0),
+            "channel": F.when((version >= 2) & (event_id % 2 == 0), "partner"),
+            "quantity": F.when(version == 3, event_id % 5 + 3_000_000_000),
+            "trace_id": F.when(version < 3, F.col("trace_id")),
+        }
+    )
+    return encode_records(versioned, 10 + version, [*c.EVENT_V2.names, "quantity"], TOPIC)
+
+
 def poisoned_frames(rows: DataFrame) -> DataFrame:
     """Sales rows as Kafka rows, about three per cent of them broken in one of seven ways."""
     event_id = F.col("event_id").cast("bigint")

@@ -41,15 +41,27 @@ def write_version(gold: DataFrame, root: str, run_id: str, kept: DataFrame | Non
     lists dates (and their runs) that the version takes over as they are.
     """
     path = f"{root}/versions/run_id={run_id}"
+    _note_run(gold.sparkSession, root, run_id)  # young from its first file on
     by_date = with_window_date(gold).hint("rebalance", "window_date")
     by_date.write.mode("errorifexists").partitionBy("window_date").parquet(path)
     written = gold.sparkSession.read.schema(c.extend(c.GOLD_SCHEMA, window_date=c.DATE)).parquet(path)
     dates = _write_digests(written, root, run_id).withColumn("run_id", F.lit(run_id))
     listed = dates if kept is None else dates.unionByName(kept)
     listed.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/run_id={run_id}")
+    _note_run(gold.sparkSession, root, run_id)
     return path
 
 
+def _note_run(spark: SparkSession, root: str, run_id: str) -> None:
+    row = spark.range(0, 1, 1, 1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("written_at"))
+    row.write.mode("overwrite").parquet(f"{root}/written/id={run_id}")
+
+
+def written_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The runs that have written a version, and when."""
+    return spark.read.schema(c.table(run_id=c.STRING, written_at=c.TIMESTAMP)).parquet(f"{root}/written")
+
+
 def row_digest(rows: DataFrame) -> list[Column]:
     """Two numbers of a gold row that hardly any other row has; a missing value counts as one."""
     fields = [F.col(name) for name in ("window_start", "region", "plan_tier", "event_count")]
