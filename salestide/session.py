@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +29,8 @@ _STREAM_DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 _local_root: str | None = None
+_scratch = threading.local()
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -59,11 +65,72 @@ def workspace(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: it is computed once and its lineage ends there."""
+    """Write ``df`` to the shared folder and read it back: it is computed once and its lineage ends there.
+
+    Within :func:`scratch` the table is removed at the end of the block; else it stays until :func:`discard`.
+    """
     spark = df.sparkSession
     path = workspace(spark, label)
+    blocks = _blocks()
+    if blocks:
+        blocks[-1].add(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _paths[stored] = path
+    return stored
+
+
+def _blocks() -> list[set[str]]:
+    """The paths of working tables made in each open block of this thread, innermost last."""
+    if not hasattr(_scratch, "blocks"):
+        _scratch.blocks = []
+    return _scratch.blocks
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Remove the working tables that a block has made when it ends.
+
+    What the block returns must not read them, but for those it passes to the yielded function: these stay, or
+    belong to the block around this one. A block that fails removes all of its tables.
+    """
+    blocks = _blocks()
+    blocks.append(set())
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(_paths[df])
+        return df
+
+    done = False
+    try:
+        yield keep
+        done = True
+    finally:
+        made = blocks.pop()
+        left = kept if done else set()
+        if blocks:
+            blocks[-1].update(left)
+        for path in made - left:
+            remove(spark, path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the working table that :func:`materialize` returned as ``df``; nothing may read it from then on."""
+    path = _paths.pop(df, None)
+    if path is not None:
+        remove(df.sparkSession, path)
+        for made in _blocks():
+            made.discard(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner find the shuffles of queries that have ended, whose files otherwise stay until the driver needs memory.
+
+    For jobs of many rounds.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def local_table(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
