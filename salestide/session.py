@@ -180,5 +180,5 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
     files, location = _hadoop(spark, path)
     target = spark._jvm.org.apache.hadoop.fs.Path(to)
     files.mkdirs(target.getParent())
-    if not files.rename(location, target):
+    if not files.exists(location) or not files.rename(location, target):
         raise OSError(f"{path} could not be moved to {to}")
