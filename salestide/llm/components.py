@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import materialize
+from salestide.session import discard, materialize
 
 MAX_ROUNDS = 60
 
@@ -35,7 +35,8 @@ def connected(edges: DataFrame) -> DataFrame:
     now = materialize(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     seen = None
     for turn in range(MAX_ROUNDS):
-        now = materialize(_small_star(_large_star(now)).distinct(), f"edges-{turn}")
+        before, now = now, materialize(_small_star(_large_star(now)).distinct(), f"edges-{turn}")
+        discard(before)
         state = now.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))
         ).first()

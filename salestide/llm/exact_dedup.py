@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestide.llm.text import keep_one, slices, text_or_empty
-from salestide.session import materialize
+from salestide.session import materialize, scratch
 
 # A cut on average every 2 KiB beyond the least size; long runs without a cut are cut at the greatest size.
 LEAST, MASK_BITS, MOST = 256, 11, 16384
@@ -101,7 +101,8 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     other. Of equal texts the row with the smallest key stays (a null key counts as the largest); if rows
     share that key, one of them stays. No other column of ``docs`` is read; no rows in give no rows out.
     """
-    listed = materialize(recipes(docs, key, text), "recipe-lists")
+    with scratch(docs.sparkSession) as keep:  # the chunks themselves are needed no more
+        listed = keep(materialize(recipes(docs, key, text), "recipe-lists"))
     first = F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.col("_row").alias("row")))
     groups = listed.groupBy("recipe").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
     # A recipe with very many copies is met by its documents in several tasks.
@@ -116,5 +117,8 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text equals that of a kept row; all columns stay as they are."""
-    return keep_one(docs, duplicates(docs, key, text), key, "text_sha256", F.sha2(normalised(text), 256))
+    """``docs`` without the rows whose text equals that of a kept row; all columns stay as they are.
+
+    Null, empty, tied and repeated rows as in :func:`duplicates`; an empty table stays empty.
+    """
+    return keep_one(docs, lambda: duplicates(docs, key, text), key, "text_sha256", F.sha2(normalised(text), 256))

@@ -8,7 +8,8 @@ Sets are joined by storing them in a trie and walking it (see :mod:`salestide.ll
 bounded size, and always first by their prefixes: only pairs whose prefixes leave them a chance are joined
 whole, so that most documents are never moved. First every set is joined with the least member of each of
 its groups, which settles groups of near copies in linear time. Groups whose members are not in one
-component then are joined part by part. Links inside one component change nothing and are not looked for.
+component then are joined part by part, large ones on whole sets at once. Links inside one component change nothing and
+are not looked for, except by :func:`links`, which finds them all.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from salestide.llm import sums, trie
 from salestide.llm.components import connected
 from salestide.llm.text import keep_one, shingle_hashes, slices, text_or_empty, word_hashes, words
-from salestide.session import fits_broadcast, materialize
+from salestide.session import fits_broadcast, materialize, release, scratch
 
 SHINGLE = 3
 # Buckets by whose counts n-grams are ordered, in bits: a fixed table of 2**20 numbers.
@@ -166,18 +167,18 @@ def _pairs_table(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool) -> DataFrame:
+def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool, every: bool = False) -> DataFrame:
     """Pairs (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
 
     ``table`` has the first or all ``tokens`` of the sets, and their sizes ``n``. A large company is dealt to chunks
     of bounded size, each with the lead. From whole sets come links: of what meets in a chunk, enough to
-    connect all that is linked, and so every pair of ``pairs`` is decided. From prefixes come those of ``pairs``
-    that may link.
+    connect all that is linked, and so every pair of ``pairs`` is decided; with ``every``, all of ``pairs`` that link. From
+    prefixes come those of ``pairs`` that may link.
     """
     sized = pairs.join(table.select("cls", F.size("tokens").alias("t")), "cls")
     company = sized.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.sum("t").alias("tokens"))
     parts = materialize(
-        company.select("lead", F.ceil(F.greatest(F.col("m") / CHUNK_SETS, F.col("tokens") / CHUNK_TOKENS, F.lit(1.0))).alias("parts")),
+        company.select("lead", _chunks(F.col("m"), F.col("tokens")).alias("parts")),
         "company",
     )
     dealt = pairs.join(parts, "lead").select("lead", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"), "cls")
@@ -187,10 +188,10 @@ def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool) -> Dat
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lead, _), rows in _grouped(batches, ("lead", "part")):
             found = trie.pairs([t for *_, t in rows], [n for _, n, _ in rows], share)
-            if whole:
+            if whole and not every:
                 found = _forest(found, len(rows))
             named = [(rows[i][0], rows[j][0]) for i, j in found]
-            if not whole:
+            if every or not whole:
                 named = [p for p in named if lead in p]
             if named:
                 yield _pairs_table(named)
@@ -235,63 +236,181 @@ def _leads(member: DataFrame, share: int) -> DataFrame:
     )
 
 
-def _candidates(member: DataFrame, prefixes: DataFrame, share: int) -> DataFrame:
-    """Pairs (``a``, ``b``) of different components that may link, from the groups of several components.
+def _chunks(sets: Column, tokens: Column) -> Column:
+    """How many chunks so many sets with so many tokens make."""
+    return F.ceil(F.greatest(sets / CHUNK_SETS, tokens / CHUNK_TOKENS, F.lit(1.0))).cast("bigint")
 
-    ``member`` has ``token``, ``band``, ``cls`` and ``comp``. A group is dealt to parts of bounded size, whole
-    large components to parts of their own; parts are joined two by two on the prefixes of their sets.
+
+def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How groups of several components are joined: (``dealt``: set to part, ``couples`` of parts, ``of_set``: a set's groups).
+
+    ``member`` has ``token``, ``band``, ``cls``, ``n`` and ``comp``. A group is dealt to parts of bounded size. A pair that shares
+    several groups belongs to the first of them, so of a group's members with the same earlier first group none need
+    meet there, nor do those of one component: large shares of either kind get parts of their own, not joined with each other.
     """
-    by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = by_comp.groupBy("token", "band").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"))
+    group = F.xxhash64("token", "band").alias("group")
+    of_set = materialize(
+        member.select("cls", group).groupBy("cls").agg(F.sort_array(F.collect_list("group")).alias("groups")), "groups-of-sets"
+    )
+    by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"))
+    mixed = by_comp.groupBy("token", "band").agg(
+        F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"), _chunks(F.sum("m"), F.sum("t")).alias("chunks")
+    )
     mixed = mixed.filter("comps > 1 AND size > 2")  # of two, one is the other's lead, so the pair is decided
-    big = F.col("m") > CHUNK_SETS
-    part = F.when(
-        big, F.struct(F.col("comp").alias("of"), F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / CHUNK_SETS)).alias("k"))
-    ).otherwise(
-        F.struct(F.lit(-1).cast("bigint").alias("of"), F.pmod(F.xxhash64("comp"), F.ceil(F.col("size") / CHUNK_SETS)).alias("k"))
+    placed = member.join(mixed, ["token", "band"]).join(of_set.select("cls", F.col("groups")[0].alias("first")), "cls")
+    # What keeps a set from having to meet others here: an earlier group, or its component.
+    earlier = F.col("first") != F.xxhash64("token", "band")
+    label = F.when(earlier, F.struct(F.lit(0).alias("kind"), F.col("first").alias("id"))).otherwise(
+        F.struct(F.lit(1).alias("kind"), F.col("comp").alias("id"))
     )
+    placed = placed.withColumn("label", label)
+    own = placed.groupBy("token", "band", "label").agg(_chunks(F.count(F.lit(1)), F.sum("n")).alias("own"))
+    none = F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("id"))
+    # A group of few sets is one part, whatever their lengths: only prefixes of its sets are brought together.
+    chunks = F.when(F.col("size") <= CHUNK_SETS, 1).otherwise(F.col("chunks"))
+    part = F.when(
+        (F.col("own") > 1) & (chunks > 1), F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("cls"), F.col("own")).alias("k"))
+    ).otherwise(F.struct(none.alias("of"), F.pmod(F.xxhash64("label"), chunks).alias("k")))
     dealt = materialize(
-        member.join(mixed, ["token", "band"]).join(by_comp, ["token", "band", "comp"])
-        .select("token", "band", "cls", "comp", part.alias("part")),
+        placed.join(own, ["token", "band", "label"])
+        .select("token", "band", "cls", "comp", "size", part.alias("part")),
         "parts",
     )
-    parts = dealt.select("token", "band", "part").distinct()
+    parts = dealt.select("token", "band", "size", "part").distinct()
     other = parts.select("token", "band", F.col("part").alias("part2"))
-    # Parts are few: a group's size over the size of a part. Two parts of one component have nothing to find.
+    # Parts are few: a group's size over the size of a part.
     couples = parts.join(other, ["token", "band"]).filter(
-        (F.col("part") <= F.col("part2")) & ~((F.col("part.of") >= 0) & (F.col("part.of") == F.col("part2.of")))
+        (F.col("part") <= F.col("part2")) & ~((F.col("part.of.kind") >= 0) & (F.col("part.of") == F.col("part2.of")))
     )
+    return dealt, couples, of_set
+
+
+def _joined(dealt: DataFrame, couples: DataFrame, of_set: DataFrame, table: DataFrame, share: int, whole: bool, every: bool) -> DataFrame:
+    """Pairs (``a``, ``b``) of different components that couples of parts have in common.
+
+    ``table`` has the first or all ``tokens`` of the sets. From prefixes come pairs that may link; from whole sets links, with
+    ``every`` all of them, else of what meets in a couple enough to connect all that is linked.
+    """
     ends = couples.select("token", "band", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
-    group = F.xxhash64("token", "band").alias("group")
-    of_set = member.select("cls", group).groupBy("cls").agg(F.collect_list("group").alias("groups"))
+    of_part = dealt.select("token", "band", F.col("part").alias("end"), "cls", "comp")
     rows = (
-        ends.join(dealt.select("token", "band", F.col("part").alias("end"), "cls", "comp"), ["token", "band", "end"])
-        .join(prefixes.join(of_set, "cls"), "cls")
+        ends.join(of_part, ["token", "band", "end"]).join(table.join(of_set, "cls"), "cls")
         .select(
-            group, F.col("part.of").alias("of"), F.col("part.k").alias("k"), F.col("part2.of").alias("of2"),
-            F.col("part2.k").alias("k2"), "cls", "comp", "n", (F.col("end") == F.col("part")).alias("one"), "tokens", "groups",
+            F.xxhash64("token", "band").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
+            "cls", "comp", "n", (F.col("end") == F.col("part")).alias("one"), "tokens", "groups",
         )
     )
-    place = ["group", "of", "k", "of2", "k2"]
+    place = ["group", "couple", "same"]
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (name, of, k, of2, k2), members in _grouped(batches, tuple(place)):
+        for (name, _, same), members in _grouped(batches, tuple(place)):
             own = np.int64(name).view(np.uint64)
             found = trie.pairs([tokens for *_, tokens, _ in members], [n for _, _, n, *_ in members], share)
             apart = []
             for i, j in found:
                 a, b = members[i], members[j]
-                # Sets of two parts meet here; those of one part do where it is alone. A pair that shares several
-                # groups belongs to the first of them.
-                if a[1] != b[1] and (a[3] != b[3] or (of, k) == (of2, k2)) and np.intersect1d(a[-1], b[-1])[0] == own:
-                    apart.append((min(a[0], b[0]), max(a[0], b[0])))
-            if apart:
-                yield _pairs_table(apart)
+                # Sets of two parts meet here; those of one part do where it is alone.
+                if a[1] != b[1] and (a[3] != b[3] or same) and _first_shared(a[-1], b[-1]) == own:
+                    apart.append((i, j))
+            if whole and not every:
+                apart = _forest(apart, len(members))
+            named = [(min(p), max(p)) for p in ((members[i][0], members[j][0]) for i, j in apart)]
+            if named:
+                yield _pairs_table(named)
 
     found = rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(join, "a bigint, b bigint")
     return found.distinct()
 
 
+def _first_shared(a: np.ndarray, b: np.ndarray) -> np.uint64:
+    """The least (as signed) of the numbers that two lists share; both are in that order."""
+    return np.intersect1d(a.view(np.int64), b.view(np.int64))[0].view(np.uint64)
+
+
+class _Corpus:
+    """The sets of a table's documents: their classes, prefixes and groups, and whole sets on demand."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, size: int, share: int) -> None:
+        self.docs, self.key, self.text, self.size, self.share = docs.select(F.col(key), F.col(text)), key, text, size, share
+        order = order_table(self.docs.select(F.col(text).alias("text")), size)
+        self.rank = docs.sparkSession.sparkContext.broadcast(order)
+        self.rows = materialize(_rows(self.docs, self.rank, key, text, size, share), "ngram-rows")
+        # Equal sets are one class, named by one of its rows.
+        least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
+        classes = materialize(self.rows.filter("n > 0").groupBy("digest").agg(least.alias("least")), "ngram-classes")
+        self.named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
+        heads = self.rows.join(self.named.select("cls"), self.rows["_row"] == F.col("cls"), "left_semi")
+        heads = heads.select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"))
+        self.heads = materialize(heads, "ngram-heads")
+        self.prefixes = self.heads.select("cls", "n", "tokens")
+        self.member = _groups(self.prefixes, share)
+
+    def whole(self, wanted: DataFrame) -> DataFrame:
+        """Whole sets of the wanted classes (``cls``)."""
+        heads = self.heads.join(wanted.distinct(), "cls", "left_semi").select("cls", "_key", "mark")
+        return materialize(_sets(self.docs, heads, self.rank, self.key, self.text, self.size), "ngram-sets")
+
+    def links(self, pairs: DataFrame, every: bool = False) -> DataFrame:
+        """Links among the pairs (``a``, ``b``): enough to connect what is linked, or all."""
+        with scratch(pairs.sparkSession) as keep:
+            sets = self.whole(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
+            led = pairs.select(F.col("a").alias("lead"), F.col("b").alias("cls"))
+            found = keep(materialize(_company(led, sets, self.share, True, every), "links"))
+        release(pairs.sparkSession)
+        return found
+
+    def near(self) -> DataFrame:
+        """Links of sets with the least member of each of their groups, and some more."""
+        with scratch(self.member.sparkSession) as keep:
+            pairs = materialize(_company(_leads(self.member, self.share), self.prefixes, self.share, False), "near")
+            return keep(self.links(pairs))
+
+    def far(self, labelled: DataFrame, every: bool = False) -> DataFrame:
+        """Links between different components of the groups of ``labelled`` (``token``, ``band``, ``cls``, ``n``, ``comp``)."""
+        with scratch(labelled.sparkSession) as keep:
+            dealt, couples, of_set = _couples(labelled)
+            # In a small group prefixes say which few pairs to look at. In a large one, many sets have much in common without
+            # being linked, and their pairs are not written down: whole sets are joined.
+            small, large = F.col("size") <= CHUNK_SETS, F.col("size") > CHUNK_SETS
+            found = materialize(_joined(dealt, couples.filter(small), of_set, self.prefixes, self.share, False, every), "far")
+            links = keep(self.links(found, every))
+            hard = materialize(couples.filter(large), "couples")
+            if hard.isEmpty():
+                return links
+            sets = self.whole(dealt.filter(large).select("cls"))
+            return keep(materialize(links.union(_joined(dealt, hard, of_set, sets, self.share, True, every)).distinct(), "far-links"))
+
+
+def links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, and whose sets they are: (``a``, ``b``) and (key, ``class_id``, ``links``).
+
+    A class is the documents of one set, named by its least key; ``a`` < ``b`` are names of classes. ``links`` counts the
+    documents that a document is linked with, those of its own class included. Documents with empty sets have no class
+    and no links; null keys are named null. Parameters and rules as in :func:`join`.
+    """
+    corpus = _Corpus(docs, key, text, size, share)
+    alone = corpus.member.select("token", "band", "cls", "n", F.col("cls").alias("comp"))
+    # Pairs with the lead of a group, which alone decide groups of two; then all others.
+    pairs = materialize(_leads(corpus.member, share).select(F.col("lead").alias("a"), F.col("cls").alias("b")), "led")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    found = corpus.links(pairs, True).union(corpus.far(alone, True)).select(*ordered).distinct()
+    stored = materialize(found, "all-links")
+    members = corpus.rows.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    classes = materialize(corpus.named.join(members, "digest").select("cls", "digest", F.col("least.key").alias("name"), "copies"), "classes")
+    both = stored.union(stored.select("b", "a"))
+    of_class = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    counted = classes.join(of_class, classes["cls"] == of_class["a"], "left").select(
+        "digest", F.col("name").alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")
+    )
+    membership = corpus.rows.filter("n > 0").join(counted, "digest").select(F.col("_key").alias(key), "class_id", "links")
+    empty = corpus.rows.filter("n = 0").select(F.col("_key").alias(key), F.lit(None).cast(docs.schema[key].dataType).alias("class_id"), F.lit(0).cast("bigint").alias("links"))
+    names = classes.select("cls", "name")
+    named = stored.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), membership.unionByName(empty)
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE) -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id``, ``kept``, and ``mark`` (a hash of its text).
 
@@ -302,33 +421,17 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     key or a text are rows like others; no rows give no rows; other columns are not read. Sets are compared
     by 64-bit hashes of their n-grams.
     """
-    whole = docs.select(F.col(key), F.col(text))
-    rank = docs.sparkSession.sparkContext.broadcast(order_table(whole.select(F.col(text).alias("text")), size))
-    rows = materialize(_rows(whole, rank, key, text, size, share), "ngram-rows")
-    # Equal sets are one class, named by one of its rows.
-    least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
-    classes = materialize(rows.filter("n > 0").groupBy("digest").agg(least.alias("least")), "ngram-classes")
-    named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
-    heads = rows.join(named.select("cls"), rows["_row"] == F.col("cls"), "left_semi")
-    heads = materialize(heads.select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens")), "ngram-heads")
-    prefixes = heads.select("cls", "n", "tokens")
-    member = _groups(prefixes, share)
-
-    def whole_sets(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        return materialize(_sets(whole, heads.join(wanted, "cls", "left_semi").select("cls", "_key", "mark"), rank, key, text, size), "ngram-sets")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        return materialize(_company(pairs.select(F.col("a").alias("lead"), F.col("b").alias("cls")), whole_sets(pairs), share, True), "links")
-
-    near = links(materialize(_company(_leads(member, share), prefixes, share, False), "near"))
+    corpus = _Corpus(docs, key, text, size, share)
+    near = corpus.near()
     first = connected(near)
-    labelled = member.join(first, member["cls"] == first["node"], "left").select(
-        "token", "band", "cls", F.coalesce("component", "cls").alias("comp")
+    labelled = materialize(
+        corpus.member.join(first, corpus.member["cls"] == first["node"], "left").select(
+            "token", "band", "cls", "n", F.coalesce("component", "cls").alias("comp")
+        ), "labelled",
     )
-    far = materialize(_candidates(labelled, prefixes, share), "far")
-    final = first if far.isEmpty() else connected(near.union(links(far)))
-    return _result(rows, named, final, key)
+    far = corpus.far(labelled)
+    final = first if far.isEmpty() else connected(near.union(far))
+    return _result(corpus.rows, corpus.named, final, key)
 
 
 def _result(rows: DataFrame, named: DataFrame, final: DataFrame, key: str) -> DataFrame:
@@ -352,5 +455,8 @@ def _result(rows: DataFrame, named: DataFrame, final: DataFrame, key: str) -> Da
 def keep_one_of_each(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, share: int = trie.SHARE
 ) -> DataFrame:
-    """``docs`` with one row of each component of near duplicates; all columns stay as they are."""
-    return keep_one(docs, join(docs, key, text, size, share), key, "mark", _mark(text))
+    """``docs`` with one row of each component of near duplicates; all columns stay as they are.
+
+    Null, empty, tied and repeated rows as in :func:`join`; an empty table stays empty.
+    """
+    return keep_one(docs, lambda: join(docs, key, text, size, share), key, "mark", _mark(text))

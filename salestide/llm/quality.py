@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from salestide.llm import sums
 from salestide.llm.text import crc_remainder, slices, text_or_empty
-from salestide.session import materialize
+from salestide.session import materialize, scratch
 
 FOURIER_FEATURES = 256
 RIDGE = 1e-2
@@ -213,7 +213,12 @@ def scorer(model: QualityModel):
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those that the classifier rejects; all columns stay as they are."""
-    model = fit(materialize(describe(docs, key, text), "quality-stats"), labels, label, key)
+    """``docs`` without those that the classifier rejects; all columns stay as they are.
+
+    Null, empty and repeated texts are scored like others; with no labelled rows nothing is rejected; an empty table
+    stays empty.
+    """
+    with scratch(docs.sparkSession):
+        model = fit(materialize(describe(docs, key, text), "quality-stats"), labels, label, key)
     passed: Column = scorer(model)(text_or_empty(text)) >= REJECT_BELOW
     return docs.filter(passed)

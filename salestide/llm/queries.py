@@ -99,6 +99,29 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+ORACLES["op7_ngram_jaccard_join"] = r"""
+    with recursive split as (
+        select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') as w from documents
+    ), sets as (
+        select doc_id, coalesce(list_distinct(case when len(w) between 1 and 2 then [array_to_string(w, chr(31))]
+            else list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2]) end), []) as s
+        from split
+    ), shingles as (
+        select doc_id, len(s) as n, unnest(s) as shingle from sets
+    ), linked as (
+        select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+    ), reached as (
+        select doc_id, doc_id as other from sets
+        union select reached.doc_id, linked.b from reached join linked on linked.a = reached.other
+    ), least as (
+        select doc_id, min(other) as component_id from reached group by doc_id
+    )
+    select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept from sets join least using (doc_id)
+"""
+
+
 @_query
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all urls: by the stated rules, else by rules mined from the urls those decide."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import fits_broadcast, materialize
+from salestide.session import fits_broadcast, materialize, scratch
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
@@ -33,16 +33,23 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def keep_one(docs: DataFrame, decided: DataFrame, key: str, mark: str, of_row: Column) -> DataFrame:
-    """``docs`` without the rows that ``decided`` (key, mark, ``kept``) drops; all columns stay as they are.
+def keep_one(docs: DataFrame, decided: Callable[[], DataFrame], key: str, mark: str, of_row: Column) -> DataFrame:
+    """``docs`` without the rows that ``decided()`` (key, mark, ``kept``) drops; all columns stay as they are.
 
     ``of_row`` computes a row's mark. Rows that repeat both the key and the mark of a kept row cannot be told
-    apart from it; one of them stays.
+    apart from it; one of them stays. Of the working tables, only the marks of dropped rows outlive the call.
     """
+    with scratch(docs.sparkSession) as keep:
+        return _keep_one(docs, decided(), key, mark, of_row, keep)
+
+
+def _keep_one(
+    docs: DataFrame, decided: DataFrame, key: str, mark: str, of_row: Column, keep: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     stored = materialize(decided.select(F.col(key).alias("_k"), F.col(mark).alias("_m"), "kept"), "decided")
-    gone = materialize(stored.filter("not kept").select("_k", "_m").distinct(), "gone")
+    gone = keep(materialize(stored.filter("not kept").select("_k", "_m").distinct(), "gone"))
     kept = stored.filter("kept").select("_k", "_m").distinct()
-    tied = materialize(gone.join(kept, gone["_k"].eqNullSafe(kept["_k"]) & (gone["_m"] == kept["_m"]), "left_semi"), "tied")
+    tied = keep(materialize(gone.join(kept, gone["_k"].eqNullSafe(kept["_k"]) & (gone["_m"] == kept["_m"]), "left_semi"), "tied"))
     # Few rows go as a rule: then the others stay where they are. Beyond the bound both sides are shuffled.
     few = F.broadcast(gone) if fits_broadcast(gone, MAX_BROADCAST_GONE) else gone
     whole = docs.join(few, docs[key].eqNullSafe(few["_k"]) & (of_row == few["_m"]), "left_anti")

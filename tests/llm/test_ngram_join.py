@@ -171,3 +171,37 @@ def test_one_row_of_each_component_stays(spark):
         (1, "a b c d e f g h"), (3, "q r s"), (3, "x y z"), (4, ""), (5, ""), (5, ""),
     ]
     assert ngram_join.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [ngram_join.CHUNK_SETS, 6])
+def test_all_links_and_their_counts(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK_SETS", chunk)
+    rows = [r for r in sample() if r[0] is not None]
+    pairs, members = ngram_join.links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    sets = [(key, shingles(text)) for key, text in rows]
+    counts = sorted((key, sum(link(s, t) for j, (_, t) in enumerate(sets) if j != i)) for i, (key, s) in enumerate(sets))
+    assert sorted((r.doc_id, r.links) for r in members.collect()) == counts
+    name = {}
+    for key, s in sets:
+        if s:
+            name[frozenset(s)] = min(key, name.get(frozenset(s), key))
+    classes = list(name)
+    want = {tuple(sorted((name[a], name[b]))) for i, a in enumerate(classes) for b in classes[:i] if link(a, b)}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+    assert {(r.doc_id, r.class_id) for r in members.collect()} == {(key, name[frozenset(s)] if s else None) for key, s in sets}
+    pairs, members = ngram_join.links(spark.createDataFrame([], "doc_id long, text string"))
+    assert pairs.count() == members.count() == 0
+
+
+def test_a_large_group_of_unlinked_sets_is_joined_on_whole_sets(spark, monkeypatch):
+    """All share the rare passage that their prefixes hold; few are linked, and prefixes cannot tell."""
+    monkeypatch.setattr(ngram_join, "CHUNK_SETS", 20)
+    rnd = random.Random(3)
+    vocab = [f"w{i}" for i in range(300)]
+    passage = " ".join(f"rare{i}" for i in range(30))
+    rows = [(i, " ".join(rnd.choices(vocab, k=3)) + " " + passage + " " + " ".join(rnd.choices(vocab, k=rnd.randrange(3, 6)))) for i in range(120)]
+    rows += [(1000 + i, edited(rnd, rows[i][1], 1)) for i in range(0, 120, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compare(ngram_join.join(docs, share=60).collect(), rows, 3, 60)
+    compare(ngram_join.join(docs, share=90).collect(), rows, 3, 90)
