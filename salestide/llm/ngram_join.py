@@ -183,7 +183,7 @@ def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool, every:
     )
     dealt = pairs.join(parts, "lead").select("lead", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"), "cls")
     leads = parts.select("lead", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("lead").alias("cls"))
-    members = dealt.union(leads).join(table, "cls").select("lead", "part", "cls", "n", "tokens")
+    members = _looked_up(dealt.union(leads), table).select("lead", "part", "cls", "n", "tokens")
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lead, _), rows in _grouped(batches, ("lead", "part")):
@@ -241,36 +241,38 @@ def _chunks(sets: Column, tokens: Column) -> Column:
     return F.ceil(F.greatest(sets / CHUNK_SETS, tokens / CHUNK_TOKENS, F.lit(1.0))).cast("bigint")
 
 
-def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """How groups of several components are joined: (``dealt``: set to part, ``couples`` of parts, ``of_set``: a set's groups).
+def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """How groups of several components are joined: (``dealt``: set to part, ``couples`` of parts).
 
-    ``member`` has ``token``, ``band``, ``cls``, ``n`` and ``comp``. A group is dealt to parts of bounded size. A pair that shares
-    several groups belongs to the first of them, so of a group's members with the same earlier first group none need
-    meet there, nor do those of one component: large shares of either kind get parts of their own, not joined with each other.
+    ``member`` has ``token``, ``band``, ``cls``, ``n`` and ``comp``. A group is dealt to parts of bounded size. Members
+    with the same earlier first group meet in that one, so none of them need meet here, nor do those of one component: large
+    shares of either kind get parts of their own, not joined with each other.
     """
-    group = F.xxhash64("token", "band").alias("group")
-    of_set = materialize(
-        member.select("cls", group).groupBy("cls").agg(F.sort_array(F.collect_list("group")).alias("groups")), "groups-of-sets"
-    )
-    by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"))
-    mixed = by_comp.groupBy("token", "band").agg(
-        F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"), _chunks(F.sum("m"), F.sum("t")).alias("chunks")
-    )
+    firsts = materialize(member.groupBy("cls").agg(F.min(F.xxhash64("token", "band")).alias("first")), "first-groups")
+    by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
+    mixed = by_comp.groupBy("token", "band").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"))
     mixed = mixed.filter("comps > 1 AND size > 2")  # of two, one is the other's lead, so the pair is decided
-    placed = member.join(mixed, ["token", "band"]).join(of_set.select("cls", F.col("groups")[0].alias("first")), "cls")
+    placed = member.join(mixed, ["token", "band"]).join(firsts, "cls")
     # What keeps a set from having to meet others here: an earlier group, or its component.
     earlier = F.col("first") != F.xxhash64("token", "band")
     label = F.when(earlier, F.struct(F.lit(0).alias("kind"), F.col("first").alias("id"))).otherwise(
         F.struct(F.lit(1).alias("kind"), F.col("comp").alias("id"))
     )
-    placed = placed.withColumn("label", label)
-    own = placed.groupBy("token", "band", "label").agg(_chunks(F.count(F.lit(1)), F.sum("n")).alias("own"))
+    placed = materialize(placed.withColumn("label", label), "placed")
+    own = placed.groupBy("token", "band", "label").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"), _chunks(F.count(F.lit(1)), F.sum("n")).alias("own")
+    )
+    # Labels with few members share the rest of the parts.
+    rest = own.filter("own = 1").groupBy("token", "band").agg(_chunks(F.sum("m"), F.sum("t")).alias("rest"))
+    own = own.select("token", "band", "label", "own").join(rest, ["token", "band"], "left")
     none = F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("id"))
     # A group of few sets is one part, whatever their lengths: only prefixes of its sets are brought together.
-    chunks = F.when(F.col("size") <= CHUNK_SETS, 1).otherwise(F.col("chunks"))
-    part = F.when(
-        (F.col("own") > 1) & (chunks > 1), F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("cls"), F.col("own")).alias("k"))
-    ).otherwise(F.struct(none.alias("of"), F.pmod(F.xxhash64("label"), chunks).alias("k")))
+    one = F.struct(none.alias("of"), F.lit(0).cast("bigint").alias("k"))
+    part = (
+        F.when(F.col("size") <= CHUNK_SETS, one)
+        .when(F.col("own") > 1, F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("cls"), F.col("own")).alias("k")))
+        .otherwise(F.struct(none.alias("of"), F.pmod(F.xxhash64("label"), F.col("rest")).alias("k")))
+    )
     dealt = materialize(
         placed.join(own, ["token", "band", "label"])
         .select("token", "band", "cls", "comp", "size", part.alias("part")),
@@ -282,10 +284,10 @@ def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     couples = parts.join(other, ["token", "band"]).filter(
         (F.col("part") <= F.col("part2")) & ~((F.col("part.of.kind") >= 0) & (F.col("part.of") == F.col("part2.of")))
     )
-    return dealt, couples, of_set
+    return dealt, couples
 
 
-def _joined(dealt: DataFrame, couples: DataFrame, of_set: DataFrame, table: DataFrame, share: int, whole: bool, every: bool) -> DataFrame:
+def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int, whole: bool, every: bool) -> DataFrame:
     """Pairs (``a``, ``b``) of different components that couples of parts have in common.
 
     ``table`` has the first or all ``tokens`` of the sets. From prefixes come pairs that may link; from whole sets links, with
@@ -293,24 +295,21 @@ def _joined(dealt: DataFrame, couples: DataFrame, of_set: DataFrame, table: Data
     """
     ends = couples.select("token", "band", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
     of_part = dealt.select("token", "band", F.col("part").alias("end"), "cls", "comp")
-    rows = (
-        ends.join(of_part, ["token", "band", "end"]).join(table.join(of_set, "cls"), "cls")
-        .select(
-            F.xxhash64("token", "band").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
-            "cls", "comp", "n", (F.col("end") == F.col("part")).alias("one"), "tokens", "groups",
-        )
+    placed = ends.join(of_part, ["token", "band", "end"]).select(
+        F.xxhash64("token", "band").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
+        "cls", "comp", (F.col("end") == F.col("part")).alias("one"),
     )
+    rows = _looked_up(placed, table).select("group", "couple", "same", "cls", "comp", "n", "one", "tokens")
     place = ["group", "couple", "same"]
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (name, _, same), members in _grouped(batches, tuple(place)):
-            own = np.int64(name).view(np.uint64)
-            found = trie.pairs([tokens for *_, tokens, _ in members], [n for _, _, n, *_ in members], share)
+        for (_, _, same), members in _grouped(batches, tuple(place)):
+            found = trie.pairs([tokens for *_, tokens in members], [n for _, _, n, *_ in members], share)
             apart = []
             for i, j in found:
                 a, b = members[i], members[j]
                 # Sets of two parts meet here; those of one part do where it is alone.
-                if a[1] != b[1] and (a[3] != b[3] or same) and _first_shared(a[-1], b[-1]) == own:
+                if a[1] != b[1] and (a[3] != b[3] or same):
                     apart.append((i, j))
             if whole and not every:
                 apart = _forest(apart, len(members))
@@ -322,9 +321,11 @@ def _joined(dealt: DataFrame, couples: DataFrame, of_set: DataFrame, table: Data
     return found.distinct()
 
 
-def _first_shared(a: np.ndarray, b: np.ndarray) -> np.uint64:
-    """The least (as signed) of the numbers that two lists share; both are in that order."""
-    return np.intersect1d(a.view(np.int64), b.view(np.int64))[0].view(np.uint64)
+def _looked_up(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` with the ``n`` and ``tokens`` of their ``cls``. Few rows go to where the sets are; beyond the bound both are shuffled."""
+    stored = materialize(rows, "asked")
+    few = F.broadcast(stored) if fits_broadcast(stored, MAX_BROADCAST_WANTED) else stored
+    return table.select("cls", "n", "tokens").join(few, "cls")
 
 
 class _Corpus:
@@ -337,10 +338,13 @@ class _Corpus:
         self.rows = materialize(_rows(self.docs, self.rank, key, text, size, share), "ngram-rows")
         # Equal sets are one class, named by one of its rows.
         least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
-        classes = materialize(self.rows.filter("n > 0").groupBy("digest").agg(least.alias("least")), "ngram-classes")
+        classes = materialize(self.rows.filter("n > 0").groupBy("digest").agg(least.alias("least"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
         self.named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
-        heads = self.rows.join(self.named.select("cls"), self.rows["_row"] == F.col("cls"), "left_semi")
-        heads = heads.select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"))
+        # Of sets with copies, the other rows are left out; most sets have none.
+        copied = materialize(classes.filter("copies > 1").select(F.col("digest").alias("_digest"), F.col("least.row").alias("head")), "copied")
+        few = F.broadcast(copied) if fits_broadcast(copied, MAX_BROADCAST_WANTED) else copied
+        heads = self.rows.filter("n > 0").join(few, F.col("digest") == F.col("_digest"), "left")
+        heads = heads.filter(F.col("head").isNull() | (F.col("head") == F.col("_row"))).select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"))
         self.heads = materialize(heads, "ngram-heads")
         self.prefixes = self.heads.select("cls", "n", "tokens")
         self.member = _groups(self.prefixes, share)
@@ -368,17 +372,17 @@ class _Corpus:
     def far(self, labelled: DataFrame, every: bool = False) -> DataFrame:
         """Links between different components of the groups of ``labelled`` (``token``, ``band``, ``cls``, ``n``, ``comp``)."""
         with scratch(labelled.sparkSession) as keep:
-            dealt, couples, of_set = _couples(labelled)
+            dealt, couples = _couples(labelled)
             # In a small group prefixes say which few pairs to look at. In a large one, many sets have much in common without
             # being linked, and their pairs are not written down: whole sets are joined.
             small, large = F.col("size") <= CHUNK_SETS, F.col("size") > CHUNK_SETS
-            found = materialize(_joined(dealt, couples.filter(small), of_set, self.prefixes, self.share, False, every), "far")
+            found = materialize(_joined(dealt, couples.filter(small), self.prefixes, self.share, False, every), "far")
             links = keep(self.links(found, every))
             hard = materialize(couples.filter(large), "couples")
             if hard.isEmpty():
                 return links
             sets = self.whole(dealt.filter(large).select("cls"))
-            return keep(materialize(links.union(_joined(dealt, hard, of_set, sets, self.share, True, every)).distinct(), "far-links"))
+            return keep(materialize(links.union(_joined(dealt, hard, sets, self.share, True, every)).distinct(), "far-links"))
 
 
 def links(
