@@ -2,12 +2,14 @@
 
 Each input task packs its own pieces in groups of bounded size: best fit by decreasing length, then a local
 search that moves pieces, exchanges one for one and two for one between underfull bins whenever that raises
-the sum of squared fills, so that full bins fill up and the emptiest run empty. Bins that stay clearly
-underfull are pooled and packed again, over and over, until they are one group or no longer shrink.
+the sum of squared fills, so that full bins fill up and the emptiest run empty. Bins that are not full are then pooled and
+packed again together with those of other tasks; those that stay clearly underfull over and over, until they are one group
+or no longer shrink.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,9 +28,11 @@ SEQUENCE_TOKENS = 1024
 END_ID = 2
 # Pieces packed together by one task; what it holds at once.
 GROUP_PIECES = 16_384
-# Bins filled below this share are pooled and packed again.
+# Every bin that is not full is pooled once; after that, those filled below this share.
 POOL_BELOW = 0.98
 SWEEPS = 12
+# Sizes that one trial of two pieces for one begins with.
+TWO_FOR_ONE_SIZES = 4
 _END = np.array([END_ID], "<u4").tobytes()
 _SHIFT = 33
 
@@ -62,12 +66,20 @@ class _Emptier:
     def __init__(self, sizes: list[int], bins: list[list[int]], fill: list[int]) -> None:
         self.sizes, self.bins, self.fill = sizes, bins, fill
         self.where: dict[int, dict[int, int]] = {}  # size -> piece -> bin
+        #: For each size, (fill of the bin, piece); entries that are out of date are passed over when they come up.
+        self.emptiest: dict[int, list[tuple[int, int]]] = {}
         self.present = 0
 
     def add(self, piece: int, number: int) -> None:
         size = self.sizes[piece]
         self.where.setdefault(size, {})[piece] = number
         self.present |= 1 << size
+        heapq.heappush(self.emptiest.setdefault(size, []), (self.fill[number], piece))
+
+    def emptied(self, number: int) -> None:
+        """Bin ``number`` has become emptier: its pieces come up earlier."""
+        for piece in self.bins[number]:
+            heapq.heappush(self.emptiest[self.sizes[piece]], (self.fill[number], piece))
 
     def remove(self, piece: int) -> None:
         size = self.sizes[piece]
@@ -81,9 +93,18 @@ class _Emptier:
         return (self.present & ((1 << (most + 1)) - 1)).bit_length() - 1 if most > 0 else 0
 
     def pick(self, size: int) -> tuple[int, int]:
-        """A piece of this size in the emptiest bin that has one."""
-        piece, number = min(self.where[size].items(), key=lambda item: (self.fill[item[1]], item[0]))
-        return piece, number
+        """A piece of this size in the emptiest bin that has one; of equally empty ones, the piece of least number."""
+        held, heap = self.where[size], self.emptiest[size]
+        while True:
+            fill, piece = heap[0]
+            number = held.get(piece)
+            if number is not None and self.fill[number] == fill:
+                return piece, number
+            heapq.heappop(heap)
+
+    def smallest(self) -> int:
+        """The least size present; 0 if there is none."""
+        return (self.present & -self.present).bit_length() - 1 if self.present else 0
 
 
 def _improve(a: int, capacity: int, rest: _Emptier) -> bool:
@@ -138,19 +159,21 @@ def _improve(a: int, capacity: int, rest: _Emptier) -> bool:
     for piece in out:
         bins[a].remove(piece)
         bins[giver].append(piece)
-        rest.add(piece, giver)
+        rest.add(piece, giver)  # under its old fill; the new one follows
     moved = sum(sizes[p] for p in pieces) - sum(sizes[p] for p in out)
     fill[a] += moved
     fill[giver] -= moved
+    rest.emptied(giver)
     return True
 
 
 def _two_for_one(size: int, gap: int, rest: _Emptier) -> tuple[int, tuple[int, int]] | None:
     """Two sizes of one emptier bin that together are a little more than ``size``."""
     best = None
-    y = rest.largest_up_to(size + gap - 1)
+    # The greater of the two is at least half of their sum, and leaves room for some other piece.
+    y = rest.largest_up_to(size + gap - max(rest.smallest(), 1))
     tried = 0
-    while y > 0 and tried < 4:
+    while 2 * y > size and tried < TWO_FOR_ONE_SIZES:
         piece, number = rest.pick(y)
         for other in rest.bins[number]:
             both = y + rest.sizes[other]
@@ -279,8 +302,8 @@ def pack(
         yield from _batches(_groups(pieces, capacity, TaskContext.get().partitionId() << _SHIFT), schema)
 
     done = materialize(rows.mapInArrow(first_round, ddl), "packed-0")
+    settled, pool = done.filter(F.col("fill") == capacity), done.filter(F.col("fill") < capacity)
     low = int(POOL_BELOW * capacity)
-    settled, pool = done.filter(F.col("fill") >= low), done.filter(F.col("fill") < low)
     waiting = pool.count()
     names = [f.name for f in schema][:-3]
     for turn in range(1, 64):
@@ -299,15 +322,20 @@ def pack(
             break
         settled, pool = settled.unionByName(done.filter(F.col("fill") >= low)), done.filter(F.col("fill") < low)
         left = pool.count()
-        if left > 0.9 * waiting:
+        if turn > 1 and left > 0.9 * waiting:
             settled = settled.unionByName(pool)
             break
         waiting = left
+    else:
+        settled = settled.unionByName(pool)
     return settled.drop("fill").withColumnRenamed("_key", key)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """One row per sequence: its ids in order (little-endian 32-bit, as bytes) and how many; needs ``keep_ids``."""
+    """One row per sequence: its ids in order (little-endian 32-bit, as bytes) and how many; needs ``keep_ids``.
+
+    No rows give no rows; every document has an end, so no sequence is empty.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     joined = F.aggregate(ordered, F.lit(b""), lambda so_far, row: F.concat(so_far, row["ids"]))
     return packed.groupBy("sequence_id").agg(joined.alias("ids"), F.sum("length").alias("tokens"))

@@ -2,12 +2,14 @@
 
 Between a word and a following single space the pattern of this vocabulary always splits, so a text whose
 white space is single spaces and line feeds can be put together from the ids of its words. Texts with other
-runs of white space are encoded whole.
+runs of white space are encoded whole. Texts that spell a token which the tokenizer's file adds to the vocabulary are
+encoded by the tokenizer itself.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
 from functools import lru_cache
 
@@ -21,9 +23,16 @@ _SPACE = " "
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, ranks_path: str, pattern: str) -> None:
+    def __init__(self, ranks_path: str, pattern: str, tokenizer_path: str | None = None) -> None:
         import tiktoken
 
+        self._tokenizer_path, self._tokenizer = tokenizer_path, None
+        #: Strings of the tokens that the ranks do not have.
+        self._added: tuple[str, ...] = ()
+        if tokenizer_path:
+            with open(tokenizer_path, encoding="utf-8") as file:
+                self._added = tuple(token["content"] for token in json.load(file)["added_tokens"])
+
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self._encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -32,6 +41,13 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
 
+    def _by_tokenizer(self, text: str) -> bytes:
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self._tokenizer_path)
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _learn(self, words: set[str]) -> None:
         if len(self._words) > CACHED_WORDS:
             self._words.clear()
@@ -44,6 +60,8 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, without any end token, as bytes."""
+        if any(token in text for token in self._added):
+            return self._by_tokenizer(text)
         first, *rest = text.replace("\n", " \n").split(_SPACE)
         if not rest or not first or first != first.strip():
             return self._whole(text)
@@ -62,8 +80,11 @@ class WordEncoder:
 
 @lru_cache(maxsize=1)
 def encoder(vocabulary: str | None = None) -> WordEncoder:
-    """The worker's encoder. ``vocabulary`` is the path of a rank file; the public byte-level one if not given."""
+    """The worker's encoder. ``vocabulary`` is the path of a tokenizer's file, the public byte-level one if not given.
+
+    Its ranks lie beside it, in a file of the same name.
+    """
     import public_tokenizers
 
-    path = vocabulary or os.path.join(os.path.dirname(public_tokenizers.path("byte_bpe_50k.json")), "byte_bpe_50k.tiktoken")
-    return WordEncoder(path, public_tokenizers.PATTERN)
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    return WordEncoder(f"{os.path.splitext(path)[0]}.tiktoken", public_tokenizers.PATTERN, path)

@@ -1,8 +1,10 @@
 """URL verdicts: stated rules first, then association rules that FP-growth mines from labelled URLs.
 
-A URL is a set of tokens (its host's labels, its path's segments, its query's keys, numbers masked). Spark's
-FP-growth finds token combinations that are frequent together with a label; those of enough support and
-confidence become rules. A rule is indexed under its rarest token, so a URL is compared only with rules that
+A URL is a set of tokens (its site, the parts of its subdomain, its path's segments, its query's keys, numbers masked).
+Tokens that always stand together, as those of a template do, are mined as one: combinations of them would be the
+same rule over and over, two to the power of their number. Where the labels are those of stated rules, the tokens that
+such a rule spells are not evidence for it, and are not learnt from. Spark's FP-growth finds token combinations that are
+frequent together with a label; those of enough support and confidence become rules. A rule is indexed under its rarest token, so a URL is compared only with rules that
 are indexed under one of its own tokens. URLs with equal token sets are judged once.
 """
 
@@ -20,8 +22,6 @@ from salestide.session import fits_broadcast, materialize
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-# Longer rules are kept only where no shorter one says the same.
-MAX_TOKENS = 4
 MAX_BROADCAST_RULES = 100_000
 # Label tokens cannot clash with those of URLs, which all have a kind and a colon.
 _LABELS = ("block", "allow")
@@ -70,7 +70,8 @@ def tokens(url: Column) -> Column:
     """Distinct tokens of a URL, sorted; numbers are masked, so pages of a site share most of them."""
     masked = F.regexp_replace(host(url), "[0-9]+", "0")
     labels = F.filter(F.split(masked, r"\."), lambda x: x != "")
-    parts = F.filter(F.split(masked, r"[.\-_:]"), lambda x: x != "")
+    below = F.array_join(F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 2, F.lit(0))), ".")
+    parts = F.filter(F.split(below, r"[.\-_:]"), lambda x: x != "")
     segments = F.filter(F.split(F.regexp_replace(path(url), "[0-9]+", "0"), "/"), lambda x: x != "")
     query = F.regexp_extract(_rest(url), r"\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
@@ -78,11 +79,9 @@ def tokens(url: Column) -> Column:
     def named(kind: str, values: Column) -> Column:
         return F.transform(values, lambda x: F.concat(F.lit(f"{kind}:"), x))
 
-    tld = F.when(F.size(labels) > 0, F.array(F.concat(F.lit("tld:"), F.element_at(labels, -1)))).otherwise(F.array())
-    site = F.when(F.size(labels) > 1, F.array(F.concat(F.lit("site:"), F.array_join(F.slice(labels, -2, 2), ".")))).otherwise(F.array())
-    every = F.concat(
-        tld.cast("array<string>"), site.cast("array<string>"), named("part", parts), named("path", segments), named("key", keys)
-    )
+    last = F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2))
+    site = F.when(F.size(labels) > 0, F.array(F.concat(F.lit("site:"), F.array_join(last, ".")))).otherwise(F.array())
+    every = F.concat(site.cast("array<string>"), named("part", parts), named("path", segments), named("key", keys))
     return F.array_sort(F.array_distinct(every))
 
 
@@ -101,47 +100,77 @@ def stated_rule(host_: Column, path_: Column, rules: Sequence[StatedRule] = STAT
     return reduce(lambda a, b: F.when(b.isNotNull() & (a.isNull() | (b["size"] > a["size"])), b).otherwise(a), fits)
 
 
-def mine(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-    max_tokens: int = MAX_TOKENS,
-) -> DataFrame:
+def unspelled(tokens_: Column, rules: Sequence[StatedRule]) -> Column:
+    """``tokens_`` without those that a stated rule of the list spells: its sites, and its path's segments."""
+    spelled = F.lit(False)
+
+    def is_spelled(token: Column) -> Column:
+        found = spelled
+        for rule in rules:
+            last = ".".join(rule.host.split(".")[-2:])
+            found = found | (token == f"site:{last}") | (token.startswith("site:") & token.endswith(f".{last}"))
+            for segment in filter(None, rule.path.split("/")):
+                found = found | (token == f"path:{segment}")
+        return found
+
+    return F.filter(tokens_, lambda token: ~is_spelled(token))
+
+
+def _together(labelled: DataFrame) -> DataFrame:
+    """``token, name, members``: tokens that the same labelled URLs (``row``, ``tokens``) have, named by the least of them.
+
+    Sets of rows are told apart by two hashes joined over their numbers, so no token's rows are brought together.
+    """
+    numbered = labelled.select("row", F.explode(F.array_distinct("tokens")).alias("token"))
+    held = numbered.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")
+    )
+    classes = held.groupBy("n", "a", "b").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return classes.select(F.explode("members").alias("token"), F.col("members")[0].alias("name"), "members")
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Association rules of labelled URLs: ``tokens`` (array), ``verdict``, ``confidence``, ``support``, ``index``.
 
     ``labelled`` has ``tokens`` and ``verdict`` ("block" or "allow"). Kept are rules that, of
     all labelled URLs, at least ``min_support`` fit together with the verdict, and of which at least
-    ``min_confidence`` bear it; of more than ``max_tokens`` tokens, those that no rule of fewer tokens covers with the
-    same verdict and at least their confidence. ``index`` is the rule's rarest token among the labelled URLs.
+    ``min_confidence`` bear it. A rule has all of the tokens that always stand together, or none; ``index`` is its rarest
+    token among the labelled URLs.
     """
     spark = labelled.sparkSession
     layout = "tokens array<string>, verdict string, confidence double, support double, index string"
     if labelled.isEmpty():
         return spark.createDataFrame([], layout)
-    baskets = labelled.select(F.concat("tokens", F.array("verdict")).alias("items"))
+    # Numbered before tokens are taken apart: a number is a URL's, not a token's.
+    stored = materialize(labelled.select(F.monotonically_increasing_id().alias("row"), "tokens", "verdict"), "url-labels")
+    classes = materialize(_together(stored), "url-token-classes")
+    names = classes.filter("token = name").select("name")
+    few = F.broadcast(names) if fits_broadcast(names, MAX_BROADCAST_RULES) else names
+    merged = (
+        stored.select("row", "verdict", F.explode(F.array_distinct("tokens")).alias("name")).join(few, "name", "left_semi")
+        .groupBy("row", "verdict").agg(F.collect_list("name").alias("names"))
+    )
+    # URLs without tokens are baskets too: support is a share of all labelled ones.
+    whole = stored.select("row", "verdict").join(merged.select("row", "names"), "row", "left")
+    baskets = materialize(whole.select(F.concat(F.coalesce("names", F.array().cast("array<string>")), F.array("verdict")).alias("items")), "url-baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     found = model.associationRules.filter(
         F.element_at("consequent", 1).isin(*_LABELS)
         & ~F.arrays_overlap("antecedent", F.array(*map(F.lit, _LABELS)))
     ).select(
-        F.array_sort("antecedent").alias("tokens"), F.element_at("consequent", 1).alias("verdict"), "confidence", "support"
+        F.array_sort("antecedent").alias("names"), F.element_at("consequent", 1).alias("verdict"), "confidence", "support"
     )
     found = materialize(found, "url-rules")
-    rarest = (
-        found.select("tokens", "verdict", F.explode("tokens").alias("token")).join(single, "token")
-        .groupBy("tokens", "verdict").agg(F.min(F.struct("freq", "token"))["token"].alias("index"))
-    )
-    indexed = materialize(found.join(rarest, ["tokens", "verdict"]), "url-rule-index")
-    long = indexed.filter(F.size("tokens") > max_tokens)
-    if long.isEmpty():
-        return indexed
-    shorter = indexed.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("sure"), "index")
-    covered = (
-        long.select("tokens", "verdict", "confidence", F.explode("tokens").alias("index")).join(shorter, ["index", "verdict"])
-        .filter((F.size("part") < F.size("tokens")) & (F.col("sure") >= F.col("confidence")))
-        .filter(F.size(F.array_except("part", "tokens")) == 0).select("tokens", "verdict").distinct()
+    members = classes.filter("token = name").select(F.col("name").alias("token"), "members")
+    spelled = (
+        found.select("names", "verdict", F.explode("names").alias("token")).join(single, "token").join(members, "token")
+        .groupBy("names", "verdict").agg(
+            F.min(F.struct("freq", "token"))["token"].alias("index"), F.array_sort(F.flatten(F.collect_list("members"))).alias("tokens")
+        )
     )
-    kept = long.join(covered, ["tokens", "verdict"], "left_anti").select(*indexed.columns)
-    return materialize(indexed.filter(F.size("tokens") <= max_tokens).unionByName(kept), "url-rules-kept")
+    rules = found.join(spelled, ["names", "verdict"]).select("tokens", "verdict", "confidence", "support", "index")
+    return materialize(rules, "url-rule-index")
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -184,7 +213,8 @@ def judge(
         "urls",
     )
     if labelled is None:
-        known = stored.filter("stated is not null").select("tokens", F.col("stated.verdict").alias("verdict"))
+        evidence = unspelled(F.col("tokens"), rules).alias("tokens")
+        known = stored.filter("stated is not null").select(evidence, F.col("stated.verdict").alias("verdict"))
     else:
         known = labelled.select(tokens(F.col("url")).alias("tokens"), "verdict")
     open_ = stored.filter("stated is null")

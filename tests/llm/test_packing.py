@@ -1,3 +1,5 @@
+import random
+import time
 import zlib
 
 import duckdb
@@ -17,7 +19,6 @@ DATA = "/root/testdata/sf0.001/documents.parquet"
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -28,7 +29,7 @@ def ids(data: bytes) -> list[int]:
 ODD = [
     "", " ", "  ", "\n", "a", " a", "a ", "a b", "a  b", "a \n b", "a\n\nb c", "a\n b", "a\nb c\nd", "\na b", "a b\n", "a b\t c d",
     "a b c  d", "it's we'll 'tis O'Neill's x", "1234 56a7 ...!? a", "a　b 　c d", "é è 日本 語 \U0001f600 x", "a\r\nb c", "a \x1c b c\x1c d",
-    "a\x85b \x85 c", "<|endoftext|> x", "A" * 5000, "x " * 3000, "a\x00b \x00 c", "ǅ ₂ x² ½ Ⅷ", "a ​ b",
+    "a\x85b \x85 c", "<|endoftext|> x", "a<|endoftext|>b <|endoftext|>", "<|endoftext|", "x  <|endoftext|>\n y", "A" * 5000, "x " * 3000, "a\x00b \x00 c", "ǅ ₂ x² ½ Ⅷ", "a ​ b",
 ]
 
 
@@ -65,6 +66,35 @@ def test_local_search_empties_bins():
     assert len(packing.local_search(sizes, bad, 15)) == 2
 
 
+@pytest.mark.parametrize("sizes", [[400] * 16_384, [513] * 16_384, [300, 724] * 8_192, [350, 341] * 8_192])
+def test_equal_lengths_take_no_longer(sizes):
+    began = time.perf_counter()
+    bins = packing.pack_sizes(sizes)
+    assert time.perf_counter() - began < 5
+    assert sorted(p for b in bins for p in b) == list(range(len(sizes)))
+
+
+def test_pick_is_the_emptiest_bin(rnd=random.Random(3)):
+    """After any exchange, a piece of a size is in the emptiest bin that has one."""
+    sizes = [rnd.randint(1, 30) for _ in range(300)]
+    bins = packing.best_fit(sizes, 40)
+    fill = [sum(sizes[p] for p in b) for b in bins]
+    rest = packing._Emptier(sizes, bins, fill)
+    for number, members in enumerate(bins):
+        for piece in members:
+            rest.add(piece, number)
+    for _ in range(400):
+        size = sizes[rnd.choice([p for b in bins for p in b])]
+        piece, number = rest.pick(size)
+        assert (fill[number], piece) == min((fill[n], p) for n, b in enumerate(bins) for p in b if sizes[p] == size)
+        rest.remove(piece)
+        bins[number].remove(piece)
+        fill[number] -= size
+        rest.emptied(number)
+        if sum(map(len, bins)) < 50:
+            break
+
+
 def check(rows, texts, plain, capacity):
     by_doc = {}
     for r in rows:
