@@ -1,45 +1,37 @@
 """A hidden Markov language model: Baum-Welch over partitions, exact forward scores.
 
 Latent states emit words, and the end of a text. Expected emissions are a Spark table by word, which grows with
-the vocabulary; blocks send their sums and get the rows of their own words. A vocabulary of at most
-``FEW_WORDS`` is emitted by classes (words by a hash of their spelling): within a class, words have their smoothed
-share of its training tokens, and the model stays on the driver. Either way one share is for words never seen, so
-the model is a distribution over all texts. Baum-Welch goes on until a round gains less than ``TOLERANCE``.
+the vocabulary; blocks send their sums and get the rows of their own words. Emissions are smoothed towards the words'
+shares, of which one is for words never seen, so the model is a distribution over all texts. Baum-Welch goes on until a
+round gains less than ``TOLERANCE``; a round's table is removed with the round after it.
 
 Texts are read once. Each input task cuts them into blocks, numbers the words of a block, and writes the
-numbers, the classes and the block's vocabulary with counts. Word counts come from the vocabularies, and go
-back to the blocks that have the word, never to all.
+numbers and the block's vocabulary with counts. Word counts come from the vocabularies, and
+go back to the blocks that have the word, never to all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from salestide.llm import sums
 from salestide.llm.hmm_core import Hmm, expected_counts, log_likelihoods
 from salestide.llm.text import WordIds, crc_remainder, slices, text_or_empty, words
-from salestide.session import materialize, workspace
+from salestide.session import discard, materialize, release, workspace
 
 STATES = 8
-CLASSES = 4096
-FEW_WORDS = 4 * CLASSES
 # Baum-Welch ends with the first round that gains less than this, in nats for each training token.
 TOLERANCE = 0.002
 STAY = 0.995
 NOISE = 0.5
-# Emissions are smoothed towards the classes' shares with this many tokens, moves and starts with one.
-EMISSION_PRIOR = 50.0
-# Emissions of single words are smoothed with this share of a state's mean tokens, as a word may be seen once.
+# Emissions are smoothed with this share of a state's mean tokens, as a word may be seen once; moves and starts with one token.
 WORD_PRIOR = 0.5
 ADD = 0.1
 FOLDS, HELD_OUT = 10, 0
@@ -47,7 +39,6 @@ FOLDS, HELD_OUT = 10, 0
 BLOCK_BYTES = 32 << 20
 BLOCK_ROWS = 32_768
 _TOKENS_AT_ONCE = 150_000
-_ROWS_AT_ONCE = 256
 _BLOCK_SHIFT = 24
 
 
@@ -65,22 +56,18 @@ def _unpacked(data: bytes) -> np.ndarray:
 class _Block:
     """Texts whose words are numbered together."""
 
-    def __init__(self, number: int, classes: int) -> None:
-        self.number, self.classes = number, classes
+    def __init__(self, number: int) -> None:
+        self.number = number
         self.ids, self.bytes, self.rows = WordIds(), 0, 0
         self.counts: list[np.ndarray] = []
-        self.known_classes = np.zeros(0, np.uint16)
 
-    def add(self, texts: list[str], training: list[bool]) -> tuple[list[bytes], list[bytes]]:
-        """Numbers and classes of the words of some texts."""
+    def add(self, texts: list[str], training: list[bool]) -> list[bytes]:
+        """Numbers of the words of some texts."""
         numbers = [np.array(list(map(self.ids.__getitem__, words(t))), np.int32) for t in texts]
         self.bytes += sum(map(len, texts))
         self.rows += len(texts)
         self.counts += [n for n, counted in zip(numbers, training) if counted]
-        fresh = list(islice(reversed(self.ids), len(self.ids) - len(self.known_classes)))[::-1]
-        new = np.fromiter((xxhash.xxh3_64_intdigest(w) % self.classes for w in fresh), np.uint16, len(fresh))
-        self.known_classes = np.concatenate([self.known_classes, new])
-        return [_packed(n) for n in numbers], [self.known_classes[n].tobytes() for n in numbers]
+        return [_packed(n) for n in numbers]
 
     def vocabulary(self) -> pa.RecordBatch:
         """The block's words with their training counts."""
@@ -89,24 +76,24 @@ class _Block:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n, self.number)), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(self.ids), pa.binary()),
-                pa.array(self.known_classes.astype(np.int32)), pa.array(counts.astype(np.int64)),
+                pa.array(counts.astype(np.int64)),
             ],
-            ["block", "local", "word", "class", "n"],
+            ["block", "local", "word", "n"],
         )
 
 
-def encode(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", classes: int = CLASSES) -> tuple[DataFrame, DataFrame]:
+def encode(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Encoded texts and blocks' vocabularies, both stored.
 
-    Texts: ``block``, ``_key``, ``held_out``, ``numbers`` (see :func:`_packed`) and ``classes`` (uint16), without the end. Words:
-    ``block``, ``local`` (number), ``word``, ``class``, ``n`` (training count).
+    Texts: ``block``, ``_key``, ``held_out``, ``numbers`` (see :func:`_packed`), without the end. Words: ``block``, ``local``
+    (number), ``word``, ``n`` (training count).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), (~training).alias("held_out"), text_or_empty(text).alias("text"))
     key_kind, key_type = rows.schema["_key"].dataType.simpleString(), to_arrow_type(rows.schema["_key"].dataType)
     kinds = [
         ("kind", pa.string()), ("block", pa.int64()), ("_key", key_type), ("held_out", pa.bool_()), ("numbers", pa.binary()),
-        ("classes", pa.binary()), ("local", pa.int32()), ("word", pa.binary()), ("class", pa.int32()), ("n", pa.int64()),
+        ("local", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
     ]
     schema = pa.schema(kinds)
 
@@ -120,41 +107,35 @@ def encode(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << _BLOCK_SHIFT
-        block = _Block(base, classes)
+        block = _Block(base)
         for batch in slices(batches):
             training = [not held for held in batch.column("held_out").to_pylist()]
-            numbers, coded = block.add(batch.column("text").to_pylist(), training)
+            numbers = block.add(batch.column("text").to_pylist(), training)
             yield filled("text", pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(coded), block.number)), batch.column("_key"), batch.column("held_out"),
-                 pa.array(numbers, pa.binary()), pa.array(coded, pa.binary())],
-                ["block", "_key", "held_out", "numbers", "classes"],
+                [pa.array(np.full(len(numbers), block.number)), batch.column("_key"), batch.column("held_out"),
+                 pa.array(numbers, pa.binary())],
+                ["block", "_key", "held_out", "numbers"],
             ))
             if block.bytes >= BLOCK_BYTES or block.rows >= BLOCK_ROWS:
                 yield filled("word", block.vocabulary())
-                block = _Block(block.number + 1, classes)
+                block = _Block(block.number + 1)
         yield filled("word", block.vocabulary())
 
-    ddl = f"kind string, block bigint, _key {key_kind}, held_out boolean, numbers binary, classes binary, local int, word binary, class int, n bigint"
+    ddl = f"kind string, block bigint, _key {key_kind}, held_out boolean, numbers binary, local int, word binary, n bigint"
     path = workspace(spark, "encoded")
     rows.mapInArrow(run, ddl).write.partitionBy("kind").parquet(path)
     stored = spark.read.schema(ddl).parquet(path)
     return (
-        stored.filter("kind = 'text'").select("block", "_key", "held_out", "numbers", "classes"),
-        stored.filter("kind = 'word'").select("block", "local", "word", "class", "n"),
+        stored.filter("kind = 'text'").select("block", "_key", "held_out", "numbers"),
+        stored.filter("kind = 'word'").select("block", "local", "word", "n"),
     )
 
 
 class Counts:
-    """What the training texts hold, by class; bounded by the number of classes."""
+    """What the training texts hold: tokens with ends, distinct ones, texts."""
 
-    def __init__(self, tokens: np.ndarray, types: np.ndarray, texts: int) -> None:
-        self.texts = texts
-        self.words, self.types = tokens, types
-        self.tokens = int(tokens.sum()) + texts
-        self.vocabulary = int(types.sum()) + (texts > 0)
-        self.mass = tokens + ADD * (types + 1)
-        end = texts + ADD
-        self.unigram = np.append(self.mass, end) / (self.mass.sum() + end)
+    def __init__(self, words: int, types: int, texts: int) -> None:
+        self.texts, self.tokens, self.vocabulary = texts, words + texts, types + (texts > 0)
 
     @property
     def base_total(self) -> float:
@@ -162,19 +143,17 @@ class Counts:
 
 
 def word_counts(vocabularies: DataFrame) -> DataFrame:
-    """Training count (``c``) and class of each word that training texts have."""
-    return vocabularies.filter("n > 0").groupBy("word", "class").agg(F.sum("n").alias("c"))
+    """Training count (``c``) of each word that training texts have."""
+    return vocabularies.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def class_counts(counts: DataFrame, texts: DataFrame, classes: int = CLASSES) -> Counts:
-    tokens, types = np.zeros(classes), np.zeros(classes)
-    for row in counts.groupBy("class").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).collect():
-        tokens[row["class"]], types[row["class"]] = row.tokens, row.types
-    return Counts(tokens, types, texts.filter("not held_out").count())
+def total_counts(counts: DataFrame, texts: DataFrame) -> Counts:
+    found = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("words"), F.count(F.lit(1)).alias("types")).first()
+    return Counts(found["words"], found["types"], texts.filter("not held_out").count())
 
 
 def _sequences(texts: list[np.ndarray], end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes of texts on end, each closed by the end, and their offsets; so many texts at once as one recursion takes."""
+    """Numbers of texts on end, each closed by the end, and their offsets; so many texts at once as one recursion takes."""
     ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
     start = 0
     while start < len(texts):
@@ -188,63 +167,19 @@ def _sequences(texts: list[np.ndarray], end: int) -> Iterator[tuple[np.ndarray,
         start = stop
 
 
-def initial(counts: Counts, states: int = STATES, seed: int = 1) -> Hmm:
-    """Sticky states whose emissions differ a little, at random, from the classes' shares."""
-    rng = np.random.default_rng(seed)
-    emit = counts.unigram * np.exp(NOISE * rng.normal(size=(states, len(counts.unigram))))
-    emit /= emit.sum(axis=1, keepdims=True)
-    move = np.full((states, states), (1 - STAY) / max(states - 1, 1))
-    np.fill_diagonal(move, STAY if states > 1 else 1.0)
-    return Hmm(np.full(states, 1 / states), move, emit / counts.unigram, counts.unigram)
-
-
-def improve(model: Hmm, texts: DataFrame) -> tuple[Hmm, float]:
-    """One Baum-Welch round over all training texts: the new model, and the old one's log-likelihood (in classes)."""
-    k, end = len(model.start), model.ratio.shape[1] - 1
-
-    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fast = model.cast(np.float32)
-        starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, end + 1)), 0.0
-        for batch in batches:
-            texts = [np.frombuffer(c, np.uint16) for c in batch.column("classes").to_pylist()]
-            for symbols, offsets in _sequences(texts, end):
-                s, m, e, ll = expected_counts(fast, symbols, offsets)
-                starts, moves, emits, likelihood = starts + s, moves + m, emits + e, likelihood + ll
-        head = np.zeros((k, 1 + k + 1))
-        head[:, 0], head[:, 1 : k + 1], head[0, k + 1] = starts, moves, likelihood
-        yield sums.partial_rows(np.hstack([head, emits]))
-
-    rows = texts.filter("not held_out").select("classes").mapInArrow(partial, sums.DDL)
-    total = np.array(sums.total(rows))
-    starts, moves, emits, likelihood = total[:, 0], total[:, 1 : k + 1], total[:, k + 2 :], total[0, k + 1]
-    emit = emits + EMISSION_PRIOR * model.unigram
-    emit /= emit.sum(axis=1, keepdims=True)
-    move = (moves + 1) / (moves + 1).sum(axis=1, keepdims=True)
-    return Hmm((starts + 1) / (starts + 1).sum(), move, emit / model.unigram, model.unigram), float(likelihood)
-
-
 def _converged(before: float | None, likelihood: float, tokens: int) -> bool:
     return before is not None and likelihood - before < TOLERANCE * tokens
 
 
-def train(texts: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None, seed: int = 1) -> Hmm:
-    """The model by classes after so many rounds, or until it has converged."""
-    model, before, done = initial(counts, states, seed), None, 0
-    while counts.texts and done != rounds:
-        better, likelihood = improve(model, texts)
-        if rounds is None and _converged(before, likelihood, counts.tokens):
-            break
-        model, before, done = better, likelihood, done + 1
-    return model
-
-
 class WordModel:
     """A model by words: starts, moves and sums on the driver, expected emissions in a table ``id``, ``e0``, ``e1``, ..."""
 
     def __init__(self, start: np.ndarray, move: np.ndarray, end: np.ndarray, emitted: DataFrame, counts: Counts) -> None:
         self.start, self.move, self.end, self.emitted = start, move, end, emitted
+        #: The working table that ``emitted`` reads, if it has one of its own.
+        self.table: DataFrame | None = None
         self.base, self.texts = counts.base_total, counts.texts
-        self.prior = WORD_PRIOR * counts.tokens / len(start)
+        self.prior = WORD_PRIOR * max(counts.tokens, 1) / len(start)
         columns = [F.sum(e) for e in _emissions(len(start))]
         self.of_state = np.array([x or 0.0 for x in emitted.agg(*columns).first()]) + end
 
@@ -316,26 +251,33 @@ def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts:
     starts, moves, end = head[-1] + 1, np.array([head[-2 - s] for s in range(k)]) + 1, head[-k - 2]
     likelihood = head[-k - 3][0] + head[-k - 4][0]
     new = WordModel(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), end, summed.filter("id >= 0"), counts)
+    new.table = summed
     return new, float(likelihood)
 
 
 def _block_model(model: WordModel) -> Callable[[pd.DataFrame], Hmm]:
     """:meth:`WordModel.of_block` without the table, for tasks."""
     bare = object.__new__(WordModel)
-    bare.__dict__.update({name: value for name, value in vars(model).items() if name != "emitted"})
+    bare.__dict__.update({name: value for name, value in vars(model).items() if name not in ("emitted", "table")})
     return bare.of_block
 
 
 def train_words(
     texts: DataFrame, known: DataFrame, local: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None
 ) -> WordModel:
-    """The model by words after so many rounds, or until it has converged."""
+    """The model after so many rounds, or until it has converged. Two rounds' tables are there at most."""
     model, before, done = initial_words(known, counts, states), None, 0
-    while done != rounds:
+    while counts.texts and done != rounds:
         better, likelihood = improve_words(model, texts, local, counts)
-        if rounds is None and _converged(before, likelihood, counts.tokens):
+        ended = rounds is None and _converged(before, likelihood, counts.tokens)
+        model, old = (model, better) if ended else (better, model)
+        if old.table is not None:
+            discard(old.table)
+        del old, better
+        release(texts.sparkSession)
+        if ended:
             break
-        model, before, done = better, likelihood, done + 1
+        before, done = likelihood, done + 1
     return model
 
 
@@ -349,19 +291,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
     """
     texts, vocabularies = encode(docs, crc_remainder(key, FOLDS) != HELD_OUT, key, text)
     known = materialize(word_counts(vocabularies).withColumn("id", F.monotonically_increasing_id()), "word-counts")
-    counts = class_counts(known, texts)
+    counts = total_counts(known, texts)
     unseen = -1 - F.pmod(F.xxhash64("word"), F.lit(1 << 40))  # words that no training text has; spread, as they are many
     # Every block gets the counts of its own words; frequent words are skewed keys, with a row per block at most.
-    local = vocabularies.select("block", "local", "word", "class").join(known.select("word", "id", "c"), "word", "left").select(
-        F.col("block").alias("_block"), "local", "class", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c")
+    local = vocabularies.select("block", "local", "word").join(known.select("word", "id", "c"), "word", "left").select(
+        F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c")
     )
-    if counts.types.sum() <= FEW_WORDS:
-        finish = _finish(train(texts, counts, states, rounds), counts)
-        local = local.drop("id")
-    else:
-        local = materialize(local.drop("class"), "block-words")
-        model = train_words(texts, known, local, counts, states, rounds)
-        finish, local = _finish_words(model), _with_emissions(model, local)
+    local = materialize(local, "block-words")
+    model = train_words(texts, known, local, counts, states, rounds)
+    finish, local = _finish_words(model), _with_emissions(model, local)
     key_kind = texts.schema["_key"].dataType.simpleString()
     finished = texts.select("block", "_key", "held_out", "numbers").groupBy("block").cogroup(local.groupBy("_block")).applyInPandas(
         finish, f"_key {key_kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -388,30 +326,3 @@ def _finish_words(model: WordModel) -> Callable[[pd.DataFrame, pd.DataFrame], pd
         return pd.concat([texts[["_key", "held_out"]].reset_index(drop=True), found], axis=1)
 
     return finish
-
-
-def _finish(model: Hmm, counts: Counts) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    end, base = len(counts.mass), np.log10(counts.base_total)
-
-    share = np.append(np.log10(counts.mass), 0.0)  # an end is the only member of its class
-    log_end = np.log10(counts.texts + ADD)
-
-    def finish(texts: pd.DataFrame, local: pd.DataFrame) -> pd.DataFrame:
-        place = local["local"].to_numpy(np.int64)
-        c, kind = np.zeros(len(local), np.int64), np.zeros(len(local), np.int64)
-        c[place], kind[place] = local["c"].to_numpy(np.int64), local["class"].to_numpy(np.int64)
-        log_c = np.log10(c + ADD)
-        rows = []
-        for start in range(0, len(texts), _ROWS_AT_ONCE):
-            numbers = [_unpacked(x) for x in texts["numbers"].iloc[start : start + _ROWS_AT_ONCE]]
-            latent = []
-            for symbols, offsets in _sequences([kind[own] for own in numbers], end):
-                hidden = log_likelihoods(model, symbols, offsets) / np.log(10)
-                latent.append(hidden - np.add.reduceat(share[symbols], offsets[:-1]))
-            for own, hidden in zip(numbers, np.concatenate(latent)):
-                n, seen = len(own) + 1, log_c[own].sum()
-                rows.append((n, np.count_nonzero(c[own]) + (counts.texts > 0), seen + log_end - n * base, hidden + seen))
-        found = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
-        return pd.concat([texts[["_key", "held_out"]].reset_index(drop=True), found], axis=1)
-
-    return finish

@@ -1,4 +1,5 @@
 import itertools
+import os
 import zlib
 from collections import Counter
 from math import log10
@@ -112,32 +113,15 @@ def test_base_scores_equal_brute_force(spark, monkeypatch, rows_a_block):
     assert np.mean([(r.score - r.base_score) / r.n_tokens for r in held]) > 0.02
 
 
-def test_scores_are_forward_probabilities_of_the_words(spark):
-    docs = spark.read.parquet(DATA).filter("doc_id < 40")
-    texts, vocabularies = language_model.encode(docs, language_model.crc_remainder("doc_id", 10) != 0)
-    known = language_model.word_counts(vocabularies)
-    counts = language_model.class_counts(known, texts)
-    model = language_model.train(texts, counts, states=3, rounds=2)
-    c = {r.word: r.c for r in known.collect()}
-    score = {r.doc_id: r.score for r in language_model.score(docs, states=3, rounds=2).collect()}
-    for r in docs.collect():
-        own = language_model.words(r.text)
-        kinds = [language_model.xxhash.xxh3_64_intdigest(w) % language_model.CLASSES for w in own]
-        within = sum(log10((c.get(bytes(w), 0) + 0.1) / counts.mass[k]) for w, k in zip(own, kinds))
-        want = plain_forward(model, kinds + [language_model.CLASSES]) / np.log(10) + within
-        assert abs(score[r.doc_id] - want) < 1e-3 * max(1, abs(want)) ** 0.5
-
-
 def trained_by_words(docs, states, rounds):
     texts, vocabularies = language_model.encode(docs, language_model.crc_remainder("doc_id", 10) != 0)
     known = language_model.materialize(language_model.word_counts(vocabularies).selectExpr("*", "monotonically_increasing_id() id"), "known")
-    counts = language_model.class_counts(known, texts)
+    counts = language_model.total_counts(known, texts)
     local = vocabularies.join(known.select("word", "id", "c"), "word", "left").selectExpr("block _block", "local", "ifnull(id, -1) id", "ifnull(c, 0) c")
     return language_model.train_words(texts, known, local, counts, states, rounds), known, texts, local, counts
 
 
 def test_scores_by_words_are_forward_probabilities(spark, monkeypatch):
-    monkeypatch.setattr(language_model, "FEW_WORDS", 0)
     monkeypatch.setattr(language_model, "BLOCK_ROWS", 7)
     docs = spark.read.parquet(DATA).filter("doc_id < 40")
     model, known, *_ = trained_by_words(docs, 3, 2)
@@ -159,18 +143,12 @@ def test_training_goes_on_until_it_has_converged(spark):
     better, last = language_model.improve_words(model, texts, local, counts)
     _, after = language_model.improve_words(better, texts, local, counts)
     assert after - last < language_model.TOLERANCE * counts.tokens
-    classes = language_model.train(texts, counts, 4)
-    better, last = language_model.improve(classes, texts)
-    assert language_model.improve(better, texts)[1] - last < language_model.TOLERANCE * counts.tokens
-
-
-def test_states_tell_words_of_one_class_apart(spark):
-    """Two topics whose words share their classes, among more words than classes could hold."""
-    rng, by_class = np.random.default_rng(5), {}
-    for i in range(40_000):
-        word = f"w{i}"
-        by_class.setdefault(language_model.xxhash.xxh3_64_intdigest(word.encode()) % language_model.CLASSES, []).append(word)
-    pairs = [words[:2] for words in by_class.values() if len(words) > 1][:200]
+
+
+def test_states_tell_topics_apart(spark):
+    """Two topics of 200 words each, among many other words."""
+    rng = np.random.default_rng(5)
+    pairs = [(f"w{i}", f"v{i}") for i in range(200)]
     rows = [(i, " ".join(pairs[j][i % 2] for j in rng.integers(0, 200, 60))) for i in range(600)]
     rows += [(i, " ".join(f"x{i}-{j}" for j in range(200))) for i in range(600, 720)]
     got = language_model.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
@@ -180,27 +158,21 @@ def test_states_tell_words_of_one_class_apart(spark):
 
 def test_rounds_raise_the_likelihood(spark):
     docs = spark.read.parquet(DATA)
-    texts, vocabularies = language_model.encode(docs, language_model.crc_remainder("doc_id", 10) != 0)
-    counts = language_model.class_counts(language_model.word_counts(vocabularies), texts)
-    model, seen = language_model.initial(counts, 4), []
+    model, known, texts, local, counts = trained_by_words(docs, 4, 0)
+    seen = []
     for _ in range(4):
-        model, likelihood = language_model.improve(model, texts)
+        model, likelihood = language_model.improve_words(model, texts, local, counts)
         seen.append(likelihood)
-    assert seen == sorted(seen) and seen[-1] > seen[0]
-    assert np.isclose((model.ratio * model.unigram).sum(1), 1).all() and np.isclose(model.move.sum(1), 1).all()
-
-
-def test_the_model_is_a_distribution_over_words(spark):
-    docs = spark.createDataFrame([(1, "a b a"), (2, "c a"), (3, "b")], "doc_id long, text string")
-    texts, vocabularies = language_model.encode(docs, language_model.F.lit(True))
-    known = language_model.word_counts(vocabularies)
-    counts = language_model.class_counts(known, texts)
-    mass = counts.mass * 1.0  # the words of a class and one unseen word share it
-    shares = np.zeros_like(mass)
-    for r in known.collect():
-        shares[r["class"]] += r.c + 0.1
-    shares += 0.1
-    assert np.allclose(shares, mass) and np.isclose(counts.unigram.sum(), 1)
+    assert seen == sorted(seen) and seen[-1] > seen[0] and np.isclose(model.move.sum(1), 1).all()
+
+
+def test_a_rounds_table_ends_with_the_next(spark):
+    def tables(model):
+        folder = model.table.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        return {name for name in os.listdir(folder) if name.startswith("emissions-")}
+
+    before = tables(trained_by_words(spark.read.parquet(DATA), 3, 1)[0])
+    assert len(tables(trained_by_words(spark.read.parquet(DATA), 3, 3)[0]) - before) == 1
 
 
 def test_odd_rows(spark):
