@@ -322,10 +322,13 @@ def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int,
 
 
 def _looked_up(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """``rows`` with the ``n`` and ``tokens`` of their ``cls``. Few rows go to where the sets are; beyond the bound both are shuffled."""
+    """``rows`` with the ``n`` and ``tokens`` of their ``cls``. Sets that no row asks for stay where they are, as long as few are asked for."""
     stored = materialize(rows, "asked")
-    few = F.broadcast(stored) if fits_broadcast(stored, MAX_BROADCAST_WANTED) else stored
-    return table.select("cls", "n", "tokens").join(few, "cls")
+    wanted = materialize(stored.select("cls").distinct(), "asked-sets")
+    sets = table.select("cls", "n", "tokens")
+    if fits_broadcast(wanted, MAX_BROADCAST_WANTED):
+        sets = sets.join(F.broadcast(wanted), "cls", "left_semi")
+    return sets.join(stored, "cls")
 
 
 class _Corpus:

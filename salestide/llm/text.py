@@ -15,7 +15,7 @@ from salestide.session import fits_broadcast, materialize, scratch
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Rows to be dropped are looked up by a broadcast up to this many.
 MAX_BROADCAST_GONE = 500_000
 
