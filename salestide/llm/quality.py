@@ -29,11 +29,12 @@ RIDGE = 1e-2
 # Labelled rows by remainder of crc32(doc_id): 0 is held out, 1 calibrates, the others fit the weights.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 REJECT_BELOW = 0.3
-# Raw scores are calibrated in steps of this width, so that isotonic regression sees a bounded table.
+# Raw scores are calibrated in steps of this width, at their rows' mean, so that isotonic regression sees a bounded
+# table: scores less than a step apart may be ordered by their mean alone. Beyond -1 and 2 they count as those.
 SCORE_STEP = 0.002
 STATISTICS = (
     "log_bytes", "upper", "digit", "space", "non_ascii", "full_stop", "comma", "exclaim", "pipe", "symbol", "other_punct",
-    "control", "distinct_words", "repeated_next", "word_length", "words_a_line", "repeated_lines", "marked_words",
+    "control", "distinct_words", "repeated_next", "word_length", "words_a_line", "repeated_lines",
 )
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "space": b" ", "non_ascii": bytes(range(128, 256)),
@@ -77,10 +78,9 @@ def statistics(text: str | None) -> list[float]:
         return [np.log1p(len(data)), *[0.0] * (len(STATISTICS) - 1)]
     shares = np.bincount(np.frombuffer(data, np.uint8), minlength=256) @ _MEMBERS / len(data)
     lines = [line for line in text.split("\n") if line]
-    marked = sum(map(str.endswith, words, [("!!", "***", "&&&", "%%%", "$$$", "###")] * n))
     return [
         np.log1p(len(data)), *np.sqrt(shares), len(set(words)) / n, sum(map(eq, words, words[1:])) / n, np.log1p(len(text) / n),
-        np.log1p(n / max(len(lines), 1)), 1 - len(set(lines)) / max(len(lines), 1), marked / n,
+        np.log1p(n / max(len(lines), 1)), 1 - len(set(lines)) / max(len(lines), 1),
     ]
 
 
