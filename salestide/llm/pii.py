@@ -10,9 +10,11 @@ reliable patterns, and have the form of the kind, become spans beside the base o
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,8 @@ from salestide.session import materialize
 
 #: Kinds in the order of the digest.
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+# Rounds end when the reliable patterns stay the same and no candidate's score moves by more than this.
+TOLERANCE = 1e-3
 # A pattern speaks for a kind from this many different instances and this share of its occurrences on.
 MIN_INSTANCES = 3
 MIN_CONFIDENCE = 0.6
@@ -182,10 +185,29 @@ def _clean(word: str) -> str:
     return re.sub(r"[0-9]+", "0", word.lower().strip(".,;!?"))
 
 
+def _words_before(text: str, start: int) -> list[str]:
+    """The whole last two words before a place, after others perhaps."""
+    reach = 64
+    while True:
+        words = text[max(0, start - reach) : start].split()
+        if len(words) > 2 or reach >= start:
+            return words
+        reach *= 4
+
+
+def _words_after(text: str, end: int) -> list[str]:
+    """The whole first word after a place, before others perhaps; what follows the span without a space is one."""
+    reach = 32
+    while True:
+        words = text[end : end + reach].split()
+        if len(words) > 1 or end + reach >= len(text):
+            return words
+        reach *= 4
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns around a span: one and two words before it, and a word on both sides."""
-    before = text[max(0, start - 120) : start].split()
-    after = text[end : end + 60].split()
+    before, after = _words_before(text, start), _words_after(text, end)
     one = _clean(before[-1]) if before else ""
     two = _clean(before[-2]) if len(before) > 1 else ""
     right = _clean(after[0]) if after else ""
@@ -225,7 +247,7 @@ def read(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, f"_row bigint, _key {kind}, base array<{_SPAN_DDL}>, seen array<{_OCCURRENCE_DDL}>")
 
 
-def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def bootstrap(seen: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Candidates with scores (``value``, ``form``, ``kind``, ``score``) and patterns (``pattern``, ``kind``, ``confidence``).
 
     ``seen`` has a row per occurrence. In each round a pattern's confidence for a kind is the score of the
@@ -234,6 +256,10 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFra
     judged again without the candidates that no pattern has scored yet and whose form suits the kind: they may
     be what it should find, and are no evidence against it. Other kinds and other forms are. Occurrences are
     summed by pattern and instance before they are joined.
+
+    There are so many ``rounds``, or as many as change anything: they end when the reliable patterns are those of the
+    round before and no score has moved by more than ``TOLERANCE``, or when patterns that were given up come back as
+    they were, since they would go on in a circle.
     """
     edges = materialize(
         seen.select("value", "form", "kind", F.explode("patterns").alias("pattern"))
@@ -244,8 +270,9 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFra
     seeds = edges.filter("kind is not null").select("pattern", "kind", "value", "n", F.lit(1.0).alias("score"))
     new = edges.filter("kind is null").select("pattern", "value", "form", "n")
     scores = seen.sparkSession.createDataFrame([], "value string, form string, kind string, score double")
-    reliable = None
-    for turn in range(rounds):
+    reliable, known_sets = None, []
+    for turn in itertools.count() if rounds is None else range(rounds):
+        before = scores
         held = seeds.unionByName(new.join(scores, ["value", "form"]).select("pattern", "kind", "value", "n", "score"))
         spoken = held.groupBy("pattern", "kind").agg(
             F.sum(F.col("n") * F.col("score")).alias("mass"), F.countDistinct("value").alias("instances")
@@ -269,9 +296,28 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFra
             .agg((1 - F.exp(doubt)).alias("score")),
             f"pii-scores-{turn}",
         )
+        if rounds is None:
+            mark = _mark(reliable)
+            same = known_sets[-1:] == [mark]
+            if mark in known_sets and not (same and _moved(before, scores)):
+                break
+            known_sets.append(mark)
     return scores, reliable
 
 
+def _mark(reliable: DataFrame) -> tuple:
+    """Stands for the set of reliable patterns, whatever their confidence."""
+    hashed = F.xxhash64("pattern", "kind").cast("decimal(20)")
+    return tuple(reliable.agg(F.count(F.lit(1)), F.sum(hashed), F.bit_xor(F.xxhash64("kind", "pattern"))).first())
+
+
+def _moved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether any candidate's score has moved by more than the tolerance."""
+    change = F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0)))
+    both = after.join(before.withColumnRenamed("score", "was"), ["value", "form", "kind"], "full")
+    return not both.filter(change > TOLERANCE).isEmpty()
+
+
 def _has_form() -> Column:
     """Whether a candidate's form and count of digits suit the kind."""
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
@@ -285,7 +331,7 @@ def _has_form() -> Column:
     )
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """One row per document: the key, ``base`` and ``added`` spans (arrays of kind, start, end in code points).
 
     Base spans are sorted by kind and start. Added spans touch no base span and, of the same candidate, have
@@ -329,19 +375,34 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with each span of the text replaced by its kind in angle brackets; keys must be unique."""
-    spans = find(docs, key, text, rounds).select(F.col(key).alias("_k"), F.concat("base", "added").alias("_spans"))
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
+    """``docs`` with each span of the text replaced by its kind in angle brackets.
 
-    @F.udf("string", useArrow=True)
-    def masked(value, found):
-        end = 0
-        out = []
-        for span in sorted(found or [], key=lambda s: (s["start"], -s["end"])):
-            if span["start"] >= end:
-                out += [value[end : span["start"]], f"<{span['kind']}>"]
-                end = span["end"]
-        return "".join([*out, value[end:]]) if value is not None else None
-
-    columns = [masked(docs[text], F.col("_spans")).alias(text) if c == text else docs[c] for c in docs.columns]
-    return docs.join(spans, docs[key].eqNullSafe(spans["_k"]), "left").select(*columns)
+    Rows are told apart by a number of their own: each comes out once, null and repeated keys and repeated rows
+    included. Of spans that overlap, the first to start is replaced, the longest of several. Null texts stay null,
+    empty ones empty; no rows give no rows; other columns stay as they are, whatever their names.
+    """
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("_row"), docs[text].cast("string").alias("_text"), F.struct(*docs.columns).alias("_doc")
+    )
+    rows = materialize(rows, "pii-rows")
+    spans = find(rows, "_row", "_text", rounds).select(F.col("_row").alias("_k"), F.concat("base", "added").alias("_spans"))
+
+    @F.pandas_udf("string")
+    def masked(texts: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([_masked(*both) for both in zip(texts, found)], dtype=object)
+
+    columns = [masked("_text", "_spans").alias(c) if c == text else F.col("_doc")[c].alias(c) for c in docs.columns]
+    return rows.join(spans, rows["_row"] == spans["_k"]).select(*columns)
+
+
+def _masked(text: str | None, found: Iterable[dict]) -> str | None:
+    """A text with its spans replaced by their kinds."""
+    if text is None:
+        return None
+    out, end = [], 0
+    for span in sorted(found, key=lambda s: (s["start"], -s["end"])):
+        if span["start"] >= end:
+            out += [text[end : span["start"]], f"<{span['kind']}>"]
+            end = span["end"]
+    return "".join([*out, text[end:]])
