@@ -1,9 +1,11 @@
 """Exact forward and forward-backward recursions of a hidden Markov model over many sequences at once.
 
-Sequences are cut into segments. A segment's transfer matrix says how its tokens carry any state
-distribution from its left end to its right end; all segments advance together, token by token. Passing the
-boundary distributions from segment to segment then gives the same numbers as one recursion along the whole
-sequence, with only as many steps in order as a segment has tokens or a sequence has segments.
+All sequences advance together, token by token, as long as enough of them go on (their heads). What is left of the
+longest is cut into segments. A segment's transfer matrix says how its tokens carry any state distribution from its
+left end to its right end; all segments advance together too. Passing the boundary distributions from segment to
+segment then gives the same numbers as one recursion along the whole sequence, with only as many steps in order as a
+head or segment has tokens or a sequence has segments. Matrices cost as many times more as there are states, heads
+one step for each token: so heads end where few sequences are left.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 
 SEGMENT = 64
+# Heads go on while so many sequences do.
+TOGETHER = 8
 _RESCALE = 8
 
 
@@ -29,51 +33,55 @@ class Hmm:
         return Hmm(self.start.astype(kind), self.move.astype(kind), np.ascontiguousarray(self.ratio.T, kind).T, self.unigram)
 
 
-class Segments:
-    """Where the segments of sequences on end lie: ``symbols`` and the sequences' ``offsets`` (each with a symbol at least)."""
+class Pieces:
+    """Stretches of symbols that advance together, longest first; all have a symbol at least."""
+
+    def __init__(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        order = np.argsort(-size, kind="stable")
+        self.symbols, self.begin, self.size = symbols, begin[order], size[order]
+        #: Where each given piece is now.
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        steps = np.arange(int(self.size[0]) if len(order) else 0)
+        #: How many pieces have a symbol at each step; they come first.
+        self.active = np.searchsorted(-self.size, -steps, side="left").tolist()
+
+    def at(self, step: int) -> np.ndarray:
+        """Symbols at a step of the pieces that have it."""
+        return self.symbols[self.begin[: self.active[step]] + step]
+
+
+class Parts:
+    """Sequences on end (``symbols``, ``offsets``; each with a symbol at least) as heads and, of the longest, segments."""
 
     def __init__(self, symbols: np.ndarray, offsets: np.ndarray) -> None:
         lengths = np.diff(offsets)
-        counts = -(-lengths // SEGMENT)
+        by_length = np.sort(lengths)
+        head = max(int(by_length[-TOGETHER]) if len(lengths) >= TOGETHER else 0, SEGMENT)
+        self.heads = Pieces(symbols, offsets[:-1], np.minimum(lengths, head))
+        counts = -(-np.maximum(lengths - head, 0) // SEGMENT)
         sequence = np.repeat(np.arange(len(counts)), counts)
-        number = np.arange(len(sequence)) - np.repeat(np.cumsum(counts) - counts, counts)
-        size = np.minimum(SEGMENT, lengths[sequence] - number * SEGMENT)
-        order = np.argsort(-size, kind="stable")
-        self.symbols, self.sequences = symbols, len(counts)
-        self.begin = (offsets[sequence] + number * SEGMENT)[order]
-        self.size, self.first = size[order], (number == 0)[order]
-        #: How many segments have a token at each step; they come first.
-        self.active = [int(np.searchsorted(-self.size, -t, side="left")) for t in range(SEGMENT)]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        by_count = np.argsort(-counts, kind="stable")
-        self.by_count = by_count
         starts = np.cumsum(counts) - counts
-        #: For each segment number: the segments of the sequences that have it, which come first in ``by_count``.
+        number = np.arange(len(sequence)) - starts[sequence]
+        done = head + number * SEGMENT
+        self.segments = Pieces(symbols, offsets[sequence] + done, np.minimum(SEGMENT, lengths[sequence] - done))
+        #: Sequences with segments, those with most first, and for each segment number: the segments of those that have it.
+        self.long = np.argsort(-counts, kind="stable")[: int(np.count_nonzero(counts))]
         self.chain = []
         for j in range(int(counts.max()) if len(counts) else 0):
-            have = int(np.searchsorted(-counts[by_count], -j, side="left"))
-            self.chain.append(place[starts[by_count[:have]] + j])
-
-    def at(self, step: int) -> np.ndarray:
-        """Symbols at a step of the segments that have it."""
-        return self.symbols[self.begin[: self.active[step]] + step]
+            have = int(np.searchsorted(-counts[self.long], -j, side="left"))
+            self.chain.append(self.segments.place[starts[self.long[:have]] + j])
 
 
-def transfers(model: Hmm, segments: Segments) -> tuple[np.ndarray, np.ndarray]:
+def transfers(model: Hmm, segments: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Transfer matrix of each segment, scaled, and the logarithm of its scale."""
     k = len(model.start)
     emit = model.ratio.T
-    kind = model.move.dtype
     if not len(segments.begin):
-        return np.zeros((0, k, k), kind), np.zeros(0)
-    begin = np.where(segments.first[:, None, None], np.eye(k, dtype=kind), model.move)
-    matrix = begin * emit[segments.at(0)][:, None, :]
+        return np.zeros((0, k, k), model.move.dtype), np.zeros(0)
+    matrix = model.move * emit[segments.at(0)][:, None, :]
     scale = np.zeros(len(matrix))
-    for t in range(1, SEGMENT):
-        n = segments.active[t]
-        if n == 0:
-            break
+    for t, n in enumerate(segments.active[1:], 1):
         moved = (matrix[:n].reshape(-1, k) @ model.move).reshape(n, k, k)
         moved *= emit[segments.at(t)][:, None, :]
         if t % _RESCALE == 0:
@@ -86,31 +94,52 @@ def transfers(model: Hmm, segments: Segments) -> tuple[np.ndarray, np.ndarray]:
     return matrix, scale + np.log(most)
 
 
+def _forward(model: Hmm, pieces: Pieces, left: np.ndarray, heads: bool) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distributions after each step, those at the pieces' ends, and logarithms of what was scaled away.
+
+    ``left`` is the distribution before each piece; a head's first symbol is no move away from it.
+    """
+    emit = model.ratio.T
+    ahead, now = [], left
+    scaled = np.zeros(len(left))
+    end = np.empty_like(left)
+    for t, n in enumerate(pieces.active):
+        end[n : len(now)] = now[n:]
+        moved = now[:n] if heads and t == 0 else now[:n] @ model.move
+        now = moved * emit[pieces.at(t)]
+        total = now.sum(axis=1)
+        now /= total[:, None]
+        scaled[:n] += np.log(total)
+        ahead.append(now)
+    end[: len(now)] = now
+    return ahead, end, scaled
+
+
 def log_likelihoods(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each sequence of symbols."""
-    segments = Segments(symbols, offsets)
-    matrix, scale = transfers(model, segments)
-    logs, _ = _boundaries(model, segments, matrix, scale)
-    parts = np.log(model.unigram)[symbols]
-    return logs + np.add.reduceat(parts, offsets[:-1]) if len(logs) else logs
+    if len(offsets) < 2:
+        return np.zeros(0)
+    parts = Parts(symbols, offsets)
+    start = np.tile(model.start, (len(parts.heads.begin), 1))
+    logs = _through(model, parts, *_forward(model, parts.heads, start, True)[1:], *transfers(model, parts.segments))[0]
+    return logs + np.add.reduceat(np.log(model.unigram)[symbols], offsets[:-1])
 
 
-def _boundaries(model: Hmm, segments: Segments, matrix: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _through(
+    model: Hmm, parts: Parts, end: np.ndarray, scaled: np.ndarray, matrix: np.ndarray, scale: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihood (as ratio to the unigrams) of each sequence, and the distribution before each segment."""
-    k = len(model.start)
-    left = np.zeros((len(matrix), k), matrix.dtype)
-    state = np.tile(model.start, (segments.sequences, 1))
-    logs = np.zeros(segments.sequences)
-    for chain in segments.chain:
+    left = np.zeros((len(matrix), len(model.start)), matrix.dtype)
+    logs = scaled[parts.heads.place]
+    state = end[parts.heads.place[parts.long]]
+    for chain in parts.chain:
         n = len(chain)
         left[chain] = state[:n]
         ahead = np.matmul(state[:n, None, :], matrix[chain])[:, 0]
         total = ahead.sum(axis=1)
         state[:n] = ahead / total[:, None]
-        logs[:n] += np.log(total) + scale[chain]
-    out = np.empty_like(logs)
-    out[segments.by_count] = logs
-    return out, left
+        logs[parts.long[:n]] += np.log(total) + scale[chain]
+    return logs, left
 
 
 def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -118,49 +147,47 @@ def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tup
     k, alphabet = len(model.start), model.ratio.shape[1]
     if len(symbols) == 0:
         return np.zeros(k), np.zeros((k, k)), np.zeros((k, alphabet)), 0.0
-    segments = Segments(symbols, offsets)
-    matrix, scale = transfers(model, segments)
-    logs, left = _boundaries(model, segments, matrix, scale)
+    parts = Parts(symbols, offsets)
+    matrix, scale = transfers(model, parts.segments)
+    start = np.tile(model.start, (len(parts.heads.begin), 1))
+    ahead, end, scaled = _forward(model, parts.heads, start, True)
+    logs, left = _through(model, parts, end, scaled, matrix, scale)
     right = np.ones_like(left)
-    behind = np.ones((segments.sequences, k), left.dtype)
-    for chain in reversed(segments.chain):
+    behind = np.ones((len(parts.long), k), left.dtype)
+    for chain in reversed(parts.chain):
         n = len(chain)
         right[chain] = behind[:n]
         back = np.matmul(matrix[chain], behind[:n, :, None])[:, :, 0]
         behind[:n] = back / back.sum(axis=1, keepdims=True)
-    emit = model.ratio.T
-    ahead = []
-    for t in range(SEGMENT):
-        n = segments.active[t]
-        if n == 0:
-            break
-        before = left if t == 0 else ahead[-1][:n]
-        moved = before @ model.move
-        if t == 0:
-            moved = np.where(segments.first[:, None], before, moved)
-        moved = moved * emit[segments.at(t)]
-        ahead.append(moved / moved.sum(axis=1, keepdims=True))
+    after = np.ones_like(start)
+    after[parts.heads.place[parts.long]] = behind
     shares = np.empty((len(symbols), k), left.dtype)
-    pairs = np.zeros((k, k))
-    starts = np.zeros(k)
-    back = right
+    pairs = _backward(model, parts.heads, start, after, ahead, shares, True)
+    pairs += _backward(model, parts.segments, left, right, _forward(model, parts.segments, left, False)[0], shares, False)
+    emitted = np.vstack([np.bincount(symbols, shares[:, s], alphabet) for s in range(k)])
+    starts = shares[offsets[:-1]].sum(axis=0, dtype=np.float64)
+    return starts, pairs * model.move, emitted, float(logs.sum())
+
+
+def _backward(
+    model: Hmm, pieces: Pieces, left: np.ndarray, back: np.ndarray, ahead: list[np.ndarray], shares: np.ndarray, heads: bool
+) -> np.ndarray:
+    """Fill in the states' ``shares`` of each symbol; returns the expected moves over ``model.move``. ``back`` is used up."""
+    emit = model.ratio.T
+    pairs = np.zeros(model.move.shape)
     for t in range(len(ahead) - 1, -1, -1):
-        n = segments.active[t]
+        n = pieces.active[t]
         now = ahead[t] * back[:n]
         now /= now.sum(axis=1, keepdims=True)
-        shares[segments.begin[:n] + t] = now
-        if t == 0:
-            starts += now[segments.first].sum(axis=0, dtype=np.float64)
-        later = back[:n] * emit[segments.at(t)]
+        shares[pieces.begin[:n] + t] = now
+        if heads and t == 0:  # no move leads into the first symbol of a sequence
+            break
+        later = back[:n] * emit[pieces.at(t)]
         earlier = later @ model.move.T
-        before = left if t == 0 else ahead[t - 1][:n]
-        weight = (before * earlier).sum(axis=1, keepdims=True)
-        if t == 0:  # no move leads into the first token of a sequence
-            inner = ~segments.first
-            pairs += before[inner].T.astype(np.float64) @ (later[inner] / weight[inner])
-        else:
-            pairs += before.T.astype(np.float64) @ (later / weight)
-            back = back.copy()
-            back[:n] = earlier / earlier.sum(axis=1, keepdims=True)
-    emitted = np.vstack([np.bincount(symbols, shares[:, s], alphabet) for s in range(k)])
-    return starts, pairs * model.move, emitted, float(logs.sum())
+        before = ahead[t - 1][:n] if t else left
+        later /= (before * earlier).sum(axis=1, keepdims=True)
+        pairs += before.T @ later
+        if t:
+            earlier /= earlier.sum(axis=1, keepdims=True)
+            back[:n] = earlier
+    return pairs
