@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestide.llm import sums, trie
@@ -31,6 +32,9 @@ from salestide.session import fits_broadcast, materialize, release, scratch
 SHINGLE = 3
 # Buckets by whose counts n-grams are ordered, in bits: a fixed table of 2**20 numbers.
 ORDER_BITS = 20
+# Up to so many times the average count, and up to so many n-grams in any case, a bucket is light.
+LIGHT = 8
+FEW = 1000
 # Sets, and tokens in them, that are joined in one trie.
 CHUNK_SETS = 200
 CHUNK_TOKENS = 400_000
@@ -47,8 +51,20 @@ def _shingles(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
         yield shingle_hashes(stream[start:stop], size)
 
 
-def order_table(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """Rank of each bucket of n-gram hashes by its count over all documents; rare buckets come first."""
+@dataclass(frozen=True)
+class Order:
+    """Rank of each bucket of n-gram hashes, rare buckets first, and how many of the first are light.
+
+    No n-gram of a light bucket is more than ``LIGHT`` times as frequent as buckets are on average: one in 131,072
+    of all n-grams, or ``FEW``, if that is more.
+    """
+
+    rank: np.ndarray
+    light: int
+
+
+def order_table(docs: DataFrame, size: int = SHINGLE) -> Order:
+    """The order of buckets of n-gram hashes by their counts over all documents."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << ORDER_BITS, np.int64)
@@ -59,9 +75,11 @@ def order_table(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
 
     total = sums.total(docs.select(text_or_empty("text").alias("text")).mapInArrow(count, sums.DDL))
     counts = np.concatenate(total) if total else np.zeros(1 << ORDER_BITS)
+    order = np.argsort(counts, kind="stable")
     rank = np.empty(len(counts), np.uint64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
-    return rank
+    rank[order] = np.arange(len(counts), dtype=np.uint64)
+    bound = max(LIGHT * counts.mean(), FEW)
+    return Order(rank, int(np.searchsorted(counts[order], bound, side="right")))
 
 
 def ordered_set(shingles: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -204,34 +222,41 @@ def _band(n: Column, share: int) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(trie.PER / share) * 1.0001))
 
 
-def _groups(prefixes: DataFrame, share: int) -> DataFrame:
-    """Rows (``token``, ``band``, ``cls``, ``n``) of prefix tokens that sets of like size share.
+def _groups(prefixes: DataFrame, share: int, light: int) -> DataFrame:
+    """Rows (``x``, ``y``, ``cls``, ``n``) of groups: sets of like size that share a prefix token.
 
-    A set belongs to the band of its own size and the next; linked sets have a band in common. Groups of the
-    same members are represented by one.
+    A set belongs to the band of its own size and the next; linked sets have a band in common. A group is named by two
+    hashes of its members, so groups of the same members are one.
+
+    A token of one of the first ``light`` buckets is rare (see :class:`Order`): its sets are brought together, once. Tokens of the
+    other buckets may be those of very many sets: these are summed up before they are joined, and Spark splits the join.
     """
     token = prefixes.select("cls", "n", F.explode("tokens").alias("token"))
-    shared = token.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token")
-    banded = materialize(
-        token.join(shared, "token").withColumn("own", _band(F.col("n"), share))
-        .select("token", "cls", "n", F.explode(F.array("own", F.col("own") + 1)).alias("band")),
-        "prefix-groups",
-    )
-    members = banded.groupBy("token", "band").agg(
-        F.count(F.lit(1)).alias("m"), F.min("cls").alias("lo"), F.bit_xor(F.xxhash64("cls")).alias("x"),
-        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
-    ).filter("m > 1")
-    one = members.groupBy("m", "lo", "x", "y").agg(F.min(F.struct("token", "band")).alias("g")).select("g.token", "g.band")
-    return materialize(banded.join(one, ["token", "band"]), "groups")
+    bucket = F.shiftrightunsigned("token", int(_SHIFT))
+    of_token, of_group = Window.partitionBy("token"), Window.partitionBy("token", "band")
+    name = {"m": F.count(F.lit(1)), "x": F.bit_xor(F.xxhash64("cls")), "y": F.bit_xor(F.xxhash64("cls", F.lit(1)))}
+
+    def banded(rows: DataFrame) -> DataFrame:
+        own = rows.withColumn("own", _band(F.col("n"), share))
+        return own.select("token", "cls", "n", F.explode(F.array("own", F.col("own") + 1)).alias("band"))
+
+    rare = banded(token.filter(bucket < light).withColumn("sets", F.count(F.lit(1)).over(of_token)).filter("sets > 1"))
+    rare = rare.select("cls", "n", *[value.over(of_group).alias(c) for c, value in name.items()])
+    common = token.filter(bucket >= light)
+    shared = common.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token")
+    common = materialize(banded(common.join(shared, "token")), "common-tokens")
+    named = common.groupBy("token", "band").agg(*[value.alias(c) for c, value in name.items()])
+    common = common.join(named, ["token", "band"]).select("cls", "n", *name)
+    return materialize(rare.unionByName(common).filter("m > 1").select("x", "y", "cls", "n").distinct(), "groups")
 
 
 def _leads(member: DataFrame, share: int) -> DataFrame:
     """Pairs (``lead``, ``cls``) of each set and the least member of its groups."""
-    lead = member.groupBy("token", "band").agg(F.min(F.struct("cls", "n")).alias("first"))
+    lead = member.groupBy("x", "y").agg(F.min(F.struct("cls", "n")).alias("first"))
     n, other = F.col("n"), F.col("first.n")
     alike = trie.PER * F.least(n, other) >= share * F.greatest(n, other)
     return (
-        member.join(lead, ["token", "band"]).filter((F.col("cls") != F.col("first.cls")) & alike)
+        member.join(lead, ["x", "y"]).filter((F.col("cls") != F.col("first.cls")) & alike)
         .select(F.col("first.cls").alias("lead"), "cls").distinct()
     )
 
@@ -244,27 +269,27 @@ def _chunks(sets: Column, tokens: Column) -> Column:
 def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame]:
     """How groups of several components are joined: (``dealt``: set to part, ``couples`` of parts).
 
-    ``member`` has ``token``, ``band``, ``cls``, ``n`` and ``comp``. A group is dealt to parts of bounded size. Members
+    ``member`` has ``x``, ``y``, ``cls``, ``n`` and ``comp``. A group is dealt to parts of bounded size. Members
     with the same earlier first group meet in that one, so none of them need meet here, nor do those of one component: large
     shares of either kind get parts of their own, not joined with each other.
     """
-    firsts = materialize(member.groupBy("cls").agg(F.min(F.xxhash64("token", "band")).alias("first")), "first-groups")
-    by_comp = member.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = by_comp.groupBy("token", "band").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"))
+    firsts = materialize(member.groupBy("cls").agg(F.min(F.xxhash64("x", "y")).alias("first")), "first-groups")
+    by_comp = member.groupBy("x", "y", "comp").agg(F.count(F.lit(1)).alias("m"))
+    mixed = by_comp.groupBy("x", "y").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("size"))
     mixed = mixed.filter("comps > 1 AND size > 2")  # of two, one is the other's lead, so the pair is decided
-    placed = member.join(mixed, ["token", "band"]).join(firsts, "cls")
+    placed = member.join(mixed, ["x", "y"]).join(firsts, "cls")
     # What keeps a set from having to meet others here: an earlier group, or its component.
-    earlier = F.col("first") != F.xxhash64("token", "band")
+    earlier = F.col("first") != F.xxhash64("x", "y")
     label = F.when(earlier, F.struct(F.lit(0).alias("kind"), F.col("first").alias("id"))).otherwise(
         F.struct(F.lit(1).alias("kind"), F.col("comp").alias("id"))
     )
     placed = materialize(placed.withColumn("label", label), "placed")
-    own = placed.groupBy("token", "band", "label").agg(
+    own = placed.groupBy("x", "y", "label").agg(
         F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"), _chunks(F.count(F.lit(1)), F.sum("n")).alias("own")
     )
     # Labels with few members share the rest of the parts.
-    rest = own.filter("own = 1").groupBy("token", "band").agg(_chunks(F.sum("m"), F.sum("t")).alias("rest"))
-    own = own.select("token", "band", "label", "own").join(rest, ["token", "band"], "left")
+    rest = own.filter("own = 1").groupBy("x", "y").agg(_chunks(F.sum("m"), F.sum("t")).alias("rest"))
+    own = own.select("x", "y", "label", "own").join(rest, ["x", "y"], "left")
     none = F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("id"))
     # A group of few sets is one part, whatever their lengths: only prefixes of its sets are brought together.
     one = F.struct(none.alias("of"), F.lit(0).cast("bigint").alias("k"))
@@ -274,14 +299,14 @@ def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.struct(none.alias("of"), F.pmod(F.xxhash64("label"), F.col("rest")).alias("k")))
     )
     dealt = materialize(
-        placed.join(own, ["token", "band", "label"])
-        .select("token", "band", "cls", "comp", "size", part.alias("part")),
+        placed.join(own, ["x", "y", "label"])
+        .select("x", "y", "cls", "comp", "size", part.alias("part")),
         "parts",
     )
-    parts = dealt.select("token", "band", "size", "part").distinct()
-    other = parts.select("token", "band", F.col("part").alias("part2"))
+    parts = dealt.select("x", "y", "size", "part").distinct()
+    other = parts.select("x", "y", F.col("part").alias("part2"))
     # Parts are few: a group's size over the size of a part.
-    couples = parts.join(other, ["token", "band"]).filter(
+    couples = parts.join(other, ["x", "y"]).filter(
         (F.col("part") <= F.col("part2")) & ~((F.col("part.of.kind") >= 0) & (F.col("part.of") == F.col("part2.of")))
     )
     return dealt, couples
@@ -293,10 +318,10 @@ def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int,
     ``table`` has the first or all ``tokens`` of the sets. From prefixes come pairs that may link; from whole sets links, with
     ``every`` all of them, else of what meets in a couple enough to connect all that is linked.
     """
-    ends = couples.select("token", "band", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
-    of_part = dealt.select("token", "band", F.col("part").alias("end"), "cls", "comp")
-    placed = ends.join(of_part, ["token", "band", "end"]).select(
-        F.xxhash64("token", "band").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
+    ends = couples.select("x", "y", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
+    of_part = dealt.select("x", "y", F.col("part").alias("end"), "cls", "comp")
+    placed = ends.join(of_part, ["x", "y", "end"]).select(
+        F.xxhash64("x", "y").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
         "cls", "comp", (F.col("end") == F.col("part")).alias("one"),
     )
     rows = _looked_up(placed, table).select("group", "couple", "same", "cls", "comp", "n", "one", "tokens")
@@ -337,7 +362,7 @@ class _Corpus:
     def __init__(self, docs: DataFrame, key: str, text: str, size: int, share: int) -> None:
         self.docs, self.key, self.text, self.size, self.share = docs.select(F.col(key), F.col(text)), key, text, size, share
         order = order_table(self.docs.select(F.col(text).alias("text")), size)
-        self.rank = docs.sparkSession.sparkContext.broadcast(order)
+        self.rank = docs.sparkSession.sparkContext.broadcast(order.rank)
         self.rows = materialize(_rows(self.docs, self.rank, key, text, size, share), "ngram-rows")
         # Equal sets are one class, named by one of its rows.
         least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
@@ -350,7 +375,7 @@ class _Corpus:
         heads = heads.filter(F.col("head").isNull() | (F.col("head") == F.col("_row"))).select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"))
         self.heads = materialize(heads, "ngram-heads")
         self.prefixes = self.heads.select("cls", "n", "tokens")
-        self.member = _groups(self.prefixes, share)
+        self.member = _groups(self.prefixes, share, order.light)
 
     def whole(self, wanted: DataFrame) -> DataFrame:
         """Whole sets of the wanted classes (``cls``)."""
@@ -373,7 +398,7 @@ class _Corpus:
             return keep(self.links(pairs))
 
     def far(self, labelled: DataFrame, every: bool = False) -> DataFrame:
-        """Links between different components of the groups of ``labelled`` (``token``, ``band``, ``cls``, ``n``, ``comp``)."""
+        """Links between different components of the groups of ``labelled`` (``x``, ``y``, ``cls``, ``n``, ``comp``)."""
         with scratch(labelled.sparkSession) as keep:
             dealt, couples = _couples(labelled)
             # In a small group prefixes say which few pairs to look at. In a large one, many sets have much in common without
@@ -398,7 +423,7 @@ def links(
     and no links; null keys are named null. Parameters and rules as in :func:`join`.
     """
     corpus = _Corpus(docs, key, text, size, share)
-    alone = corpus.member.select("token", "band", "cls", "n", F.col("cls").alias("comp"))
+    alone = corpus.member.select("x", "y", "cls", "n", F.col("cls").alias("comp"))
     # Pairs with the lead of a group, which alone decide groups of two; then all others.
     pairs = materialize(_leads(corpus.member, share).select(F.col("lead").alias("a"), F.col("cls").alias("b")), "led")
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
@@ -433,7 +458,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     first = connected(near)
     labelled = materialize(
         corpus.member.join(first, corpus.member["cls"] == first["node"], "left").select(
-            "token", "band", "cls", "n", F.coalesce("component", "cls").alias("comp")
+            "x", "y", "cls", "n", F.coalesce("component", "cls").alias("comp")
         ), "labelled",
     )
     far = corpus.far(labelled)

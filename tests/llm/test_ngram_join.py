@@ -205,3 +205,25 @@ def test_a_large_group_of_unlinked_sets_is_joined_on_whole_sets(spark, monkeypat
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     compare(ngram_join.join(docs, share=60).collect(), rows, 3, 60)
     compare(ngram_join.join(docs, share=90).collect(), rows, 3, 90)
+
+
+def test_rare_and_common_tokens_make_the_same_groups(spark):
+    rnd = random.Random(4)
+    sets = [(i, n, sorted({rnd.randrange(60) * 7919 - 200_000 << 40 for _ in range(6)} | {-1, 5} if i % 2 else {i, -i - 2})) for i, n in ((i, rnd.choice([20, 21, 40])) for i in range(200))]
+    prefixes = spark.createDataFrame(sets, "cls long, n long, tokens array<long>").repartition(4)
+    found = [
+        {tuple(r) for r in ngram_join._groups(prefixes, 90, light).select("x", "y", "cls", "n").collect()}
+        for light in (0, 1 << 19, 1 << 20)
+    ]
+    assert found[0] and found[0] == found[1] == found[2]
+    by_token = {}
+    for cls, n, tokens in sets:
+        for token in tokens:
+            for band in (0, 1):
+                key = token, int(np.floor(np.log(n) / (np.log(100 / 90) * 1.0001))) + band
+                by_token.setdefault(key, set()).add(cls)
+    want = {frozenset(g) for g in by_token.values() if len(g) > 1}
+    groups = {}
+    for x, y, cls, _ in found[0]:
+        groups.setdefault((x, y), set()).add(cls)
+    assert {frozenset(g) for g in groups.values()} == want and len(groups) == len(want)
