@@ -3,6 +3,9 @@
 A stage takes (spark, docs, sf_dir) and returns a table that is written as Parquet and read again as the next
 one's documents. All but the last keep the columns of ``documents`` and drop rows. ORACLE_SQL is None: the
 classifier, the searches and the tokenizer have no SQL; the stages are tested against brute force.
+
+Null texts count as empty everywhere; null and repeated keys are keys like others; an empty table stays empty, and other
+columns are kept as they are, whatever their names. Texts are read whole, however long.
 """
 
 from __future__ import annotations
@@ -21,13 +24,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier, trained on the labelled documents of this input, rejects."""
+    """Drop what the quality classifier, trained on the labelled documents of this input, rejects.
+
+    Equal texts have equal scores, so repeated rows stay or go together. Without labels none is rejected.
+    """
     ship(spark)
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, keep the row with the smallest doc_id."""
+    """Of equal texts, keep the row with the smallest doc_id; of several with that one, and of repeated rows, one.
+
+    Texts are equal when runs of white space count as one space: all empty and null texts are equal.
+    """
     ship(spark)
     return exact_dedup.drop_duplicates(docs)
 
@@ -35,20 +44,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, keep the document with the smallest doc_id.
 
-    As pipeline stages on word shingles do, it takes five words and a similarity of 0.8.
+    As pipeline stages on word shingles do, it takes five words and a similarity of 0.8. Texts without words link with nothing and stay;
+    of rows that repeat the smallest doc_id one stays.
     """
     ship(spark)
     return ngram_join.keep_one_of_each(docs, size=5, share=80)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
+    """Drop documents that hold a passage of the benchmark. Texts without words hold none, and items without words are in none."""
     ship(spark)
     return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place every piece of the remaining documents in a sequence of at most 1024 tokens."""
+    """Place every piece of the remaining documents in a sequence of at most 1024 tokens; an empty text is its end token."""
     ship(spark)
     return packing.pack(docs)
 
