@@ -31,6 +31,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The same events over all tasks; a file of few row groups is read by as few, and records are costly to encode."""
+    return events.repartition("event_id", "ts", "user_id", "value")
+
+
 def registry(spark: SparkSession, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     rows = [
         (V1_ID, SUBJECT, 1, "JSON", c.EVENT_V1.simpleString()),

@@ -11,10 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from salestide import contract as c
 from salestide.sources.files import parquet_stream
 
+# Rows of a landed file: a slice is read by as many tasks as it has files, however few tasks have written it.
+FILE_ROWS = 100_000
+
 
 def land_slices(records: DataFrame, slice_column: str, path: str) -> list[int]:
-    """Write records into one folder per slice, without a shuffle, and list the slices in order."""
-    records.write.partitionBy(slice_column).parquet(path)
+    """Write records into one folder per slice, in files of bounded size, without a shuffle, and list the slices in order."""
+    records.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(slice_column).parquet(path)
     landed = records.sparkSession.read.parquet(path).select(slice_column).distinct()
     return sorted(row[0] for row in landed.collect())
 

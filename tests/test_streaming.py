@@ -17,7 +17,7 @@ from salestide.operators import gold, silver
 from salestide.plans import scenario
 from salestide.session import use_stream_defaults, workspace
 from salestide.sources.files import parquet_stream, read_dq_metrics, read_gold
-from salestide.streaming import layers, promote
+from salestide.streaming import layers, promote, replay
 from salestide.streaming.progress import ProgressLog, state_operators, state_rows
 from salestide.streaming.replay import land_slices, replay_slices
 
@@ -51,6 +51,31 @@ def gold_of(spark, path):
     }
 
 
+def test_a_slice_from_one_task_is_landed_in_files_of_bounded_size(spark, folder, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_ROWS", 10)
+    table = spark.range(0, 45, 1, 1).selectExpr("id", "id % 2 AS slice")
+    assert land_slices(table, "slice", f"{folder}/in") == [0, 1]
+    landed = spark.read.parquet(f"{folder}/in")
+    assert len(landed.inputFiles()) == 6
+    assert sorted(r.id for r in landed.collect()) == list(range(45))
+
+
+def test_events_of_one_task_are_spread_over_all(spark):
+    events = spark.range(0, 1000, 1, 1).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS event_id", "timestamp_seconds(id) AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5 AS value"
+    )
+    events = events.union(events.limit(50))
+    spread = scenario.spread(events)
+    assert sorted(map(str, spread.collect())) == sorted(map(str, events.collect()))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r[0] for r in scenario.spread(events).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == 4 and max(sizes) < 400
+
+
 def test_lateness_lags_one_batch_within_one_run(spark, folder):
     """Batches that follow each other without an empty batch in between."""
     for number, batch in enumerate(BOUNDARY):
