@@ -19,7 +19,6 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -221,15 +220,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 
 def _holds(index: Broadcast) -> Callable[[Column], Column]:
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
         marks = np.zeros(len(texts), bool)
-        table = pa.record_batch({"text": pa.array(texts, pa.string())})
+        table = pa.record_batch({"text": texts})
         at = 0
         for batch in slices([table]):
             found = {hit[0] for hit in index.value.find(batch.column("text").to_pylist(), first=True)}
             marks[[at + k for k in found]] = True
             at += batch.num_rows
-        return pd.Series(marks)
+        return pa.array(marks)
 
     return holds

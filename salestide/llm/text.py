@@ -7,6 +7,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from salestide.session import fits_broadcast, materialize, scratch
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Rows to be dropped are looked up by a broadcast up to this many.
 MAX_BROADCAST_GONE = 500_000
 
@@ -70,9 +71,8 @@ def crc_remainder(key: str, modulus: int) -> Column:
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that no piece holds more than ``SLICE_BYTES`` of text, single rows aside."""
     for batch in batches:
-        sizes = np.nan_to_num(
-            batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()).to_pandas().str.len()
-        ).astype(np.int64) if batch.num_rows else np.zeros(0, np.int64)
+        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:

@@ -1,10 +1,14 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from salestide.llm import decontaminate as d
+from salestide.llm.text import slices
 
 DATA = "/root/testdata/sf0.001"
 
@@ -128,3 +132,18 @@ def test_empty_tables(spark):
     assert d.passages(docs, items.limit(0)).count() == 0
     assert d.clean(docs, items.limit(0)).count() == 1
     assert d.clean(docs, items).count() == 0
+
+
+def test_slices_make_no_copies_of_a_batch_s_texts():
+    texts = ["x" * 20_000, None, ""] * 400
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    try:
+        pieces = list(slices([batch]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [t for p in pieces for t in p.column("text").to_pylist()] == texts
+    assert all(pc.sum(pc.binary_length(p.column("text"))).as_py() <= 1 << 20 for p in pieces)
+    assert most < 1 << 20  # 8 MB of text
+    assert list(slices([batch.slice(0, 0)])) == []
