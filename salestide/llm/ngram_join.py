@@ -5,8 +5,9 @@ A set's first tokens in that order (its prefix) meet the prefix of every set it
 prefix token and are of like size form a group; groups of the same members are joined once.
 
 Sets are joined by storing them in a trie and walking it (see :mod:`salestide.llm.trie`), in chunks of
-bounded size, and always first by their prefixes: only pairs whose prefixes leave them a chance are joined
-whole, so that most documents are never moved. First every set is joined with the least member of each of
+bounded size. Only pairs whose parities leave them a chance are joined, so that most documents are never moved: a
+set's parities are a bit for every token or two (see :func:`parities`), an eighth or less of its prefix, and tell sets
+that share a token by chance from linked ones almost always. First every set is joined with the least member of each of
 its groups, which settles groups of near copies in linear time. Groups whose members are not in one
 component then are joined part by part, large ones on whole sets at once. Links inside one component change nothing and
 are not looked for, except by :func:`links`, which finds them all.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from salestide.llm import sums, trie
 from salestide.llm.components import connected
 from salestide.llm.text import keep_one, shingle_hashes, slices, text_or_empty, word_hashes, words
-from salestide.session import fits_broadcast, materialize, release, scratch
+from salestide.session import discard, fits_broadcast, materialize, release, scratch
 
 SHINGLE = 3
 # Buckets by whose counts n-grams are ordered, in bits: a fixed table of 2**20 numbers.
@@ -91,8 +92,44 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Whether the tokens of each of some slots, by their low bits, are odd in number: a bit for each.
+
+    There are as many slots as the next power of two of the tokens, 64 at least. Every slot in which two sets differ holds a token
+    that only one of them has.
+    """
+    slots = max(64, 1 << max(len(tokens) - 1, 0).bit_length())
+    counts = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _slots(bits: bytes, width: int) -> np.ndarray:
+    """Parities over fewer slots, as many as ``width`` bytes have."""
+    out = np.frombuffer(bits, np.uint64)
+    while out.nbytes > width:
+        half = len(out) // 2
+        out = out[:half] ^ out[half:]
+    return out
+
+
+def _chance(differ: np.ndarray, n: np.ndarray, other: np.ndarray, share: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``other`` tokens may link if at least ``differ`` tokens are in only one of them."""
+    common = np.minimum((n + other - differ) // 2, np.minimum(n, other))
+    return (trie.PER + share) * common >= share * (n + other)
+
+
+def may_link(bits: list[bytes], sizes: list[int], share: int = trie.SHARE) -> list[tuple[int, int]]:
+    """Pairs (i, j), i < j, of sets that may link by their parities and sizes: all that do, and few others."""
+    width, n, found = min(map(len, bits)), np.asarray(sizes, np.int64), []
+    table = np.vstack([_slots(b, width) for b in bits])
+    for i in range(len(bits) - 1):
+        differ = np.bitwise_count(table[i + 1 :] ^ table[i]).sum(axis=1, dtype=np.int64)
+        found += [(i, i + 1 + int(j)) for j in np.flatnonzero(_chance(differ, n[i], n[i + 1 :], share))]
+    return found
+
+
 def _rows(docs: DataFrame, rank: Broadcast, key: str, text: str, size: int, share: int) -> DataFrame:
-    """A row per document: ``_row`` (unique), ``_key``, ``mark`` (of the text), ``n``, ``digest`` and ``prefix`` of its set."""
+    """A row per document: ``_row`` (unique), ``_key``, ``mark`` (of the text), ``n``, ``digest``, ``prefix`` and ``bits`` of its set."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), _mark(text).alias("mark"),
         text_or_empty(text).alias("text"),
@@ -105,12 +142,12 @@ def _rows(docs: DataFrame, rank: Broadcast, key: str, text: str, size: int, shar
             prefix = [s[: trie.prefix_length(len(s), share)].view(np.int64) for s in sets]
             columns = [batch.column(c) for c in ("_row", "_key", "mark")] + [
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
-                pa.array(prefix, pa.list_(pa.int64())),
+                pa.array(prefix, pa.list_(pa.int64())), pa.array([parities(s) for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "_key", "mark", "n", "digest", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "_key", "mark", "n", "digest", "prefix", "bits"])
 
     kind = rows.schema["_key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_row bigint, _key {kind}, mark bigint, n bigint, digest binary, prefix array<bigint>")
+    return rows.mapInArrow(run, f"_row bigint, _key {kind}, mark bigint, n bigint, digest binary, prefix array<bigint>, bits binary")
 
 
 def _mark(text: str) -> Column:
@@ -185,13 +222,37 @@ def _pairs_table(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool, every: bool = False) -> DataFrame:
-    """Pairs (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
+def _likely(pairs: DataFrame, bits: DataFrame, share: int) -> DataFrame:
+    """Those of the pairs (``lead``, ``cls``) that may link by their parities (``cls``, ``n``, ``bits``), as ``a``, ``b``.
 
-    ``table`` has the first or all ``tokens`` of the sets, and their sizes ``n``. A large company is dealt to chunks
-    of bounded size, each with the lead. From whole sets come links: of what meets in a chunk, enough to
-    connect all that is linked, and so every pair of ``pairs`` is decided; with ``every``, all of ``pairs`` that link. From
-    prefixes come those of ``pairs`` that may link.
+    A lead of very many sets is a skewed key of the second join, which Spark splits at run time.
+    """
+    other = bits.toDF("lead", "n2", "bits2")
+    both = pairs.join(bits, "cls").join(other, "lead").select("lead", "cls", "n", "n2", "bits", "bits2")
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, n2 = (batch.column(c).to_numpy() for c in ("n", "n2"))
+            one, two = (batch.column(c).to_pylist() for c in ("bits", "bits2"))
+            differ = np.fromiter((_differ(x, y) for x, y in zip(one, two)), np.int64, len(n))
+            kept = batch.filter(pa.array(_chance(differ, n, n2, share)))
+            yield pa.RecordBatch.from_arrays([kept.column("lead"), kept.column("cls")], ["a", "b"])
+
+    return both.mapInArrow(judge, "a bigint, b bigint")
+
+
+def _differ(one: bytes, two: bytes) -> int:
+    """In how many slots two sets differ by their parities."""
+    width = min(len(one), len(two))
+    return int(np.bitwise_count(_slots(one, width) ^ _slots(two, width)).sum(dtype=np.int64))
+
+
+def _company(pairs: DataFrame, table: DataFrame, share: int, every: bool = False) -> DataFrame:
+    """Links (``a``, ``b``) among the company of each ``lead``: its ``cls`` in ``pairs``, and itself.
+
+    ``table`` has the ``tokens`` of the sets, and their sizes ``n``. A large company is dealt to chunks
+    of bounded size, each with the lead. Of what meets in a chunk, enough links are returned to
+    connect all that is linked, and so every pair of ``pairs`` is decided; with ``every``, all of ``pairs`` that link.
     """
     sized = pairs.join(table.select("cls", F.size("tokens").alias("t")), "cls")
     company = sized.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.sum("t").alias("tokens"))
@@ -201,15 +262,15 @@ def _company(pairs: DataFrame, table: DataFrame, share: int, whole: bool, every:
     )
     dealt = pairs.join(parts, "lead").select("lead", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"), "cls")
     leads = parts.select("lead", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("lead").alias("cls"))
-    members = _looked_up(dealt.union(leads), table).select("lead", "part", "cls", "n", "tokens")
+    members = _looked_up(dealt.union(leads), table, "tokens").select("lead", "part", "cls", "n", "tokens")
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lead, _), rows in _grouped(batches, ("lead", "part")):
             found = trie.pairs([t for *_, t in rows], [n for _, n, _ in rows], share)
-            if whole and not every:
+            if not every:
                 found = _forest(found, len(rows))
             named = [(rows[i][0], rows[j][0]) for i, j in found]
-            if every or not whole:
+            if every:
                 named = [p for p in named if lead in p]
             if named:
                 yield _pairs_table(named)
@@ -291,7 +352,7 @@ def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = own.filter("own = 1").groupBy("x", "y").agg(_chunks(F.sum("m"), F.sum("t")).alias("rest"))
     own = own.select("x", "y", "label", "own").join(rest, ["x", "y"], "left")
     none = F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("id"))
-    # A group of few sets is one part, whatever their lengths: only prefixes of its sets are brought together.
+    # A group of few sets is one part, whatever their lengths: only parities of its sets are brought together.
     one = F.struct(none.alias("of"), F.lit(0).cast("bigint").alias("k"))
     part = (
         F.when(F.col("size") <= CHUNK_SETS, one)
@@ -315,21 +376,22 @@ def _couples(member: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int, whole: bool, every: bool) -> DataFrame:
     """Pairs (``a``, ``b``) of different components that couples of parts have in common.
 
-    ``table`` has the first or all ``tokens`` of the sets. From prefixes come pairs that may link; from whole sets links, with
-    ``every`` all of them, else of what meets in a couple enough to connect all that is linked.
+    ``table`` has the ``tokens`` of the sets if ``whole``, else their ``bits``. From bits come pairs that may link; from whole sets
+    links, with ``every`` all of them, else of what meets in a couple enough to connect all that is linked.
     """
+    what, meet = ("tokens", trie.pairs) if whole else ("bits", may_link)
     ends = couples.select("x", "y", "part", "part2", F.explode(F.array_distinct(F.array("part", "part2"))).alias("end"))
     of_part = dealt.select("x", "y", F.col("part").alias("end"), "cls", "comp")
     placed = ends.join(of_part, ["x", "y", "end"]).select(
         F.xxhash64("x", "y").alias("group"), F.xxhash64("part", "part2").alias("couple"), (F.col("part") == F.col("part2")).alias("same"),
         "cls", "comp", (F.col("end") == F.col("part")).alias("one"),
     )
-    rows = _looked_up(placed, table).select("group", "couple", "same", "cls", "comp", "n", "one", "tokens")
+    rows = _looked_up(placed, table, what).select("group", "couple", "same", "cls", "comp", "n", "one", what)
     place = ["group", "couple", "same"]
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, _, same), members in _grouped(batches, tuple(place)):
-            found = trie.pairs([tokens for *_, tokens in members], [n for _, _, n, *_ in members], share)
+            found = meet([held for *_, held in members], [n for _, _, n, *_ in members], share)
             apart = []
             for i, j in found:
                 a, b = members[i], members[j]
@@ -346,11 +408,11 @@ def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int,
     return found.distinct()
 
 
-def _looked_up(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """``rows`` with the ``n`` and ``tokens`` of their ``cls``. Sets that no row asks for stay where they are, as long as few are asked for."""
+def _looked_up(rows: DataFrame, table: DataFrame, what: str) -> DataFrame:
+    """``rows`` with the ``n`` and ``what`` of their ``cls``. Sets that no row asks for stay where they are, as long as few are asked for."""
     stored = materialize(rows, "asked")
     wanted = materialize(stored.select("cls").distinct(), "asked-sets")
-    sets = table.select("cls", "n", "tokens")
+    sets = table.select("cls", "n", what)
     if fits_broadcast(wanted, MAX_BROADCAST_WANTED):
         sets = sets.join(F.broadcast(wanted), "cls", "left_semi")
     return sets.join(stored, "cls")
@@ -363,19 +425,24 @@ class _Corpus:
         self.docs, self.key, self.text, self.size, self.share = docs.select(F.col(key), F.col(text)), key, text, size, share
         order = order_table(self.docs.select(F.col(text).alias("text")), size)
         self.rank = docs.sparkSession.sparkContext.broadcast(order.rank)
-        self.rows = materialize(_rows(self.docs, self.rank, key, text, size, share), "ngram-rows")
+        whole = materialize(_rows(self.docs, self.rank, key, text, size, share), "ngram-rows")
         # Equal sets are one class, named by one of its rows.
         least = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row")))
-        classes = materialize(self.rows.filter("n > 0").groupBy("digest").agg(least.alias("least"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
+        classes = materialize(whole.filter("n > 0").groupBy("digest").agg(least.alias("least"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
         self.named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
         # Of sets with copies, the other rows are left out; most sets have none.
         copied = materialize(classes.filter("copies > 1").select(F.col("digest").alias("_digest"), F.col("least.row").alias("head")), "copied")
         few = F.broadcast(copied) if fits_broadcast(copied, MAX_BROADCAST_WANTED) else copied
-        heads = self.rows.filter("n > 0").join(few, F.col("digest") == F.col("_digest"), "left")
-        heads = heads.filter(F.col("head").isNull() | (F.col("head") == F.col("_row"))).select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"))
-        self.heads = materialize(heads, "ngram-heads")
-        self.prefixes = self.heads.select("cls", "n", "tokens")
-        self.member = _groups(self.prefixes, share, order.light)
+        heads = whole.filter("n > 0").join(few, F.col("digest") == F.col("_digest"), "left")
+        heads = heads.filter(F.col("head").isNull() | (F.col("head") == F.col("_row"))).select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"), "bits")
+        prefixes = materialize(heads, "ngram-prefixes")
+        self.rows = materialize(whole.select("_row", "_key", "mark", "n", "digest"), "ngram-keys")
+        discard(whole)
+        self.heads = materialize(prefixes.select("cls", "_key", "mark", "n", "bits"), "ngram-heads")
+        self.bits = self.heads.select("cls", "n", "bits")
+        self.member = _groups(prefixes.select("cls", "n", "tokens"), share, order.light)
+        discard(prefixes)
+        release(docs.sparkSession)
 
     def whole(self, wanted: DataFrame) -> DataFrame:
         """Whole sets of the wanted classes (``cls``)."""
@@ -387,24 +454,24 @@ class _Corpus:
         with scratch(pairs.sparkSession) as keep:
             sets = self.whole(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
             led = pairs.select(F.col("a").alias("lead"), F.col("b").alias("cls"))
-            found = keep(materialize(_company(led, sets, self.share, True, every), "links"))
+            found = keep(materialize(_company(led, sets, self.share, every), "links"))
         release(pairs.sparkSession)
         return found
 
     def near(self) -> DataFrame:
         """Links of sets with the least member of each of their groups, and some more."""
         with scratch(self.member.sparkSession) as keep:
-            pairs = materialize(_company(_leads(self.member, self.share), self.prefixes, self.share, False), "near")
+            pairs = materialize(_likely(_leads(self.member, self.share), self.bits, self.share), "near")
             return keep(self.links(pairs))
 
     def far(self, labelled: DataFrame, every: bool = False) -> DataFrame:
         """Links between different components of the groups of ``labelled`` (``x``, ``y``, ``cls``, ``n``, ``comp``)."""
         with scratch(labelled.sparkSession) as keep:
             dealt, couples = _couples(labelled)
-            # In a small group prefixes say which few pairs to look at. In a large one, many sets have much in common without
+            # In a small group parities say which few pairs to look at. In a large one, many sets have much in common without
             # being linked, and their pairs are not written down: whole sets are joined.
             small, large = F.col("size") <= CHUNK_SETS, F.col("size") > CHUNK_SETS
-            found = materialize(_joined(dealt, couples.filter(small), self.prefixes, self.share, False, every), "far")
+            found = materialize(_joined(dealt, couples.filter(small), self.bits, self.share, False, every), "far")
             links = keep(self.links(found, every))
             hard = materialize(couples.filter(large), "couples")
             if hard.isEmpty():
@@ -425,7 +492,7 @@ def links(
     corpus = _Corpus(docs, key, text, size, share)
     alone = corpus.member.select("x", "y", "cls", "n", F.col("cls").alias("comp"))
     # Pairs with the lead of a group, which alone decide groups of two; then all others.
-    pairs = materialize(_leads(corpus.member, share).select(F.col("lead").alias("a"), F.col("cls").alias("b")), "led")
+    pairs = materialize(_likely(_leads(corpus.member, share), corpus.bits, share), "led")
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     found = corpus.links(pairs, True).union(corpus.far(alone, True)).select(*ordered).distinct()
     stored = materialize(found, "all-links")

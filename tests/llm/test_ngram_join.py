@@ -67,6 +67,43 @@ def test_trie_finds_the_linked_pairs(sets, seed, share):
     assert want <= set(trie.pairs(prefixes, [len(a) for a in arrays], share))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 1 << 40), min_size=1, max_size=150), min_size=1, max_size=8), st.integers(0, 1000), st.sampled_from([90, 80, 50]))
+def test_parities_lose_no_link(sets, seed, share):
+    rnd = random.Random(seed)
+    for s in list(sets):  # near copies, some over another number of slots
+        sets.append(s | {rnd.randrange(1 << 40) for _ in range(rnd.randrange(1 + len(s) // 4))})
+        sets.append(set(sorted(s)[: max(1, len(s) * rnd.randrange(50, 101) // 100)]))
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if link(sets[i], sets[j], share)}
+    assert want <= set(ngram_join.may_link([ngram_join.parities(a) for a in arrays], [len(a) for a in arrays], share))
+
+
+def test_parities_tell_sets_apart_that_share_a_prefix():
+    """Of these a trie of prefixes would look at all pairs; a set's parities are a fraction of its prefix."""
+    rng = np.random.default_rng(0)
+    shared = rng.choice(1 << 20, 60, replace=False)
+    sets = [np.sort(np.concatenate([shared, rng.integers(1 << 20, 1 << 40, 440)])).astype(np.uint64) for _ in range(30)]
+    sets.append(np.delete(sets[0], [3, 200, 499]))
+    sizes = [len(s) for s in sets]
+    lengths = [trie.prefix_length(n, 80) for n in sizes]
+    assert len(trie.pairs([s[:n] for s, n in zip(sets, lengths)], sizes, 80)) == len(sets) * (len(sets) - 1) // 2
+    bits = [ngram_join.parities(s) for s in sets]
+    assert ngram_join.may_link(bits, sizes, 80) == [(0, 30)] and all(len(b) * 8 < 8 * n for b, n in zip(bits, lengths))
+
+
+def test_chance_company_is_not_looked_up(spark, monkeypatch):
+    """Sets that share a rare passage but are far from linked: no whole set is asked for, but for the copies' own."""
+    rnd = random.Random(6)
+    passage = " ".join(f"rare{i}" for i in range(8))
+    rows = [(i, passage + " " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(60))) for i in range(50)]
+    rows += [(100, rows[0][1] + " more")]
+    asked, real = [], ngram_join._Corpus.whole
+    monkeypatch.setattr(ngram_join._Corpus, "whole", lambda self, wanted: asked.append(wanted.distinct().count()) or real(self, wanted))
+    compare(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+    assert sum(asked) == 2
+
+
 def test_trie_prunes_prefixes():
     rng = np.random.default_rng(0)
     base = np.sort(rng.choice(1 << 40, 500, replace=False)).astype(np.uint64)
