@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import decontaminate, exact_dedup, ngram_join, packing, quality
 from salestide.llm.ship import ship
-from salestide.session import materialize
+from salestide.session import materialize, use_small_batches
 
 ORACLE_SQL = None
 
@@ -23,12 +23,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _prepare(spark: SparkSession) -> None:
+    ship(spark)
+    use_small_batches(spark)
+
+
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier, trained on the labelled documents of this input, rejects.
 
     Equal texts have equal scores, so repeated rows stay or go together. Without labels none is rejected.
     """
-    ship(spark)
+    _prepare(spark)
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
@@ -37,7 +42,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Texts are equal when runs of white space count as one space: all empty and null texts are equal.
     """
-    ship(spark)
+    _prepare(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
@@ -47,19 +52,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     As pipeline stages on word shingles do, it takes five words and a similarity of 0.8. Texts without words link with nothing and stay;
     of rows that repeat the smallest doc_id one stays.
     """
-    ship(spark)
+    _prepare(spark)
     return ngram_join.keep_one_of_each(docs, size=5, share=80)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of the benchmark. Texts without words hold none, and items without words are in none."""
-    ship(spark)
+    _prepare(spark)
     return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place every piece of the remaining documents in a sequence of at most 1024 tokens; an empty text is its end token."""
-    ship(spark)
+    _prepare(spark)
     return packing.pack(docs)
 
 

@@ -28,6 +28,9 @@ _STREAM_DEFAULTS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Bytes of an Arrow batch. Spark's own bound is 64 MiB, of which a task holds several times as much while buffers grow.
+BATCH_BYTES = 4 * 1024 * 1024
 _local_root: str | None = None
 _scratch = threading.local()
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -48,6 +51,13 @@ def use_stream_defaults(spark: SparkSession) -> SparkSession:
     return use_utc(spark)
 
 
+def use_small_batches(spark: SparkSession) -> SparkSession:
+    """Bound what a task holds outside the heap and in Python of wide rows (texts, sets), unless the job has chosen a bound itself."""
+    if _ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
+    return spark
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 

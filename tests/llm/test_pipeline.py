@@ -2,14 +2,16 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import by_hand as passages_by_hand
 from test_ngram_join import components_by_hand
 from test_packing import check
 from tokenizers import Tokenizer
 
 from salestide.llm import quality
-from salestide.session import materialize
+from salestide.session import BATCH_BYTES, materialize, use_small_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +78,19 @@ def test_odd_documents_pass_every_stage(spark, tmp_path):
             assert table.columns == docs.columns
         pieces = corpus_pipeline.pack_sequences(spark, table, str(tmp_path)).collect()
         assert {r.doc_id for r in pieces} == {r.doc_id for r in table.collect()}
+
+
+def test_stages_hold_few_bytes_of_wide_rows_at_once(spark):
+    own = spark.newSession()
+    corpus_pipeline.drop_near_copies(own, own.createDataFrame([(1, "a b c")], "doc_id long, text string"), SF)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    wide = own.range(0, 4000, 1, 1).select(F.repeat(F.lit("abcdefgh"), 500).alias("text"))
+    found = [r.bytes for r in wide.mapInArrow(sizes, "bytes long").collect()]
+    assert sum(found) > 3 * BATCH_BYTES and max(found) <= BATCH_BYTES + 10_000
+    chosen = spark.newSession()
+    chosen.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "12345")
+    assert use_small_batches(chosen).conf.get("spark.sql.execution.arrow.maxBytesPerBatch").startswith("12345")
