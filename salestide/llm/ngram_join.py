@@ -6,8 +6,8 @@ prefix token and are of like size form a group; groups of the same members are j
 
 Sets are joined by storing them in a trie and walking it (see :mod:`salestide.llm.trie`), in chunks of
 bounded size. Only pairs whose parities leave them a chance are joined, so that most documents are never moved: a
-set's parities are a bit for every token or two (see :func:`parities`), an eighth or less of its prefix, and tell sets
-that share a token by chance from linked ones almost always. First every set is joined with the least member of each of
+set's parities are one or two bits for each token (see :func:`parities`), less than its prefix at usual shares, and mostly
+tell sets that share a token by chance from linked ones. First every set is joined with the least member of each of
 its groups, which settles groups of near copies in linear time. Groups whose members are not in one
 component then are joined part by part, large ones on whole sets at once. Links inside one component change nothing and
 are not looked for, except by :func:`links`, which finds them all.
