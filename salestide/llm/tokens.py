@@ -12,11 +12,14 @@ import base64
 import json
 import os
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
-# Words that a worker keeps; beyond, it starts over.
-CACHED_WORDS = 800_000
+# Words that a worker keeps, some 200 bytes each for as long as it lives; beyond, it goes on with those it met first, which are the
+# common ones.
+CACHED_WORDS = 250_000
+KEPT_WORDS = 100_000
 _SPACE = " "
 
 
@@ -49,9 +52,9 @@ class WordEncoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        if len(self._words) > CACHED_WORDS:
-            self._words.clear()
         for word in words:
+            if len(self._words) >= CACHED_WORDS:
+                self._words = dict(islice(self._words.items(), KEPT_WORDS))
             bare = word[1:] if word.startswith("\n") else word
             if not bare or bare != bare.strip():  # a run of white space: not the sum of its parts
                 self._words[word] = None

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from salestide.llm import packing
+from salestide.llm import tokens
 from salestide.llm.tokens import encoder
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
@@ -44,6 +45,15 @@ def test_ids_equal_the_tokenizer_on_mixtures(plain, text):
     assert ids(encoder().encode(text)) == plain(text)
 
 
+def test_a_full_cache_goes_on_with_the_words_met_first(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 40)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 20, raising=False)
+    fresh, common = encoder.__wrapped__(), [f"c{i}" for i in range(20)]
+    for text in [" ".join(["x", *common]), *(" ".join(["x", *common, *(f"r{i}-{j}" for j in range(n))]) for i, n in enumerate((5, 15, 30, 90, 1)))]:
+        assert ids(fresh.encode(text)) == plain(text)
+        assert len(fresh._words) <= 40 and fresh._words.keys() >= set(common)
+
+
 def test_ids_equal_the_tokenizer_on_documents(plain):
     for (text,) in duckdb.sql(f"select text from '{DATA}'").fetchall():
         assert ids(encoder().encode(text or "")) == plain(text or "")
