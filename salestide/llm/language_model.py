@@ -24,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from salestide.llm.hmm_core import Hmm, expected_counts, log_likelihoods
 from salestide.llm.text import WordIds, crc_remainder, slices, text_or_empty, words
-from salestide.session import discard, materialize, release, workspace
+from salestide.session import discard, materialize, owner, release, workspace
 
 STATES = 8
 # Baum-Welch ends with the first round that gains less than this, in nats for each training token.
@@ -83,7 +83,7 @@ class _Block:
 
 
 def encode(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Encoded texts and blocks' vocabularies, both stored.
+    """Encoded texts and blocks' vocabularies, both stored; the latter may be discarded first.
 
     Texts: ``block``, ``_key``, ``held_out``, ``numbers`` (see :func:`_packed`), without the end. Words: ``block``, ``local``
     (number), ``word``, ``n`` (training count).
@@ -127,7 +127,7 @@ def encode(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "
     stored = spark.read.schema(ddl).parquet(path)
     return (
         stored.filter("kind = 'text'").select("block", "_key", "held_out", "numbers"),
-        stored.filter("kind = 'word'").select("block", "local", "word", "n"),
+        owner(stored.filter("kind = 'word'").select("block", "local", "word", "n"), f"{path}/kind=word"),
     )
 
 
@@ -187,9 +187,10 @@ class WordModel:
         self.of_state = np.array([x or 0.0 for x in emitted.agg(*columns).first()]) + end
 
     def of_block(self, local: pd.DataFrame) -> Hmm:
-        """The model over a block's words, by their numbers, and the end."""
+        """The model over a block's words, by their numbers, and the end, numbered after the last. Numbers may be left out."""
         k, place = len(self.start), local["local"].to_numpy(np.int64)
-        c, e = np.zeros(len(local) + 1), np.zeros((len(local) + 1, k))
+        size = int(place.max()) + 2 if len(place) else 1
+        c, e = np.zeros(size), np.zeros((size, k))
         c[place], c[-1] = local["c"], self.texts
         e[place], e[-1] = local[_emissions(k)].to_numpy(), self.end
         unigram = (c + ADD) / self.base
@@ -213,17 +214,18 @@ def initial_words(known: DataFrame, counts: Counts, states: int = STATES) -> Wor
 
 
 def _with_emissions(model: WordModel, local: DataFrame) -> DataFrame:
-    """Blocks' words (``_block``, ``local``, ``id``, ``c``) with their expected emissions."""
+    """Blocks' words (``_block``, ``local``, ``id``, ``c``) with their expected emissions, in single precision."""
     columns = _emissions(len(model.start))
-    return local.join(model.emitted, "id", "left").select(
-        "_block", "local", "id", "c", *[F.coalesce(e, F.lit(0.0)).cast("float").alias(e) for e in columns]
+    emitted = model.emitted.select("id", *[F.col(e).cast("float").alias(e) for e in columns])
+    return local.join(emitted, "id", "left").select(
+        "_block", "local", "id", "c", *[F.coalesce(e, F.lit(0.0).cast("float")).alias(e) for e in columns]
     )
 
 
 def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts: Counts) -> tuple[WordModel, float]:
     """One Baum-Welch round over all training texts: the new model, and the old one's log-likelihood (as ratio to the unigrams).
 
-    Blocks send a row for each of their words. Rows of negative ``id`` are starts, moves, the end, and the likelihood in
+    ``local`` has the words of each block's training texts at least. Blocks send a row for each of them. Rows of negative ``id`` are starts, moves, the end, and the likelihood in
     two parts; all are summed alike.
     """
     k = len(model.start)
@@ -231,7 +233,7 @@ def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts:
 
     def partial(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         own = of_block(words)
-        fast, end = own.cast(np.float32), len(words)
+        fast, end = own.cast(np.float32), len(own.unigram) - 1
         starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, end + 1)), 0.0
         for symbols, offsets in _sequences([_unpacked(x) for x in sorted(rows["numbers"], key=len)], end):
             s, m, e, ll = expected_counts(fast, symbols, offsets)
@@ -249,11 +251,14 @@ def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts:
     sent = texts.filter("not held_out").select("block", "numbers").groupBy("block").cogroup(
         _with_emissions(model, local).groupBy("_block")
     ).applyInPandas(partial, "id bigint, " + ", ".join(f"{e} float" for e in columns))
-    summed = materialize(sent.groupBy("id").agg(*[F.sum(e).alias(e) for e in columns]), "emissions")
-    head = {r.id: np.array(r[1:]) for r in summed.filter("id < 0").collect()}
+    # Words' sums are used in single precision, and stored and shuffled so; what that leaves of the others stands beside them.
+    total = sent.groupBy("id").agg(*[F.sum(e).alias(e) for e in columns])
+    rest = [F.when(F.col("id") < 0, F.col(e) - F.col(e).cast("float")).alias(f"rest_{e}") for e in columns]
+    summed = materialize(total.select("id", *[F.col(e).cast("float").alias(e) for e in columns], *rest), "emissions")
+    head = {r.id: np.array(r[1 : k + 1]) + np.array(r[k + 1 :]) for r in summed.filter("id < 0").collect()}
     starts, moves, end = head[-1] + 1, np.array([head[-2 - s] for s in range(k)]) + 1, head[-k - 2]
     likelihood = head[-k - 3][0] + head[-k - 4][0]
-    new = WordModel(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), end, summed.filter("id >= 0"), counts)
+    new = WordModel(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), end, summed.filter("id >= 0").select("id", *columns), counts)
     new.table = summed
     return new, float(likelihood)
 
@@ -297,11 +302,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
     counts = total_counts(known, texts)
     unseen = -1 - F.pmod(F.xxhash64("word"), F.lit(1 << 40))  # words that no training text has; spread, as they are many
     # Every block gets the counts of its own words; frequent words are skewed keys, with a row per block at most.
-    local = vocabularies.select("block", "local", "word").join(known.select("word", "id", "c"), "word", "left").select(
-        F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c")
+    local = vocabularies.select("block", "local", "word", "n").join(known.select("word", "id", "c"), "word", "left").select(
+        F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c"), "n"
     )
     local = materialize(local, "block-words")
-    model = train_words(texts, known, local, counts, states, rounds)
+    discard(vocabularies)
+    release(docs.sparkSession)  # what was shuffled so far, before the rounds shuffle more
+    # Rounds need no words that a block's training texts don't have.
+    model = train_words(texts, known, local.filter("n > 0"), counts, states, rounds)
     finish, local = _finish_words(model), _with_emissions(model, local)
     key_kind = texts.schema["_key"].dataType.simpleString()
     finished = texts.select("block", "_key", "held_out", "numbers").groupBy("block").cogroup(local.groupBy("_block")).applyInPandas(

@@ -90,6 +90,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+def owner(df: DataFrame, path: str) -> DataFrame:
+    """``df``, with which :func:`discard` removes ``path``: for working tables that :func:`materialize` can't write."""
+    _paths[df] = path
+    return df
+
+
 def _blocks() -> list[set[str]]:
     """The paths of working tables made in each open block of this thread, innermost last."""
     if not hasattr(_scratch, "blocks"):
@@ -126,7 +132,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
 
 def discard(df: DataFrame) -> None:
-    """Remove the working table that :func:`materialize` returned as ``df``; nothing may read it from then on."""
+    """Remove the working table that :func:`materialize` or :func:`owner` returned as ``df``; nothing may read it from then on."""
     path = _paths.pop(df, None)
     if path is not None:
         remove(df.sparkSession, path)

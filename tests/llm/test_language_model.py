@@ -175,6 +175,34 @@ def test_a_rounds_table_ends_with_the_next(spark):
     assert len(tables(trained_by_words(spark.read.parquet(DATA), 3, 3)[0]) - before) == 1
 
 
+def test_working_tables_are_small(spark, monkeypatch):
+    """Emissions are kept in single precision, the likelihood is not; blocks' vocabularies go once their words are looked up."""
+    model, known, texts, local, counts = trained_by_words(spark.read.parquet(DATA), 3, 1)
+    kinds = dict(model.table.dtypes)
+    assert {kinds[f"e{s}"] for s in range(3)} == {"float"}
+    assert model.emitted.columns == ["id", "e0", "e1", "e2"]
+    total = sum(model.emitted.agg(*[language_model.F.sum(f"e{s}") for s in range(3)]).first()) + model.end.sum()
+    assert np.isclose(total, counts.tokens, rtol=1e-5)
+    made, train = [], language_model.train_words
+    monkeypatch.setattr(language_model, "encode", lambda *a, encode=language_model.encode: made.append(encode(*a)) or made[-1])
+    seen = []
+    monkeypatch.setattr(language_model, "train_words", lambda t, k, words, *a: seen.append(words.filter("n = 0").count()) or train(t, k, words, *a))
+    score = language_model.score(spark.read.parquet(DATA), states=2, rounds=1)
+    folder = made[0][0].inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+    assert [name for name in os.listdir(folder) if name.startswith("kind=")] == ["kind=text"]
+    assert seen == [0] and score.count() == made[0][0].count()
+
+
+def test_numbers_that_are_left_out_change_nothing():
+    """A block's model over some of its words has the same columns for them and the end."""
+    model = object.__new__(language_model.WordModel)
+    model.__dict__.update(start=np.ones(2) / 2, move=np.ones((2, 2)) / 2, end=np.ones(2), base=20.0, texts=2, prior=0.5, of_state=np.array([9.0, 7.0]))
+    words = language_model.pd.DataFrame({"local": [0, 1, 2, 4], "c": [3, 1, 0, 2], "e0": [2.0, 0.5, 0, 1], "e1": [1.0, 0.5, 0, 1]})
+    some, whole = model.of_block(words[words["c"] > 0]), model.of_block(words)
+    assert some.ratio.shape == whole.ratio.shape == (2, 6) and len(model.of_block(words[:0]).unigram) == 1
+    assert np.array_equal(some.ratio, whole.ratio) and np.isclose(some.unigram[5], 2.1 / 20)
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "a b"), (5, "x " * 50_000), (6, "a b"), (6, "a b"), (10, "É é A a")]
     docs = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, word string")
