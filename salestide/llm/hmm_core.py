@@ -18,6 +18,8 @@ SEGMENT = 64
 # Heads go on while so many sequences do.
 TOGETHER = 8
 _RESCALE = 8
+# Between two rescalings a distribution's sum changes by so many powers of ten at most, in either direction; and the most steps between them.
+_POWERS, _MOST_STEPS = 15, 16
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,12 @@ class Pieces:
         """Symbols at a step of the pieces that have it."""
         return self.symbols[self.begin[: self.active[step]] + step]
 
+    def by_step(self) -> np.ndarray:
+        """All symbols, step by step."""
+        steps = np.repeat(np.arange(len(self.active)), self.active)
+        first = np.cumsum([0, *self.active])
+        return self.symbols[self.begin[np.arange(len(steps)) - first[steps]] + steps]
+
 
 class Parts:
     """Sequences on end (``symbols``, ``offsets``; each with a symbol at least) as heads and, of the longest, segments."""
@@ -94,23 +102,42 @@ def transfers(model: Hmm, segments: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return matrix, scale + np.log(most)
 
 
-def _forward(model: Hmm, pieces: Pieces, left: np.ndarray, heads: bool) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distributions after each step, those at the pieces' ends, and logarithms of what was scaled away.
+def _steps_unscaled(model: Hmm) -> int:
+    """How many steps may go without rescaling: a step's sum lies between the smallest and the largest ratio."""
+    if not model.ratio.size or model.ratio.min() <= 0:
+        return 1
+    powers = max(float(np.abs(np.log10([model.ratio.min(), model.ratio.max()])).max()), 1e-9)
+    return max(1, min(_MOST_STEPS, int(_POWERS / powers)))
+
 
-    ``left`` is the distribution before each piece; a head's first symbol is no move away from it.
+def _forward(
+    model: Hmm, pieces: Pieces, left: np.ndarray, heads: bool, emits: np.ndarray | None = None
+) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+    """Distributions at each step, if the ``emits`` of all symbols step by step are given; at the pieces' ends; logarithms of what was scaled away.
+
+    ``left`` is the distribution before each piece; a head's first symbol is no move away from it. Distributions are scaled every
+    few steps only: those at the ends too have a sum other than one.
     """
-    emit = model.ratio.T
-    ahead, now = [], left
+    emit, every = model.ratio.T, _steps_unscaled(model)
+    ahead = None if emits is None else np.empty_like(emits)
+    now, done = left, 0
     scaled = np.zeros(len(left))
     end = np.empty_like(left)
     for t, n in enumerate(pieces.active):
         end[n : len(now)] = now[n:]
-        moved = now[:n] if heads and t == 0 else now[:n] @ model.move
-        now = moved * emit[pieces.at(t)]
-        total = now.sum(axis=1)
-        now /= total[:, None]
-        scaled[:n] += np.log(total)
-        ahead.append(now)
+        own = emit[pieces.at(t)] if emits is None else emits[done : done + n]
+        into = np.empty((n, left.shape[1]), left.dtype) if ahead is None else ahead[done : done + n]
+        if heads and t == 0:
+            np.multiply(now[:n], own, out=into)
+        else:
+            np.matmul(now[:n], model.move, out=into)
+            into *= own
+        now = into
+        if t and t % every == 0:
+            total = now.sum(axis=1)
+            now /= total[:, None]
+            scaled[:n] += np.log(total)
+        done += n
     end[: len(now)] = now
     return ahead, end, scaled
 
@@ -130,8 +157,9 @@ def _through(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihood (as ratio to the unigrams) of each sequence, and the distribution before each segment."""
     left = np.zeros((len(matrix), len(model.start)), matrix.dtype)
-    logs = scaled[parts.heads.place]
-    state = end[parts.heads.place[parts.long]]
+    total = end.sum(axis=1)
+    logs = (scaled + np.log(total))[parts.heads.place]
+    state = (end / total[:, None])[parts.heads.place[parts.long]]
     for chain in parts.chain:
         n = len(chain)
         left[chain] = state[:n]
@@ -150,7 +178,9 @@ def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tup
     parts = Parts(symbols, offsets)
     matrix, scale = transfers(model, parts.segments)
     start = np.tile(model.start, (len(parts.heads.begin), 1))
-    ahead, end, scaled = _forward(model, parts.heads, start, True)
+    order = parts.heads.by_step()
+    emits = model.ratio.T[order]
+    ahead, end, scaled = _forward(model, parts.heads, start, True, emits)
     logs, left = _through(model, parts, end, scaled, matrix, scale)
     right = np.ones_like(left)
     behind = np.ones((len(parts.long), k), left.dtype)
@@ -161,33 +191,44 @@ def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tup
         behind[:n] = back / back.sum(axis=1, keepdims=True)
     after = np.ones_like(start)
     after[parts.heads.place[parts.long]] = behind
-    shares = np.empty((len(symbols), k), left.dtype)
-    pairs = _backward(model, parts.heads, start, after, ahead, shares, True)
-    pairs += _backward(model, parts.segments, left, right, _forward(model, parts.segments, left, False)[0], shares, False)
-    emitted = np.vstack([np.bincount(symbols, shares[:, s], alphabet) for s in range(k)])
-    starts = shares[offsets[:-1]].sum(axis=0, dtype=np.float64)
+    pairs = _backward(model, parts.heads, start, end, after, ahead, emits, True)
+    starts = ahead[: len(start)].sum(axis=0, dtype=np.float64)
+    emitted = np.vstack([np.bincount(order, ahead[:, s], alphabet) for s in range(k)])
+    if len(left):
+        order = parts.segments.by_step()
+        emits = model.ratio.T[order]
+        ahead, end, _ = _forward(model, parts.segments, left, False, emits)
+        pairs += _backward(model, parts.segments, left, end, right, ahead, emits, False)
+        emitted += np.vstack([np.bincount(order, ahead[:, s], alphabet) for s in range(k)])
     return starts, pairs * model.move, emitted, float(logs.sum())
 
 
 def _backward(
-    model: Hmm, pieces: Pieces, left: np.ndarray, back: np.ndarray, ahead: list[np.ndarray], shares: np.ndarray, heads: bool
+    model: Hmm, pieces: Pieces, left: np.ndarray, end: np.ndarray, after: np.ndarray, ahead: np.ndarray, emits: np.ndarray, heads: bool
 ) -> np.ndarray:
-    """Fill in the states' ``shares`` of each symbol; returns the expected moves over ``model.move``. ``back`` is used up."""
-    emit = model.ratio.T
+    """Make the states' shares of each symbol of ``ahead``; returns the expected moves over ``model.move``.
+
+    What comes after a step is scaled against what leads to it, so that a step's shares are their product. ``emits`` is used up.
+    """
+    every = _steps_unscaled(model)
     pairs = np.zeros(model.move.shape)
-    for t in range(len(ahead) - 1, -1, -1):
+    back = after / (end * after).sum(axis=1, keepdims=True)
+    done = len(ahead)
+    turned = np.ascontiguousarray(model.move.T)
+    for t in range(len(pieces.active) - 1, -1, -1):
         n = pieces.active[t]
-        now = ahead[t] * back[:n]
-        now /= now.sum(axis=1, keepdims=True)
-        shares[pieces.begin[:n] + t] = now
+        done -= n
+        later = emits[done : done + n]
+        ahead[done : done + n] *= back[:n]
         if heads and t == 0:  # no move leads into the first symbol of a sequence
             break
-        later = back[:n] * emit[pieces.at(t)]
-        earlier = later @ model.move.T
-        before = ahead[t - 1][:n] if t else left
-        later /= (before * earlier).sum(axis=1, keepdims=True)
+        later *= back[:n]
+        earlier = later @ turned
+        before = ahead[done - pieces.active[t - 1] :][:n] if t else left
+        if t == 0 or t % every == 0:
+            total = (before * earlier).sum(axis=1, keepdims=True)
+            later /= total
+            earlier /= total
         pairs += before.T @ later
-        if t:
-            earlier /= earlier.sum(axis=1, keepdims=True)
-            back[:n] = earlier
+        back[:n] = earlier
     return pairs

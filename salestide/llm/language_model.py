@@ -40,6 +40,13 @@ BLOCK_BYTES = 32 << 20
 BLOCK_ROWS = 32_768
 _TOKENS_AT_ONCE = 600_000
 _BLOCK_SHIFT = 24
+# Words' ids are a shard and a place in it, as monotonically_increasing_id gives them.
+_SHARD_SHIFT = 33
+_PLACE = (1 << _SHARD_SHIFT) - 1
+_PLAN = "block bigint, tag int, shard bigint, places binary, numbers binary, c binary"
+_REPLY = "block bigint, tag int, shard bigint, packed binary"
+_ROUND_COLUMNS = ["block", "tag", "shard", "packed", "sums"]
+_ROUND = f"{_REPLY}, sums binary"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -53,6 +60,33 @@ def _unpacked(data: bytes) -> np.ndarray:
     return high << 16 | low
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The bytes of numbers, lowest bytes of all first: those that are mostly zero compress well."""
+    return np.ascontiguousarray(numbers.reshape(-1, 1).view(np.uint8).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind)[:, 0]
+
+
+def _pack_rows(emitted: np.ndarray, whole: bool = False) -> bytes:
+    """Words' expected emissions: each word's sum in single precision (``whole``: a whole number), and the states' shares of it in 16 bits.
+
+    A share is off by at most 1/131070 of the word's sum, and the sums are not.
+    """
+    total = emitted.sum(axis=1)
+    total = (np.rint(total) if whole else total).astype("<f4")
+    shares = emitted / np.maximum(emitted.sum(axis=1, keepdims=True), 1e-30) * 65535
+    return _planes(total) + _planes(np.rint(shares).astype("<u2").ravel())
+
+
+def _unpack_rows(data: bytes, states: int) -> np.ndarray:
+    n = len(data) // (4 + 2 * states)
+    shares = _from_planes(data[4 * n :], "<u2").reshape(n, states).astype(np.float32)
+    return shares * (_from_planes(data[: 4 * n], "<f4") / np.maximum(shares.sum(axis=1), 1))[:, None]
+
+
 class _Block:
     """Texts whose words are numbered together."""
 
@@ -177,25 +211,35 @@ def _converged(before: float | None, likelihood: float, tokens: int) -> bool:
 class WordModel:
     """A model by words: starts, moves and sums on the driver, expected emissions in a table ``id``, ``e0``, ``e1``, ..."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, end: np.ndarray, emitted: DataFrame, counts: Counts) -> None:
+    def __init__(
+        self, start: np.ndarray, move: np.ndarray, end: np.ndarray, emitted: DataFrame, counts: Counts, words: np.ndarray | None = None
+    ) -> None:
         self.start, self.move, self.end, self.emitted = start, move, end, emitted
         #: The working table that ``emitted`` reads, if it has one of its own.
         self.table: DataFrame | None = None
+        #: What blocks get of it, by the plan that the round had.
+        self.replies: DataFrame | None = None
         self.base, self.texts = counts.base_total, counts.texts
         self.prior = WORD_PRIOR * max(counts.tokens, 1) / len(start)
-        columns = [F.sum(e) for e in _emissions(len(start))]
-        self.of_state = np.array([x or 0.0 for x in emitted.agg(*columns).first()]) + end
+        if words is None:
+            words = np.array([x or 0.0 for x in emitted.agg(*[F.sum(e) for e in _emissions(len(start))]).first()])
+        self.of_state = words + end
 
     def of_block(self, local: pd.DataFrame) -> Hmm:
         """The model over a block's words, by their numbers, and the end, numbered after the last. Numbers may be left out."""
-        k, place = len(self.start), local["local"].to_numpy(np.int64)
+        return self.of_words(local["local"].to_numpy(np.int64), local["c"].to_numpy(), local[_emissions(len(self.start))].to_numpy())
+
+    def of_words(self, place: np.ndarray, found: np.ndarray, emitted: np.ndarray) -> Hmm:
+        k = len(self.start)
         size = int(place.max()) + 2 if len(place) else 1
         c, e = np.zeros(size), np.zeros((size, k))
-        c[place], c[-1] = local["c"], self.texts
-        e[place], e[-1] = local[_emissions(k)].to_numpy(), self.end
+        c[place], c[-1] = found, self.texts
+        e[place], e[-1] = emitted, self.end
         unigram = (c + ADD) / self.base
-        ratio = (e / unigram[:, None] + self.prior) / (self.of_state + self.prior)
-        return Hmm(self.start, self.move, ratio.T, unigram)
+        e /= unigram[:, None]
+        e += self.prior
+        e /= self.of_state + self.prior
+        return Hmm(self.start, self.move, e.T, unigram)
 
 
 def _emissions(states: int) -> list[str]:
@@ -213,70 +257,163 @@ def initial_words(known: DataFrame, counts: Counts, states: int = STATES) -> Wor
     return WordModel(np.full(states, 1 / states), move, np.full(states, counts.texts / states), emitted, counts)
 
 
-def _with_emissions(model: WordModel, local: DataFrame) -> DataFrame:
-    """Blocks' words (``_block``, ``local``, ``id``, ``c``) with their expected emissions, in single precision."""
-    columns = _emissions(len(model.start))
-    emitted = model.emitted.select("id", *[F.col(e).cast("float").alias(e) for e in columns])
-    return local.join(emitted, "id", "left").select(
-        "_block", "local", "id", "c", *[F.coalesce(e, F.lit(0.0).cast("float")).alias(e) for e in columns]
-    )
+def plan_words(local: DataFrame, tag: int = 0) -> DataFrame:
+    """What blocks ask for, stored: for each block and shard of words, the words' places in the shard, numbers in the block, and counts.
+
+    ``local`` has blocks' words (``_block``, ``local``, ``id``, ``c``). An ``id`` is its word's shard and place in it, as
+    monotonically_increasing_id gives them. Words without an emission (negative ``id``) are in shard -1.
+    """
+    def pack(words: pd.DataFrame) -> pd.DataFrame:
+        ids = words["id"].to_numpy(np.int64)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        numbers, c = words["local"].to_numpy(np.int32)[order], words["c"].to_numpy(np.int64)[order]
+        shards = np.where(ids < 0, -1, ids >> _SHARD_SHIFT)
+        cuts = np.append(np.flatnonzero(np.diff(shards, prepend=-2)), len(ids))
+        rows = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            places = np.diff(ids[a:b] & _PLACE, prepend=0) if shards[a] >= 0 else np.zeros(b - a, np.int64)
+            rows.append((words["_block"].iloc[0], tag, shards[a], _planes(places.astype("<i4")), _planes(numbers[a:b]), _planes(c[a:b])))
+        return pd.DataFrame(rows, columns=["block", "tag", "shard", "places", "numbers", "c"])
+
+    return materialize(local.select("_block", "local", "id", "c").groupBy("_block").applyInPandas(pack, _PLAN), "plan")
+
 
+def _places(data: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(data, "<i4"), dtype=np.int64)
 
-def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts: Counts) -> tuple[WordModel, float]:
+
+def look_up(model: WordModel, plan: DataFrame) -> DataFrame:
+    """Emissions of blocks' words, packed: a row for each row of the plan that names a shard."""
+    k = len(model.start)
+    names = _emissions(k)
+
+    def reply(words: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        place = words["id"].to_numpy(np.int64) & _PLACE
+        table = np.zeros((int(place.max()) + 1 if len(place) else 0, k), np.float32)
+        table[place] = words[names].to_numpy(np.float32)
+        packed = [_pack_rows(table[_places(p)]) for p in asked["places"]]
+        return asked[["block", "tag", "shard"]].assign(packed=packed)
+
+    rows = model.emitted.select(F.shiftright("id", _SHARD_SHIFT).alias("shard"), "id", *[F.col(e).cast("float").alias(e) for e in names])
+    asked = plan.filter("shard >= 0").select("block", "tag", "shard", "places")
+    return rows.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(reply, _REPLY)
+
+
+def _for_blocks(plan: DataFrame, replies: DataFrame) -> DataFrame:
+    """Both as rows of one table, to be grouped by block."""
+    return plan.unionByName(replies, allowMissingColumns=True)
+
+
+def _of_block(words: pd.DataFrame, states: int) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+    """Of what :func:`_for_blocks` has for a block: shards asked (shard, places, words), and words' numbers, counts and emissions, in that order."""
+    got = {(tag, shard): packed for tag, shard, packed in zip(words["tag"], words["shard"], words["packed"]) if packed is not None}
+    asked, numbers, c, emitted = [], [np.zeros(0, "<i4")], [np.zeros(0, "<i8")], [np.zeros((0, states), np.float32)]
+    for tag, shard, places, own, count, packed in words[["tag", "shard", "places", "numbers", "c", "packed"]].itertuples(index=False):
+        if packed is not None:
+            continue
+        numbers.append(_from_planes(own, "<i4"))
+        c.append(_from_planes(count, "<i8"))
+        emitted.append(_unpack_rows(got[tag, shard], states) if shard >= 0 else np.zeros((len(c[-1]), states), np.float32))
+        asked.append((shard, places, len(c[-1])))
+    return asked, np.concatenate(numbers), np.concatenate(c), np.concatenate(emitted)
+
+
+def improve_words(
+    model: WordModel, texts: DataFrame, local: DataFrame, counts: Counts, plan: DataFrame | None = None
+) -> tuple[WordModel, float]:
     """One Baum-Welch round over all training texts: the new model, and the old one's log-likelihood (as ratio to the unigrams).
 
-    ``local`` has the words of each block's training texts at least. Blocks send a row for each of them. Rows of negative ``id`` are starts, moves, the end, and the likelihood in
-    two parts; all are summed alike.
+    ``local`` has the words of each block's training texts at least; ``plan`` is made of it, if it is not given. Blocks send
+    each shard their sums of its words in one row, and get the new emissions of the same words so. Starts, moves, the end and the
+    likelihood are summed as shard -1.
     """
     k = len(model.start)
-    columns, of_block = _emissions(k), _block_model(model)
+    bare = _bare(model)
+    if plan is None:
+        plan = plan_words(local)
 
     def partial(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        own = of_block(words)
-        fast, end = own.cast(np.float32), len(own.unigram) - 1
+        asked, numbers, c, emitted = _of_block(words, k)
+        fast = bare.of_words(numbers, c, emitted)
+        end = len(fast.unigram) - 1
+        fast = fast.cast(np.float32)
         starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, end + 1)), 0.0
         for symbols, offsets in _sequences([_unpacked(x) for x in sorted(rows["numbers"], key=len)], end):
             s, m, e, ll = expected_counts(fast, symbols, offsets)
-            starts, moves, emits, likelihood = starts + s, moves + m, emits + e, likelihood + ll
-        rough = float(np.float32(likelihood))
-        rest = np.zeros((2, k))
-        rest[:, 0] = rough, likelihood - rough
-        ids = words["id"].to_numpy(np.int64)
-        used = np.flatnonzero(ids >= 0)
-        values = np.vstack([emits.T[words["local"].to_numpy(np.int64)[used]], starts, moves, emits[:, end], rest])
-        out = pd.DataFrame(values.astype(np.float32), columns=columns)
-        out.insert(0, "id", np.concatenate([ids[used], -1 - np.arange(k + 4)]))
-        return out
-
+            starts, moves, likelihood = starts + s, moves + m, likelihood + ll
+            emits += e
+        block, done, out = words["block"].iloc[0] if len(words) else rows["block"].iloc[0], 0, []
+        for shard, places, n in asked:
+            if shard >= 0:
+                out.append((shard, block, places, _pack_rows(emits[:, numbers[done : done + n]].T, whole=True)))
+            done += n
+        head = np.concatenate([starts, moves.ravel(), emits[:, end], [likelihood]])
+        out.append((-1, block, b"", head.tobytes()))
+        return pd.DataFrame(out, columns=["shard", "block", "places", "packed"])
+
+    def add(sent: pd.DataFrame) -> pd.DataFrame:
+        shard = sent["shard"].iloc[0]
+        if shard < 0:
+            head = np.sum([np.frombuffer(x) for x in sent["packed"]], axis=0)
+            return pd.DataFrame([(None, 0, shard, None, head.tobytes())], columns=_ROUND_COLUMNS)
+        places = [_places(p) for p in sent["places"]]
+        total = np.zeros((max(int(p[-1]) for p in places) + 1, k), np.float64)
+        for place, packed in zip(places, sent["packed"]):
+            total[place] += _unpack_rows(packed, k)
+        rows = [(b, 0, shard, _pack_rows(total[place]), None) for b, place in zip(sent["block"], places)]
+        rows.append((None, 0, shard, _pack_rows(total), total.sum(axis=0).tobytes()))
+        return pd.DataFrame(rows, columns=_ROUND_COLUMNS)
+
+    replies = look_up(model, plan) if model.replies is None else model.replies
     sent = texts.filter("not held_out").select("block", "numbers").groupBy("block").cogroup(
-        _with_emissions(model, local).groupBy("_block")
-    ).applyInPandas(partial, "id bigint, " + ", ".join(f"{e} float" for e in columns))
-    # Words' sums are used in single precision, and stored and shuffled so; what that leaves of the others stands beside them.
-    total = sent.groupBy("id").agg(*[F.sum(e).alias(e) for e in columns])
-    rest = [F.when(F.col("id") < 0, F.col(e) - F.col(e).cast("float")).alias(f"rest_{e}") for e in columns]
-    summed = materialize(total.select("id", *[F.col(e).cast("float").alias(e) for e in columns], *rest), "emissions")
-    head = {r.id: np.array(r[1 : k + 1]) + np.array(r[k + 1 :]) for r in summed.filter("id < 0").collect()}
-    starts, moves, end = head[-1] + 1, np.array([head[-2 - s] for s in range(k)]) + 1, head[-k - 2]
-    likelihood = head[-k - 3][0] + head[-k - 4][0]
-    new = WordModel(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), end, summed.filter("id >= 0").select("id", *columns), counts)
-    new.table = summed
-    return new, float(likelihood)
-
-
-def _block_model(model: WordModel) -> Callable[[pd.DataFrame], Hmm]:
-    """:meth:`WordModel.of_block` without the table, for tasks."""
+        _for_blocks(plan, replies).groupBy("block")
+    ).applyInPandas(partial, "shard bigint, block bigint, places binary, packed binary")
+    stored = materialize(sent.groupBy("shard").applyInPandas(add, _ROUND), "round")
+    sums = stored.filter("sums is not null").select("shard", "sums").collect()
+    head = next(np.frombuffer(bytes(r.sums)) for r in sums if r.shard < 0)
+    words = np.sum([np.zeros(k), *[np.frombuffer(bytes(r.sums)) for r in sums if r.shard >= 0]], axis=0)
+    starts, moves = head[:k] + 1, head[k : k + k * k].reshape(k, k) + 1
+    own = stored.filter("block is null and shard >= 0").select("shard", "packed")
+    new = WordModel(
+        starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), head[k + k * k : -1].copy(), _as_rows(own, k), counts, words
+    )
+    new.table, new.replies = stored, stored.filter("block is not null").select("block", "tag", "shard", "packed")
+    return new, float(head[-1])
+
+
+def _as_rows(own: DataFrame, states: int) -> DataFrame:
+    """Packed emissions of shards as a row for each word that has any."""
+    names = _emissions(states)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, packed in zip(batch.column("shard").to_pylist(), batch.column("packed")):
+                rows = _unpack_rows(packed.as_buffer(), states)
+                used = np.flatnonzero(rows.any(axis=1))
+                ids = pa.array(used + (shard << _SHARD_SHIFT))
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array(rows[used, s]) for s in range(states)]], ["id", *names])
+
+    return own.mapInArrow(run, "id bigint, " + ", ".join(f"{e} float" for e in names))
+
+
+def _bare(model: WordModel) -> WordModel:
+    """The model without its tables, for tasks."""
     bare = object.__new__(WordModel)
-    bare.__dict__.update({name: value for name, value in vars(model).items() if name not in ("emitted", "table")})
-    return bare.of_block
+    bare.__dict__.update({name: value for name, value in vars(model).items() if name not in ("emitted", "table", "replies")})
+    return bare
 
 
 def train_words(
-    texts: DataFrame, known: DataFrame, local: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None
+    texts: DataFrame, known: DataFrame, local: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None,
+    plan: DataFrame | None = None,
 ) -> WordModel:
     """The model after so many rounds, or until it has converged. Two rounds' tables are there at most."""
     model, before, done = initial_words(known, counts, states), None, 0
+    if plan is None:
+        plan = plan_words(local)
     while counts.texts and done != rounds:
-        better, likelihood = improve_words(model, texts, local, counts)
+        better, likelihood = improve_words(model, texts, local, counts, plan)
         ended = rounds is None and _converged(before, likelihood, counts.tokens)
         model, old = (model, better) if ended else (better, model)
         if old.table is not None:
@@ -286,6 +423,10 @@ def train_words(
         if ended:
             break
         before, done = likelihood, done + 1
+    if model.table is not None:
+        packed, model.replies = model.table, None
+        model.emitted = model.table = materialize(model.emitted, "emissions")
+        discard(packed)
     return model
 
 
@@ -305,16 +446,17 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
     local = vocabularies.select("block", "local", "word", "n").join(known.select("word", "id", "c"), "word", "left").select(
         F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c"), "n"
     )
-    local = materialize(local, "block-words")
-    discard(vocabularies)
-    release(docs.sparkSession)  # what was shuffled so far, before the rounds shuffle more
     # Rounds need no words that a block's training texts don't have.
-    model = train_words(texts, known, local.filter("n > 0"), counts, states, rounds)
-    finish, local = _finish_words(model), _with_emissions(model, local)
+    trained = local.filter("n > 0")
+    plan, rest = plan_words(trained), plan_words(local.filter("n = 0"), 1)
+    release(docs.sparkSession)  # what was shuffled so far, before the rounds shuffle more
+    model = train_words(texts, known, trained, counts, states, rounds, plan)
+    discard(vocabularies)
+    finish, plan = _finish_words(model), plan.unionByName(rest)
     key_kind = texts.schema["_key"].dataType.simpleString()
-    finished = texts.select("block", "_key", "held_out", "numbers").groupBy("block").cogroup(local.groupBy("_block")).applyInPandas(
-        finish, f"_key {key_kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    )
+    finished = texts.select("block", "_key", "held_out", "numbers").groupBy("block").cogroup(
+        _for_blocks(plan, look_up(model, plan)).groupBy("block")
+    ).applyInPandas(finish, f"_key {key_kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return finished.select(
         F.col("_key").alias(key), "held_out", "n_tokens", "n_known", F.lit(counts.tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score",
@@ -322,13 +464,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
 
 
 def _finish_words(model: WordModel) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    of_block, trained = _block_model(model), model.texts > 0
+    bare, trained = _bare(model), model.texts > 0
 
-    def finish(texts: pd.DataFrame, local: pd.DataFrame) -> pd.DataFrame:
+    def finish(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         texts = texts.iloc[np.argsort(texts["numbers"].str.len(), kind="stable")]
-        own, end = of_block(local), len(local)
+        _, numbers, c, emitted = _of_block(words, len(bare.start))
+        own, end = bare.of_words(numbers, c, emitted), len(numbers)
         logs, known = np.log10(own.unigram), np.zeros(end + 1, np.int64)
-        known[local["local"].to_numpy(np.int64)], known[end] = local["c"].to_numpy() > 0, trained
+        known[numbers], known[end] = c > 0, trained
         parts = []
         for symbols, offsets in _sequences([_unpacked(x) for x in texts["numbers"]], end):
             sums = [np.add.reduceat(x[symbols], offsets[:-1]) for x in (known, logs)]

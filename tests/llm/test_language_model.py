@@ -213,3 +213,27 @@ def test_odd_rows(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     only = spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")
     compare(language_model.score(only).collect(), [(i, "a b") for i in held])
+
+
+def test_packed_emissions_keep_sums_and_shares():
+    rng = np.random.default_rng(3)
+    emitted = rng.dirichlet(np.full(5, 0.3), 300) * rng.integers(0, 9, 300)[:, None] * 10.0 ** rng.integers(0, 6, 300)[:, None]
+    for whole in (False, True):
+        packed = language_model._pack_rows(emitted, whole)
+        got = language_model._unpack_rows(packed, 5)
+        assert len(packed) == 300 * (4 + 2 * 5) and np.allclose(got.sum(1), emitted.sum(1), rtol=1e-6)
+        assert (np.abs(got - emitted) <= emitted.sum(1, keepdims=True) * 2e-5).all()
+    assert language_model._unpack_rows(language_model._pack_rows(emitted[:0]), 5).shape == (0, 5)
+
+
+def test_rounds_send_packed_rows(spark, monkeypatch):
+    """A round's table has a row for each block and shard, not one for each word."""
+    monkeypatch.setattr(language_model, "BLOCK_ROWS", 100)
+    model, known, texts, local, counts = trained_by_words(spark.read.parquet(DATA), 3, 0)
+    better, _ = language_model.improve_words(model, texts, local, counts)
+    blocks, shards = local.select("_block").distinct().count(), known.selectExpr("shiftright(id, 33)").distinct().count()
+    assert blocks > 5 and better.table.count() <= (blocks + 1) * shards + 1 < known.count() / 50
+    want = {r.id: r for r in better.emitted.collect()}
+    assert len(want) == known.count()
+    for r in language_model.look_up(better, language_model.plan_words(local)).limit(3).collect():
+        assert np.isfinite(language_model._unpack_rows(r.packed, 3)).all()
