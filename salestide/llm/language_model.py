@@ -43,7 +43,7 @@ _BLOCK_SHIFT = 24
 # Words' ids are a shard and a place in it, as monotonically_increasing_id gives them.
 _SHARD_SHIFT = 33
 _PLACE = (1 << _SHARD_SHIFT) - 1
-_PLAN = "block bigint, tag int, shard bigint, places binary, numbers binary, c binary"
+_PLAN = "block bigint, tag int, shard bigint, n bigint, places binary, numbers binary, c binary"
 _REPLY = "block bigint, tag int, shard bigint, packed binary"
 _ROUND_COLUMNS = ["block", "tag", "shard", "packed", "sums"]
 _ROUND = f"{_REPLY}, sums binary"
@@ -229,10 +229,10 @@ class WordModel:
         """The model over a block's words, by their numbers, and the end, numbered after the last. Numbers may be left out."""
         return self.of_words(local["local"].to_numpy(np.int64), local["c"].to_numpy(), local[_emissions(len(self.start))].to_numpy())
 
-    def of_words(self, place: np.ndarray, found: np.ndarray, emitted: np.ndarray) -> Hmm:
+    def of_words(self, place: np.ndarray, found: np.ndarray, emitted: np.ndarray, kind: type = np.float64) -> Hmm:
         k = len(self.start)
         size = int(place.max()) + 2 if len(place) else 1
-        c, e = np.zeros(size), np.zeros((size, k))
+        c, e = np.zeros(size), np.zeros((size, k), kind)
         c[place], c[-1] = found, self.texts
         e[place], e[-1] = emitted, self.end
         unigram = (c + ADD) / self.base
@@ -257,26 +257,32 @@ def initial_words(known: DataFrame, counts: Counts, states: int = STATES) -> Wor
     return WordModel(np.full(states, 1 / states), move, np.full(states, counts.texts / states), emitted, counts)
 
 
-def plan_words(local: DataFrame, tag: int = 0) -> DataFrame:
+def plan_words(local: DataFrame) -> DataFrame:
     """What blocks ask for, stored: for each block and shard of words, the words' places in the shard, numbers in the block, and counts.
 
-    ``local`` has blocks' words (``_block``, ``local``, ``id``, ``c``). An ``id`` is its word's shard and place in it, as
+    ``local`` has blocks' words (``_block``, ``local``, ``id``, ``c``, and ``n`` if some may be in no training text of the block: these
+    are apart, with ``tag`` 1), or is such a plan already. An ``id`` is its word's shard and place in it, as
     monotonically_increasing_id gives them. Words without an emission (negative ``id``) are in shard -1.
     """
+    if "places" in local.columns:
+        return local
+
     def pack(words: pd.DataFrame) -> pd.DataFrame:
-        ids = words["id"].to_numpy(np.int64)
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
+        ids, n = words["id"].to_numpy(np.int64), words["n"].to_numpy(np.int64)
+        order = np.lexsort([ids, n == 0])
+        ids, n = ids[order], n[order]
         numbers, c = words["local"].to_numpy(np.int32)[order], words["c"].to_numpy(np.int64)[order]
         shards = np.where(ids < 0, -1, ids >> _SHARD_SHIFT)
-        cuts = np.append(np.flatnonzero(np.diff(shards, prepend=-2)), len(ids))
-        rows = []
+        cuts = np.append(np.flatnonzero((np.diff(shards, prepend=-2) != 0) | (np.diff(n == 0, prepend=False) != 0)), len(ids))
+        block, rows = words["_block"].iloc[0], []
         for a, b in zip(cuts[:-1], cuts[1:]):
             places = np.diff(ids[a:b] & _PLACE, prepend=0) if shards[a] >= 0 else np.zeros(b - a, np.int64)
-            rows.append((words["_block"].iloc[0], tag, shards[a], _planes(places.astype("<i4")), _planes(numbers[a:b]), _planes(c[a:b])))
-        return pd.DataFrame(rows, columns=["block", "tag", "shard", "places", "numbers", "c"])
+            packed = (_planes(x) for x in (places.astype("<i4"), numbers[a:b], c[a:b]))
+            rows.append((block, int(n[a] == 0), shards[a], n[a:b].sum(), *packed))
+        return pd.DataFrame(rows, columns=["block", "tag", "shard", "n", "places", "numbers", "c"])
 
-    return materialize(local.select("_block", "local", "id", "c").groupBy("_block").applyInPandas(pack, _PLAN), "plan")
+    n = "n" if "n" in local.columns else F.lit(1).alias("n")
+    return materialize(local.select("_block", "local", "id", "c", n).groupBy("_block").applyInPandas(pack, _PLAN), "plan")
 
 
 def _places(data: bytes) -> np.ndarray:
@@ -319,25 +325,21 @@ def _of_block(words: pd.DataFrame, states: int) -> tuple[list[tuple], np.ndarray
     return asked, np.concatenate(numbers), np.concatenate(c), np.concatenate(emitted)
 
 
-def improve_words(
-    model: WordModel, texts: DataFrame, local: DataFrame, counts: Counts, plan: DataFrame | None = None
-) -> tuple[WordModel, float]:
+def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts: Counts) -> tuple[WordModel, float]:
     """One Baum-Welch round over all training texts: the new model, and the old one's log-likelihood (as ratio to the unigrams).
 
-    ``local`` has the words of each block's training texts at least; ``plan`` is made of it, if it is not given. Blocks send
+    ``local`` has the words of each block's training texts at least, or is a plan of them. Blocks send
     each shard their sums of its words in one row, and get the new emissions of the same words so. Starts, moves, the end and the
     likelihood are summed as shard -1.
     """
     k = len(model.start)
-    bare = _bare(model)
-    if plan is None:
-        plan = plan_words(local)
+    bare, plan = _bare(model), plan_words(local)
 
     def partial(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         asked, numbers, c, emitted = _of_block(words, k)
-        fast = bare.of_words(numbers, c, emitted)
+        fast = bare.of_words(numbers, c, emitted, np.float32).cast(np.float32)
+        del c, emitted
         end = len(fast.unigram) - 1
-        fast = fast.cast(np.float32)
         starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, end + 1)), 0.0
         for symbols, offsets in _sequences([_unpacked(x) for x in sorted(rows["numbers"], key=len)], end):
             s, m, e, ll = expected_counts(fast, symbols, offsets)
@@ -405,15 +407,12 @@ def _bare(model: WordModel) -> WordModel:
 
 
 def train_words(
-    texts: DataFrame, known: DataFrame, local: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None,
-    plan: DataFrame | None = None,
+    texts: DataFrame, known: DataFrame, local: DataFrame, counts: Counts, states: int = STATES, rounds: int | None = None
 ) -> WordModel:
     """The model after so many rounds, or until it has converged. Two rounds' tables are there at most."""
-    model, before, done = initial_words(known, counts, states), None, 0
-    if plan is None:
-        plan = plan_words(local)
+    model, before, done, plan = initial_words(known, counts, states), None, 0, plan_words(local)
     while counts.texts and done != rounds:
-        better, likelihood = improve_words(model, texts, local, counts, plan)
+        better, likelihood = improve_words(model, texts, plan, counts)
         ended = rounds is None and _converged(before, likelihood, counts.tokens)
         model, old = (model, better) if ended else (better, model)
         if old.table is not None:
@@ -446,13 +445,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
     local = vocabularies.select("block", "local", "word", "n").join(known.select("word", "id", "c"), "word", "left").select(
         F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c"), "n"
     )
-    # Rounds need no words that a block's training texts don't have.
-    trained = local.filter("n > 0")
-    plan, rest = plan_words(trained), plan_words(local.filter("n = 0"), 1)
-    release(docs.sparkSession)  # what was shuffled so far, before the rounds shuffle more
-    model = train_words(texts, known, trained, counts, states, rounds, plan)
+    release(docs.sparkSession)  # what was shuffled so far, here and below, before more is
+    plan = plan_words(local)
     discard(vocabularies)
-    finish, plan = _finish_words(model), plan.unionByName(rest)
+    release(docs.sparkSession)
+    # Rounds need no words that a block's training texts don't have.
+    model = train_words(texts, known, plan.filter("tag = 0"), counts, states, rounds)
+    finish = _finish_words(model)
     key_kind = texts.schema["_key"].dataType.simpleString()
     finished = texts.select("block", "_key", "held_out", "numbers").groupBy("block").cogroup(
         _for_blocks(plan, look_up(model, plan)).groupBy("block")
