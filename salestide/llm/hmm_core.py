@@ -170,11 +170,18 @@ def _through(
     return logs, left
 
 
-def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions (state by symbol) over the sequences, and their log-likelihood."""
+def expected_counts(
+    model: Hmm, symbols: np.ndarray, offsets: np.ndarray, emitted: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions (state by symbol) over the sequences, and their log-likelihood.
+
+    Emissions are added to ``emitted``, if it is given.
+    """
     k, alphabet = len(model.start), model.ratio.shape[1]
+    if emitted is None:
+        emitted = np.zeros((k, alphabet))
     if len(symbols) == 0:
-        return np.zeros(k), np.zeros((k, k)), np.zeros((k, alphabet)), 0.0
+        return np.zeros(k), np.zeros((k, k)), emitted, 0.0
     parts = Parts(symbols, offsets)
     matrix, scale = transfers(model, parts.segments)
     start = np.tile(model.start, (len(parts.heads.begin), 1))
@@ -193,13 +200,15 @@ def expected_counts(model: Hmm, symbols: np.ndarray, offsets: np.ndarray) -> tup
     after[parts.heads.place[parts.long]] = behind
     pairs = _backward(model, parts.heads, start, end, after, ahead, emits, True)
     starts = ahead[: len(start)].sum(axis=0, dtype=np.float64)
-    emitted = np.vstack([np.bincount(order, ahead[:, s], alphabet) for s in range(k)])
+    for s in range(k):
+        emitted[s] += np.bincount(order, ahead[:, s], alphabet)
     if len(left):
         order = parts.segments.by_step()
         emits = model.ratio.T[order]
         ahead, end, _ = _forward(model, parts.segments, left, False, emits)
         pairs += _backward(model, parts.segments, left, end, right, ahead, emits, False)
-        emitted += np.vstack([np.bincount(order, ahead[:, s], alphabet) for s in range(k)])
+        for s in range(k):
+            emitted[s] += np.bincount(order, ahead[:, s], alphabet)
     return starts, pairs * model.move, emitted, float(logs.sum())
 
 

@@ -186,12 +186,12 @@ def total_counts(counts: DataFrame, texts: DataFrame) -> Counts:
     return Counts(found["words"], found["types"], texts.filter("not held_out").count())
 
 
-def _sequences(texts: list[np.ndarray], end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers of texts on end, each closed by the end, and their offsets; so many texts at once as one recursion takes.
+def _sequences(texts: list[bytes], end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of packed texts on end, each closed by the end, and their offsets; so many texts at once as one recursion takes.
 
     Texts keep their order; those of like length together are quickest.
     """
-    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    ends = np.cumsum([len(t) // 4 + 1 for t in texts], dtype=np.int64)
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
@@ -199,7 +199,7 @@ def _sequences(texts: list[np.ndarray], end: int) -> Iterator[tuple[np.ndarray,
         offsets = np.concatenate([[0], ends[start:stop] - before])
         symbols = np.full(offsets[-1], end, np.int64)
         for coded, a, b in zip(texts[start:stop], offsets[:-1], offsets[1:]):
-            symbols[a : b - 1] = coded
+            symbols[a : b - 1] = _unpacked(coded)
         yield symbols, offsets
         start = stop
 
@@ -341,10 +341,9 @@ def improve_words(model: WordModel, texts: DataFrame, local: DataFrame, counts:
         del c, emitted
         end = len(fast.unigram) - 1
         starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, end + 1)), 0.0
-        for symbols, offsets in _sequences([_unpacked(x) for x in sorted(rows["numbers"], key=len)], end):
-            s, m, e, ll = expected_counts(fast, symbols, offsets)
+        for symbols, offsets in _sequences(sorted(rows["numbers"], key=len), end):
+            s, m, _, ll = expected_counts(fast, symbols, offsets, emits)
             starts, moves, likelihood = starts + s, moves + m, likelihood + ll
-            emits += e
         block, done, out = words["block"].iloc[0] if len(words) else rows["block"].iloc[0], 0, []
         for shard, places, n in asked:
             if shard >= 0:
@@ -472,7 +471,7 @@ def _finish_words(model: WordModel) -> Callable[[pd.DataFrame, pd.DataFrame], pd
         logs, known = np.log10(own.unigram), np.zeros(end + 1, np.int64)
         known[numbers], known[end] = c > 0, trained
         parts = []
-        for symbols, offsets in _sequences([_unpacked(x) for x in texts["numbers"]], end):
+        for symbols, offsets in _sequences(texts["numbers"].tolist(), end):
             sums = [np.add.reduceat(x[symbols], offsets[:-1]) for x in (known, logs)]
             parts.append(np.vstack([np.diff(offsets), *sums, log_likelihoods(own, symbols, offsets) / np.log(10)]))
         found = pd.DataFrame(np.hstack(parts).T, columns=["n_tokens", "n_known", "base_score", "score"])
