@@ -445,9 +445,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", states: int
         F.col("block").alias("_block"), "local", F.coalesce("id", unseen).alias("id"), F.coalesce("c", F.lit(0)).alias("c"), "n"
     )
     release(docs.sparkSession)  # what was shuffled so far, here and below, before more is
-    plan = plan_words(local)
+    local = materialize(local, "block-words")
     discard(vocabularies)
     release(docs.sparkSession)
+    plan = plan_words(local)
+    discard(local)
+    release(docs.sparkSession)
     # Rounds need no words that a block's training texts don't have.
     model = train_words(texts, known, plan.filter("tag = 0"), counts, states, rounds)
     finish = _finish_words(model)
