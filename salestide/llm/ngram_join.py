@@ -25,10 +25,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salestide.llm import sums, trie
+from salestide.llm import sieve, sums, trie
 from salestide.llm.components import connected
 from salestide.llm.text import keep_one, shingle_hashes, slices, text_or_empty, word_hashes, words
-from salestide.session import discard, fits_broadcast, materialize, release, scratch
+from salestide.session import discard, fits_broadcast, materialize, release, scratch, small_broadcasts
 
 SHINGLE = 3
 # Buckets by whose counts n-grams are ordered, in bits: a fixed table of 2**20 numbers.
@@ -39,8 +39,8 @@ FEW = 1000
 # Sets, and tokens in them, that are joined in one trie.
 CHUNK_SETS = 200
 CHUNK_TOKENS = 400_000
-# Documents whose whole sets are compared are looked up by a broadcast up to this many, by a shuffle beyond.
-MAX_BROADCAST_WANTED = 500_000
+# Documents whose whole sets are compared are looked up by a broadcast up to this many, by bits of their hashes beyond.
+MAX_BROADCAST_WANTED = 50_000
 _LOW = np.uint64((1 << (64 - ORDER_BITS)) - 1)
 _SHIFT = np.uint64(64 - ORDER_BITS)
 _SUM_ROWS = 256
@@ -158,8 +158,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, rank: Broadcast, key: str, text: s
     """``cls``, ``n`` and whole set (``tokens``) of the wanted classes (``cls``, ``_key``, ``mark``), from their texts."""
     named = materialize(wanted.select("cls", F.col("_key").alias("_k"), F.col("mark").alias("_m")), "ngram-wanted")
     rows = docs.select(F.col(key).alias("_key"), _mark(text).alias("mark"), text_or_empty(text).alias("text"))
-    # Few documents are wanted as a rule: then all others stay where they are. Beyond the bound they are shuffled.
-    few = F.broadcast(named) if fits_broadcast(named, MAX_BROADCAST_WANTED) else named
+    # Few documents are wanted as a rule: all others stay where they are.
+    if fits_broadcast(named, MAX_BROADCAST_WANTED):
+        few = F.broadcast(named)
+    else:
+        few = named.hint("merge")
+        rows, _ = sieve.split(rows, named, [rows["_key"], rows["mark"]], [named["_k"], named["_m"]])
     some = (
         rows.join(few, rows["_key"].eqNullSafe(few["_k"]) & (rows["mark"] == few["_m"])).select("cls", "text")
         .dropDuplicates(["cls"])
@@ -409,12 +413,14 @@ def _joined(dealt: DataFrame, couples: DataFrame, table: DataFrame, share: int,
 
 
 def _looked_up(rows: DataFrame, table: DataFrame, what: str) -> DataFrame:
-    """``rows`` with the ``n`` and ``what`` of their ``cls``. Sets that no row asks for stay where they are, as long as few are asked for."""
+    """``rows`` with the ``n`` and ``what`` of their ``cls``. Sets that no row asks for stay where they are."""
     stored = materialize(rows, "asked")
     wanted = materialize(stored.select("cls").distinct(), "asked-sets")
     sets = table.select("cls", "n", what)
     if fits_broadcast(wanted, MAX_BROADCAST_WANTED):
         sets = sets.join(F.broadcast(wanted), "cls", "left_semi")
+    else:
+        sets, _ = sieve.split(sets, wanted, [sets["cls"]], [wanted["cls"]])
     return sets.join(stored, "cls")
 
 
@@ -432,10 +438,14 @@ class _Corpus:
         self.named = classes.select(F.col("least.row").alias("cls"), "digest", "least")
         # Of sets with copies, the other rows are left out; most sets have none.
         copied = materialize(classes.filter("copies > 1").select(F.col("digest").alias("_digest"), F.col("least.row").alias("head")), "copied")
-        few = F.broadcast(copied) if fits_broadcast(copied, MAX_BROADCAST_WANTED) else copied
-        heads = whole.filter("n > 0").join(few, F.col("digest") == F.col("_digest"), "left")
-        heads = heads.filter(F.col("head").isNull() | (F.col("head") == F.col("_row"))).select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"), "bits")
-        prefixes = materialize(heads, "ngram-prefixes")
+        some = whole.filter("n > 0")
+        if fits_broadcast(copied, MAX_BROADCAST_WANTED):
+            heads = some.join(F.broadcast(copied), F.col("digest") == F.col("_digest"), "left").filter(F.col("head").isNull() | (F.col("head") == F.col("_row")))
+        else:
+            maybe, alone = sieve.split(some, copied, [some["digest"]], [copied["_digest"]])
+            both = maybe.join(copied.hint("merge"), F.col("digest") == F.col("_digest"), "left").filter(F.col("head").isNull() | (F.col("head") == F.col("_row")))
+            heads = both.select(*some.columns).union(alone)
+        prefixes = materialize(heads.select(F.col("_row").alias("cls"), "_key", "mark", "n", F.col("prefix").alias("tokens"), "bits"), "ngram-prefixes")
         self.rows = materialize(whole.select("_row", "_key", "mark", "n", "digest"), "ngram-keys")
         discard(whole)
         self.heads = materialize(prefixes.select("cls", "_key", "mark", "n", "bits"), "ngram-heads")
@@ -489,6 +499,11 @@ def links(
     documents that a document is linked with, those of its own class included. Documents with empty sets have no class
     and no links; null keys are named null. Parameters and rules as in :func:`join`.
     """
+    with small_broadcasts(docs.sparkSession):
+        return _links(docs, key, text, size, share)
+
+
+def _links(docs: DataFrame, key: str, text: str, size: int, share: int) -> tuple[DataFrame, DataFrame]:
     corpus = _Corpus(docs, key, text, size, share)
     alone = corpus.member.select("x", "y", "cls", "n", F.col("cls").alias("comp"))
     # Pairs with the lead of a group, which alone decide groups of two; then all others.
@@ -528,6 +543,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
             "x", "y", "cls", "n", F.coalesce("component", "cls").alias("comp")
         ), "labelled",
     )
+    release(docs.sparkSession)
     far = corpus.far(labelled)
     final = first if far.isEmpty() else connected(near.union(far))
     return _result(corpus.rows, corpus.named, final, key)

@@ -12,13 +12,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import fits_broadcast, materialize, scratch
+from salestide.llm.sieve import free_name, split
+from salestide.session import fits_broadcast, materialize, release, scratch, small_broadcasts
 
 # Rows of an Arrow batch that are worked on at once: bounded by count and by bytes of text.
 SLICE_ROWS = 2048
 SLICE_BYTES = 1 << 20
-# Rows to be dropped are looked up by a broadcast up to this many.
-MAX_BROADCAST_GONE = 500_000
+# Rows to be dropped are looked up by a broadcast up to this many, by bits of their hashes beyond.
+MAX_BROADCAST_GONE = 50_000
 
 
 def text_or_empty(column: str | Column = "text") -> Column:
@@ -26,21 +27,13 @@ def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def free_name(df: DataFrame, wish: str) -> str:
-    """A column name that ``df`` does not have, case aside."""
-    taken = {name.lower() for name in df.columns}
-    while wish.lower() in taken:
-        wish += "_"
-    return wish
-
-
 def keep_one(docs: DataFrame, decided: Callable[[], DataFrame], key: str, mark: str, of_row: Column) -> DataFrame:
     """``docs`` without the rows that ``decided()`` (key, mark, ``kept``) drops; all columns stay as they are.
 
     ``of_row`` computes a row's mark. Rows that repeat both the key and the mark of a kept row cannot be told
     apart from it; one of them stays. Of the working tables, only the marks of dropped rows outlive the call.
     """
-    with scratch(docs.sparkSession) as keep:
+    with scratch(docs.sparkSession) as keep, small_broadcasts(docs.sparkSession):
         return _keep_one(docs, decided(), key, mark, of_row, keep)
 
 
@@ -51,9 +44,13 @@ def _keep_one(
     gone = keep(materialize(stored.filter("not kept").select("_k", "_m").distinct(), "gone"))
     kept = stored.filter("kept").select("_k", "_m").distinct()
     tied = keep(materialize(gone.join(kept, gone["_k"].eqNullSafe(kept["_k"]) & (gone["_m"] == kept["_m"]), "left_semi"), "tied"))
-    # Few rows go as a rule: then the others stay where they are. Beyond the bound both sides are shuffled.
-    few = F.broadcast(gone) if fits_broadcast(gone, MAX_BROADCAST_GONE) else gone
-    whole = docs.join(few, docs[key].eqNullSafe(few["_k"]) & (of_row == few["_m"]), "left_anti")
+    release(docs.sparkSession)
+    # Few rows go as a rule: the others stay where they are.
+    if fits_broadcast(gone, MAX_BROADCAST_GONE):
+        whole = docs.join(F.broadcast(gone), docs[key].eqNullSafe(gone["_k"]) & (of_row == gone["_m"]), "left_anti")
+    else:
+        maybe, others = split(docs, gone, [docs[key], of_row], [gone["_k"], gone["_m"]])
+        whole = maybe.join(gone.hint("merge"), maybe[key].eqNullSafe(gone["_k"]) & (of_row == gone["_m"]), "left_anti").union(others)
     if tied.isEmpty():
         return whole
     column = free_name(docs, "_mark_of_text")

@@ -31,6 +31,9 @@ _STREAM_DEFAULTS = {
 _ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Bytes of an Arrow batch. Spark's own bound is 64 MiB, of which a task holds several times as much while buffers grow.
 BATCH_BYTES = 4 * 1024 * 1024
+_BROADCAST_BYTES = "spark.sql.autoBroadcastJoinThreshold"
+# Bytes of a stored table that Spark broadcasts by itself. Ten MiB, its own bound, can be a million rows of ids.
+SMALL_BROADCAST = 1024 * 1024
 _local_root: str | None = None
 _scratch = threading.local()
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -58,6 +61,19 @@ def use_small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Bound what the driver builds and sends to look up rows by ids while the block runs, unless the job has chosen a bound itself."""
+    if _BROADCAST_BYTES in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(_BROADCAST_BYTES, str(SMALL_BROADCAST))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BROADCAST_BYTES)
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
