@@ -124,7 +124,9 @@ def recovered_stream(spark: SparkSession, layout: Layout, event: T.StructType) -
     """What :func:`recover` stores, as a stream."""
     schema = c.bronze_schema(event)
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{layout.table('recovered')}/call=0")
-    return parquet_stream(spark, layout.table("recovered"), schema).select(*schema.names)
+    # Named, because Spark would take the type of the folders' numbers from those that are there when the stream starts.
+    stored = T.StructType([*schema, T.StructField("call", T.LongType())])
+    return parquet_stream(spark, layout.table("recovered"), stored).select(*schema.names)
 
 
 def recovered(spark: SparkSession, layout: Layout, event: T.StructType = c.EVENT_V1) -> DataFrame | None:

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rows import body, event, frame, hms, kafka_table, registry, silver_table
 from salestide import contract as c
@@ -422,6 +423,24 @@ def test_live_queries_run_together_and_stop_together(spark, folder):
     assert not thread.is_alive() and spark.streams.active == [] and failures == []
 
 
+def test_rows_recovered_after_the_stream_started_are_read(spark, folder):
+    """While only the empty folder is there, nothing says how large the numbers of later ones are."""
+    layout = layers.Layout(folder, run_id="r")
+    schema = c.bronze_schema(c.EVENT_V1)
+    rows = layers.recovered_stream(spark, layout, c.EVENT_V1).select("kafka_offset")
+    query = rows.writeStream.format("memory").queryName("recovered_rows").trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+        row = [7 if f.name == "kafka_offset" else None for f in schema]
+        path = f"{layout.table('recovered')}/call={time.time_ns()}"
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        spark.createDataFrame([tuple(row)], nullable).write.parquet(path)
+        query.processAllAvailable()
+        assert [r.kafka_offset for r in spark.table("recovered_rows").collect()] == [7]
+    finally:
+        query.stop()
+
+
 def wait_for(condition, failures, seconds=60):
     deadline = time.time() + seconds
     while time.time() < deadline:
